@@ -8,8 +8,9 @@ before the shuffle, like a map-side combine.
 
 ``grouped`` (``applyInArrow``): Python sees one group at a time.  Grouping raw rows by day would put
 a whole day - possibly a third of all rows - into one call, so groups are made bounded first:
-native pre-aggregation to one row per (day, order) and per (day, buyer), then groups of
-(day, hash bucket).  Each call sums and counts one bucket; a native sum merges the buckets.
+native pre-aggregation to one row per (day, order) and per (day, buyer), then groups by a hash
+bucket of the key.  Each call aggregates its bucket per day with pyarrow; a native sum merges the
+buckets.
 
 Both give the same result as the native plan (SQL semantics: NULL revenue skipped, an all-NULL day
 gives NULL, NULL keys not counted).
@@ -88,26 +89,25 @@ def daily_metrics_batches(staged: DataFrame, from_date=None, with_buyers: bool =
     return partials.groupBy(S.ORDER_DATE).agg(*aggs)
 
 
-def _bucket_sum(table: pa.Table) -> pa.Table:
-    """One (day, bucket) group of per-order rows -> its revenue cents and non-NULL order count."""
+def _bucket_days(table: pa.Table) -> pa.Table:
+    """One hash bucket of pre-aggregated rows (order_date, k, cents) -> per-day revenue cents and
+    count of non-NULL keys, by a vectorised pyarrow group-by."""
+    out = table.group_by(S.ORDER_DATE, use_threads=False).aggregate([(_CENTS, "sum"), ("k", "count")])
     return pa.table({
-        S.ORDER_DATE: table[S.ORDER_DATE].slice(0, 1),
-        _CENTS: pa.array([pc.sum(table[_CENTS]).as_py()], pa.int64()),
-        "n": pa.array([pc.count(table["k"]).as_py()], pa.int64()),
-    })
-
-
-def _bucket_count(table: pa.Table) -> pa.Table:
-    return pa.table({
-        S.ORDER_DATE: table[S.ORDER_DATE].slice(0, 1),
-        _CENTS: pa.nulls(1, pa.int64()),
-        "n": pa.array([pc.count(table["k"]).as_py()], pa.int64()),
+        S.ORDER_DATE: out[S.ORDER_DATE],
+        _CENTS: pc.cast(out[f"{_CENTS}_sum"], pa.int64()),
+        "n": pc.cast(out["k_count"], pa.int64()),
     })
 
 
 def daily_metrics_grouped(staged: DataFrame, from_date=None, with_buyers: bool = True,
                           buckets: int | None = None) -> DataFrame:
-    """U2: grouped Arrow aggregation over bounded (day, bucket) groups."""
+    """U2: grouped Arrow aggregation over bounded hash buckets.
+
+    Rows are first pre-aggregated natively to one row per (day, order) and per (day, buyer), then
+    grouped by a hash bucket of the key: every bucket holds about 1/``buckets`` of those rows, a
+    hot day is spread over all buckets and a hot key is already one row.  ``buckets`` defaults to
+    ``spark.sql.shuffle.partitions``, so a group is about the size of a shuffle partition."""
     spark = staged.sparkSession
     nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = in_window(staged, from_date)
@@ -117,14 +117,15 @@ def daily_metrics_grouped(staged: DataFrame, from_date=None, with_buyers: bool =
                  .agg(F.sum(to_cents(S.REVENUE)).alias(_CENTS))
                  .select(S.ORDER_DATE, F.col(S.ORDER_ID).alias("k"), _CENTS,
                          F.pmod(F.xxhash64(S.ORDER_ID), F.lit(nb)).alias(_BUCKET)))
-    orders = per_order.groupBy(S.ORDER_DATE, _BUCKET).applyInArrow(_bucket_sum, out)
+    orders = per_order.groupBy(_BUCKET).applyInArrow(_bucket_days, out)
     parts = orders.select(S.ORDER_DATE, _CENTS, F.col("n").alias("n_orders"),
                           F.lit(None).cast("long").alias("n_buyers"))
     if with_buyers:
         per_buyer = (src.select(S.ORDER_DATE, F.col(S.BUYER_ID).alias("k")).distinct()
-                     .withColumn(_BUCKET, F.pmod(F.xxhash64("k"), F.lit(nb))))
-        buyers = per_buyer.groupBy(S.ORDER_DATE, _BUCKET).applyInArrow(_bucket_count, out)
-        parts = parts.unionByName(buyers.select(S.ORDER_DATE, _CENTS,
+                     .select(S.ORDER_DATE, "k", F.lit(None).cast("long").alias(_CENTS),
+                             F.pmod(F.xxhash64("k"), F.lit(nb)).alias(_BUCKET)))
+        buyers = per_buyer.groupBy(_BUCKET).applyInArrow(_bucket_days, out)
+        parts = parts.unionByName(buyers.select(S.ORDER_DATE, F.lit(None).cast("long").alias(_CENTS),
                                                 F.lit(None).cast("long").alias("n_orders"),
                                                 F.col("n").alias("n_buyers")))
     aggs = [from_cents(F.sum(_CENTS)).alias(S.DAILY_REVENUE),

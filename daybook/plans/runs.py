@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from daybook import schemas as S
 from daybook.functions.dates import parse_date
 from daybook.operators import arrow, metrics, quality, staging
-from daybook.sources.warehouse import Warehouse
+from daybook.sources.warehouse import Warehouse, WriteResult
 
 SourceFn = Callable[[object], DataFrame]  # from_date or None -> transactions frame
 
@@ -107,7 +107,7 @@ class Project:
         target = self.warehouse.read(model.name, merge_schema=True)
         seeded = metrics.seeded_running_total(days, metrics.select_seed(target, window, seed))
         # The seed day is re-emitted with its stored values; leaving it out of the write gives the
-        # same table and keeps the write off the partition the seed is read from.
+        # same table and rewrites only the window's days.
         return seeded.filter(seeded[S.ORDER_DATE] >= parse_date(window))
 
     # -- runs -------------------------------------------------------------------------------------
@@ -125,10 +125,17 @@ class Project:
         wh = self.warehouse
         if model.name.startswith("stg_orders"):
             frame = self.staging_frame(model, mode, from_date)
-            res = wh.delete_insert(name, frame, model.key) if mode == "incremental" else wh.write_full(name, frame)
+            if mode == "incremental":
+                res = wh.delete_insert(name, frame, model.key, S.ORDER_DATE)
+            else:
+                res = wh.write_full(name, frame, S.ORDER_DATE, rebalance=False)
         else:
             frame = self.metric_frame(model, mode, from_date, seed)
-            res = wh.replace_partitions(name, frame) if mode == "incremental" else wh.write_full(name, frame)
+            if mode == "incremental":
+                res = wh.replace_days(name, frame)
+            else:
+                wh.write_full(name, frame)
+                res = WriteResult(name, wh.read(name).count())
         return RunReport(name, mode, parse_date(from_date) if from_date else None,
                          res.partitions_written, res.partitions_dropped, round(time.time() - t0, 3), prev)
 

@@ -3,19 +3,20 @@
 * ``write_full`` (materialisation ``table``): the new table is built in a sibling folder and then
   switched in by renames, so a rebuild may read the table it replaces, and a failed build leaves
   the old table intact.  A static ``overwrite`` would delete the files before the job reads them.
-* ``replace_partitions`` (``delete+insert`` on ``order_date``): dynamic partition overwrite; only
-  the days present in the frame are replaced.  The frame is checkpointed first (to the shared
-  checkpoint folder) because it is usually derived from the same table (the seed row): the write
-  then depends on stable files, not on partitions it is replacing, and a lost executor recomputes
-  from the checkpoint.
+* ``replace_days`` (``delete+insert`` on ``order_date``): only the days present in the frame are
+  replaced.  The frame is checkpointed first (to the shared checkpoint folder) because it is
+  usually derived from the same table (the seed row).  Metric tables hold one row per calendar day,
+  so they are kept unpartitioned (one small file instead of a folder per day) and rewritten whole;
+  a day-partitioned table gets a dynamic partition overwrite.
 * ``delete_insert`` (``delete+insert`` on a non-unique key such as ``order_id``): replaces all
   rows of every touched key, rewriting only the partitions involved: the batch's days plus the days
   where target rows with those keys live (an order can move between days).  A partition emptied
   by the delete is removed explicitly, since a dynamic overwrite only replaces partitions that
   receive rows.
 
-Tables are partitioned by ``order_date``; before a partitioned write, ``rebalance`` on the
-partition column lets AQE split a hot day into several tasks and coalesce small days.
+The order-line tables are partitioned by ``order_date``.  After a shuffle, ``rebalance`` on the
+partition column lets AQE split a hot day into several tasks and coalesce small days before the
+write; a full build from a day-laid-out scan needs no shuffle at all.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook import schemas as S
-from daybook.operators.upsert import merged_columns
+from daybook.operators.upsert import merged_columns, replace_days
 from daybook.session import checkpoint_root
 
 
@@ -58,6 +59,14 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+def count_partitions(spark: SparkSession, path: str, column: str) -> int:
+    """Number of ``column=value`` folders directly under ``path`` (one listing call)."""
+    fs, p = _jpath(spark, path)
+    if not fs.exists(p):
+        return 0
+    return sum(1 for st in fs.listStatus(p) if st.isDirectory() and st.getPath().getName().startswith(f"{column}="))
+
+
 def partition_dir(table_path: str, column: str, value) -> str:
     v = value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else str(value)
     return f"{table_path.rstrip('/')}/{column}={v}"
@@ -71,7 +80,7 @@ class WriteResult:
 
 
 class Warehouse:
-    """A folder of tables, one sub-folder each, partitioned by ``order_date``."""
+    """A folder of tables, one sub-folder each."""
 
     def __init__(self, spark: SparkSession, root: str, partition_col: str = S.ORDER_DATE):
         self.spark = spark
@@ -106,38 +115,61 @@ class Warehouse:
 
     # -- writes -----------------------------------------------------------------------------------
 
-    def _partitioned_writer(self, df: DataFrame):
-        return df.hint("rebalance", self.partition_col).write.partitionBy(self.partition_col)
-
-    def write_full(self, name: str, df: DataFrame) -> WriteResult:
+    @staticmethod
+    def _writer(df: DataFrame, partition_col: str | None, rebalance: bool):
+        if partition_col is None:
+            return df.hint("rebalance").write  # AQE sizes the output files
+        if rebalance:
+            df = df.hint("rebalance", partition_col)
+        return df.write.partitionBy(partition_col)
+
+    def write_full(self, name: str, df: DataFrame, partition_col: str | None = None,
+                   rebalance: bool = True) -> WriteResult:
+        """Build the table in a sibling folder, then switch it in.  ``rebalance=False`` skips the
+        shuffle when the input is already laid out by day (a scan of a day-partitioned source):
+        each task then writes the few days it holds."""
         final = self.path(name)
         tag = uuid.uuid4().hex[:12]
         building, retired = f"{final}.__building__{tag}", f"{final}.__retired__{tag}"
-        self._partitioned_writer(df).mode("errorifexists").parquet(building)
+        self._writer(df, partition_col, rebalance).mode("errorifexists").parquet(building)
         had_old = path_exists(self.spark, final)
         if had_old:
             rename_path(self.spark, final, retired)
         rename_path(self.spark, building, final)
         if had_old:
             delete_path(self.spark, retired)
-        return WriteResult(name, -1)
+        written = count_partitions(self.spark, final, partition_col) if partition_col else -1
+        return WriteResult(name, written)
 
-    def replace_partitions(self, name: str, df: DataFrame) -> WriteResult:
-        """delete+insert by the partition column (days present in ``df`` are replaced)."""
-        if not self.exists(name):
-            return self.write_full(name, df)
+    def replace_days(self, name: str, days: DataFrame, partition_col: str | None = None) -> WriteResult:
+        """delete+insert by ``order_date``: the days present in ``days`` are replaced, all others kept.
+
+        ``days`` is checkpointed first: it is small (one row per day) and usually derived from this
+        very table (the seed row), so the write then reads stable files and a lost executor
+        recomputes from the checkpoint.  An unpartitioned table (the metric tables: one row per
+        calendar day) is rewritten whole, by build-then-switch; a day-partitioned table gets a
+        dynamic partition overwrite."""
         checkpoint_root(self.spark)
-        stable = df.checkpoint(eager=True)
-        days = stable.select(self.partition_col).distinct().count()
-        (self._partitioned_writer(stable).mode("overwrite")
+        stable = days.checkpoint(eager=True)
+        n_days = stable.select(S.ORDER_DATE).distinct().count()
+        if not self.exists(name):
+            self.write_full(name, stable, partition_col)
+            return WriteResult(name, n_days)
+        if n_days == 0:
+            return WriteResult(name, 0)
+        if partition_col is None:
+            merged = replace_days(self.read(name, merge_schema=True), stable)
+            self.write_full(name, merged)
+            return WriteResult(name, n_days)
+        (self._writer(stable, partition_col, True).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").parquet(self.path(name)))
-        return WriteResult(name, days)
+        return WriteResult(name, n_days)
 
-    def delete_insert(self, name: str, batch: DataFrame, key: str) -> WriteResult:
+    def delete_insert(self, name: str, batch: DataFrame, key: str, partition_col: str = S.ORDER_DATE) -> WriteResult:
         """delete+insert by a non-unique key on a table partitioned by ``partition_col``."""
         if not self.exists(name):
-            return self.write_full(name, batch)
-        pc = self.partition_col
+            return self.write_full(name, batch, partition_col, rebalance=False)
+        pc = partition_col
         target = self.read(name)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -157,7 +189,8 @@ class Warehouse:
                 still_there = {r[0] for r in kept.filter(F.col(pc).isin(candidates)).select(pc).distinct().collect()}
             cols = merged_columns(target, batch)
             out = kept.unionByName(batch, allowMissingColumns=True).select(*cols)
-            (self._partitioned_writer(out).mode("overwrite")
+            # After the anti-join every task holds every day: rebalance by day before writing.
+            (self._writer(out, pc, True).mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").parquet(self.path(name)))
             emptied = [d for d in candidates if d not in still_there]
             for d in emptied:

@@ -39,14 +39,14 @@ def test_non_unique_delete_key(spark, tmp_path):
     want = [("o1", 1, 11.0, D1), ("o1", 3, 10.0, D1), ("o2", 1, 10.0, D1), ("o3", 1, 10.0, D1)]
     assert keyset(upsert.delete_insert(target, batch, S.ORDER_ID)) == want
     wh = Warehouse(spark, str(tmp_path))
-    wh.write_full("stg", target)
+    wh.write_full("stg", target, S.ORDER_DATE)
     wh.delete_insert("stg", batch, S.ORDER_ID)
     assert keyset(wh.read("stg")) == want
 
 
 def test_moved_order_empties_old_partition(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path))
-    wh.write_full("stg", frame(spark, [line("o1", 1, D1), line("o1", 2, D1), line("o2", 1, D2)]))
+    wh.write_full("stg", frame(spark, [line("o1", 1, D1), line("o1", 2, D1), line("o2", 1, D2)]), S.ORDER_DATE)
     res = wh.delete_insert("stg", frame(spark, [line("o1", 1, D3), line("o1", 2, D3)]), S.ORDER_ID)
     assert res.partitions_dropped == 1
     assert not os.path.exists(os.path.join(wh.path("stg"), f"order_date={D1.isoformat()}"))
@@ -57,16 +57,20 @@ def test_vanished_day_is_kept(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path))
     m = metrics.daily_revenue(frame(spark, [line("o1", 1, D1), line("o2", 1, D2)]))
     wh.write_full("agg", m)
-    wh.replace_partitions("agg", metrics.daily_revenue(frame(spark, [line("o3", 1, D2, 5.0)])))
+    wh.replace_days("agg", metrics.daily_revenue(frame(spark, [line("o3", 1, D2, 5.0)])))
     got = {r.order_date: r.daily_revenue for r in wh.read("agg").collect()}
     assert got == {D1: 10.0, D2: 5.0}
+    # same semantics on a day-partitioned table (dynamic partition overwrite)
+    wh.write_full("aggp", m, S.ORDER_DATE)
+    wh.replace_days("aggp", metrics.daily_revenue(frame(spark, [line("o3", 1, D2, 5.0)])), S.ORDER_DATE)
+    assert {r.order_date: r.daily_revenue for r in wh.read("aggp").collect()} == got
 
 
 def test_added_column_backfills_null(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path))
     staged = frame(spark, [line("o1", 1, D1, buyer="a"), line("o2", 1, D2, buyer="b")])
     wh.write_full("agg", metrics.daily_revenue(staged))
-    wh.replace_partitions("agg", metrics.daily_metrics(staged.filter(F.col(S.ORDER_DATE) == D2)))
+    wh.replace_days("agg", metrics.daily_metrics(staged.filter(F.col(S.ORDER_DATE) == D2)))
     got = {r.order_date: r.daily_buyers for r in wh.read("agg", merge_schema=True).collect()}
     assert got == {D1: None, D2: 1}
     pure = upsert.replace_days(metrics.daily_revenue(staged), metrics.daily_metrics(staged, D2))
