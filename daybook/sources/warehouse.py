@@ -151,7 +151,7 @@ class Warehouse:
         dynamic partition overwrite."""
         checkpoint_root(self.spark)
         stable = days.checkpoint(eager=True)
-        n_days = stable.select(S.ORDER_DATE).distinct().count()
+        n_days = stable.count()  # one row per day
         if not self.exists(name):
             self.write_full(name, stable, partition_col)
             return WriteResult(name, n_days)
@@ -174,9 +174,14 @@ class Warehouse:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             keys = batch.select(key).distinct()
-            # Days to rewrite: one row per calendar day at most, so collecting them is bounded.
-            hit_days = {r[0] for r in target.join(keys, key, "left_semi").select(pc).distinct().collect()}
-            batch_days = {r[0] for r in batch.select(pc).distinct().collect()}
+            # Days to rewrite, in one job: days of target rows whose key is in the batch, and the
+            # batch's own days.  One row per calendar day at most, so collecting them is bounded.
+            hits = target.join(keys, key, "left_semi").select(pc, F.lit(True).alias("hit"), F.lit(False).alias("new"))
+            news = batch.select(pc, F.lit(False).alias("hit"), F.lit(True).alias("new"))
+            day_flags = (hits.unionByName(news).groupBy(pc)
+                         .agg(F.max("hit").alias("hit"), F.max("new").alias("new")).collect())
+            hit_days = {r[pc] for r in day_flags if r["hit"]}
+            batch_days = {r[pc] for r in day_flags if r["new"]}
             touched = sorted(d for d in hit_days | batch_days if d is not None)
             if not touched and not batch_days:
                 return WriteResult(name, 0)
