@@ -107,6 +107,22 @@ class Warehouse:
         ordered = list(dict.fromkeys(known + df.columns))
         return df.select(*ordered)
 
+    def register_views(self, names=None) -> list[str]:
+        """Expose stored tables to Spark SQL as temporary views under their model names."""
+        done = []
+        for name in names or sorted(self.table_names()):
+            if self.exists(name):
+                self.read(name, merge_schema=not name.startswith("stg_")).createOrReplaceTempView(name)
+                done.append(name)
+        return done
+
+    def table_names(self) -> list[str]:
+        fs, p = _jpath(self.spark, self.root)
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p)
+                if st.isDirectory() and "__" not in st.getPath().getName()]
+
     def read_or_empty(self, name: str, schema: T.StructType, merge_schema: bool = False) -> DataFrame:
         """The stored table, or a typed empty frame if it does not exist.  Other errors propagate."""
         if not self.exists(name):

@@ -79,6 +79,10 @@ def test_v2_and_full_refresh(spark, wh_root, events):
         rows(metrics.daily_revenue(staging.stage_v1(events)))
     report = not_null_checks(proj).collect()
     assert report and all(r.passed for r in report)
+    views = proj.warehouse.register_views()
+    assert {"stg_orders_v1", "stg_orders_v2", "agg_daily_revenue_v1", "agg_daily_revenue_v2"} <= set(views)
+    latest = spark.sql("SELECT * FROM agg_daily_revenue_v2 ORDER BY order_date DESC LIMIT 3").collect()
+    assert [r.order_date for r in latest] == [dt.date(2024, 1, 30), dt.date(2024, 1, 29), dt.date(2024, 1, 28)]
 
 
 def test_i3_late_rows(spark, wh_root, events):
