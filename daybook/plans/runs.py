@@ -92,8 +92,8 @@ class Project:
         return staging.stage_v2(self.source(window), from_date=window)
 
     def metric_frame(self, model: Model, mode: str, from_date, seed: str) -> DataFrame:
-        staged = self.warehouse.read(model.staging_model)
         window = from_date if mode == "incremental" else None
+        staged = self.warehouse.read(model.staging_model, from_date=window)
         if model.engine == "arrow":
             days = arrow.daily_metrics_batches(staged, window, with_buyers=model.version == 3)
         elif model.version == 3:
@@ -143,7 +143,8 @@ class Project:
         window = from_date if mode == "incremental" else None
         if model.name.startswith("stg_orders"):
             return quality.preview_source(self.source(window), model.name, mode, window)
-        return quality.preview_staging(self.warehouse.read(model.staging_model), model.name, mode, window)
+        return quality.preview_staging(self.warehouse.read(model.staging_model, from_date=window),
+                                       model.name, mode, window)
 
     def run(self, version: int = 3, from_date=None, full_refresh: bool = False, seed: str = "latest",
             engine: str = "sql") -> list[RunReport]:

@@ -2,9 +2,10 @@
 
 * Read the **root** directory: partition discovery then yields ``year``, ``month`` and ``date``
   (day of month) as int columns.  A recursive file glob would drop them.
-* ``from_date`` adds two predicates: the event-time filter on ``order_timestamp`` (pushed to the
-  Parquet scan as a timestamp range) and the same bound on the partition date, which prunes whole
-  directories before any file is opened.  The second is valid only while a row's partition equals
+* ``from_date`` restricts the file listing to the month folders from ``from_date``'s month on, and
+  adds two predicates: the event-time filter on ``order_timestamp`` (pushed to the Parquet scan as
+  a timestamp range) and the same bound on the partition date, which prunes the remaining day
+  folders before any file is opened.  The second is valid only while a row's partition equals
   the day of its timestamp, which is how the layout is written (``export.partitioned_export``);
   ``quality.rejected_rows`` counts rows that break it.
 * A pandas-written ``TIMESTAMP(NANOS)`` column is read as bigint nanoseconds
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook import schemas as S
-from daybook.functions.dates import date_lit, partition_date
+from daybook.functions.dates import date_lit, parse_date, partition_date
+from daybook.sources.fs import list_subdirs
 
 
 def normalise_timestamp(df: DataFrame, column: str = S.ORDER_TS) -> DataFrame:
@@ -44,15 +46,48 @@ def prune_to_window(df: DataFrame, from_date, ts_column: str = S.ORDER_TS) -> Da
     return out.filter(F.to_date(F.col(ts_column)) >= date_lit(from_date))
 
 
+def window_month_paths(spark: SparkSession, root: str, from_date) -> list[str] | None:
+    """``year=Y/month=M`` folders of months on or after ``from_date``'s month, found by listing only
+    the year and month levels; None when the layout is not year/month/day.  Handing these to the
+    file index keeps a 14-day run from listing every file of the table's history."""
+    d = parse_date(from_date)
+    years = list_subdirs(spark, root, "year=")
+    if not years:
+        return None
+    out = []
+    for y_name, y_path in years:
+        try:
+            y = int(y_name[len("year="):])
+        except ValueError:  # a NULL year cannot be dated: keep it, the row filters decide
+            out.append(y_path)
+            continue
+        if y < d.year:
+            continue
+        for m_name, m_path in list_subdirs(spark, y_path, "month="):
+            try:
+                m = int(m_name[len("month="):])
+            except ValueError:
+                out.append(m_path)
+                continue
+            if (y, m) >= (d.year, d.month):
+                out.append(m_path)
+    return out
+
+
 def read_transactions(spark: SparkSession, root: str, from_date=None, schema: T.StructType | None = None,
                       prune: bool = True) -> DataFrame:
     """Scan the partitioned source.  ``schema`` (including the partition columns) skips footer
     inference on very large layouts; without it, the schema is inferred as the reference does."""
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    reader = spark.read
+    reader = spark.read.option("basePath", root)
     if schema is not None:
         reader = reader.schema(schema)
-    df = normalise_timestamp(reader.parquet(root))
+    paths = [root]
+    if from_date is not None and prune:
+        months = window_month_paths(spark, root, from_date)
+        if months:
+            paths = months
+    df = normalise_timestamp(reader.parquet(*paths))
     if from_date is not None and prune:
         df = prune_to_window(df, from_date)
     return df

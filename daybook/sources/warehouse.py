@@ -31,32 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook import schemas as S
+from daybook.functions.dates import parse_date
 from daybook.operators.upsert import merged_columns, replace_days
 from daybook.session import checkpoint_root
+from daybook.sources.fs import delete_path, jpath, list_subdirs, path_exists, rename_path
 
 
 def _jpath(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _jpath(spark, path)
-    return bool(fs.exists(p))
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, p = _jpath(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def rename_path(spark: SparkSession, src: str, dst: str) -> None:
-    fs, ps = _jpath(spark, src)
-    _, pd = _jpath(spark, dst)
-    if not fs.rename(ps, pd):
-        raise OSError(f"rename failed: {src} -> {dst}")
+    return jpath(spark, path)
 
 
 def count_partitions(spark: SparkSession, path: str, column: str) -> int:
@@ -96,13 +78,41 @@ class Warehouse:
         """Table existence: its folder is present (``information_schema`` lookup in the reference)."""
         return path_exists(self.spark, self.path(name))
 
-    def read(self, name: str, merge_schema: bool = False) -> DataFrame:
+    def day_paths(self, name: str, from_date) -> list[str] | None:
+        """Folders of the days on or after ``from_date`` (one listing of the table's top level), or
+        None when the table is not laid out by day."""
+        d = parse_date(from_date)
+        prefix = f"{self.partition_col}="
+        dirs = list_subdirs(self.spark, self.path(name), prefix)
+        if not dirs:
+            return None
+        keep = []
+        for dir_name, full in dirs:
+            value = dir_name[len(prefix):]
+            try:
+                if parse_date(value) >= d:
+                    keep.append(full)
+            except ValueError:  # NULL day (__HIVE_DEFAULT_PARTITION__): never in a window
+                continue
+        return keep
+
+    def read(self, name: str, merge_schema: bool = False, from_date=None) -> DataFrame:
         """Scan a stored table.  ``merge_schema`` reads all footers to see columns added by later
-        writes; use it for the small metric tables, not for the order-line table."""
+        writes; use it for the small metric tables, not for the order-line table.  With
+        ``from_date`` on a day-partitioned table, only the window's day folders are handed to the
+        file index, so files of older days are never listed (partition pruning alone would still
+        list the whole table when the DataFrame is created)."""
+        paths = [self.path(name)]
+        if from_date is not None:
+            window = self.day_paths(name, from_date)
+            if window:
+                paths = window
         df = (self.spark.read.option("mergeSchema", str(merge_schema).lower())
-              .option("basePath", self.path(name)).parquet(self.path(name)))
+              .option("basePath", self.path(name)).parquet(*paths))
         if self.partition_col in df.columns and not isinstance(df.schema[self.partition_col].dataType, T.DateType):
             df = df.withColumn(self.partition_col, F.col(self.partition_col).cast("date"))
+        if from_date is not None:
+            df = df.filter(F.col(self.partition_col) >= F.lit(parse_date(from_date)))
         known = [c for c in S.STAGING_COLUMNS + S.RUNNING_COLUMNS if c in df.columns]
         ordered = list(dict.fromkeys(known + df.columns))
         return df.select(*ordered)

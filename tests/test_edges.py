@@ -140,3 +140,18 @@ def test_i10_partition_pruned_read(spark, tmp_path):
     # rerun replaces the touched partitions only: the row count stays
     export.partitioned_export(src, path)
     assert read_transactions(spark, path).count() == export.export_frame(src).count()
+
+
+def test_window_reads_list_only_window_folders(spark, tmp_path):
+    days = [dt.date(2024, 1, 5), dt.date(2024, 2, 10), dt.date(2024, 3, 1), dt.date(2024, 3, 2)]
+    src = frame(spark, [line(f"o{i}", 1, d) for i, d in enumerate(days)])
+    path = str(tmp_path / "src")
+    export.partitioned_export(src, path)
+    windowed = read_transactions(spark, path, from_date="2024-03-02")
+    assert len(windowed.inputFiles()) == 2  # March folder only: both March days listed, one read
+    assert [r.order_id for r in windowed.collect()] == ["o3"]
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.write_full("stg", staging.stage_v2(src), S.ORDER_DATE)
+    win = wh.read("stg", from_date="2024-02-10")
+    assert len(win.inputFiles()) == 3
+    assert sorted(r.order_id for r in win.collect()) == ["o1", "o2", "o3"]
