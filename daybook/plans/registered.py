@@ -2,10 +2,10 @@
 
 They run over the whole test tables through two adapters (``sources.adapters``):
 E = ``events`` (one line per order) and L = ``lineitem`` joined to ``orders`` (multi-line orders).
-Stored state that an incremental run starts from (``{{ this }}``) is derived from the same tables
-as the state an earlier run would have written; the merge semantics are expressed as DataFrames
-(what the table holds after the write).  The physical writes are in ``sources.warehouse`` and are
-exercised by ``plans.runs``, the tests and the bench.
+Most queries express the stored state an incremental run starts from as the DataFrame an earlier
+run would have written, and the merge as a DataFrame (what the table holds after the write).  The
+``pipeline_*`` queries run the real thing: a first run and a 14-day incremental run of the stored
+models, with writes into a scratch warehouse under ``spark.checkpoint.dir``, returning the table.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from daybook import schemas as S
 from daybook.functions.dates import date_lit
 from daybook.operators import arrow, export, metrics, quality, reports, staging, upsert
+from daybook.plans.runs import Project
 from daybook.session import scratch_path
 from daybook.sources import adapters as A
 from daybook.sources.transactions import read_transactions
@@ -214,6 +215,10 @@ def limit_100(spark, d):
     return reports.first_days(_lines_metric(spark, d), 100)
 
 
+def trend_series(spark, d):
+    return reports.trend_series(_lines_metric(spark, d))
+
+
 def running_series(spark, d):
     return reports.running_series(_lines_metric(spark, d))
 
@@ -316,6 +321,59 @@ def exported_footprint(spark, d):
     return reports.storage_footprint(spark, _exported_events(spark, d))
 
 
+# --- stored-table pipeline (real writes into a scratch warehouse) ---------------------------------
+
+class _Arrivals:
+    """The source as successive runs see it: rows become visible between runs."""
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+
+    def __call__(self, from_date) -> DataFrame:
+        return self.df
+
+
+def _pipeline(spark, first_rows: DataFrame, all_rows: DataFrame, from_date, version=3, engine="sql",
+              seed="exact") -> Project:
+    feed = _Arrivals(first_rows)
+    project = Project(spark, feed, scratch_path(spark, "pipeline-wh"))
+    project.run(version=version, engine=engine)
+    feed.df = all_rows
+    project.run(version=version, from_date=from_date, engine=engine, seed=seed)
+    return project
+
+
+def pipeline_incremental_v3(spark, d):
+    """First run on the days before 2024-01-24, then a 14-day run once the rest arrived: the stored
+    table equals the full result."""
+    src = A.events_source(spark, d)
+    project = _pipeline(spark, _before(src, "2024-01-24"), src, EF)
+    return project.warehouse.read("agg_daily_revenue_v3")
+
+
+def pipeline_incremental_py_v3(spark, d):
+    src = A.events_source(spark, d)
+    project = _pipeline(spark, _before(src, "2024-01-24"), src, EF, engine="arrow")
+    return project.warehouse.read("agg_daily_revenue_py_v3")
+
+
+def pipeline_incremental_v2(spark, d):
+    src = A.events_source(spark, d)
+    project = _pipeline(spark, _before(src, "2024-01-24"), src, EF, version=2)
+    return project.warehouse.read("agg_daily_revenue_v2")
+
+
+def pipeline_late_rows(spark, d):
+    """First run without the late rows; they arrive before the 14-day run."""
+    src, early = _events_first_run_without_late(spark, d)
+    return _pipeline(spark, early, src, EF).warehouse.read("agg_daily_revenue_v3")
+
+
+def pipeline_late_rows_staging(spark, d):
+    src, early = _events_first_run_without_late(spark, d)
+    return _pipeline(spark, early, src, EF).warehouse.read("stg_orders_v2")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_full": stg_full,
     "stg_incremental_window": stg_incremental_window,
@@ -360,4 +418,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_partitions": export_partitions,
     "partition_pruned_scan": partition_pruned_scan,
     "exported_footprint": exported_footprint,
+    "pipeline_incremental_v3": pipeline_incremental_v3,
+    "pipeline_incremental_py_v3": pipeline_incremental_py_v3,
+    "pipeline_incremental_v2": pipeline_incremental_v2,
+    "pipeline_late_rows": pipeline_late_rows,
+    "pipeline_late_rows_staging": pipeline_late_rows_staging,
+    "trend_series": trend_series,
 }
