@@ -70,7 +70,7 @@ def cmd_test(args) -> int:
 def cmd_report(args) -> int:
     spark = _session(args)
     wh = Warehouse(spark, args.warehouse)
-    metric = wh.read(args.model, merge_schema=True)
+    metric = wh.read(args.model)
     fn = {
         "overview": reports.metric_overview,
         "statistics": reports.metric_statistics,

@@ -97,8 +97,9 @@ class Warehouse:
         return keep
 
     def read(self, name: str, merge_schema: bool = False, from_date=None) -> DataFrame:
-        """Scan a stored table.  ``merge_schema`` reads all footers to see columns added by later
-        writes; use it for the small metric tables, not for the order-line table.  With
+        """Scan a stored table.  ``merge_schema`` reads all footers (a distributed job) to see
+        columns added by later writes: needed for day-partitioned tables that received a batch with
+        a new column by dynamic overwrite; tables rewritten whole have one schema.  With
         ``from_date`` on a day-partitioned table, only the window's day folders are handed to the
         file index, so files of older days are never listed (partition pruning alone would still
         list the whole table when the DataFrame is created)."""
@@ -122,7 +123,7 @@ class Warehouse:
         done = []
         for name in names or sorted(self.table_names()):
             if self.exists(name):
-                self.read(name, merge_schema=not name.startswith("stg_")).createOrReplaceTempView(name)
+                self.read(name, merge_schema=name.startswith("stg_")).createOrReplaceTempView(name)
                 done.append(name)
         return done
 
@@ -184,7 +185,7 @@ class Warehouse:
         if n_days == 0:
             return WriteResult(name, 0)
         if partition_col is None:
-            merged = replace_days(self.read(name, merge_schema=True), stable)
+            merged = replace_days(self.read(name), stable)  # rewritten whole: one schema
             self.write_full(name, merged)
             return WriteResult(name, n_days)
         (self._writer(stable, partition_col, True).mode("overwrite")
@@ -196,7 +197,9 @@ class Warehouse:
         if not self.exists(name):
             return self.write_full(name, batch, partition_col, rebalance=False)
         pc = partition_col
-        target = self.read(name)
+        # Earlier batches may have added columns to some partitions only: merge the footers'
+        # schemas, or rows rewritten here could lose an added column.
+        target = self.read(name, merge_schema=True)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             keys = batch.select(key).distinct()

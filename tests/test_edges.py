@@ -155,3 +155,13 @@ def test_window_reads_list_only_window_folders(spark, tmp_path):
     win = wh.read("stg", from_date="2024-02-10")
     assert len(win.inputFiles()) == 3
     assert sorted(r.order_id for r in win.collect()) == ["o1", "o2", "o3"]
+
+
+def test_added_column_survives_later_staging_upserts(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    wh.write_full("stg", frame(spark, [line("o1", 1, D1), line("o2", 1, D2)]), S.ORDER_DATE)
+    extra = frame(spark, [line("o2", 1, D2, 7.0)]).withColumn("channel", F.lit("web"))
+    wh.delete_insert("stg", extra, S.ORDER_ID)            # D2 now has a column D1 lacks
+    wh.delete_insert("stg", frame(spark, [line("o1", 1, D1, 3.0)]), S.ORDER_ID)  # rewrite D1 only
+    got = {r.order_id: (r.revenue, r.channel) for r in wh.read("stg", merge_schema=True).collect()}
+    assert got == {"o1": (3.0, None), "o2": (7.0, "web")}
