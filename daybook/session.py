@@ -7,7 +7,6 @@ is unset, which happens in local tests and benches, never on a configured cluste
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -74,10 +73,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder for a written intermediate."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/daybook-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
