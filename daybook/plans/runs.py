@@ -85,11 +85,16 @@ class Project:
 
     # -- model frames (no writes) -----------------------------------------------------------------
 
-    def staging_frame(self, model: Model, mode: str, from_date) -> DataFrame:
+    def staging_frame(self, model: Model, mode: str, from_date) -> tuple[DataFrame, bool]:
+        """The staging frame, and whether its source is laid out by day (the Hive ``year/month/date``
+        partition columns are present), in which case each scan task holds about one day and the
+        full build can write without a shuffle."""
+        window = None if model.version == 1 or mode != "incremental" else from_date
+        src = self.source(window)
+        day_aligned = all(k in src.columns for k in S.PARTITION_KEYS)
         if model.version == 1:
-            return staging.stage_v1(self.source(None))
-        window = from_date if mode == "incremental" else None
-        return staging.stage_v2(self.source(window), from_date=window)
+            return staging.stage_v1(src), day_aligned
+        return staging.stage_v2(src, from_date=window), day_aligned
 
     def metric_frame(self, model: Model, mode: str, from_date, seed: str) -> DataFrame:
         window = from_date if mode == "incremental" else None
@@ -124,11 +129,11 @@ class Project:
             prev = self.preview(model, mode, from_date)
         wh = self.warehouse
         if model.name.startswith("stg_orders"):
-            frame = self.staging_frame(model, mode, from_date)
+            frame, day_aligned = self.staging_frame(model, mode, from_date)
             if mode == "incremental":
                 res = wh.delete_insert(name, frame, model.key, S.ORDER_DATE)
             else:
-                res = wh.write_full(name, frame, S.ORDER_DATE, rebalance=False)
+                res = wh.write_full(name, frame, S.ORDER_DATE, rebalance=not day_aligned)
         else:
             frame = self.metric_frame(model, mode, from_date, seed)
             if mode == "incremental":

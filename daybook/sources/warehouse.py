@@ -195,7 +195,7 @@ class Warehouse:
     def delete_insert(self, name: str, batch: DataFrame, key: str, partition_col: str = S.ORDER_DATE) -> WriteResult:
         """delete+insert by a non-unique key on a table partitioned by ``partition_col``."""
         if not self.exists(name):
-            return self.write_full(name, batch, partition_col, rebalance=False)
+            return self.write_full(name, batch, partition_col)
         pc = partition_col
         # Earlier batches may have added columns to some partitions only: merge the footers'
         # schemas, or rows rewritten here could lose an added column.

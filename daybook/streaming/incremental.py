@@ -49,7 +49,7 @@ def process_new_rows(project: Project, new_rows: DataFrame, metric_model: str =
     if wh.exists(stg_name):
         wh.delete_insert(stg_name, complete, S.ORDER_ID, S.ORDER_DATE)
     else:
-        wh.write_full(stg_name, complete, S.ORDER_DATE, rebalance=False)
+        wh.write_full(stg_name, complete, S.ORDER_DATE, rebalance=False)  # read from the day layout
     project.run_model(metric_model, from_date=earliest, seed=seed)
     return days
 
