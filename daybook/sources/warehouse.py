@@ -22,6 +22,7 @@ write; a full build from a day-laid-out scan needs no shuffle at all.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
 from dataclasses import dataclass
 
@@ -54,6 +55,10 @@ def partition_dir(table_path: str, column: str, value) -> str:
     return f"{table_path.rstrip('/')}/{column}={v}"
 
 
+KEY_INDEX_TAG = "__keyindex_b"  # <table>__keyindex_b<buckets>: the bucket count is part of the name
+INDEX_MONTH = "index_month"
+
+
 @dataclass
 class WriteResult:
     table: str
@@ -64,10 +69,13 @@ class WriteResult:
 class Warehouse:
     """A folder of tables, one sub-folder each."""
 
-    def __init__(self, spark: SparkSession, root: str, partition_col: str = S.ORDER_DATE):
+    def __init__(self, spark: SparkSession, root: str, partition_col: str = S.ORDER_DATE,
+                 key_index: bool = True, key_buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_col = partition_col
+        self.key_index = key_index
+        self.key_buckets = key_buckets
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -140,6 +148,86 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.read(name, merge_schema)
 
+    # -- key index of a day-partitioned table ----------------------------------------------------
+    #
+    # The upsert must find the days holding rows of the batch's keys anywhere in the history.
+    # Joining the whole history's key column against the batch would shuffle the history on every
+    # run.  The key index holds the distinct (key, day) pairs of the stored rows in a catalog table
+    # bucketed by the key, so that join reads each bucket in place and shuffles only the batch's
+    # keys.  It is partitioned by month: a few files per bucket over the whole history, and an
+    # upsert rewrites the index of one or two months.  A hot key is one pair per day, so the
+    # bucketed write has no skew.  The index only has to be a superset of the stored pairs: a
+    # stale pair causes one extra day to be rewritten unchanged, never a wrong result.
+
+    def _index_dir(self, name: str) -> tuple[str, int]:
+        prefix = f"{name}{KEY_INDEX_TAG}"
+        for dir_name, _ in list_subdirs(self.spark, self.root, prefix):
+            tail = dir_name[len(prefix):]
+            if tail.isdigit():
+                return f"{self.root}/{dir_name}", int(tail)
+        n = self.key_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return f"{self.root}/{prefix}{n}", n
+
+    @staticmethod
+    def _index_table(path: str) -> str:
+        return "daybook_keyindex_" + hashlib.sha1(path.encode()).hexdigest()[:16]
+
+    def _index_pairs(self, rows: DataFrame, key: str, buckets: int) -> DataFrame:
+        """Distinct (key, day, month) pairs, shuffled so that each (month, bucket) is one task."""
+        pc = self.partition_col
+        pairs = rows.select(key, pc).where(F.col(pc).isNotNull()).distinct()
+        pairs = pairs.withColumn(INDEX_MONTH, F.trunc(F.col(pc), "month").cast("date"))
+        return (pairs.repartition(F.col(INDEX_MONTH), F.pmod(F.hash(F.col(key)), F.lit(buckets)))
+                .select(key, pc, INDEX_MONTH))
+
+    def ensure_key_index(self, name: str, key: str) -> tuple[str, int]:
+        """Register (or build, once, from the stored rows) the key index of ``name``."""
+        path, n = self._index_dir(name)
+        tbl = self._index_table(path)
+        on_disk = path_exists(self.spark, path)
+        if self.spark.catalog.tableExists(tbl):
+            if on_disk:
+                return tbl, n
+            self.spark.sql(f"DROP TABLE IF EXISTS {tbl}")
+        if on_disk:  # built by an earlier session: register it again
+            key_type = self.read(name).schema[key].dataType.simpleString()
+            self.spark.sql(
+                f"CREATE TABLE {tbl} (`{key}` {key_type}, `{self.partition_col}` DATE, `{INDEX_MONTH}` DATE) "
+                f"USING parquet PARTITIONED BY (`{INDEX_MONTH}`) CLUSTERED BY (`{key}`) INTO {n} BUCKETS "
+                f"LOCATION '{path}'")
+            self.spark.sql(f"ALTER TABLE {tbl} RECOVER PARTITIONS")
+        else:
+            (self._index_pairs(self.read(name), key, n).write.partitionBy(INDEX_MONTH).bucketBy(n, key)
+             .mode("errorifexists").option("path", path).saveAsTable(tbl))
+        return tbl, n
+
+    def drop_key_index(self, name: str) -> None:
+        for dir_name, _ in list_subdirs(self.spark, self.root, f"{name}{KEY_INDEX_TAG}"):
+            path = f"{self.root}/{dir_name}"
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._index_table(path)}")
+            delete_path(self.spark, path)
+
+    def _refresh_index_months(self, name: str, key: str, tbl: str, n: int, months: list) -> None:
+        """Rebuild the index of ``months`` exactly from the stored rows (reads the table, never the
+        index, which cannot be overwritten while read)."""
+        pc = self.partition_col
+        stored = self.read(name)
+        in_months = stored.filter(F.trunc(F.col(pc), "month").cast("date").isin(months))
+        (self._index_pairs(in_months, key, n).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").insertInto(tbl))
+        present = set()
+        for dir_name, _ in list_subdirs(self.spark, self.path(name), f"{pc}="):
+            try:
+                present.add(parse_date(dir_name[len(pc) + 1:]).replace(day=1))
+            except ValueError:
+                continue
+        path, _ = self._index_dir(name)
+        for m in months:
+            if m not in present:  # no stored day left in that month: its index must go too
+                self.spark.sql(f"ALTER TABLE {tbl} DROP IF EXISTS PARTITION (`{INDEX_MONTH}` = DATE'{m.isoformat()}')")
+                delete_path(self.spark, f"{path}/{INDEX_MONTH}={m.isoformat()}")
+        self.spark.catalog.refreshTable(tbl)
+
     # -- writes -----------------------------------------------------------------------------------
 
     @staticmethod
@@ -165,6 +253,7 @@ class Warehouse:
         rename_path(self.spark, building, final)
         if had_old:
             delete_path(self.spark, retired)
+        self.drop_key_index(name)  # rebuilt lazily from the new rows by the next upsert
         written = count_partitions(self.spark, final, partition_col) if partition_col else -1
         return WriteResult(name, written)
 
@@ -193,7 +282,17 @@ class Warehouse:
         return WriteResult(name, n_days)
 
     def delete_insert(self, name: str, batch: DataFrame, key: str, partition_col: str = S.ORDER_DATE) -> WriteResult:
-        """delete+insert by a non-unique key on a table partitioned by ``partition_col``."""
+        """delete+insert by a non-unique key on a table partitioned by ``partition_col``.
+
+        1. The batch's days (at most one row per calendar day: a bounded collect).
+        2. Days *outside* those that hold rows of the batch's keys (orders that moved), from the
+           bucketed key index: only the batch's keys are shuffled.  Without the index
+           (``key_index=False``) the stored key column of those days is joined on a 64-bit hash
+           of the key - a superset of the true days (a collision only rewrites a day unchanged)
+           with a narrow shuffle row, but the history is shuffled on every run.
+        3. Rewrite the touched days: target rows whose (real) key is not in the batch, plus the
+           batch; days left empty by the delete are removed.
+        """
         if not self.exists(name):
             return self.write_full(name, batch, partition_col)
         pc = partition_col
@@ -202,22 +301,30 @@ class Warehouse:
         target = self.read(name, merge_schema=True)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            keys = batch.select(key).distinct()
-            # Days to rewrite, in one job: days of target rows whose key is in the batch, and the
-            # batch's own days.  One row per calendar day at most, so collecting them is bounded.
-            hits = target.join(keys, key, "left_semi").select(pc, F.lit(True).alias("hit"), F.lit(False).alias("new"))
-            news = batch.select(pc, F.lit(False).alias("hit"), F.lit(True).alias("new"))
-            day_flags = (hits.unionByName(news).groupBy(pc)
-                         .agg(F.max("hit").alias("hit"), F.max("new").alias("new")).collect())
-            hit_days = {r[pc] for r in day_flags if r["hit"]}
-            batch_days = {r[pc] for r in day_flags if r["new"]}
-            touched = sorted(d for d in hit_days | batch_days if d is not None)
-            if not touched and not batch_days:
+            batch_days = {r[0] for r in batch.select(pc).distinct().collect()} - {None}
+            if self.key_index:
+                tbl, n = self.ensure_key_index(name, key)
+                keys = batch.select(key).repartition(n, key).distinct()  # the index's bucketing
+                index = self.spark.table(tbl)
+                history = index.filter(~F.col(pc).isin(sorted(batch_days))) if batch_days else index
+                hit_days = {r[0] for r in history.join(keys, key, "left_semi").select(pc).distinct().collect()}
+            else:
+                keys = batch.select(key).distinct()
+                history = target.filter(~F.col(pc).isin(sorted(batch_days))) if batch_days else target
+                key_hashes = keys.select(F.xxhash64(key).alias("_key_hash")).distinct()
+                hit_days = {r[0] for r in history.select(F.xxhash64(key).alias("_key_hash"), pc)
+                            .join(key_hashes, "_key_hash", "left_semi").select(pc).distinct().collect()}
+            hit_days -= {None}
+            touched = sorted(batch_days | hit_days)
+            if not touched:
                 return WriteResult(name, 0)
-            scoped = target.filter(F.col(pc).isin(touched)) if touched else target.limit(0)
-            kept = scoped.join(keys, key, "left_anti")
-            # Days that lose rows and receive none may be emptied by the delete.
-            candidates = sorted(hit_days - batch_days - {None})
+            if self.key_index:
+                # Record the batch's pairs first: should the run stop after this, the index is a
+                # superset of the stored pairs, which is safe.
+                self._index_pairs(batch, key, n).write.mode("append").insertInto(tbl)
+            kept = target.filter(F.col(pc).isin(touched)).join(keys, key, "left_anti")
+            # Days outside the batch that lose rows and receive none may be emptied by the delete.
+            candidates = sorted(hit_days)
             still_there = set()
             if candidates:
                 still_there = {r[0] for r in kept.filter(F.col(pc).isin(candidates)).select(pc).distinct().collect()}
@@ -229,6 +336,8 @@ class Warehouse:
             emptied = [d for d in candidates if d not in still_there]
             for d in emptied:
                 delete_path(self.spark, partition_dir(self.path(name), pc, d))
+            if self.key_index:
+                self._refresh_index_months(name, key, tbl, n, sorted({d.replace(day=1) for d in touched}))
             return WriteResult(name, len(touched) - len(emptied), len(emptied))
         finally:
             batch.unpersist()

@@ -165,3 +165,12 @@ def test_added_column_survives_later_staging_upserts(spark, tmp_path):
     wh.delete_insert("stg", frame(spark, [line("o1", 1, D1, 3.0)]), S.ORDER_ID)  # rewrite D1 only
     got = {r.order_id: (r.revenue, r.channel) for r in wh.read("stg", merge_schema=True).collect()}
     assert got == {"o1": (3.0, None), "o2": (7.0, "web")}
+
+
+def test_moved_order_leaves_other_orders_of_its_old_day(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    wh.write_full("stg", frame(spark, [line("o1", 1, D1), line("o1", 2, D1), line("o4", 1, D1),
+                                       line("o2", 1, D2)]), S.ORDER_DATE)
+    res = wh.delete_insert("stg", frame(spark, [line("o1", 1, D3)]), S.ORDER_ID)
+    assert (res.partitions_written, res.partitions_dropped) == (2, 0)  # D1 rewritten, D3 new; D2 untouched
+    assert keyset(wh.read("stg")) == [("o1", 1, 10.0, D3), ("o2", 1, 10.0, D2), ("o4", 1, 10.0, D1)]
