@@ -57,6 +57,7 @@ def partition_dir(table_path: str, column: str, value) -> str:
 
 KEY_INDEX_TAG = "__keyindex_b"  # <table>__keyindex_b<buckets>: the bucket count is part of the name
 INDEX_MONTH = "index_month"
+INDEX_MIN_HISTORY = 4  # use the key index when stored days > 4 x the days of the months a run touches
 
 
 @dataclass
@@ -70,7 +71,9 @@ class Warehouse:
     """A folder of tables, one sub-folder each."""
 
     def __init__(self, spark: SparkSession, root: str, partition_col: str = S.ORDER_DATE,
-                 key_index: bool = True, key_buckets: int | None = None):
+                 key_index: bool | None = None, key_buckets: int | None = None):
+        """``key_index``: True / False force the upsert's key lookup through the bucketed index or
+        straight against the stored keys; None (default) chooses per run (``use_key_index``)."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_col = partition_col
@@ -201,6 +204,16 @@ class Warehouse:
              .mode("errorifexists").option("path", path).saveAsTable(tbl))
         return tbl, n
 
+    def use_key_index(self, name: str, batch_days) -> bool:
+        """The index pays off once the stored history is long against the months a run touches:
+        its upkeep rewrites the pairs of those months, the direct lookup shuffles the keys of the
+        whole history.  Below ``INDEX_MIN_HISTORY`` times the touched months' days, go direct."""
+        if self.key_index is not None:
+            return self.key_index
+        stored_days = count_partitions(self.spark, self.path(name), self.partition_col)
+        months = {d.replace(day=1) for d in batch_days} or {None}
+        return stored_days > INDEX_MIN_HISTORY * 31 * len(months)
+
     def drop_key_index(self, name: str) -> None:
         for dir_name, _ in list_subdirs(self.spark, self.root, f"{name}{KEY_INDEX_TAG}"):
             path = f"{self.root}/{dir_name}"
@@ -302,7 +315,10 @@ class Warehouse:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             batch_days = {r[0] for r in batch.select(pc).distinct().collect()} - {None}
-            if self.key_index:
+            indexed = self.use_key_index(name, batch_days)
+            if not indexed:
+                self.drop_key_index(name)  # never leave an index this run does not maintain
+            if indexed:
                 tbl, n = self.ensure_key_index(name, key)
                 keys = batch.select(key).repartition(n, key).distinct()  # the index's bucketing
                 index = self.spark.table(tbl)
@@ -318,7 +334,7 @@ class Warehouse:
             touched = sorted(batch_days | hit_days)
             if not touched:
                 return WriteResult(name, 0)
-            if self.key_index:
+            if indexed:
                 # Record the batch's pairs first: should the run stop after this, the index is a
                 # superset of the stored pairs, which is safe.
                 self._index_pairs(batch, key, n).write.mode("append").insertInto(tbl)
@@ -336,7 +352,7 @@ class Warehouse:
             emptied = [d for d in candidates if d not in still_there]
             for d in emptied:
                 delete_path(self.spark, partition_dir(self.path(name), pc, d))
-            if self.key_index:
+            if indexed:
                 self._refresh_index_months(name, key, tbl, n, sorted({d.replace(day=1) for d in touched}))
             return WriteResult(name, len(touched) - len(emptied), len(emptied))
         finally:

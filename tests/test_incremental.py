@@ -1,6 +1,7 @@
 """Invariants of the incremental runs, with real writes into a temporary warehouse (sf0.001)."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,6 +139,8 @@ def test_i5_multiline_orders_survive_upsert(spark, wh_root, lines):
     proj.run_model("stg_orders_v2", from_date=LF)
     got = proj.warehouse.read("stg_orders_v2")
     want = staging.stage_v2(lines)
+    # ~1,100 stored days against a two-month window: the lookup went through the key index
+    assert os.path.exists(proj.warehouse._index_dir("stg_orders_v2")[0].replace("file:", ""))
     assert got.count() == want.count()
     assert rows(got, list(S.STAGING_COLUMNS)) == rows(want, list(S.STAGING_COLUMNS))
 
