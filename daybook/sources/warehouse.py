@@ -10,9 +10,9 @@
   a day-partitioned table gets a dynamic partition overwrite.
 * ``delete_insert`` (``delete+insert`` on a non-unique key such as ``order_id``): replaces all
   rows of every touched key, rewriting only the partitions involved: the batch's days plus the days
-  where target rows with those keys live (an order can move between days).  A partition emptied
-  by the delete is removed explicitly, since a dynamic overwrite only replaces partitions that
-  receive rows.
+  where target rows with those keys live (an order can move between days), found through a
+  bucketed key index when the history is long.  A partition emptied by the delete is removed
+  explicitly, since a dynamic overwrite only replaces partitions that receive rows.
 
 The order-line tables are partitioned by ``order_date``.  After a shuffle, ``rebalance`` on the
 partition column lets AQE split a hot day into several tasks and coalesce small days before the
@@ -38,13 +38,9 @@ from daybook.session import checkpoint_root
 from daybook.sources.fs import delete_path, jpath, list_subdirs, path_exists, rename_path
 
 
-def _jpath(spark: SparkSession, path: str):
-    return jpath(spark, path)
-
-
 def count_partitions(spark: SparkSession, path: str, column: str) -> int:
     """Number of ``column=value`` folders directly under ``path`` (one listing call)."""
-    fs, p = _jpath(spark, path)
+    fs, p = jpath(spark, path)
     if not fs.exists(p):
         return 0
     return sum(1 for st in fs.listStatus(p) if st.isDirectory() and st.getPath().getName().startswith(f"{column}="))
@@ -107,6 +103,28 @@ class Warehouse:
                 continue
         return keep
 
+    def day_folders(self, name: str, keep) -> list[str]:
+        """Existing ``order_date=`` folders of ``name`` whose day satisfies ``keep`` (one listing of
+        the table's top level)."""
+        prefix = f"{self.partition_col}="
+        out = []
+        for dir_name, full in list_subdirs(self.spark, self.path(name), prefix):
+            try:
+                day = parse_date(dir_name[len(prefix):])
+            except ValueError:
+                continue
+            if keep(day):
+                out.append(full)
+        return out
+
+    def read_folders(self, name: str, folders: list[str], merge_schema: bool = False) -> DataFrame:
+        """Read the given day folders of ``name`` only (the file index lists nothing else)."""
+        df = (self.spark.read.option("mergeSchema", str(merge_schema).lower())
+              .option("basePath", self.path(name)).parquet(*folders))
+        if not isinstance(df.schema[self.partition_col].dataType, T.DateType):
+            df = df.withColumn(self.partition_col, F.col(self.partition_col).cast("date"))
+        return df
+
     def read(self, name: str, merge_schema: bool = False, from_date=None) -> DataFrame:
         """Scan a stored table.  ``merge_schema`` reads all footers (a distributed job) to see
         columns added by later writes: needed for day-partitioned tables that received a batch with
@@ -139,7 +157,7 @@ class Warehouse:
         return done
 
     def table_names(self) -> list[str]:
-        fs, p = _jpath(self.spark, self.root)
+        fs, p = jpath(self.spark, self.root)
         if not fs.exists(p):
             return []
         return [st.getPath().getName() for st in fs.listStatus(p)
@@ -223,17 +241,13 @@ class Warehouse:
     def _refresh_index_months(self, name: str, key: str, tbl: str, n: int, months: list) -> None:
         """Rebuild the index of ``months`` exactly from the stored rows (reads the table, never the
         index, which cannot be overwritten while read)."""
-        pc = self.partition_col
-        stored = self.read(name)
-        in_months = stored.filter(F.trunc(F.col(pc), "month").cast("date").isin(months))
-        (self._index_pairs(in_months, key, n).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").insertInto(tbl))
-        present = set()
-        for dir_name, _ in list_subdirs(self.spark, self.path(name), f"{pc}="):
-            try:
-                present.add(parse_date(dir_name[len(pc) + 1:]).replace(day=1))
-            except ValueError:
-                continue
+        wanted = set(months)
+        folders = self.day_folders(name, lambda d: d.replace(day=1) in wanted)
+        if folders:
+            stored = self.read_folders(name, folders)
+            (self._index_pairs(stored, key, n).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").insertInto(tbl))
+        present = {parse_date(f.rstrip("/").rsplit("=", 1)[1]).replace(day=1) for f in folders}
         path, _ = self._index_dir(name)
         for m in months:
             if m not in present:  # no stored day left in that month: its index must go too
@@ -309,9 +323,6 @@ class Warehouse:
         if not self.exists(name):
             return self.write_full(name, batch, partition_col)
         pc = partition_col
-        # Earlier batches may have added columns to some partitions only: merge the footers'
-        # schemas, or rows rewritten here could lose an added column.
-        target = self.read(name, merge_schema=True)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             batch_days = {r[0] for r in batch.select(pc).distinct().collect()} - {None}
@@ -326,7 +337,8 @@ class Warehouse:
                 hit_days = {r[0] for r in history.join(keys, key, "left_semi").select(pc).distinct().collect()}
             else:
                 keys = batch.select(key).distinct()
-                history = target.filter(~F.col(pc).isin(sorted(batch_days))) if batch_days else target
+                stored = self.read(name)
+                history = stored.filter(~F.col(pc).isin(sorted(batch_days))) if batch_days else stored
                 key_hashes = keys.select(F.xxhash64(key).alias("_key_hash")).distinct()
                 hit_days = {r[0] for r in history.select(F.xxhash64(key).alias("_key_hash"), pc)
                             .join(key_hashes, "_key_hash", "left_semi").select(pc).distinct().collect()}
@@ -338,14 +350,23 @@ class Warehouse:
                 # Record the batch's pairs first: should the run stop after this, the index is a
                 # superset of the stored pairs, which is safe.
                 self._index_pairs(batch, key, n).write.mode("append").insertInto(tbl)
-            kept = target.filter(F.col(pc).isin(touched)).join(keys, key, "left_anti")
-            # Days outside the batch that lose rows and receive none may be emptied by the delete.
-            candidates = sorted(hit_days)
+            # Only the touched days' folders are listed and read.  Earlier batches may have added
+            # columns to some days only: merge their footers' schemas, or rewritten rows could
+            # lose an added column.
+            wanted = set(touched)
+            folders = self.day_folders(name, lambda d: d in wanted)
+            candidates = sorted(hit_days)  # days outside the batch that lose rows may be emptied
             still_there = set()
-            if candidates:
-                still_there = {r[0] for r in kept.filter(F.col(pc).isin(candidates)).select(pc).distinct().collect()}
-            cols = merged_columns(target, batch)
-            out = kept.unionByName(batch, allowMissingColumns=True).select(*cols)
+            if folders:
+                target = self.read_folders(name, folders, merge_schema=True)
+                kept = target.join(keys, key, "left_anti")
+                if candidates:
+                    still_there = {r[0] for r in kept.filter(F.col(pc).isin(candidates))
+                                   .select(pc).distinct().collect()}
+                cols = merged_columns(target, batch)
+                out = kept.unionByName(batch, allowMissingColumns=True).select(*cols)
+            else:  # only new days: nothing stored to keep
+                out = batch
             # After the anti-join every task holds every day: rebalance by day before writing.
             (self._writer(out, pc, True).mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").parquet(self.path(name)))
