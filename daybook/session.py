@@ -7,8 +7,10 @@ is unset, which happens in local tests and benches, never on a configured cluste
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -54,6 +56,31 @@ def apply_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
         except Exception:  # static or unmodifiable on this deployment: keep the cluster's value
             pass
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``daybook`` importable in the Python workers (the Arrow functions are pickled by
+    reference to their module), as ``--py-files`` would: zip the package once per application
+    and hand it to ``SparkContext.addPyFile``, which distributes it to every executor."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="daybook-pyfiles-")
+    archive = os.path.join(out_dir, "daybook.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.join("daybook", os.path.relpath(full, pkg_dir)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
