@@ -17,7 +17,6 @@ from daybook.functions.money import to_cents
 
 # The declared not_null column tests per model.  ``running_revenue`` is also declared
 # on agg_daily_revenue_v2, which never produces that column; that check is left out.
-_STG = S.STAGING_COLUMNS
 _DAILY = (S.ORDER_DATE, S.DAILY_REVENUE, S.DAILY_ORDERS)
 _RUNNING = (S.ORDER_DATE, S.DAILY_REVENUE, S.DAILY_ORDERS, S.DAILY_BUYERS, S.RUNNING_REVENUE)
 NOT_NULL_CHECKS: dict[str, tuple[str, ...]] = {
@@ -44,14 +43,16 @@ def staging_model_for(model_name: str) -> str:
 
 
 def null_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    present = [c for c in columns if c in df.columns]
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in present])
-    long = wide.unpivot([], present, "column_name", "null_count")
+    """One pass: NULL count per declared column.  A declared column the table lacks fails its
+    check (NULL count)."""
+    counts = [(F.count_if(F.col(c).isNull()) if c in df.columns else F.lit(None)).cast("long").alias(c)
+              for c in columns]
+    long = df.agg(*counts).unpivot([], list(columns), "column_name", "null_count")
     return long.select(
         F.lit(model).alias("model"),
         F.col("column_name"),
-        F.col("null_count").cast("long").alias("null_count"),
-        (F.col("null_count") == 0).alias("passed"),
+        F.col("null_count"),
+        F.coalesce(F.col("null_count") == 0, F.lit(False)).alias("passed"),
     )
 
 

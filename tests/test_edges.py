@@ -174,3 +174,10 @@ def test_moved_order_leaves_other_orders_of_its_old_day(spark, tmp_path):
     res = wh.delete_insert("stg", frame(spark, [line("o1", 1, D3)]), S.ORDER_ID)
     assert (res.partitions_written, res.partitions_dropped) == (2, 0)  # D1 rewritten, D3 new; D2 untouched
     assert keyset(wh.read("stg")) == [("o1", 1, 10.0, D3), ("o2", 1, 10.0, D2), ("o4", 1, 10.0, D1)]
+
+
+def test_missing_declared_column_fails_its_check(spark):
+    staged = frame(spark, [line("o1", 1, D1)]).drop(S.PAYMENT_METHOD)
+    rows = {r.column_name: (r.null_count, r.passed) for r in
+            quality.null_counts(staged, "stg_orders_v2", (S.ORDER_ID, S.PAYMENT_METHOD)).collect()}
+    assert rows == {S.ORDER_ID: (0, True), S.PAYMENT_METHOD: (None, False)}
