@@ -76,10 +76,12 @@ class Project:
     """A source of transactions and a warehouse folder."""
 
     def __init__(self, spark: SparkSession, source: SourceFn, warehouse_root: str,
-                 key_index: bool | None = None, key_buckets: int | None = None):
+                 key_index: bool | None = None, key_buckets: int | None = None,
+                 broadcast_keys: int | None = None):
         self.spark = spark
         self.source = source
-        self.warehouse = Warehouse(spark, warehouse_root, key_index=key_index, key_buckets=key_buckets)
+        extra = {} if broadcast_keys is None else {"broadcast_keys": broadcast_keys}
+        self.warehouse = Warehouse(spark, warehouse_root, key_index=key_index, key_buckets=key_buckets, **extra)
 
     def mode(self, model: Model, full_refresh: bool) -> str:
         return quality.run_mode(model.incremental, self.warehouse.exists(model.name), full_refresh)

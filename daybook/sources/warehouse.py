@@ -54,6 +54,7 @@ def partition_dir(table_path: str, column: str, value) -> str:
 KEY_INDEX_TAG = "__keyindex_b"  # <table>__keyindex_b<buckets>: the bucket count is part of the name
 INDEX_MONTH = "index_month"
 INDEX_MIN_HISTORY = 4  # use the key index when stored days > 4 x the days of the months a run touches
+BROADCAST_KEY_LIMIT = 2_000_000  # distinct batch keys that may be broadcast (~100 MB of string keys)
 
 
 @dataclass
@@ -67,14 +68,18 @@ class Warehouse:
     """A folder of tables, one sub-folder each."""
 
     def __init__(self, spark: SparkSession, root: str, partition_col: str = S.ORDER_DATE,
-                 key_index: bool | None = None, key_buckets: int | None = None):
+                 key_index: bool | None = None, key_buckets: int | None = None,
+                 broadcast_keys: int = BROADCAST_KEY_LIMIT):
         """``key_index``: True / False force the upsert's key lookup through the bucketed index or
-        straight against the stored keys; None (default) chooses per run (``use_key_index``)."""
+        straight against the stored keys; None (default) chooses per run (``use_key_index``).
+        ``broadcast_keys``: a batch with at most this many distinct keys (counted before the
+        joins) is broadcast to the joins with the stored rows; 0 disables it."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_col = partition_col
         self.key_index = key_index
         self.key_buckets = key_buckets
+        self.broadcast_keys = broadcast_keys
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -311,12 +316,13 @@ class Warehouse:
     def delete_insert(self, name: str, batch: DataFrame, key: str, partition_col: str = S.ORDER_DATE) -> WriteResult:
         """delete+insert by a non-unique key on a table partitioned by ``partition_col``.
 
-        1. The batch's days (at most one row per calendar day: a bounded collect).
-        2. Days *outside* those that hold rows of the batch's keys (orders that moved), from the
-           bucketed key index: only the batch's keys are shuffled.  Without the index
-           (``key_index=False``) the stored key column of those days is joined on a 64-bit hash
-           of the key - a superset of the true days (a collision only rewrites a day unchanged)
-           with a narrow shuffle row, but the history is shuffled on every run.
+        1. The batch's days with their distinct-key counts (one row per day: a bounded collect).
+        2. Days *outside* those that hold rows of the batch's keys (orders that moved).  A batch
+           with a bounded key count is broadcast: nothing stored is shuffled.  Otherwise, on a
+           long history, the bucketed key index is joined and only the batch's keys are shuffled;
+           on a short one the stored key column of those days is joined on a 64-bit hash of the
+           key - a superset of the true days (a collision only rewrites a day unchanged) with a
+           narrow shuffle row.
         3. Rewrite the touched days: target rows whose (real) key is not in the batch, plus the
            batch; days left empty by the delete are removed.
         """
@@ -325,11 +331,22 @@ class Warehouse:
         pc = partition_col
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            batch_days = {r[0] for r in batch.select(pc).distinct().collect()} - {None}
-            indexed = self.use_key_index(name, batch_days)
+            # The batch's days and, per day, its distinct keys: their sum bounds the batch's
+            # distinct keys, which decides whether the key set may be broadcast.
+            per_day = batch.groupBy(pc).agg(F.count_distinct(key).alias("_keys")).collect()
+            batch_days = {r[pc] for r in per_day} - {None}
+            small = 0 < self.broadcast_keys and sum(r["_keys"] for r in per_day) <= self.broadcast_keys
+            indexed = not small and self.use_key_index(name, batch_days)
             if not indexed:
                 self.drop_key_index(name)  # never leave an index this run does not maintain
-            if indexed:
+            if small:
+                # A bounded key set: both joins with the stored rows become broadcast joins, so
+                # neither the history nor the touched days are shuffled.
+                keys = F.broadcast(batch.select(key).distinct())
+                stored = self.read(name)
+                history = stored.filter(~F.col(pc).isin(sorted(batch_days))) if batch_days else stored
+                hit_days = {r[0] for r in history.join(keys, key, "left_semi").select(pc).distinct().collect()}
+            elif indexed:
                 tbl, n = self.ensure_key_index(name, key)
                 keys = batch.select(key).repartition(n, key).distinct()  # the index's bucketing
                 index = self.spark.table(tbl)
@@ -367,8 +384,9 @@ class Warehouse:
                 out = kept.unionByName(batch, allowMissingColumns=True).select(*cols)
             else:  # only new days: nothing stored to keep
                 out = batch
-            # After the anti-join every task holds every day: rebalance by day before writing.
-            (self._writer(out, pc, True).mode("overwrite")
+            # After a shuffled anti-join every task holds every day: rebalance by day before
+            # writing.  With broadcast keys the stored rows keep their day-aligned scan splits.
+            (self._writer(out, pc, not small).mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").parquet(self.path(name)))
             emptied = [d for d in candidates if d not in still_there]
             for d in emptied:

@@ -5,6 +5,7 @@ import datetime as dt
 import os
 
 import pyarrow as pa
+import pytest
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,19 +34,21 @@ def keyset(df):
     return sorted((r.order_id, r.product_id, r.revenue, r.order_date) for r in df.collect())
 
 
-def test_non_unique_delete_key(spark, tmp_path):
+@pytest.mark.parametrize("bk", [2_000_000, 0])
+def test_non_unique_delete_key(spark, tmp_path, bk):
     target = frame(spark, [line("o1", 1, D1), line("o1", 2, D1), line("o2", 1, D1)])
     batch = frame(spark, [line("o1", 1, D1, 11.0), line("o1", 3, D1), line("o3", 1, D1)])
     want = [("o1", 1, 11.0, D1), ("o1", 3, 10.0, D1), ("o2", 1, 10.0, D1), ("o3", 1, 10.0, D1)]
     assert keyset(upsert.delete_insert(target, batch, S.ORDER_ID)) == want
-    wh = Warehouse(spark, str(tmp_path))
+    wh = Warehouse(spark, str(tmp_path), broadcast_keys=bk)
     wh.write_full("stg", target, S.ORDER_DATE)
     wh.delete_insert("stg", batch, S.ORDER_ID)
     assert keyset(wh.read("stg")) == want
 
 
-def test_moved_order_empties_old_partition(spark, tmp_path):
-    wh = Warehouse(spark, str(tmp_path))
+@pytest.mark.parametrize("bk", [2_000_000, 0])
+def test_moved_order_empties_old_partition(spark, tmp_path, bk):
+    wh = Warehouse(spark, str(tmp_path), broadcast_keys=bk)
     wh.write_full("stg", frame(spark, [line("o1", 1, D1), line("o1", 2, D1), line("o2", 1, D2)]), S.ORDER_DATE)
     res = wh.delete_insert("stg", frame(spark, [line("o1", 1, D3), line("o1", 2, D3)]), S.ORDER_ID)
     assert res.partitions_dropped == 1
@@ -167,8 +170,9 @@ def test_added_column_survives_later_staging_upserts(spark, tmp_path):
     assert got == {"o1": (3.0, None), "o2": (7.0, "web")}
 
 
-def test_moved_order_leaves_other_orders_of_its_old_day(spark, tmp_path):
-    wh = Warehouse(spark, str(tmp_path))
+@pytest.mark.parametrize("bk", [2_000_000, 0])
+def test_moved_order_leaves_other_orders_of_its_old_day(spark, tmp_path, bk):
+    wh = Warehouse(spark, str(tmp_path), broadcast_keys=bk)
     wh.write_full("stg", frame(spark, [line("o1", 1, D1), line("o1", 2, D1), line("o4", 1, D1),
                                        line("o2", 1, D2)]), S.ORDER_DATE)
     res = wh.delete_insert("stg", frame(spark, [line("o1", 1, D3)]), S.ORDER_ID)

@@ -34,14 +34,15 @@ def scenario(spark, wh):
 WANT = [("o1", 1, 5.0, DAYS[3]), ("o2", 1, 10.0, DAYS[1]), ("o3", 1, 7.0, DAYS[2]), ("o4", 1, 10.0, DAYS[3])]
 
 
-@pytest.mark.parametrize("use_index", [True, False])
-def test_same_result_with_and_without_index(spark, tmp_path, use_index):
-    wh = Warehouse(spark, str(tmp_path), key_index=use_index, key_buckets=4)
+@pytest.mark.parametrize("path", ["index", "direct", "broadcast"])
+def test_same_result_on_every_lookup_path(spark, tmp_path, path):
+    wh = Warehouse(spark, str(tmp_path), key_index=(path == "index"), key_buckets=4,
+                   broadcast_keys=1000 if path == "broadcast" else 0)
     assert scenario(spark, wh) == WANT
 
 
 def test_index_is_exact_after_upsert_and_reregisters(spark, tmp_path):
-    wh = Warehouse(spark, str(tmp_path), key_index=True, key_buckets=4)
+    wh = Warehouse(spark, str(tmp_path), key_index=True, key_buckets=4, broadcast_keys=0)
     scenario(spark, wh)
     tbl, n = wh.ensure_key_index("stg", S.ORDER_ID)
     assert n == 4
@@ -49,7 +50,7 @@ def test_index_is_exact_after_upsert_and_reregisters(spark, tmp_path):
     assert pairs == sorted({(o, d) for o, _, _, d in WANT})
     # a later session: the catalog entry is gone, the folder is found and registered again
     spark.sql(f"DROP TABLE {tbl}")
-    wh2 = Warehouse(spark, str(tmp_path), key_index=True, key_buckets=16)  # bucket count from the folder
+    wh2 = Warehouse(spark, str(tmp_path), key_index=True, key_buckets=16, broadcast_keys=0)  # bucket count from the folder
     tbl2, n2 = wh2.ensure_key_index("stg", S.ORDER_ID)
     assert (tbl2, n2) == (tbl, 4) and spark.table(tbl2).count() == len(pairs)
     wh2.delete_insert("stg", spark.createDataFrame([line("o2", 1, DAYS[3], 1.0)], SCHEMA), S.ORDER_ID)
@@ -57,7 +58,7 @@ def test_index_is_exact_after_upsert_and_reregisters(spark, tmp_path):
 
 
 def test_stale_index_pairs_are_harmless(spark, tmp_path):
-    wh = Warehouse(spark, str(tmp_path), key_index=True, key_buckets=4)
+    wh = Warehouse(spark, str(tmp_path), key_index=True, key_buckets=4, broadcast_keys=0)
     wh.write_full("stg", spark.createDataFrame([line("o1", 1, DAYS[0]), line("o2", 1, DAYS[1])], SCHEMA),
                   S.ORDER_DATE)
     tbl, n = wh.ensure_key_index("stg", S.ORDER_ID)
@@ -70,7 +71,7 @@ def test_stale_index_pairs_are_harmless(spark, tmp_path):
 def test_history_lookup_does_not_shuffle_the_index(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        wh = Warehouse(spark, str(tmp_path), key_index=True, key_buckets=4)
+        wh = Warehouse(spark, str(tmp_path), key_index=True, key_buckets=4, broadcast_keys=0)
         wh.write_full("stg", spark.createDataFrame([line(f"o{i}", 1, DAYS[i % 4]) for i in range(40)], SCHEMA),
                       S.ORDER_DATE)
         tbl, n = wh.ensure_key_index("stg", S.ORDER_ID)
@@ -87,10 +88,10 @@ def test_history_lookup_does_not_shuffle_the_index(spark, tmp_path):
 
 
 def test_adaptive_choice_and_no_stale_index(spark, tmp_path):
-    wh = Warehouse(spark, str(tmp_path), key_buckets=4)  # adaptive
+    wh = Warehouse(spark, str(tmp_path), key_buckets=4, broadcast_keys=0)  # adaptive index choice
     assert scenario(spark, wh) == WANT
     assert not wh.use_key_index("stg", {DAYS[3]})  # 3 stored days: direct lookup
-    forced = Warehouse(spark, str(tmp_path), key_index=True, key_buckets=4)
+    forced = Warehouse(spark, str(tmp_path), key_index=True, key_buckets=4, broadcast_keys=0)
     forced.delete_insert("stg", spark.createDataFrame([line("o5", 1, DAYS[3])], SCHEMA), S.ORDER_ID)
     path, _ = forced._index_dir("stg")
     wh.delete_insert("stg", spark.createDataFrame([line("o6", 1, DAYS[3])], SCHEMA), S.ORDER_ID)
