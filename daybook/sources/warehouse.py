@@ -54,7 +54,7 @@ def partition_dir(table_path: str, column: str, value) -> str:
 KEY_INDEX_TAG = "__keyindex_b"  # <table>__keyindex_b<buckets>: the bucket count is part of the name
 INDEX_MONTH = "index_month"
 INDEX_MIN_HISTORY = 4  # use the key index when stored days > 4 x the days of the months a run touches
-BROADCAST_KEY_LIMIT = 2_000_000  # distinct batch keys that may be broadcast (~100 MB of string keys)
+BROADCAST_KEY_LIMIT = 1_000_000  # distinct batch keys that may be broadcast (~50 MB of UUID strings)
 
 
 @dataclass
