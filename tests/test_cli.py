@@ -23,3 +23,12 @@ def test_cli_run_test_report(spark, tmp_path, capsys):
     assert main(["report", "latest", "--warehouse", wh, "-n", "3"]) == 0
     latest = [json.loads(x) for x in capsys.readouterr().out.splitlines()][-3:]
     assert [r["order_date"] for r in latest] == ["2024-01-30", "2024-01-29", "2024-01-28"]
+
+
+def test_cli_stream_processes_arrived_files(spark, tmp_path, capsys):
+    src, wh, ck = str(tmp_path / "src"), str(tmp_path / "wh"), str(tmp_path / "ck")
+    export.partitioned_export(A.events_source(spark, SF_SMALL), src)
+    assert main(["stream", "--source", src, "--warehouse", wh, "--checkpoint", ck, "--bigint-keys"]) == 0
+    assert main(["report", "overview", "--warehouse", wh]) == 0
+    overview = json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert overview["record_count"] == 30 and overview["last_date"] == "2024-01-30"
