@@ -284,8 +284,8 @@ SQL["partition_pruned_scan"] = with_(
     stg2("stg", "valid", EF)) + "SELECT * FROM stg"
 
 SQL["trend_series"] = _L_METRIC + f"SELECT {V3_COLS} FROM m ORDER BY order_date"
-SQL["pipeline_incremental_v3"] = SQL["daily_running_full_events"]
-SQL["pipeline_incremental_py_v3"] = SQL["daily_running_full_events"]
-SQL["pipeline_incremental_v2"] = with_(E_TXN, stg2(), daily("agg", "stg")) + "SELECT * FROM agg"
-SQL["pipeline_late_rows"] = SQL["late_in_window"]
-SQL["pipeline_late_rows_staging"] = SQL["late_out_of_window"]
+SQL["stored_run_incremental_v3"] = SQL["daily_running_full_events"]
+SQL["stored_run_incremental_py_v3"] = SQL["daily_running_full_events"]
+SQL["stored_run_incremental_v2"] = with_(E_TXN, stg2(), daily("agg", "stg")) + "SELECT * FROM agg"
+SQL["stored_run_late_rows"] = SQL["late_in_window"]
+SQL["stored_run_late_rows_staging"] = SQL["late_out_of_window"]

@@ -4,7 +4,7 @@ They run over the whole test tables through two adapters (``sources.adapters``):
 E = ``events`` (one line per order) and L = ``lineitem`` joined to ``orders`` (multi-line orders).
 Most queries express the stored state an incremental run starts from as the DataFrame an earlier
 run would have written, and the merge as a DataFrame (what the table holds after the write).  The
-``pipeline_*`` queries run the real thing: a first run and a 14-day incremental run of the stored
+``stored_run_*`` queries run the real thing: a first run and a 14-day incremental run of the stored
 models, with writes into a scratch warehouse under ``spark.checkpoint.dir``, returning the table.
 """
 
@@ -322,7 +322,7 @@ def exported_footprint(spark, d):
     return reports.storage_footprint(spark, _exported_events(spark, d))
 
 
-# --- stored-table pipeline (real writes into a scratch warehouse) ---------------------------------
+# --- stored-model runs (real writes into a scratch warehouse) -------------------------------------
 
 class _Arrivals:
     """The source as successive runs see it: rows become visible between runs."""
@@ -334,45 +334,45 @@ class _Arrivals:
         return self.df
 
 
-def _pipeline(spark, first_rows: DataFrame, all_rows: DataFrame, from_date, version=3, engine="sql",
+def _two_runs(spark, first_rows: DataFrame, all_rows: DataFrame, from_date, version=3, engine="sql",
               seed="exact") -> Project:
     feed = _Arrivals(first_rows)
-    project = Project(spark, feed, scratch_path(spark, "pipeline-wh"))
+    project = Project(spark, feed, scratch_path(spark, "runs-wh"))
     project.run(version=version, engine=engine)
     feed.df = all_rows
     project.run(version=version, from_date=from_date, engine=engine, seed=seed)
     return project
 
 
-def pipeline_incremental_v3(spark, d):
+def stored_run_incremental_v3(spark, d):
     """First run on the days before 2024-01-24, then a 14-day run once the rest arrived: the stored
     table equals the full result."""
     src = A.events_source(spark, d)
-    project = _pipeline(spark, _before(src, "2024-01-24"), src, EF)
+    project = _two_runs(spark, _before(src, "2024-01-24"), src, EF)
     return project.warehouse.read("agg_daily_revenue_v3")
 
 
-def pipeline_incremental_py_v3(spark, d):
+def stored_run_incremental_py_v3(spark, d):
     src = A.events_source(spark, d)
-    project = _pipeline(spark, _before(src, "2024-01-24"), src, EF, engine="arrow")
+    project = _two_runs(spark, _before(src, "2024-01-24"), src, EF, engine="arrow")
     return project.warehouse.read("agg_daily_revenue_py_v3")
 
 
-def pipeline_incremental_v2(spark, d):
+def stored_run_incremental_v2(spark, d):
     src = A.events_source(spark, d)
-    project = _pipeline(spark, _before(src, "2024-01-24"), src, EF, version=2)
+    project = _two_runs(spark, _before(src, "2024-01-24"), src, EF, version=2)
     return project.warehouse.read("agg_daily_revenue_v2")
 
 
-def pipeline_late_rows(spark, d):
+def stored_run_late_rows(spark, d):
     """First run without the late rows; they arrive before the 14-day run."""
     src, early = _events_first_run_without_late(spark, d)
-    return _pipeline(spark, early, src, EF).warehouse.read("agg_daily_revenue_v3")
+    return _two_runs(spark, early, src, EF).warehouse.read("agg_daily_revenue_v3")
 
 
-def pipeline_late_rows_staging(spark, d):
+def stored_run_late_rows_staging(spark, d):
     src, early = _events_first_run_without_late(spark, d)
-    return _pipeline(spark, early, src, EF).warehouse.read("stg_orders_v2")
+    return _two_runs(spark, early, src, EF).warehouse.read("stg_orders_v2")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -419,10 +419,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_partitions": export_partitions,
     "partition_pruned_scan": partition_pruned_scan,
     "exported_footprint": exported_footprint,
-    "pipeline_incremental_v3": pipeline_incremental_v3,
-    "pipeline_incremental_py_v3": pipeline_incremental_py_v3,
-    "pipeline_incremental_v2": pipeline_incremental_v2,
-    "pipeline_late_rows": pipeline_late_rows,
-    "pipeline_late_rows_staging": pipeline_late_rows_staging,
+    "stored_run_incremental_v3": stored_run_incremental_v3,
+    "stored_run_incremental_py_v3": stored_run_incremental_py_v3,
+    "stored_run_incremental_v2": stored_run_incremental_v2,
+    "stored_run_late_rows": stored_run_late_rows,
+    "stored_run_late_rows_staging": stored_run_late_rows_staging,
     "trend_series": trend_series,
 }

@@ -58,7 +58,7 @@ def start_incremental_stream(project: Project, source_path: str, source_schema:
                              metric_model: str = "agg_daily_revenue_v3", checkpoint_location: str | None = None,
                              available_now: bool = True, processing_time: str | None = None,
                              seed: str = "latest") -> StreamingQuery:
-    """Start the file-triggered incremental pipeline.  ``available_now`` processes what has arrived
+    """Start the file-triggered incremental runs.  ``available_now`` processes what has arrived
     and stops (a scheduled run); otherwise it polls every ``processing_time``."""
     spark = project.spark
     stream = spark.readStream.schema(source_schema).parquet(source_path)

@@ -1,4 +1,4 @@
-"""File-triggered incremental pipeline: two arrivals of source files give the full result."""
+"""File-triggered incremental runs: two arrivals of source files give the full result."""
 
 import datetime as dt
 
