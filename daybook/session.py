@@ -37,6 +37,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.master(master)
     conf = dict(SQL_CONF)
     conf["spark.ui.enabled"] = "false"
+    # Checkpoints of the day-replacement frames are removed once nothing references them.
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if driver_memory:
