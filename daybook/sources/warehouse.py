@@ -316,7 +316,7 @@ class Warehouse:
     def delete_insert(self, name: str, batch: DataFrame, key: str, partition_col: str = S.ORDER_DATE) -> WriteResult:
         """delete+insert by a non-unique key on a table partitioned by ``partition_col``.
 
-        1. The batch's days with their distinct-key counts (one row per day: a bounded collect).
+        1. The batch's days with their key-row counts (one row per day: a bounded collect).
         2. Days *outside* those that hold rows of the batch's keys (orders that moved).  A batch
            with a bounded key count is broadcast: nothing stored is shuffled.  Otherwise, on a
            long history, the bucketed key index is joined and only the batch's keys are shuffled;
@@ -331,9 +331,10 @@ class Warehouse:
         pc = partition_col
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # The batch's days and, per day, its distinct keys: their sum bounds the batch's
-            # distinct keys, which decides whether the key set may be broadcast.
-            per_day = batch.groupBy(pc).agg(F.count_distinct(key).alias("_keys")).collect()
+            # The batch's days and, per day, its non-NULL key rows: their sum bounds the batch's
+            # distinct keys (a plain count, combined map-side: no shuffle of the keys themselves),
+            # which decides whether the key set may be broadcast.
+            per_day = batch.groupBy(pc).agg(F.count(key).alias("_keys")).collect()
             batch_days = {r[pc] for r in per_day} - {None}
             small = 0 < self.broadcast_keys and sum(r["_keys"] for r in per_day) <= self.broadcast_keys
             indexed = not small and self.use_key_index(name, batch_days)
