@@ -29,7 +29,8 @@ def normalise_timestamp(df: DataFrame, column: str = S.ORDER_TS) -> DataFrame:
         return df
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.LongType):
-        micros = F.floor(F.col(column) / 1000)
+        # Exact integer floor division: nanosecond epochs exceed a double's 53-bit mantissa.
+        micros = F.expr(f"(`{column}` - pmod(`{column}`, 1000)) div 1000")
         return df.withColumn(column, F.timestamp_micros(micros).cast(T.TimestampNTZType()))
     if isinstance(dtype, T.TimestampType):
         return df.withColumn(column, F.col(column).cast(T.TimestampNTZType()))

@@ -185,3 +185,11 @@ def test_missing_declared_column_fails_its_check(spark):
     rows = {r.column_name: (r.null_count, r.passed) for r in
             quality.null_counts(staged, "stg_orders_v2", (S.ORDER_ID, S.PAYMENT_METHOD)).collect()}
     assert rows == {S.ORDER_ID: (0, True), S.PAYMENT_METHOD: (None, False)}
+
+
+def test_nanosecond_longs_convert_exactly(spark):
+    from daybook.sources.transactions import normalise_timestamp
+    vals = [1709283600123456789, 1709283600123456001, 1709283600000000999, -1000001, 1709283600999999999]
+    df = spark.createDataFrame([(v,) for v in vals], "order_timestamp long")
+    got = [r[0] for r in normalise_timestamp(df).collect()]
+    assert got == [dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=v // 1000) for v in vals]
