@@ -5,6 +5,8 @@ Only directory metadata goes through the driver; data never does.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 
@@ -33,13 +35,22 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def list_subdirs(spark: SparkSession, path: str, prefix: str = "") -> list[tuple[str, str]]:
-    """(name, full path) of the sub-folders of ``path`` whose name starts with ``prefix``."""
+    """(name, full path) of the entries of ``path`` whose name starts with ``prefix`` (partition
+    folders such as ``order_date=...``; names starting with ``_`` or ``.`` are markers, skipped).
+    One JVM call per entry (its name): this runs over thousands of day folders."""
     fs, p = jpath(spark, path)
     if not fs.exists(p):
         return []
+    base = path.rstrip("/")
     out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix):
-            out.append((name, st.getPath().toString()))
+    if fs.getScheme() == "file":  # the local file system is the OS directory: list it directly
+        local = p.toUri().getPath()
+        for entry in os.scandir(local):
+            if entry.name.startswith(prefix) and not entry.name.startswith(("_", ".")):
+                out.append((entry.name, f"{base}/{entry.name}"))
+        return out
+    for jp in spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p)):
+        name = jp.getName()
+        if name.startswith(prefix) and not name.startswith(("_", ".")):
+            out.append((name, f"{base}/{name}"))
     return out

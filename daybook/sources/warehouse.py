@@ -35,15 +35,12 @@ from daybook import schemas as S
 from daybook.functions.dates import parse_date
 from daybook.operators.upsert import merged_columns, replace_days
 from daybook.session import checkpoint_root
-from daybook.sources.fs import delete_path, jpath, list_subdirs, path_exists, rename_path
+from daybook.sources.fs import delete_path, list_subdirs, path_exists, rename_path
 
 
 def count_partitions(spark: SparkSession, path: str, column: str) -> int:
     """Number of ``column=value`` folders directly under ``path`` (one listing call)."""
-    fs, p = jpath(spark, path)
-    if not fs.exists(p):
-        return 0
-    return sum(1 for st in fs.listStatus(p) if st.isDirectory() and st.getPath().getName().startswith(f"{column}="))
+    return len(list_subdirs(spark, path, f"{column}="))
 
 
 def partition_dir(table_path: str, column: str, value) -> str:
@@ -162,11 +159,7 @@ class Warehouse:
         return done
 
     def table_names(self) -> list[str]:
-        fs, p = jpath(self.spark, self.root)
-        if not fs.exists(p):
-            return []
-        return [st.getPath().getName() for st in fs.listStatus(p)
-                if st.isDirectory() and "__" not in st.getPath().getName()]
+        return [name for name, _ in list_subdirs(self.spark, self.root) if "__" not in name]
 
     def read_or_empty(self, name: str, schema: T.StructType, merge_schema: bool = False) -> DataFrame:
         """The stored table, or a typed empty frame if it does not exist.  Other errors propagate."""
