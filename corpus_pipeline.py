@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import language, packing, registered, secrets
-from daybook.llm.common import DOC_COLUMNS, table, written
-from daybook.session import ship_package
+from daybook.llm import language, minhash, packing, registered, secret_scan
+from daybook.llm.common import DOC_COLUMNS, prepare, table, written
 
 #: A text is kept if it is this sure of its language.
 LEAST_SCORE = 0.5
@@ -19,27 +18,34 @@ LEAST_SCORE = 0.5
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts whose language cannot be told (none, no letter, or an undecided score) go."""
-    ship_package(spark)
+    prepare(spark)
     docs = docs.select(*DOC_COLUMNS)
     model = language.train(docs.filter(~language.held_out(F.col("doc_id"))))
     return language.predict(docs, model).filter(
         (F.col("lang_pred") != language.UNKNOWN) & (F.col("lang_score") >= LEAST_SCORE)).select(*DOC_COLUMNS)
 
 
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the one with the smallest doc_id."""
+    prepare(spark)
+    return minhash.drop_near_duplicates(docs.select(*DOC_COLUMNS), words=5, percent=80)
+
+
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced by a mark."""
-    ship_package(spark)
-    return secrets.redact(docs.select(*DOC_COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*DOC_COLUMNS)
+    prepare(spark)
+    return secret_scan.redact(docs.select(*DOC_COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*DOC_COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences: a row per piece of a document."""
-    ship_package(spark)
+    prepare(spark)
     return packing.pack(docs, registered.PACK_TOKENIZER)
 
 
 STAGES = [
     ("language", language_stage),
+    ("near_duplicates", near_duplicates_stage),
     ("secrets", secrets_stage),
     ("packing", packing_stage),
 ]

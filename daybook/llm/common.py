@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +15,18 @@ from daybook.session import scratch_path, ship_package
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Rows in an Arrow batch: whole texts travel, so far fewer than for plain numbers.
+BATCH_ROWS = 2000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings of the corpus operators; ships the package to the Python workers."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,3 +48,58 @@ def text_or_empty(c: str | Column = "text") -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row: an array of one element binds it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+class Sieve:
+    """A bitmap of fixed size over hashed keys, for broadcast: it lets every member through and
+    stops most others, so that large rows of non-members need no shuffle.  Its size never depends on
+    the number of members; with very many it merely stops less, and results stay the same because an
+    exact join follows."""
+
+    BITS = 1 << 23
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    @staticmethod
+    def slots(keys: list[np.ndarray]) -> np.ndarray:
+        h = np.zeros(len(keys[0]), np.uint64)
+        for k in keys:
+            h = (h ^ k.astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(32)
+        return (h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - Sieve.BITS.bit_length() + 1)
+
+    @staticmethod
+    def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+        return [c.fill_null(-1).to_numpy(zero_copy_only=False) for c in batch.columns]
+
+    @classmethod
+    def build(cls, members: DataFrame):
+        """Broadcast of the sieve over the (long) columns of ``members``."""
+        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words = np.zeros(cls.BITS // 64, np.uint64)
+            for b in batches:
+                at = cls.slots(cls.columns(b))
+                np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+            full = np.flatnonzero(words)
+            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int64)), pa.array(words[full].view(np.int64))], ["word", "bits"])
+        got = members.mapInArrow(part, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        words = np.zeros(cls.BITS // 64, np.uint64)
+        words[got.column("word").to_numpy()] = got.column("bits").to_numpy().astype(np.int64).view(np.uint64)
+        return members.sparkSession.sparkContext.broadcast(cls(words))
+
+    def __call__(self, *keys: np.ndarray) -> np.ndarray:
+        at = self.slots(list(keys))
+        return ((self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def split_by(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``key`` may be in ``keys``, rows whose ``key`` is certainly not)."""
+    sieve = Sieve.build(keys.select(F.col(key).cast("long")))
+
+    @F.pandas_udf("boolean")
+    def may_hold(s: pd.Series) -> pd.Series:
+        return pd.Series(sieve.value(s.fillna(-1).to_numpy(np.int64)))
+
+    marked = df.withColumn("_may", may_hold(F.col(key).cast("long")))
+    return marked.filter("_may").drop("_may"), marked.filter(~F.col("_may")).drop("_may")

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, fingerprint, language, neighbours, packing, secrets, sharding, urlfilter
+from daybook.llm import bpe, fingerprint, language, minhash, neighbours, packing, secret_scan, sharding, urlfilter
 from daybook.llm.common import table
 
 PACK_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,6 +33,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classify(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -42,7 +46,7 @@ def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(table(spark, sf_dir, "documents"))
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +65,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_fingerprints": op2_fingerprints,
+    "op3_minhash": op3_minhash,
     "op5_language_id": op5_language_id,
     "op6_neighbours": op6_neighbours,
     "op7_secrets": op7_secrets,
