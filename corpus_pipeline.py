@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import language, minhash, packing, registered, secret_scan
+from daybook.llm import language, lines, minhash, packing, registered, secret_scan
 from daybook.llm.common import DOC_COLUMNS, prepare, table, written
 
 #: A text is kept if it is this sure of its language.
@@ -25,6 +25,15 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         (F.col("lang_pred") != language.UNKNOWN) & (F.col("lang_score") >= LEAST_SCORE)).select(*DOC_COLUMNS)
 
 
+def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every component of equal or similar lines one line stays; documents that are left without
+    any line go."""
+    prepare(spark)
+    kept = lines.drop_repeated_lines(docs.select(*DOC_COLUMNS))
+    return (kept.withColumn("n_chars", F.length("text").cast("long"))
+            .filter(F.length(F.trim("text")) > 0).select(*DOC_COLUMNS))
+
+
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest doc_id."""
     prepare(spark)
@@ -45,6 +54,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("language", language_stage),
+    ("lines", lines_stage),
     ("near_duplicates", near_duplicates_stage),
     ("secrets", secrets_stage),
     ("packing", packing_stage),

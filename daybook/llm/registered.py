@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, fingerprint, language, minhash, neighbours, packing, secret_scan, sharding, urlfilter
+from daybook.llm import bpe, fingerprint, language, lines, minhash, neighbours, packing, secret_scan, sharding, urlfilter
 from daybook.llm.common import table
 
 PACK_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +37,10 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classify(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.classify(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_fingerprints": op2_fingerprints,
     "op3_minhash": op3_minhash,
+    "op4_fuzzy_lines": op4_fuzzy_lines,
     "op5_language_id": op5_language_id,
     "op6_neighbours": op6_neighbours,
     "op7_secrets": op7_secrets,
