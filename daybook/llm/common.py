@@ -93,6 +93,12 @@ class Sieve:
         return ((self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
+def packed(df: DataFrame, *keys: str) -> DataFrame:
+    """``row``, a struct of all columns, beside copies of the ``keys``: whatever an operator adds can
+    then not clash with a column of the table.  ``select("row.*")`` undoes it."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *keys)
+
+
 def split_by(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(rows whose ``key`` may be in ``keys``, rows whose ``key`` is certainly not)."""
     sieve = Sieve.build(keys.select(F.col(key).cast("long")))

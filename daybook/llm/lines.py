@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import linking, shingles
-from daybook.llm.common import Sieve, split_by, text_or_empty, written
+from daybook.llm.common import Sieve, packed, split_by, text_or_empty, written
 
 SHINGLE = 8
 BANDS = 12
@@ -209,9 +209,9 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     gone = lines.join(repeated(docs), ["h1", "h2"]).filter(F.struct("doc_id", "line") != F.col("keep"))
     # At most the lines of one document to a row.
     gone = written(gone.groupBy("doc_id").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc_id", "_id"), "gone-lines")
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
+    keyed = packed(docs, "doc_id", "text").withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
     may, stay = split_by(keyed, gone, "_id")
     left = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("_gone", i.cast("long")))
-    cut = (may.join(gone, "_id", "left")
-           .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))))
-    return stay.unionByName(cut.drop("_gone")).drop("_id")
+    new = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    cut = may.join(gone, "_id", "left").select(F.col("row").withField("text", new).alias("row"))
+    return stay.select("row").unionByName(cut).select("row.*")

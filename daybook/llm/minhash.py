@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import linking, shingles
-from daybook.llm.common import Sieve, split_by, text_or_empty, written
+from daybook.llm.common import Sieve, packed, split_by, text_or_empty, written
 
 COLLECTIONS = 13
 ROWS = 2
@@ -100,5 +100,5 @@ def classify(docs: DataFrame, words: int, percent: int) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the documents that are not the first of their component."""
     gone = written(classify(docs, words, percent).filter(~F.col("kept")).select("doc_id").distinct(), "near-duplicates")
-    may, stay = split_by(docs, gone, "doc_id")
-    return stay.unionByName(may.join(gone, "doc_id", "left_anti"))
+    may, stay = split_by(packed(docs, "doc_id"), gone, "doc_id")
+    return stay.unionByName(may.join(gone, "doc_id", "left_anti").select(*stay.columns)).select("row.*")

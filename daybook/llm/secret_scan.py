@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import let, text_or_empty
+from daybook.llm.common import let, packed, text_or_empty
 
 # The contract's patterns, in its order.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -229,5 +229,6 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", q: float = FALSE_DISCOVERY)
             F.when(x["s"] >= a["at"], F.concat(a["out"], F.array(F.substring(t, a["at"] + 1, x["s"] - a["at"]), F.lit(mark))))
             .otherwise(a["out"]).alias("out")).cast(state))
     clean = let(joined, lambda x: F.concat(F.array_join(x["out"], ""), F.substring(t, x["at"] + 1, F.length(t))))
-    done = scanned(docs, q).withColumn("text", F.when(F.size("_all") > 0, clean).otherwise(F.col("text")))
-    return done.drop("_t", "_base", "_all")
+    done = scanned(packed(docs, "text"), q)
+    new = F.when(F.size("_all") > 0, clean).otherwise(F.col("text"))
+    return done.select(F.col("row").withField("text", new).alias("row")).select("row.*")

@@ -1,10 +1,10 @@
 """URL verdicts: longest-prefix rules, then an empirical-Bayes reputation of the host.
 
 Rules decide first.  For the other pages, labelled page outcomes (``bad`` 0/1 per page) are counted
-per host, registered domain and suffix, and shrunk level by level: the corpus rate is the prior
-mean of a suffix, the suffix's posterior mean that of its domains, the domain's that of its hosts,
-each through a beta-binomial prior whose strength is estimated by moments from the spread of the
-rates at that level.  A page is blocked if the *lower* bound of its host's posterior bad rate
+per host, registered domain and suffix, and shrunk level by level: the corpus posterior is the prior
+of a suffix, the suffix's posterior that of its domains, the domain's that of its hosts (always
+without the unit's own pages), each as a beta-binomial prior whose strength is estimated by moments
+from the spread of the rates at that level.  A page is blocked if the *lower* bound of its host's posterior bad rate
 (normal approximation at ``z`` standard deviations) is above ``threshold``; a host without labels
 gets the posterior of its domain, then of its suffix, then of the corpus.
 
@@ -72,14 +72,12 @@ def _strength(rate: str, prior: str, n: str, least: float, most: float) -> Colum
 
 
 def _shrink(units: DataFrame, least: float, most: float) -> DataFrame:
-    """``units``: a row per unit with n, k and the posterior (prior, prior_weight) of its parent;
-    adds its own posterior (mean, weight).  A prior is worth no more than its parent's weight, so a
+    """``units``: a row per unit with its counts n and k and its prior (prior, prior_weight); adds
+    the strength that the prior gets.  A prior is worth no more than what stands behind it, so a
     unit below an unseen parent stays uncertain."""
     seen = units.filter(F.col("n") > 0).withColumn("rate", F.col("k") / F.col("n"))
     level = seen.agg(F.coalesce(_strength("rate", "prior", "n", least, most), F.lit(most)).alias("level"))
-    return (_beside(units, level).withColumn("strength", F.least("level", "prior_weight"))
-            .withColumn("mean", (F.col("k") + F.col("prior") * F.col("strength")) / (F.col("n") + F.col("strength")))
-            .withColumn("weight", F.col("n") + F.col("strength")).drop("level", "strength"))
+    return _beside(units, level).withColumn("strength", F.least("level", "prior_weight")).drop("level", "prior_weight")
 
 
 def _beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -87,19 +85,27 @@ def _beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumn("_one", F.lit(1)).join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one")
 
 
+def _below(units: DataFrame, parents: DataFrame, on: list[str]) -> DataFrame:
+    """``units`` with the prior that their parent gives: its posterior without the unit's own pages,
+    so that no page counts twice."""
+    up = parents.select(*on, *[F.col(c).alias(f"up_{c}") for c in ("n", "k", "prior", "strength")])
+    weight = F.col("up_n") - F.col("n") + F.col("up_strength")
+    mean = (F.col("up_k") - F.col("k") + F.col("up_prior") * F.col("up_strength")) / weight
+    return units.join(up, on).withColumns({"prior": mean, "prior_weight": weight}).drop("up_n", "up_k", "up_prior", "up_strength")
+
+
 def reputation(outcomes: DataFrame, least: float = 2.0, most: float = 200.0) -> DataFrame:
     """Posterior of every host in ``outcomes`` (host, bad 0/1/null): ``host, mean, weight``.
     ``bad`` null: the page is unlabelled but its host gets a row."""
-    parent = [F.col("mean").alias("prior"), F.col("weight").alias("prior_weight")]
     sums = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     hosts = (outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
              .withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
-    total = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k"))
-    corpus = total.select(((F.col("k") + 1) / (F.col("n") + 2)).alias("prior"), (F.col("n") + 2.0).alias("prior_weight"))
-    suffixes = _shrink(_beside(hosts.groupBy("suffix").agg(*sums), corpus), least, most).select("suffix", *parent)
-    domains = _shrink(hosts.groupBy("suffix", "domain").agg(*sums).join(suffixes, "suffix"), least, most)
-    domains = domains.select("suffix", "domain", *parent)
-    return _shrink(hosts.join(domains, ["suffix", "domain"]), least, most).select("host", "mean", "weight")
+    corpus = hosts.agg(*sums).withColumns({"prior": F.lit(0.5), "strength": F.lit(2.0), "all": F.lit(1)})
+    suffixes = _shrink(_below(hosts.groupBy("suffix").agg(*sums).withColumn("all", F.lit(1)), F.broadcast(corpus), ["all"]), least, most)
+    domains = _shrink(_below(hosts.groupBy("suffix", "domain").agg(*sums), suffixes, ["suffix"]), least, most)
+    own = _shrink(_below(hosts, domains, ["suffix", "domain"]), least, most)
+    weight = F.col("n") + F.col("strength")
+    return own.select("host", ((F.col("k") + F.col("prior") * F.col("strength")) / weight).alias("mean"), weight.alias("weight"))
 
 
 def lower_bound(mean: Column, weight: Column, z: float) -> Column:

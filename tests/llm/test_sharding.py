@@ -1,0 +1,70 @@
+import collections
+import hashlib
+
+import numpy as np
+import pytest
+
+from daybook.llm import sharding
+
+
+def brute_table(names, size):
+    taken, nxt = [None] * size, [0] * len(names)
+    num = lambda name, salt: int(hashlib.md5(f"{salt}:{name}".encode()).hexdigest()[:15], 16)
+    left = size
+    while left:
+        for i, n in enumerate(names):
+            while True:
+                slot = (num(n, "offset") % size + nxt[i] * (num(n, "skip") % (size - 1) + 1)) % size
+                nxt[i] += 1
+                if taken[slot] is None:
+                    break
+            taken[slot] = i
+            left -= 1
+            if not left:
+                break
+    return taken
+
+
+@pytest.mark.parametrize("shards,size", [(1, 7), (3, 13), (10, 251), (13, 13)])
+def test_table(shards, size):
+    names = sharding.shard_names(shards)
+    table = sharding.fill_table(names, size)
+    assert table.tolist() == brute_table(names, size)
+    counts = np.bincount(table, minlength=shards)
+    assert counts.max() - counts.min() <= 1
+
+
+def test_removing_a_shard_moves_few_slots():
+    names = sharding.shard_names(20)
+    a = sharding.fill_table(names, 4093)
+    b = sharding.fill_table(names[:7] + names[8:], 4093)
+    of = lambda t, ns: [ns[i] for i in t]
+    moved = sum(x != y for x, y in zip(of(a, names), of(b, names[:7] + names[8:])) if x != names[7])
+    assert moved < 0.15 * 4093
+
+
+@pytest.mark.parametrize("names,size", [(["a"], 8), ([], 7), (["a", "a"], 7), (["a", "b", "c"], 2)])
+def test_bad_parameters(names, size):
+    with pytest.raises(ValueError):
+        sharding.fill_table(names, size)
+
+
+def test_placement(spark, make_docs):
+    names = sharding.shard_names(8)
+    docs = make_docs([(i, None) for i in range(4000)] + [(None, "a"), (7, "again")])
+    rows = sharding.place(docs, "doc_id", names, 1009).collect()
+    table = sharding.fill_table(names, 1009)
+    assert len(rows) == 4002
+    for r in rows:
+        key = "" if r.doc_id is None else str(r.doc_id)
+        assert r.slot == int(hashlib.md5(key.encode()).hexdigest()[:15], 16) % 1009 and r.shard == table[r.slot]
+    counts = collections.Counter(r.shard for r in rows)
+    assert max(counts.values()) < 1.3 * min(counts.values())
+    assert sharding.place(make_docs([]), "doc_id", names, 1009).count() == 0
+
+
+def test_write_shards(spark, make_docs, tmp_path):
+    docs = make_docs([(i, "t") for i in range(100)], extra=False)
+    sharding.write_shards(docs, "doc_id", sharding.shard_names(4), str(tmp_path / "out"), 101)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 100 and len(list((tmp_path / "out").glob("shard=*"))) == 4

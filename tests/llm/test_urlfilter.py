@@ -1,0 +1,72 @@
+import re
+
+import pytest
+
+from daybook.llm import urlfilter
+from daybook.llm.registered import URL_RULES
+
+
+def brute(url):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.split("[/?#]", rest, maxsplit=1)[0]
+        path = re.split("[?#]", rest[len(host):], maxsplit=1)[0]
+        host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    best = None
+    for what, h, p in URL_RULES:
+        if (host == h or host.endswith("." + h)) and path.startswith(p) and (best is None or len(h + p) > len(best[1])):
+            best = (what, h + p)
+    return host, path, best
+
+
+def judged(spark, urls, **kw):
+    df = spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)], "page_id long, url string, host int")
+    return sorted(urlfilter.judge(df, URL_RULES, **kw).collect(), key=lambda r: r.page_id)
+
+
+URLS = [None, "", "no scheme", "http://", "HTTP://Example.COM/EN/x", "http://example.com/en/x?y#z", "https://www.example.com/en/",
+        "https://a.www.example.com/en/q", "http://com", "http://com/", "http://notexample.com/en/", "http://x.net/es/a", "http://x.net/es",
+        "http://x.net/fr/?q", "http://x.net#/fr/", "a://b://c.net/es/", "http://x.net/de/", "http://y.org/en/", "http://É.net/fr/\nx",
+        "http://user:pw@x.net:80/fr/", "http://10.0.0.1/", "x\n://z.net/es/", "http://x.net/es/a", "http://x.net/es/a"]
+
+
+def test_rules_hosts_and_paths(spark):
+    for r, url in zip(judged(spark, URLS), URLS):
+        host, path, best = brute(url)
+        assert (r.host, r.path) == (host, path)
+        assert r.rule == (best and best[1])
+        assert r.verdict == best[0] if best else r.verdict in ("allow", "block")
+
+
+def test_reputation_shrinks_towards_the_domain(spark):
+    urls, bad = [], []
+    for i in range(200):
+        urls.append(f"http://a{i % 10}.bad.org/{i}")
+        bad.append(1)
+        urls.append(f"http://b{i % 10}.good.org/{i}")
+        bad.append(0)
+    urls += ["http://new.bad.org/", "http://new.good.org/", "http://unknown.info/"]
+    labels = spark.createDataFrame(list(enumerate(bad)) + [(0, 1)], "page_id long, bad int")
+    rows = judged(spark, urls, labels=labels)
+    assert [r.verdict for r in rows[-3:]] == ["block", "allow", "allow"]
+    assert rows[-3].bad_rate > rows[-1].bad_rate > rows[-2].bad_rate
+    assert {r.verdict for r in rows[0:400:2]} == {"block"} and {r.verdict for r in rows[1:400:2]} == {"allow"}
+
+
+def test_little_evidence_does_not_block(spark):
+    labels = spark.createDataFrame([(0, 1)], "page_id long, bad int")
+    assert [r.verdict for r in judged(spark, ["http://one.org/a", "http://one.org/b"], labels=labels)] == ["allow", "allow"]
+
+
+def test_no_labels_and_empty_table(spark):
+    assert [r.verdict for r in judged(spark, ["http://q.org/", None])] == ["allow", "allow"]
+    assert judged(spark, []) == []
+
+
+@pytest.mark.parametrize("host,domain,suffix", [("a.b.co.uk", "b.co.uk", "co.uk"), ("x.example.com", "example.com", "com"), ("com", "com", "com"), ("", "", "")])
+def test_levels(spark, host, domain, suffix):
+    from pyspark.sql import functions as F
+    r = spark.createDataFrame([(host,)], "h string").select(
+        urlfilter.domain_of(F.col("h")).alias("d"), urlfilter.suffix_of(F.col("h")).alias("s")).first()
+    assert (r.d, r.s) == (domain, suffix)
