@@ -31,7 +31,7 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     kept = lines.drop_repeated_lines(docs.select(*DOC_COLUMNS))
     return (kept.withColumn("n_chars", F.length("text").cast("long"))
-            .filter(F.length(F.trim("text")) > 0).select(*DOC_COLUMNS))
+            .filter(F.col("text").rlike(r"\S")).select(*DOC_COLUMNS))
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
