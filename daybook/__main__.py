@@ -29,7 +29,14 @@ def _session(args):
 
 
 def _project(spark, args) -> Project:
-    return Project(spark, lambda fd: read_transactions(spark, args.source, fd), args.warehouse)
+    return Project(spark, lambda fd: read_transactions(spark, args.source, fd, day_aligned=args.day_aligned),
+                   args.warehouse, key_index=args.key_index, day_aligned=args.day_aligned)
+
+
+def _source_options(parser) -> None:
+    parser.add_argument("--day-aligned", action="store_true",
+                        help="declare that every source row lies in the folder of its day: prune folders")
+    parser.add_argument("--key-index", action="store_true", help="give the staging table a key index")
 
 
 def _from_date(args):
@@ -46,14 +53,15 @@ def cmd_run(args) -> int:
     else:
         reps = []
         metric = f"agg_daily_revenue_{'py_' if args.engine == 'arrow' else ''}v{args.version}"
-        for n in (MODELS[metric].staging_model, metric):
+        for n in (MODELS[metric].staging, metric):
             reps.append(project.run_model(n, fd, args.full_refresh, args.seed, preview=args.preview))
     for r in reps:
         if r.preview is not None:
             print(json.dumps({"preview": [row.asDict() for row in r.preview.collect()]}, default=str))
         print(json.dumps({"model": r.model, "mode": r.mode, "from_date": str(r.from_date),
                           "partitions_written": r.partitions_written,
-                          "partitions_dropped": r.partitions_dropped, "seconds": r.seconds}))
+                          "partitions_dropped": r.partitions_dropped, "misplaced_rows": r.misplaced_rows,
+                          "seconds": r.seconds}))
     return 0
 
 
@@ -124,6 +132,7 @@ def main(argv=None) -> int:
     run.add_argument("--full-refresh", action="store_true")
     run.add_argument("--seed", default="latest", choices=("latest", "exact"))
     run.add_argument("--preview", action="store_true")
+    _source_options(run)
     run.set_defaults(fn=cmd_run)
 
     test = sub.add_parser("test", help="declared not-null checks over the stored models")
@@ -150,6 +159,7 @@ def main(argv=None) -> int:
     st.add_argument("--every", default="1 minute")
     st.add_argument("--seed", default="latest", choices=("latest", "exact"))
     st.add_argument("--bigint-keys", action="store_true")
+    _source_options(st)
     st.set_defaults(fn=cmd_stream)
 
     args = ap.parse_args(argv)

@@ -35,10 +35,6 @@ def date_lit(value) -> Column:
     return F.lit(parse_date(value))
 
 
-def day_before(value) -> dt.date:
-    return parse_date(value) - dt.timedelta(days=1)
-
-
 def partition_date(year: str = "year", month: str = "month", day: str = "date") -> Column:
     """Calendar date of a Hive ``year=/month=/date=`` partition; only partition columns, so a filter
     on it is evaluated against directory names (partition pruning) and never touches file data."""

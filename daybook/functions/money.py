@@ -1,38 +1,52 @@
 """Exact money arithmetic on JVM-side column expressions.
 
-Money values in the data model carry two decimals (revenue = round(quantity * unit_price, 2)).
-Summing them as doubles makes the last bits depend on the order in which partial sums meet, which
-varies with partitioning.  Summing whole cents as ``bigint`` is exact, order-free and stays in the
-codegen'd long-arithmetic fast path (a ``decimal(28,2)`` aggregation buffer would not: precision
-above 18 is stored as variable-length bytes).  The final division by 100 is correctly rounded, so
-results equal ``CAST(SUM(CAST(x AS DECIMAL(18,2))) AS DOUBLE)`` in any SQL engine.
+Summing money as doubles makes the last bits depend on the order in which partial sums meet, which
+varies with partitioning.  Amounts are therefore summed as ``bigint`` counts of a fixed unit, which
+is exact, order-free and stays in the codegen'd long-arithmetic fast path (a ``decimal(28,6)``
+aggregation buffer would not: precision above 18 is stored as variable-length bytes).  The unit is
+``10^-MONEY_DECIMALS``, four decimals finer than the two that money in the data model carries, so
+parts of a cent add up too; anything finer is rounded per line.  Sums up to about 9.2e12 fit.  The
+final division is done on decimals and rounded to a double once, so results equal
+``CAST(SUM(CAST(x AS DECIMAL(38,6))) AS DOUBLE)`` in any SQL engine.
+
+NaN and infinite amounts are no amounts: sums skip them like NULL, and ``quality.rejected_rows``
+reports them.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_SCALE = 100  # cents per unit (two decimals)
+MONEY_DECIMALS = 6
+MONEY_SCALE = 10 ** MONEY_DECIMALS  # units per 1.0
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_cents(c: Column | str) -> Column:
-    """Two-decimal double -> exact bigint cents (NULL stays NULL). ``rint`` is a plain Math.rint,
-    unlike ``round`` which goes through BigDecimal per row."""
-    return F.rint(_col(c) * MONEY_SCALE).cast("long")
+def finite(c: Column | str) -> Column:
+    """The amount, or NULL if it is NaN or infinite."""
+    c = _col(c)
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
+
+
+def to_units(c: Column | str) -> Column:
+    """Amount -> exact bigint units (NULL stays NULL). ``rint`` is a plain Math.rint, unlike
+    ``round`` which goes through BigDecimal per row."""
+    return F.rint(finite(c) * MONEY_SCALE).cast("long")
 
 
-def from_cents(c: Column | str) -> Column:
-    return _col(c).cast("double") / float(MONEY_SCALE)
+def from_units(c: Column | str) -> Column:
+    return (_col(c).cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-MONEY_DECIMALS))).cast("double")
 
 
 def money_sum(c: Column | str) -> Column:
     """SUM of a money column: NULLs skipped, all-NULL group gives NULL (SQL semantics)."""
-    return from_cents(F.sum(to_cents(c)))
+    return from_units(F.sum(to_units(c)))
 
 
 def round_stat(c: Column | str, digits: int = 6) -> Column:

@@ -1,16 +1,15 @@
 """Arrow-batch variants of the daily metrics (the reference's Python models).
 
 ``batches`` (``mapInArrow``): each task turns its Arrow record batches (100,000 rows, the
-reference's batch size) into per-batch partials - revenue cents per day and the distinct
+reference's batch size) into per-batch partials - revenue units per day and the distinct
 (day, order) and (day, buyer) pairs of the batch - with pyarrow kernels; a native aggregation then
 merges them.  Nothing is buffered beyond one batch, and the Python step only shrinks the data
 before the shuffle, like a map-side combine.
 
 ``grouped`` (``applyInArrow``): Python sees one group at a time.  Grouping raw rows by day would put
-a whole day - possibly a third of all rows - into one call, so groups are made bounded first:
-native pre-aggregation to one row per (day, order) and per (day, buyer), then groups by a hash
-bucket of the key.  Each call aggregates its bucket per day with pyarrow; a native sum merges the
-buckets.
+a whole day - possibly a third of all rows - into one call, so rows are first pre-aggregated
+natively to one row per (day, order) and per (day, buyer), then grouped by a hash bucket of the
+key, and each bucket is streamed batch by batch.  A native sum merges the buckets.
 
 Both give the same result as the native plan (SQL semantics: NULL revenue skipped, an all-NULL day
 gives NULL, NULL keys not counted).
@@ -27,15 +26,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook import schemas as S
-from daybook.functions.money import MONEY_SCALE, from_cents, to_cents
+from daybook.functions.money import MONEY_SCALE, from_units, to_units
 from daybook.operators.metrics import in_window
 
-_CENTS = "cents"
+_UNITS = "units"
 _BUCKET = "bucket"
 
 
-def _cents(arr: pa.ChunkedArray) -> pa.ChunkedArray:
-    return pc.cast(pc.round(pc.multiply(arr, float(MONEY_SCALE))), pa.int64())
+def _units(arr: pa.ChunkedArray) -> pa.ChunkedArray:
+    number = pc.if_else(pc.is_finite(arr), arr, pa.scalar(None, arr.type))
+    rounded = pc.round(pc.multiply(number, float(MONEY_SCALE)), round_mode="half_to_even")
+    return pc.cast(rounded, pa.int64())
 
 
 def _partials_fn(with_buyers: bool):
@@ -44,24 +45,24 @@ def _partials_fn(with_buyers: bool):
             if batch.num_rows == 0:
                 continue
             t = pa.Table.from_batches([batch])
-            t = t.append_column(_CENTS, _cents(t[S.REVENUE]))
+            t = t.append_column(_UNITS, _units(t[S.REVENUE]))
             oid_type = t.schema.field(S.ORDER_ID).type
             bid_type = t.schema.field(S.BUYER_ID).type if with_buyers else None
-            day_sum = t.group_by(S.ORDER_DATE, use_threads=False).aggregate([(_CENTS, "sum")])
+            day_sum = t.group_by(S.ORDER_DATE, use_threads=False).aggregate([(_UNITS, "sum")])
             pairs = [
-                (day_sum[S.ORDER_DATE], day_sum[f"{_CENTS}_sum"], None, None),
+                (day_sum[S.ORDER_DATE], day_sum[f"{_UNITS}_sum"], None, None),
             ]
             orders = t.group_by([S.ORDER_DATE, S.ORDER_ID], use_threads=False).aggregate([])
             pairs.append((orders[S.ORDER_DATE], None, orders[S.ORDER_ID], None))
             if with_buyers:
                 buyers = t.group_by([S.ORDER_DATE, S.BUYER_ID], use_threads=False).aggregate([])
                 pairs.append((buyers[S.ORDER_DATE], None, None, buyers[S.BUYER_ID]))
-            for day, cents, oid, bid in pairs:
+            for day, units, oid, bid in pairs:
                 n = len(day)
                 cols = [day.combine_chunks(),
-                        cents.combine_chunks() if cents is not None else pa.nulls(n, pa.int64()),
+                        units.combine_chunks() if units is not None else pa.nulls(n, pa.int64()),
                         oid.combine_chunks() if oid is not None else pa.nulls(n, oid_type)]
-                names = [S.ORDER_DATE, _CENTS, S.ORDER_ID]
+                names = [S.ORDER_DATE, _UNITS, S.ORDER_ID]
                 if with_buyers:
                     cols.append(bid.combine_chunks() if bid is not None else pa.nulls(n, bid_type))
                     names.append(S.BUYER_ID)
@@ -77,59 +78,54 @@ def daily_metrics_batches(staged: DataFrame, from_date=None, with_buyers: bool =
     """U1: per-batch Arrow partials, native final merge."""
     cols = [S.ORDER_DATE, S.ORDER_ID, S.REVENUE] + ([S.BUYER_ID] if with_buyers else [])
     src = in_window(staged, from_date).select(*cols)
-    out_fields = [T.StructField(S.ORDER_DATE, T.DateType()), T.StructField(_CENTS, T.LongType()),
+    out_fields = [T.StructField(S.ORDER_DATE, T.DateType()), T.StructField(_UNITS, T.LongType()),
                   T.StructField(S.ORDER_ID, _field(src, S.ORDER_ID).dataType)]
     if with_buyers:
         out_fields.append(T.StructField(S.BUYER_ID, _field(src, S.BUYER_ID).dataType))
     partials = src.mapInArrow(_partials_fn(with_buyers), T.StructType(out_fields))
-    aggs = [from_cents(F.sum(_CENTS)).alias(S.DAILY_REVENUE),
+    aggs = [from_units(F.sum(_UNITS)).alias(S.DAILY_REVENUE),
             F.count_distinct(S.ORDER_ID).alias(S.DAILY_ORDERS)]
     if with_buyers:
         aggs.append(F.count_distinct(S.BUYER_ID).alias(S.DAILY_BUYERS))
     return partials.groupBy(S.ORDER_DATE).agg(*aggs)
 
 
-def _bucket_days(table: pa.Table) -> pa.Table:
-    """One hash bucket of pre-aggregated rows (order_date, k, cents) -> per-day revenue cents and
-    count of non-NULL keys, by a vectorised pyarrow group-by."""
-    out = table.group_by(S.ORDER_DATE, use_threads=False).aggregate([(_CENTS, "sum"), ("k", "count")])
-    return pa.table({
-        S.ORDER_DATE: out[S.ORDER_DATE],
-        _CENTS: pc.cast(out[f"{_CENTS}_sum"], pa.int64()),
-        "n": pc.cast(out["k_count"], pa.int64()),
-    })
+def _bucket_days(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One hash bucket of pre-aggregated rows (order_date, tag, units, k) -> per day and tag the
+    revenue units and the count of non-NULL keys.  Batch by batch: only one row per day and tag is
+    held, and a native sum merges the buckets' rows."""
+    held = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch]).group_by([S.ORDER_DATE, "tag"], use_threads=False)
+        t = t.aggregate([(_UNITS, "sum"), ("k", "count")]).rename_columns([S.ORDER_DATE, "tag", _UNITS, "n"])
+        t = t.set_column(3, "n", pc.cast(t["n"], pa.int64())) if held is None else \
+            pa.concat_tables([held, t.set_column(3, "n", pc.cast(t["n"], pa.int64()))])
+        t = t.group_by([S.ORDER_DATE, "tag"], use_threads=False).aggregate([(_UNITS, "sum"), ("n", "sum")])
+        held = t.rename_columns([S.ORDER_DATE, "tag", _UNITS, "n"])
+    if held is not None:
+        yield from held.to_batches()
 
 
 def daily_metrics_grouped(staged: DataFrame, from_date=None, with_buyers: bool = True,
                           buckets: int | None = None) -> DataFrame:
     """U2: grouped Arrow aggregation over bounded hash buckets.
 
-    Rows are first pre-aggregated natively to one row per (day, order) and per (day, buyer), then
-    grouped by a hash bucket of the key: every bucket holds about 1/``buckets`` of those rows, a
-    hot day is spread over all buckets and a hot key is already one row.  ``buckets`` defaults to
-    ``spark.sql.shuffle.partitions``, so a group is about the size of a shuffle partition."""
+    The source is read once.  Each row gives one entry for its order (with its revenue) and one for
+    its buyer, told apart by a tag; they are pre-aggregated natively to one row per (day, tag, key)
+    and grouped by a hash bucket of the key, so a hot day is spread over all buckets and a hot key
+    is already one row.  A bucket is streamed in Arrow batches, never held whole."""
     spark = staged.sparkSession
     nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = in_window(staged, from_date)
-    out = "order_date date, cents long, n long"
-
-    per_order = (src.groupBy(S.ORDER_DATE, S.ORDER_ID)
-                 .agg(F.sum(to_cents(S.REVENUE)).alias(_CENTS))
-                 .select(S.ORDER_DATE, F.col(S.ORDER_ID).alias("k"), _CENTS,
-                         F.pmod(F.xxhash64(S.ORDER_ID), F.lit(nb)).alias(_BUCKET)))
-    orders = per_order.groupBy(_BUCKET).applyInArrow(_bucket_days, out)
-    parts = orders.select(S.ORDER_DATE, _CENTS, F.col("n").alias("n_orders"),
-                          F.lit(None).cast("long").alias("n_buyers"))
+    entries = [F.struct(F.lit(0).alias("tag"), F.col(S.ORDER_ID).cast("string").alias("k"), to_units(S.REVENUE).alias(_UNITS))]
     if with_buyers:
-        per_buyer = (src.select(S.ORDER_DATE, F.col(S.BUYER_ID).alias("k")).distinct()
-                     .select(S.ORDER_DATE, "k", F.lit(None).cast("long").alias(_CENTS),
-                             F.pmod(F.xxhash64("k"), F.lit(nb)).alias(_BUCKET)))
-        buyers = per_buyer.groupBy(_BUCKET).applyInArrow(_bucket_days, out)
-        parts = parts.unionByName(buyers.select(S.ORDER_DATE, F.lit(None).cast("long").alias(_CENTS),
-                                                F.lit(None).cast("long").alias("n_orders"),
-                                                F.col("n").alias("n_buyers")))
-    aggs = [from_cents(F.sum(_CENTS)).alias(S.DAILY_REVENUE),
-            F.coalesce(F.sum("n_orders"), F.lit(0)).cast("long").alias(S.DAILY_ORDERS)]
-    if with_buyers:
-        aggs.append(F.coalesce(F.sum("n_buyers"), F.lit(0)).cast("long").alias(S.DAILY_BUYERS))
-    return parts.groupBy(S.ORDER_DATE).agg(*aggs)
+        entries.append(F.struct(F.lit(1).alias("tag"), F.col(S.BUYER_ID).cast("string").alias("k"),
+                                F.lit(None).cast("long").alias(_UNITS)))
+    pairs = src.select(S.ORDER_DATE, F.inline(F.array(*entries)))
+    once = (pairs.groupBy(S.ORDER_DATE, "tag", "k").agg(F.sum(_UNITS).alias(_UNITS))
+            .withColumn(_BUCKET, F.pmod(F.xxhash64("k"), F.lit(nb))))
+    parts = once.groupBy(_BUCKET).applyInArrow(_bucket_days, f"{S.ORDER_DATE} date, tag int, {_UNITS} long, n long")
+    counted = [from_units(F.sum(_UNITS)).alias(S.DAILY_REVENUE)]
+    for tag, name in ((0, S.DAILY_ORDERS), (1, S.DAILY_BUYERS))[: 2 if with_buyers else 1]:
+        counted.append(F.coalesce(F.sum(F.when(F.col("tag") == tag, F.col("n"))), F.lit(0)).cast("long").alias(name))
+    return parts.groupBy(S.ORDER_DATE).agg(*counted)

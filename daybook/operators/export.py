@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from daybook import schemas as S
 
+# The exported columns.
 EXPORT_COLUMNS = (S.ORDER_ID, S.BUYER_ID, S.ORDER_DATE, S.ORDER_TS, S.PRODUCT_ID, S.QUANTITY,
                   S.UNIT_PRICE, S.REVENUE, S.PAYMENT_METHOD)
 

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook import schemas as S
 from daybook.functions.dates import date_lit, parse_date, partition_date
-from daybook.functions.money import to_cents
+from daybook.functions.money import MONEY_SCALE, finite, to_units
 
 # The declared not_null column tests per model.  ``running_revenue`` is also declared
 # on agg_daily_revenue_v2, which never produces that column; that check is left out.
@@ -33,15 +33,6 @@ NOT_NULL_CHECKS: dict[str, tuple[str, ...]] = {
 }
 
 
-def staging_model_for(model_name: str) -> str:
-    """Which staging model feeds a metric model (v1 -> v1, v2 and v3 -> v2, otherwise v1)."""
-    if "v1" in model_name:
-        return "stg_orders_v1"
-    if "v2" in model_name or "v3" in model_name:
-        return "stg_orders_v2"
-    return "stg_orders_v1"
-
-
 def null_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
     """One pass: NULL count per declared column.  A declared column the table lacks fails its
     check (NULL count)."""
@@ -71,29 +62,32 @@ def _valid_source_rows(source: DataFrame) -> DataFrame:
     return source.filter(F.col(S.ORDER_TS).isNotNull() & F.col(S.REVENUE).isNotNull() & (F.col(S.REVENUE) > 0))
 
 
-def _preview_row(counted: DataFrame, model: str, mode: str, from_date, day_col) -> DataFrame:
-    d = parse_date(from_date) if from_date is not None else None
-    aggs = [F.count(F.lit(1)).alias("row_count")]
-    aggs.append(F.count_distinct(day_col).alias("day_count") if d is not None
-                else F.lit(None).cast("long").alias("day_count"))
-    return counted.agg(*aggs).select(
-        F.lit(model).alias("model"), F.lit(mode).alias("mode"),
-        F.lit(d).cast("date").alias("from_date"), "row_count", "day_count")
+def run_previews(rows: DataFrame, day: Column, requests: Sequence[tuple[str, str, object]]) -> DataFrame:
+    """(model, mode, from_date, row_count, day_count) of several runs that read the same rows, in one
+    pass: ``requests`` are (model, mode, from_date or None)."""
+    aggs, structs = [], []
+    for i, (model, mode, from_date) in enumerate(requests):
+        d = parse_date(from_date) if from_date is not None else None
+        if d is None:
+            aggs += [F.count(F.lit(1)).alias(f"r{i}"), F.lit(None).cast("long").alias(f"d{i}")]
+        else:
+            hit = day >= date_lit(d)
+            aggs += [F.count_if(hit).alias(f"r{i}"), F.count_distinct(F.when(hit, day)).alias(f"d{i}")]
+        structs.append(F.struct(F.lit(model).alias("model"), F.lit(mode).alias("mode"), F.lit(d).cast("date").alias("from_date"),
+                                F.col(f"r{i}").alias("row_count"), F.col(f"d{i}").alias("day_count")))
+    return rows.agg(*aggs).select(F.inline(F.array(*structs)))
 
 
-def preview_source(source: DataFrame, model: str, mode: str, from_date=None) -> DataFrame:
+def preview_source(source: DataFrame, requests: Sequence[tuple[str, str, object]]) -> DataFrame:
     """Rows (and days, when windowed) about to be staged.  Counts only valid rows (timestamp and
     revenue present, revenue > 0), as the reference's preview does, although staging keeps rows with
     non-positive revenue: the preview can undercount what is processed."""
-    rows = _valid_source_rows(source)
-    if from_date is not None:
-        rows = rows.filter(F.to_date(F.col(S.ORDER_TS)) >= date_lit(from_date))
-    return _preview_row(rows, model, mode, from_date, F.to_date(F.col(S.ORDER_TS)))
+    return run_previews(_valid_source_rows(source), F.to_date(F.col(S.ORDER_TS)), requests)
 
 
-def preview_staging(staged: DataFrame, model: str, mode: str, from_date=None) -> DataFrame:
-    rows = staged if from_date is None else staged.filter(F.col(S.ORDER_DATE) >= date_lit(from_date))
-    return _preview_row(rows, model, mode, from_date, F.col(S.ORDER_DATE))
+def preview_staging(staged: DataFrame, requests: Sequence[tuple[str, str, object]]) -> DataFrame:
+    """Rows (and days, when windowed) of the staging table that metric models are about to read."""
+    return run_previews(staged, F.col(S.ORDER_DATE), requests)
 
 
 def run_mode(incremental_model: bool, target_exists: bool, full_refresh: bool) -> str:
@@ -102,36 +96,27 @@ def run_mode(incremental_model: bool, target_exists: bool, full_refresh: bool) -
     return "full_refresh"
 
 
-def run_preview(model: str, *, source: DataFrame | None = None, staged: DataFrame | None = None,
-                incremental_model: bool, target_exists: bool, full_refresh: bool, from_date=None) -> DataFrame:
-    """What a run of ``model`` will read: staging models count the source, metric models count
-    their staging table (v1 -> stg_orders_v1, v2/v3 -> stg_orders_v2).  Only an incremental run
-    with an existing target is windowed."""
-    mode = run_mode(incremental_model, target_exists, full_refresh)
-    window = from_date if mode == "incremental" else None
-    if model.startswith("stg_orders"):
-        return preview_source(source, model, mode, window)
-    return preview_staging(staged, model, mode, window)
-
-
 # Rejection reasons; the first three are the export's validity filter.
 REJECT_REASONS = ("null_order_date", "null_revenue", "non_positive_revenue")
 
 
 def rejected_rows(transactions: DataFrame) -> DataFrame:
     """(reason, row_count, rejected_by_export) in one pass.  Beyond the export filter it reports
-    rows whose revenue differs from round(quantity * unit_price, 2) and, for a Hive-partitioned
-    source, rows stored under a partition other than their timestamp's day (which would make the
-    partition-pruned window read miss them)."""
+    rows whose revenue differs from round(quantity * unit_price, 2), is no number (NaN, infinite:
+    left out of sums) or has parts of a cent and, for a Hive-partitioned source, rows stored under a
+    partition other than their timestamp's day (which a day-aligned window read would miss)."""
     rev = F.col(S.REVENUE)
     conds = {
         "null_order_date": F.col(S.ORDER_DATE).isNull(),
         "null_revenue": rev.isNull(),
         "non_positive_revenue": rev <= 0,
-        "revenue_mismatch": to_cents(S.UNIT_PRICE) * F.col(S.QUANTITY) != to_cents(S.REVENUE),
+        "nan_revenue": rev.isNotNull() & finite(rev).isNull(),
+        "sub_cent_revenue": to_units(S.REVENUE) != F.rint(finite(rev) * 100).cast("long") * (MONEY_SCALE // 100),
+        "revenue_mismatch": to_units(S.UNIT_PRICE) * F.col(S.QUANTITY) != to_units(S.REVENUE),
     }
     if all(k in transactions.columns for k in S.PARTITION_KEYS):
-        conds["partition_mismatch"] = partition_date() != F.to_date(F.col(S.ORDER_TS))
+        conds["partition_mismatch"] = F.col(S.ORDER_TS).isNotNull() & ~F.coalesce(
+            partition_date() == F.to_date(F.col(S.ORDER_TS)), F.lit(False))
     rejected = F.col(S.ORDER_DATE).isNull() | rev.isNull() | (rev <= 0)
     conds["export_rejected_total"] = rejected
     wide = transactions.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in conds.items()])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import schemas as S
-from daybook.functions.money import from_cents, money_sum, round_stat, to_cents
+from daybook.functions.money import from_units, money_sum, round_stat, to_units
 
 MEASURES = (S.DAILY_REVENUE, S.DAILY_ORDERS, S.DAILY_BUYERS)
 
@@ -72,10 +72,10 @@ def dataset_profile(staged: DataFrame) -> DataFrame:
 def avg_order_value(staged: DataFrame) -> DataFrame:
     """Mean over orders of the order's revenue: a two-level aggregate (per order, then global).
     The per-order step pre-aggregates map-side, so a very large order costs one row per task."""
-    per_order = staged.groupBy(S.ORDER_ID).agg(F.sum(to_cents(S.REVENUE)).alias("order_cents"))
+    per_order = staged.groupBy(S.ORDER_ID).agg(F.sum(to_units(S.REVENUE)).alias("units"))
     return per_order.agg(
         F.count(F.lit(1)).alias("order_count"),
-        round_stat(from_cents(F.avg("order_cents"))).alias("avg_order_value"),
+        round_stat(from_units(F.sum("units")) / F.count("units")).alias("avg_order_value"),
     )
 
 
@@ -105,9 +105,19 @@ def running_series(metric: DataFrame) -> DataFrame:
 def storage_footprint(spark: SparkSession, path: str) -> DataFrame:
     """Files and megabytes of the Parquet files under ``path``: a distributed listing
     (``binaryFile`` with only path and length selected never reads file content)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet").load(path).select("path", "length"))
-    return files.agg(
-        F.count(F.lit(1)).alias("file_count"),
-        F.round(F.sum("length") / (1024.0 * 1024.0), 2).alias("size_mb"),
-    )
+    return _files(spark, path).agg(*_footprint())
+
+
+def partition_footprint(spark: SparkSession, path: str) -> DataFrame:
+    """Files and megabytes per ``year/month/date`` folder."""
+    keys = [F.regexp_extract("path", f"/{k}=([0-9]+)/", 1).cast("int").alias(k) for k in S.PARTITION_KEYS]
+    return _files(spark, path).groupBy(*keys).agg(*_footprint())
+
+
+def _footprint() -> list:
+    return [F.count(F.lit(1)).alias("file_count"), F.round(F.sum("length") / (1024.0 * 1024.0), 6).alias("size_mb")]
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet").load(path).select("path", "length"))

@@ -8,7 +8,7 @@ never matches (equi-join semantics, like ``key IN (SELECT key ...)``).
 Never ``dropDuplicates(key)`` and never a key-matched MERGE: both lose lines.
 
 The anti-join is a shuffle on the key at scale; AQE's skew-join handling splits a hot key's
-partition.  ``sources.warehouse`` applies these to stored, partitioned tables and scopes the
+partition (nothing is repartitioned by hand, which would switch that off).  ``sources.warehouse`` applies these to stored, partitioned tables and scopes the
 rewrite to the touched partitions.
 """
 

@@ -1,15 +1,14 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
-Written independently of the Spark code, in the shape of the reference's own SQL models
-(CTEs, ``UNION ALL BY NAME``, ``NOT IN`` deletes, window frames).  Money sums are taken as
-``DECIMAL(18,2)`` and cast to DOUBLE; statistics are rounded to 6 decimals.
-Tables ``events``, ``lineitem`` and ``orders`` are views over the same Parquet files.
+Written from what each result *is*, not from how a run arrives at it: an incremental run's days are
+the window of the full cumulative series, moved by the offset that its seed rule implies; a staging
+upsert is the rows of the later batch plus the earlier rows of other orders.  Money is summed as
+``DECIMAL(38,10)``, without rounding lines first, and cast to DOUBLE; statistics are rounded to 6
+decimals.  Tables ``events``, ``lineitem`` and ``orders`` are views over the same Parquet files.
 """
 
 from __future__ import annotations
 
-from daybook.operators.quality import NOT_NULL_CHECKS
-
 EF = "2024-01-17"
 LF = "2001-07-19"
 L_CUT = "2001-07-26"
@@ -53,9 +52,7 @@ def stg2(name="stg", src="txn", from_date=None):
     return stg(name, src, w)
 
 
-MONEY = "CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
-RUNNING = ("CAST(SUM(CAST({c} AS DECIMAL(18,2))) OVER (ORDER BY order_date "
-           "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)")
+MONEY = "CAST(SUM(CAST({c} AS DECIMAL(38,10))) AS DOUBLE)"
 
 
 def daily(name: str, src: str, where: str = "") -> str:
@@ -65,35 +62,19 @@ def daily(name: str, src: str, where: str = "") -> str:
     FROM {src} {where} GROUP BY order_date)"""
 
 
-def daily3(name: str, src: str, where: str = "") -> str:
+def series(name: str, src: str, where: str = "") -> str:
+    """One row per day: exact revenue, orders, buyers, and the revenue of all days up to it."""
     return f"""{name} AS (
-    SELECT order_date, {MONEY.format(c='revenue')} AS daily_revenue,
-           {MONEY.format(c='revenue')} AS running_revenue,
-           COUNT(DISTINCT order_id) AS daily_orders, COUNT(DISTINCT buyer_id) AS daily_buyers
-    FROM {src} {where} GROUP BY 1)"""
+    SELECT *, SUM(exact) OVER (ORDER BY order_date) AS total FROM (
+        SELECT order_date, SUM(CAST(revenue AS DECIMAL(38,10))) AS exact,
+               COUNT(DISTINCT order_id) AS daily_orders, COUNT(DISTINCT buyer_id) AS daily_buyers
+        FROM {src} {where} GROUP BY order_date))"""
 
 
-def running(name: str, src: str) -> str:
-    """v3 full: window over the day series."""
-    return f"""{name} AS (
-    SELECT order_date, daily_revenue, daily_orders, daily_buyers,
-           {RUNNING.format(c='daily_revenue')} AS running_revenue
-    FROM {src})"""
-
-
-def seeded(name: str, new: str, target: str, from_date: str, seed: str = "exact") -> str:
-    """v3 incremental, the reference's CTE shape: new aggregates UNION ALL BY NAME the seed row."""
-    if seed == "exact":
-        pick = f"WHERE order_date = DATE '{from_date}' - INTERVAL '1' DAY"
-    else:
-        pick = f"WHERE order_date = (SELECT MAX(order_date) FROM {target} WHERE order_date < DATE '{from_date}')"
-    return f"""{name}_seed AS (
-    SELECT order_date, daily_revenue, daily_orders, daily_buyers, running_revenue FROM {target} {pick}),
-{name}_combined AS (SELECT * FROM {new} UNION ALL BY NAME SELECT * FROM {name}_seed),
-{name} AS (
-    SELECT order_date, daily_revenue, daily_orders, daily_buyers,
-           {RUNNING.format(c='running_revenue')} AS running_revenue
-    FROM {name}_combined)"""
+def days(src: str, offset: str = "0", where: str = "") -> str:
+    """The metric's columns of a series, its total moved down by ``offset``."""
+    return f"""SELECT order_date, CAST(exact AS DOUBLE) AS daily_revenue, daily_orders, daily_buyers,
+       CAST(total - {offset} AS DOUBLE) AS running_revenue FROM {src} {where}"""
 
 
 def with_(*ctes: str) -> str:
@@ -103,19 +84,18 @@ def with_(*ctes: str) -> str:
 V3_COLS = "order_date, daily_revenue, daily_orders, daily_buyers, running_revenue"
 
 
-def _incremental_sql(txn: str, from_date: str, seed: str, extra_filter: str = "") -> str:
-    src = "txn" if not extra_filter else "txn2"
-    pre = [txn]
-    if extra_filter:
-        pre.append(f"txn2 AS (SELECT * FROM txn WHERE {extra_filter})")
-    return with_(
-        *pre,
-        stg2("stg", src),
-        daily3("base_old", "stg", f"WHERE order_date < DATE '{from_date}'"),
-        running("target", "base_old"),
-        daily3("new_agg", "stg", f"WHERE order_date >= DATE '{from_date}'"),
-        seeded("result", "new_agg", "target", from_date, seed),
-    ) + f"SELECT {V3_COLS} FROM result"
+def _incremental_sql(txn: str, from_date: str, seed: str, extra_filter: str = "TRUE") -> str:
+    """What an incremental run of the running total emits: the day it continues from, as stored, and
+    the window's days.  ``latest`` continues from the newest earlier day, so nothing is moved;
+    ``exact`` only from the calendar day before, and starts from zero where that day has no sales."""
+    pre = with_(txn, f"txn2 AS (SELECT * FROM txn WHERE {extra_filter})", stg2("stg", "txn2"), series("s", "stg"))
+    if seed == "latest":
+        first = f"(SELECT MAX(order_date) FROM s WHERE order_date < DATE '{from_date}')"
+        return pre + days("s", where=f"WHERE order_date >= COALESCE({first}, DATE '{from_date}')")
+    eve = f"DATE '{from_date}' - INTERVAL 1 DAY"
+    missing = (f"CASE WHEN EXISTS (SELECT 1 FROM s WHERE order_date = {eve}) THEN 0 ELSE "
+               f"COALESCE((SELECT MAX(total) FROM s WHERE order_date < DATE '{from_date}'), 0) END")
+    return pre + days("s", f"({missing})", f"WHERE order_date >= {eve}")
 
 
 SQL: dict[str, str] = {}
@@ -145,30 +125,24 @@ SQL["daily_delete_insert"] = with_(
 UNION ALL BY NAME
 SELECT * FROM batch"""
 
-SQL["daily_running_full"] = with_(L_TXN, stg2(), daily3("base", "stg"), running("agg", "base")) + \
-    f"SELECT {V3_COLS} FROM agg"
-SQL["daily_running_full_events"] = with_(E_TXN, stg2(), daily3("base", "stg"), running("agg", "base")) + \
-    f"SELECT {V3_COLS} FROM agg"
+SQL["daily_running_full"] = with_(L_TXN, stg2(), series("s", "stg")) + days("s")
+SQL["daily_running_full_events"] = with_(E_TXN, stg2(), series("s", "stg")) + days("s")
 SQL["daily_running_incremental"] = _incremental_sql(L_TXN, LF, "exact")
 SQL["daily_running_incremental_events"] = _incremental_sql(E_TXN, EF, "exact")
 SQL["seed_latest_gap"] = _incremental_sql(E_TXN, EF, "latest", f"order_date <> DATE '{E_GAP}'")
 SQL["seed_exact_gap"] = _incremental_sql(E_TXN, EF, "exact", f"order_date <> DATE '{E_GAP}'")
 
+# First run without the late rows, then a run over the window once they are there: days before the
+# window keep the early figures, the window's days are complete and continue the early total of the
+# day before it.
 _LATE = with_(
-    E_TXN,
-    "early AS (SELECT * FROM txn WHERE NOT (order_id % 10 = 0))",
-    stg2("stg_1", "early"),
-    daily3("base_1", "stg_1"), running("metric_1", "base_1"),
-    stg2("batch", "txn", EF),
-    "stg_2 AS (SELECT * FROM stg_1 WHERE order_id NOT IN (SELECT order_id FROM batch) "
-    "UNION ALL BY NAME SELECT * FROM batch)",
-    daily3("new_agg", "stg_2", f"WHERE order_date >= DATE '{EF}'"),
-    seeded("win", "new_agg", "metric_1", EF, "exact"),
-    f"metric_2 AS (SELECT {V3_COLS} FROM metric_1 WHERE order_date NOT IN (SELECT order_date FROM win) "
-    f"UNION ALL BY NAME SELECT {V3_COLS} FROM win)",
-)
-SQL["late_in_window"] = _LATE + "SELECT * FROM metric_2"
-SQL["late_out_of_window"] = _LATE + "SELECT * FROM stg_2"
+    E_TXN, "early AS (SELECT * FROM txn WHERE order_id % 10 <> 0)",
+    stg2("stg_early", "early"), stg2("stg_window", "txn", EF), series("e", "stg_early"), series("w", "stg_window"))
+_LATE_START = f"COALESCE((SELECT total FROM e WHERE order_date = DATE '{EF}' - INTERVAL 1 DAY), 0)"
+SQL["late_in_window"] = _LATE + days("e", where=f"WHERE order_date < DATE '{EF}'") + "\nUNION ALL\n" + days("w", f"(-{_LATE_START})")
+SQL["late_out_of_window"] = _LATE + """SELECT * FROM stg_window
+UNION ALL
+SELECT e.* FROM stg_early e LEFT JOIN (SELECT DISTINCT order_id FROM stg_window) w USING (order_id) WHERE w.order_id IS NULL"""
 
 SQL["daily_arrow_batches"] = SQL["daily_running_full_events"]
 SQL["daily_arrow_grouped"] = SQL["daily_running_full_events"]
@@ -178,14 +152,9 @@ SQL["daily_arrow_v1_lines"] = SQL["daily_revenue_full"]
 SQL["daily_arrow_v2_window"] = SQL["daily_revenue_window"]
 SQL["daily_arrow_incremental"] = SQL["daily_running_incremental_events"]
 
-SQL["union_by_name"] = with_(
-    E_TXN, stg2(),
-    daily3("base_old", "stg", f"WHERE order_date < DATE '{EF}'"), running("target", "base_old"),
-    daily3("new_aggregates", "stg", f"WHERE order_date >= DATE '{EF}'"),
-    f"existing_data AS (SELECT {V3_COLS} FROM target WHERE order_date = DATE '{EF}' - INTERVAL '1' DAY)",
-) + """SELECT order_date, daily_revenue, running_revenue FROM existing_data
-UNION ALL BY NAME
-SELECT order_date, daily_revenue, running_revenue FROM new_aggregates"""
+SQL["union_by_name"] = with_(E_TXN, stg2(), series("s", "stg")) + f"""SELECT order_date, CAST(exact AS DOUBLE) AS daily_revenue,
+       CAST(CASE WHEN order_date < DATE '{EF}' THEN total ELSE exact END AS DOUBLE) AS running_revenue
+FROM s WHERE order_date >= DATE '{EF}' - INTERVAL 1 DAY"""
 
 SQL["schema_append"] = with_(
     E_TXN, stg2(), daily("target", "stg"),
@@ -197,7 +166,7 @@ WHERE order_date NOT IN (SELECT order_date FROM batch)
 UNION ALL BY NAME
 SELECT * FROM batch"""
 
-_L_METRIC = with_(L_TXN, stg2(), daily3("base", "stg"), running("m", "base"))
+_L_METRIC = with_(L_TXN, stg2(), series("s", "stg"), f"m AS ({days('s')})")
 SQL["latest_30_days"] = _L_METRIC + f"SELECT {V3_COLS} FROM m ORDER BY order_date DESC LIMIT 30"
 SQL["head_10"] = _L_METRIC + f"SELECT {V3_COLS} FROM m ORDER BY order_date LIMIT 10"
 SQL["limit_100"] = _L_METRIC + f"SELECT {V3_COLS} FROM m ORDER BY order_date LIMIT 100"
@@ -247,17 +216,35 @@ SELECT 'agg_daily_revenue_v2', 'full_refresh', CAST(NULL AS DATE), COUNT(*), CAS
 UNION ALL
 SELECT 'agg_daily_revenue_v1', 'full_refresh', CAST(NULL AS DATE), COUNT(*), CAST(NULL AS BIGINT) FROM s1"""
 
-_NN_TABLES = with_(
-    L_TXN, stg1("stg_orders_v1"), stg2("stg_orders_v2"),
-    daily("agg_daily_revenue_v1", "stg_orders_v1"), daily("agg_daily_revenue_v2", "stg_orders_v2"),
-    daily3("v3_base", "stg_orders_v2"), running("agg_daily_revenue_v3", "v3_base"),
-    daily("agg_daily_revenue_py_v1", "stg_orders_v1"), daily("agg_daily_revenue_py_v2", "stg_orders_v2"),
-    running("agg_daily_revenue_py_v3", "v3_base"),
-)
-SQL["not_null_report"] = _NN_TABLES + "\nUNION ALL\n".join(
-    f"SELECT '{m}' AS model, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, "
-    f"COUNT(*) FILTER (WHERE {c} IS NULL) = 0 AS passed FROM {m}"
-    for m, cols in NOT_NULL_CHECKS.items() for c in cols)
+# The declared not-null columns, as the reference declares them per model.
+_STAGING_NN = "order_id buyer_id order_date order_timestamp product_id quantity unit_price revenue payment_method"
+_NOT_NULL = {
+    "stg_orders_v1": _STAGING_NN,
+    "stg_orders_v2": _STAGING_NN,
+    "agg_daily_revenue_v1": "order_date daily_revenue daily_orders",
+    "agg_daily_revenue_v2": "order_date daily_revenue daily_orders",
+    "agg_daily_revenue_v3": "order_date daily_revenue daily_orders daily_buyers running_revenue",
+    "agg_daily_revenue_py_v1": "order_date daily_revenue daily_orders",
+    "agg_daily_revenue_py_v2": "order_date daily_revenue daily_orders",
+    "agg_daily_revenue_py_v3": "order_date daily_revenue daily_orders daily_buyers running_revenue",
+}
+
+
+def _not_null(txn: str) -> str:
+    tables = with_(
+        txn, stg1("stg_orders_v1"), stg2("stg_orders_v2"), series("s", "stg_orders_v2"),
+        daily("agg_daily_revenue_v1", "stg_orders_v1"), daily("agg_daily_revenue_v2", "stg_orders_v2"),
+        f"agg_daily_revenue_v3 AS ({days('s')})", "agg_daily_revenue_py_v1 AS (SELECT * FROM agg_daily_revenue_v1)",
+        "agg_daily_revenue_py_v2 AS (SELECT * FROM agg_daily_revenue_v2)",
+        "agg_daily_revenue_py_v3 AS (SELECT * FROM agg_daily_revenue_v3)")
+    return tables + "\nUNION ALL\n".join(
+        f"SELECT '{m}' AS model, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+        f"COUNT(*) FILTER (WHERE {c} IS NULL) = 0 AS passed FROM {m}"
+        for m, cols in _NOT_NULL.items() for c in cols.split())
+
+
+SQL["not_null_report"] = _not_null(L_TXN)
+SQL["stored_not_null_report"] = _not_null(E_TXN)
 
 
 def _rejected(txn: str) -> str:
@@ -265,6 +252,8 @@ def _rejected(txn: str) -> str:
         ("null_order_date", "order_date IS NULL", True),
         ("null_revenue", "revenue IS NULL", True),
         ("non_positive_revenue", "revenue <= 0", True),
+        ("nan_revenue", "isnan(revenue) OR isinf(revenue)", False),
+        ("sub_cent_revenue", "CAST(revenue AS DECIMAL(38,10)) <> CAST(CAST(revenue AS DECIMAL(38,10)) AS DECIMAL(38,2))", False),
         ("revenue_mismatch", "CAST(ROUND(unit_price * 100) AS BIGINT) * quantity <> CAST(ROUND(revenue * 100) AS BIGINT)", False),
         ("export_rejected_total", "order_date IS NULL OR revenue IS NULL OR revenue <= 0", True),
     ]
@@ -275,13 +264,20 @@ def _rejected(txn: str) -> str:
 
 SQL["rejected_rows"] = _rejected(L_TXN)
 SQL["rejected_rows_events"] = _rejected(E_TXN)
-SQL["export_partitions"] = with_(E_TXN) + """SELECT CAST(YEAR(order_date) AS INTEGER) AS year,
-    CAST(MONTH(order_date) AS INTEGER) AS month, CAST(DAY(order_date) AS INTEGER) AS date, COUNT(*) AS row_count
-FROM txn WHERE order_date IS NOT NULL AND revenue IS NOT NULL AND revenue > 0
-GROUP BY 1, 2, 3"""
-SQL["partition_pruned_scan"] = with_(
-    E_TXN, "valid AS (SELECT * FROM txn WHERE order_date IS NOT NULL AND revenue IS NOT NULL AND revenue > 0)",
-    stg2("stg", "valid", EF)) + "SELECT * FROM stg"
+_EXPORTED = "order_date IS NOT NULL AND revenue IS NOT NULL AND revenue > 0"
+_KEYS = """CAST(YEAR(order_date) AS INTEGER) AS year, CAST(MONTH(order_date) AS INTEGER) AS month,
+    CAST(DAY(order_date) AS INTEGER) AS date"""
+SQL["export_partitions"] = with_(E_TXN) + f"SELECT {_KEYS}, COUNT(*) AS row_count FROM txn WHERE {_EXPORTED} GROUP BY 1, 2, 3"
+SQL["export_read_back"] = with_(E_TXN) + f"SELECT *, {_KEYS} FROM txn WHERE {_EXPORTED}"
+# The second export holds the window's days only, with every third order at double revenue.
+SQL["export_rerun"] = with_(E_TXN) + f"""SELECT * REPLACE (
+    CASE WHEN order_date >= DATE '{EF}' AND order_id % 3 = 0 THEN revenue * 2 ELSE revenue END AS revenue), {_KEYS}
+FROM txn WHERE {_EXPORTED}"""
+SQL["exported_footprint"] = with_(E_TXN) + f"""SELECT {_KEYS}, COUNT(*) AS row_count, TRUE AS has_files, TRUE AS has_bytes
+FROM txn WHERE {_EXPORTED} GROUP BY 1, 2, 3"""
+SQL["partition_pruned_scan"] = with_(E_TXN, f"valid AS (SELECT * FROM txn WHERE {_EXPORTED})",
+                                     stg2("stg", "valid", EF)) + "SELECT * FROM stg"
+SQL["unaligned_partition_scan"] = SQL["partition_pruned_scan"]
 
 SQL["trend_series"] = _L_METRIC + f"SELECT {V3_COLS} FROM m ORDER BY order_date"
 SQL["stored_run_incremental_v3"] = SQL["daily_running_full_events"]
@@ -289,3 +285,30 @@ SQL["stored_run_incremental_py_v3"] = SQL["daily_running_full_events"]
 SQL["stored_run_incremental_v2"] = with_(E_TXN, stg2(), daily("agg", "stg")) + "SELECT * FROM agg"
 SQL["stored_run_late_rows"] = SQL["late_in_window"]
 SQL["stored_run_late_rows_staging"] = SQL["late_out_of_window"]
+SQL["stored_full_refresh_v3"] = SQL["daily_running_full_events"]
+SQL["stored_run_v1"] = SQL["daily_revenue_full_events"]
+SQL["stored_views"] = SQL["daily_running_full_events"] + " QUALIFY row_number() OVER (ORDER BY order_date DESC) <= 7"
+SQL["stored_previews"] = with_(E_TXN, stg2()) + f"""
+SELECT 'stg_orders_v2' AS model, 'incremental' AS mode, DATE '{EF}' AS from_date,
+       COUNT(*) AS row_count, COUNT(DISTINCT order_date) AS day_count
+FROM stg WHERE revenue > 0 AND order_date >= DATE '{EF}'
+UNION ALL
+SELECT 'agg_daily_revenue_v3', 'incremental', DATE '{EF}', COUNT(*), COUNT(DISTINCT order_date) FROM stg WHERE order_date >= DATE '{EF}'
+UNION ALL
+SELECT 'agg_daily_revenue_py_v3', 'first_run', CAST(NULL AS DATE), COUNT(*), CAST(NULL AS BIGINT) FROM stg"""
+SQL["default_window_run"] = SQL["daily_revenue_window_events"]
+SQL["typed_empty_window"] = with_(E_TXN, stg2(), series("s", "stg")) + days("s", where="WHERE FALSE")
+
+# The second batch re-stages the window, where every seventh order has moved back by a year (so the
+# days it leaves in the window's last week may empty), and every fifth line is restated.
+_MOVED = f"""moved AS (
+    SELECT * REPLACE (CASE WHEN order_id % 7 = 0 THEN order_timestamp - INTERVAL 1 YEAR ELSE order_timestamp END AS order_timestamp,
+                      CASE WHEN product_id % 5 = 0 THEN revenue + 1 ELSE revenue END AS revenue)
+    FROM txn WHERE CAST(order_timestamp AS DATE) >= DATE '{LF}')"""
+SQL["stored_upsert_lines_direct"] = with_(
+    L_TXN, stg2("before", "txn"), _MOVED, stg2("batch", "moved"),
+    "orders_in AS (SELECT DISTINCT order_id FROM batch)",
+) + """SELECT * FROM batch
+UNION ALL
+SELECT b.* FROM before b LEFT JOIN orders_in o USING (order_id) WHERE o.order_id IS NULL"""
+SQL["stored_upsert_lines_index"] = SQL["stored_upsert_lines_direct"]

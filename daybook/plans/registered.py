@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import schemas as S
-from daybook.functions.dates import date_lit
+from daybook.functions.dates import date_lit, default_from_date, parse_date
 from daybook.operators import arrow, export, metrics, quality, reports, staging, upsert
-from daybook.plans.runs import Project
+from daybook.plans.runs import MODELS, Project, not_null_checks
 from daybook.session import scratch_path
 from daybook.sources import adapters as A
 from daybook.sources.transactions import read_transactions
@@ -251,30 +251,32 @@ def rows_per_day(spark, d):
 # --- quality and audit ---------------------------------------------------------------------------
 
 def run_preview_source(spark, d):
-    src = A.lines_source(spark, d)
-    return (quality.run_preview("stg_orders_v2", source=src, incremental_model=True, target_exists=True,
-                                full_refresh=False, from_date=LF)
-            .unionByName(quality.run_preview("stg_orders_v2", source=src, incremental_model=True,
-                                             target_exists=False, full_refresh=False, from_date=LF))
-            .unionByName(quality.run_preview("stg_orders_v1", source=src, incremental_model=False,
-                                             target_exists=True, full_refresh=False, from_date=LF)))
+    """Previews of an incremental, a first and a full run over the source, in one pass."""
+    return quality.preview_source(A.lines_source(spark, d), [
+        ("stg_orders_v2", quality.run_mode(True, True, False), LF),
+        ("stg_orders_v2", quality.run_mode(True, False, False), None),
+        ("stg_orders_v1", quality.run_mode(False, True, False), None)])
 
 
 def run_preview_staging(spark, d):
     src = A.lines_source(spark, d)
-    stg1, stg2 = staging.stage_v1(src), staging.stage_v2(src)
-    return (quality.run_preview("agg_daily_revenue_v3", staged=stg2, incremental_model=True, target_exists=True,
-                                full_refresh=False, from_date=LF)
-            .unionByName(quality.run_preview("agg_daily_revenue_v2", staged=stg2, incremental_model=True,
-                                             target_exists=True, full_refresh=True, from_date=LF))
-            .unionByName(quality.run_preview("agg_daily_revenue_v1", staged=stg1, incremental_model=False,
-                                             target_exists=True, full_refresh=False, from_date=LF)))
+    return quality.preview_staging(staging.stage_v2(src), [
+        ("agg_daily_revenue_v3", quality.run_mode(True, True, False), LF),
+        ("agg_daily_revenue_v2", quality.run_mode(True, True, True), None),
+    ]).unionByName(quality.preview_staging(staging.stage_v1(src), [
+        ("agg_daily_revenue_v1", quality.run_mode(False, True, False), None)]))
 
 
 def model_tables(spark, d) -> dict[str, DataFrame]:
-    """All eight models built from L as full runs."""
+    """All eight models built from L as full runs, each a stored table: the staging tables are read
+    back by the metric models, so the source's join runs once per staging model."""
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
     src = A.lines_source(spark, d)
-    stg1, stg2 = staging.stage_v1(src), staging.stage_v2(src)
+    stg1, stg2 = stored("stg_orders_v1", staging.stage_v1(src)), stored("stg_orders_v2", staging.stage_v2(src))
     return {
         "stg_orders_v1": stg1,
         "stg_orders_v2": stg2,
@@ -301,25 +303,60 @@ def rejected_rows_events(spark, d):
 
 # --- export and partitioned scan -----------------------------------------------------------------
 
-def export_partitions(spark, d):
-    return export.export_partition_counts(export.export_frame(A.events_source(spark, d)))
-
-
 def _exported_events(spark, d) -> str:
     path = scratch_path(spark, "export")
     export.partitioned_export(A.events_source(spark, d), path)
     return path
 
 
+def export_partitions(spark, d):
+    """Rows per partition of the written export."""
+    return export.export_partition_counts(spark.read.parquet(_exported_events(spark, d)))
+
+
+def export_read_back(spark, d):
+    """Every row of the written export, with its partition keys."""
+    return spark.read.parquet(_exported_events(spark, d))
+
+
+def export_rerun(spark, d):
+    """A second export of the window's days, with changed revenue: it replaces the partitions it
+    touches and leaves the others."""
+    path = _exported_events(spark, d)
+    again = A.events_source(spark, d).filter(F.col(S.ORDER_DATE) >= date_lit(EF))
+    changed = F.when(F.col(S.ORDER_ID) % 3 == 0, F.col(S.REVENUE) * 2).otherwise(F.col(S.REVENUE))
+    export.partitioned_export(again.withColumn(S.REVENUE, changed), path)
+    return spark.read.parquet(path)
+
+
 def partition_pruned_scan(spark, d):
-    """Export E in the Hive layout, then read the window back: the partition-date bound prunes
-    directories, the timestamp bound is pushed into the remaining files."""
+    """Export E in the Hive layout, then read the window back as a source declared day-aligned: the
+    partition-date bound prunes directories, the timestamp bound is pushed into the other files."""
     path = _exported_events(spark, d)
+    return staging.stage_v2(read_transactions(spark, path, from_date=EF, day_aligned=True), from_date=EF)
+
+
+def unaligned_partition_scan(spark, d):
+    """The window read of a source whose rows lie in other days' folders (every third order a month
+    early) or in NULL folders (every fifth): none may be missed."""
+    frame = export.export_frame(A.events_source(spark, d))
+    early = F.add_months(S.ORDER_DATE, -1)
+    folder = F.when(F.col(S.ORDER_ID) % 5 == 0, F.lit(None).cast("date")).when(F.col(S.ORDER_ID) % 3 == 0, early).otherwise(
+        F.col(S.ORDER_DATE))
+    placed = frame.withColumns({"year": F.year(folder), "month": F.month(folder), "date": F.dayofmonth(folder)})
+    path = scratch_path(spark, "unaligned")
+    placed.write.partitionBy(*S.PARTITION_KEYS).parquet(path)
     return staging.stage_v2(read_transactions(spark, path, from_date=EF), from_date=EF)
 
 
 def exported_footprint(spark, d):
-    return reports.storage_footprint(spark, _exported_events(spark, d))
+    """Per partition of the written export: its rows, and that it has files and bytes."""
+    path = _exported_events(spark, d)
+    rows = export.export_partition_counts(spark.read.parquet(path))
+    sizes = reports.partition_footprint(spark, path)
+    return rows.join(sizes, list(S.PARTITION_KEYS), "left").select(
+        *S.PARTITION_KEYS, "row_count", F.coalesce(F.col("file_count") > 0, F.lit(False)).alias("has_files"),
+        F.coalesce(F.col("size_mb") > 0, F.lit(False)).alias("has_bytes"))
 
 
 # --- stored-model runs (real writes into a scratch warehouse) -------------------------------------
@@ -375,6 +412,95 @@ def stored_run_late_rows_staging(spark, d):
     return _two_runs(spark, early, src, EF).warehouse.read("stg_orders_v2")
 
 
+def stored_full_refresh_v3(spark, d):
+    """An earlier run on part of the rows, then a full refresh of both stored models."""
+    src = A.events_source(spark, d)
+    feed = _Arrivals(_before(src, "2024-01-24"))
+    project = Project(spark, feed, scratch_path(spark, "runs-wh"))
+    project.run(version=3)
+    feed.df = src
+    project.run(version=3, from_date=EF, full_refresh=True)
+    return project.warehouse.read("agg_daily_revenue_v3")
+
+
+def stored_run_v1(spark, d):
+    """The batch models, run twice: the second run rebuilds both tables."""
+    src = A.events_source(spark, d)
+    feed = _Arrivals(_before(src, "2024-01-24"))
+    project = Project(spark, feed, scratch_path(spark, "runs-wh"))
+    project.run(version=1)
+    feed.df = src
+    project.run(version=1)
+    return project.warehouse.read("agg_daily_revenue_v1")
+
+
+def _upserted_lines(spark, d, key_index: bool) -> DataFrame:
+    """Stored staging over L (several lines per order), then a batch that re-stages the window with
+    orders moved back by a year, days emptied by that, and restated lines."""
+    src = A.lines_source(spark, d)
+    feed = _Arrivals(src)
+    project = Project(spark, feed, scratch_path(spark, "upsert-wh"), key_index=key_index)
+    project.run_model("stg_orders_v2")
+    moved = F.when(F.col(S.ORDER_ID) % 7 == 0, F.col(S.ORDER_TS) - F.expr("INTERVAL 1 YEAR")).otherwise(F.col(S.ORDER_TS))
+    restated = F.when(F.col(S.PRODUCT_ID) % 5 == 0, F.col(S.REVENUE) + 1).otherwise(F.col(S.REVENUE))
+    batch = src.filter(F.to_date(S.ORDER_TS) >= date_lit(LF)).withColumns({S.ORDER_TS: moved, S.REVENUE: restated})
+    project.warehouse.delete_insert("stg_orders_v2", staging.stage_v2(batch), S.ORDER_ID)
+    return project.warehouse.read("stg_orders_v2")
+
+
+def stored_upsert_lines_direct(spark, d):
+    return _upserted_lines(spark, d, key_index=False)
+
+
+def stored_upsert_lines_index(spark, d):
+    return _upserted_lines(spark, d, key_index=True)
+
+
+def _all_models(spark, d) -> Project:
+    project = Project(spark, _Arrivals(A.events_source(spark, d)), scratch_path(spark, "all-wh"))
+    for name in MODELS:
+        project.run_model(name)
+    return project
+
+
+def stored_not_null_report(spark, d):
+    """The declared tests over the eight stored tables of E: one scan each."""
+    return not_null_checks(_all_models(spark, d))
+
+
+def stored_views(spark, d):
+    """The stored metric table through its SQL view: the newest seven days."""
+    src = A.events_source(spark, d)
+    project = Project(spark, _Arrivals(src), scratch_path(spark, "views-wh"))
+    project.run(version=3)
+    project.warehouse.register_views()
+    return spark.sql(f"SELECT {', '.join(S.RUNNING_COLUMNS)} FROM agg_daily_revenue_v3 ORDER BY order_date DESC LIMIT 7")
+
+
+def stored_previews(spark, d):
+    """Previews of runs over a partitioned source and stored tables: two whose target exists, one
+    whose target doesn't."""
+    path = _exported_events(spark, d)
+    project = Project(spark, lambda fd: read_transactions(spark, path, fd, day_aligned=True), scratch_path(spark, "previews-wh"),
+                      day_aligned=True)
+    project.run(version=3)
+    parts = [project.preview(m, project.mode(m, False), EF)
+             for m in (MODELS[n] for n in ("stg_orders_v2", "agg_daily_revenue_v3", "agg_daily_revenue_py_v3"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def default_window_run(spark, d):
+    """The window that the project default gives for the run date 2024-01-31: 14 days back."""
+    first = default_from_date(today=parse_date("2024-01-31"))
+    return metrics.daily_revenue(staging.stage_v2(A.events_source(spark, d), first), first)
+
+
+def typed_empty_window(spark, d):
+    """A window without rows: the Arrow model's result is empty and keeps its column types."""
+    staged = staging.stage_v2(A.events_source(spark, d), "2030-01-01")
+    return metrics.running_total(arrow.daily_metrics_batches(staged, "2030-01-01"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_full": stg_full,
     "stg_incremental_window": stg_incremental_window,
@@ -425,4 +551,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_run_late_rows": stored_run_late_rows,
     "stored_run_late_rows_staging": stored_run_late_rows_staging,
     "trend_series": trend_series,
+    "export_read_back": export_read_back,
+    "export_rerun": export_rerun,
+    "unaligned_partition_scan": unaligned_partition_scan,
+    "stored_full_refresh_v3": stored_full_refresh_v3,
+    "stored_run_v1": stored_run_v1,
+    "stored_upsert_lines_direct": stored_upsert_lines_direct,
+    "stored_upsert_lines_index": stored_upsert_lines_index,
+    "stored_not_null_report": stored_not_null_report,
+    "stored_views": stored_views,
+    "stored_previews": stored_previews,
+    "default_window_run": default_window_run,
+    "typed_empty_window": typed_empty_window,
 }

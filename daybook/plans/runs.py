@@ -26,10 +26,12 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daybook import schemas as S
 from daybook.functions.dates import parse_date
 from daybook.operators import arrow, metrics, quality, staging
+from daybook.sources.transactions import has_day_folders, misplaced_rows
 from daybook.sources.warehouse import Warehouse, WriteResult
 
 SourceFn = Callable[[object], DataFrame]  # from_date or None -> transactions frame
@@ -41,23 +43,20 @@ class Model:
     incremental: bool
     key: str | None
     version: int
+    staging: str | None = None  # the staging model that a metric model reads; None: reads the source
     engine: str = "sql"  # "sql" (native plan) or "arrow" (Arrow-batch variant)
 
-    @property
-    def staging_model(self) -> str:
-        return quality.staging_model_for(self.name)
-
 
 # The reference's model names and their configuration.
 MODELS: dict[str, Model] = {
     "stg_orders_v1": Model("stg_orders_v1", False, None, 1),
     "stg_orders_v2": Model("stg_orders_v2", True, S.ORDER_ID, 2),
-    "agg_daily_revenue_v1": Model("agg_daily_revenue_v1", False, None, 1),
-    "agg_daily_revenue_v2": Model("agg_daily_revenue_v2", True, S.ORDER_DATE, 2),
-    "agg_daily_revenue_v3": Model("agg_daily_revenue_v3", True, S.ORDER_DATE, 3),
-    "agg_daily_revenue_py_v1": Model("agg_daily_revenue_py_v1", False, None, 1, "arrow"),
-    "agg_daily_revenue_py_v2": Model("agg_daily_revenue_py_v2", True, S.ORDER_DATE, 2, "arrow"),
-    "agg_daily_revenue_py_v3": Model("agg_daily_revenue_py_v3", True, S.ORDER_DATE, 3, "arrow"),
+    "agg_daily_revenue_v1": Model("agg_daily_revenue_v1", False, None, 1, "stg_orders_v1"),
+    "agg_daily_revenue_v2": Model("agg_daily_revenue_v2", True, S.ORDER_DATE, 2, "stg_orders_v2"),
+    "agg_daily_revenue_v3": Model("agg_daily_revenue_v3", True, S.ORDER_DATE, 3, "stg_orders_v2"),
+    "agg_daily_revenue_py_v1": Model("agg_daily_revenue_py_v1", False, None, 1, "stg_orders_v1", "arrow"),
+    "agg_daily_revenue_py_v2": Model("agg_daily_revenue_py_v2", True, S.ORDER_DATE, 2, "stg_orders_v2", "arrow"),
+    "agg_daily_revenue_py_v3": Model("agg_daily_revenue_py_v3", True, S.ORDER_DATE, 3, "stg_orders_v2", "arrow"),
 }
 
 
@@ -70,18 +69,19 @@ class RunReport:
     partitions_dropped: int
     seconds: float
     preview: DataFrame | None = field(default=None, repr=False)
+    misplaced_rows: int | None = None  # day-aligned source: window rows outside their day's folder
 
 
 class Project:
-    """A source of transactions and a warehouse folder."""
+    """A source of transactions and a warehouse folder.  ``day_aligned`` declares that every source
+    row lies in the folder of its day; ``key_index`` gives the staging table a key index."""
 
     def __init__(self, spark: SparkSession, source: SourceFn, warehouse_root: str,
-                 key_index: bool | None = None, key_buckets: int | None = None,
-                 broadcast_keys: int | None = None):
+                 key_index: bool = False, key_buckets: int | None = None, day_aligned: bool = False):
         self.spark = spark
         self.source = source
-        extra = {} if broadcast_keys is None else {"broadcast_keys": broadcast_keys}
-        self.warehouse = Warehouse(spark, warehouse_root, key_index=key_index, key_buckets=key_buckets, **extra)
+        self.day_aligned = day_aligned
+        self.warehouse = Warehouse(spark, warehouse_root, key_index=key_index, key_buckets=key_buckets)
 
     def mode(self, model: Model, full_refresh: bool) -> str:
         return quality.run_mode(model.incremental, self.warehouse.exists(model.name), full_refresh)
@@ -89,19 +89,19 @@ class Project:
     # -- model frames (no writes) -----------------------------------------------------------------
 
     def staging_frame(self, model: Model, mode: str, from_date) -> tuple[DataFrame, bool]:
-        """The staging frame, and whether its source is laid out by day (the Hive ``year/month/date``
-        partition columns are present), in which case each scan task holds about one day and the
-        full build can write without a shuffle."""
+        """The staging frame, and whether its source is laid out by day (declared, and the Hive
+        ``year/month/date`` columns are present), in which case each scan task holds about one day
+        and the full build can write without a shuffle."""
         window = None if model.version == 1 or mode != "incremental" else from_date
         src = self.source(window)
-        day_aligned = all(k in src.columns for k in S.PARTITION_KEYS)
+        day_aligned = self.day_aligned and has_day_folders(src)
         if model.version == 1:
             return staging.stage_v1(src), day_aligned
         return staging.stage_v2(src, from_date=window), day_aligned
 
     def metric_frame(self, model: Model, mode: str, from_date, seed: str) -> DataFrame:
         window = from_date if mode == "incremental" else None
-        staged = self.warehouse.read(model.staging_model, from_date=window)
+        staged = self.warehouse.read(model.staging, from_date=window)
         if model.engine == "arrow":
             days = arrow.daily_metrics_batches(staged, window, with_buyers=model.version == 3)
         elif model.version == 3:
@@ -131,7 +131,10 @@ class Project:
         if preview:
             prev = self.preview(model, mode, from_date)
         wh = self.warehouse
-        if model.name.startswith("stg_orders"):
+        misplaced = None
+        if model.staging is None:
+            if self.day_aligned and mode == "incremental" and has_day_folders(src := self.source(from_date)):
+                misplaced = misplaced_rows(src)
             frame, day_aligned = self.staging_frame(model, mode, from_date)
             if mode == "incremental":
                 res = wh.delete_insert(name, frame, model.key, S.ORDER_DATE)
@@ -145,20 +148,48 @@ class Project:
                 wh.write_full(name, frame)
                 res = WriteResult(name, wh.read(name).count())
         return RunReport(name, mode, parse_date(from_date) if from_date else None,
-                         res.partitions_written, res.partitions_dropped, round(time.time() - t0, 3), prev)
+                         res.partitions_written, res.partitions_dropped, round(time.time() - t0, 3), prev, misplaced)
 
     def preview(self, model: Model, mode: str, from_date) -> DataFrame:
         window = from_date if mode == "incremental" else None
-        if model.name.startswith("stg_orders"):
-            return quality.preview_source(self.source(window), model.name, mode, window)
-        return quality.preview_staging(self.warehouse.read(model.staging_model, from_date=window),
-                                       model.name, mode, window)
+        request = [(model.name, mode, window)]
+        if model.staging is None:
+            return quality.preview_source(self.source(window), request)
+        schema = S.staging_schema()
+        staged = self.warehouse.read_or_empty(model.staging, schema)
+        return quality.preview_staging(staged, request)
+
+    def refresh_days(self, name: str, days, seed: str = "latest") -> None:
+        """Re-derive a metric model's given days from staging; the running total is summed up again
+        from the stored day series, from the earliest of them on."""
+        model, wh = MODELS[name], self.warehouse
+        days = [d for d in days if d is not None]
+        if not days:
+            return
+        staged = wh.read(model.staging, days=days)
+        if model.engine == "arrow":
+            fresh = arrow.daily_metrics_batches(staged, None, with_buyers=model.version == 3)
+        else:
+            fresh = metrics.daily_metrics(staged) if model.version == 3 else metrics.daily_revenue(staged)
+        if not wh.exists(name):
+            wh.write_full(name, metrics.running_total(fresh) if model.version == 3 else fresh)
+            return
+        stored, first = wh.read(name), min(days)
+        gone = F.col(S.ORDER_DATE).isin(sorted(days))
+        if model.version == 3:
+            # One row per calendar day: the series is small whatever the source.
+            later = stored.filter((F.col(S.ORDER_DATE) >= F.lit(first)) & ~gone).select(*S.RUNNING_COLUMNS[:-1])
+            series = later.unionByName(fresh.select(*later.columns))
+            fresh = metrics.seeded_running_total(series, metrics.select_seed(stored, first, seed))
+            fresh = fresh.filter(F.col(S.ORDER_DATE) >= F.lit(first))
+            gone = F.col(S.ORDER_DATE) >= F.lit(first)
+        wh.write_full(name, stored.filter(~gone).unionByName(fresh))
 
     def run(self, version: int = 3, from_date=None, full_refresh: bool = False, seed: str = "latest",
             engine: str = "sql") -> list[RunReport]:
         """Staging then the metric model of a version (what ``+agg_daily_revenue_v<n>`` selects)."""
         metric = f"agg_daily_revenue_{'py_' if engine == 'arrow' else ''}v{version}"
-        stg = MODELS[metric].staging_model
+        stg = MODELS[metric].staging
         return [self.run_model(stg, from_date, full_refresh, seed),
                 self.run_model(metric, from_date, full_refresh, seed)]
 

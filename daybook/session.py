@@ -1,13 +1,14 @@
 """Session settings and the shared scratch location.
 
 Everything the engine persists between stages (lineage cuts, export trials) goes under the folder
-the cluster names in ``spark.checkpoint.dir``.  A private folder is created only when that setting
-is unset, which happens in local tests and benches, never on a configured cluster.
+the cluster names in ``spark.checkpoint.dir``.  A private folder is created only for a local
+master without that setting (tests, benches); on a cluster the setting is required.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -52,12 +53,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+# Results depend on these: a session that refuses them must not run.
+REQUIRED_CONF = ("spark.sql.session.timeZone", "spark.sql.legacy.parquet.nanosAsLong")
+
+
 def apply_conf(spark: SparkSession) -> None:
     for k, v in SQL_CONF.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # static or unmodifiable on this deployment: keep the cluster's value
-            pass
+        except Exception as e:  # a tuning setting that this deployment fixes: keep its value
+            if k in REQUIRED_CONF and spark.conf.get(k, None) != v:
+                raise RuntimeError(f"the session must have {k}={v}") from e
     ship_package(spark)
 
 
@@ -86,13 +92,16 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only if the session has none."""
+    """The shared checkpoint folder.  A private one is made only for a local master that has none; on
+    a cluster its executors could not see it, so there the setting is required."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[[^,]*\])?$", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="daybook-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

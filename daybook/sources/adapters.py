@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import schemas as S
-from daybook.functions.money import to_cents
 
 # The dates that leave 14 days in the window with the prior day present.
 EVENTS_FROM_DATE = "2024-01-17"
@@ -42,7 +41,7 @@ def events_as_transactions(events: DataFrame) -> DataFrame:
 
 def unit_price_from_total(total_col: str, qty_col: str):
     """Total / quantity rounded half-up to cents, in exact integer arithmetic."""
-    cents = to_cents(total_col)
+    cents = F.rint(F.col(total_col) * 100).cast("long")
     q = F.col(qty_col).cast("long")
     return F.when(q > 0, F.floor((cents * 2 + q) / (q * 2)) / 100.0)
 

@@ -6,6 +6,7 @@ Only directory metadata goes through the driver; data never does.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +55,32 @@ def list_subdirs(spark: SparkSession, path: str, prefix: str = "") -> list[tuple
         if name.startswith(prefix) and not name.startswith(("_", ".")):
             out.append((name, f"{base}/{name}"))
     return out
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """Text of a small marker file, or None if there is none."""
+    fs, p = jpath(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def replace_small(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small marker file in one step: written beside it, then renamed over it."""
+    jvm = spark.sparkContext._jvm
+    fs, tmp = jpath(spark, f"{path}.{uuid.uuid4().hex[:12]}")
+    stream = fs.create(tmp, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    rename = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    rename[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
+        fs.makeQualified(tmp), fs.makeQualified(target), rename)

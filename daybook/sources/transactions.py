@@ -2,12 +2,12 @@
 
 * Read the **root** directory: partition discovery then yields ``year``, ``month`` and ``date``
   (day of month) as int columns.  A recursive file glob would drop them.
-* ``from_date`` restricts the file listing to the month folders from ``from_date``'s month on, and
-  adds two predicates: the event-time filter on ``order_timestamp`` (pushed to the Parquet scan as
-  a timestamp range) and the same bound on the partition date, which prunes the remaining day
-  folders before any file is opened.  The second is valid only while a row's partition equals
-  the day of its timestamp, which is how the layout is written (``export.partitioned_export``);
-  ``quality.rejected_rows`` counts rows that break it.
+* ``from_date`` adds the event-time filter on ``order_timestamp`` (pushed to the Parquet scan as a
+  timestamp range).  Only if the source is *declared* ``day_aligned`` - every row lies in the folder
+  of its timestamp's day, as ``export.partitioned_export`` writes it - are folders pruned too: the
+  listing is cut to the months from ``from_date``'s month on, and the same bound on the partition
+  date prunes the remaining day folders.  Folders without a date (NULL partition values) are always
+  read.  ``misplaced_rows`` counts rows that break the declaration.
 * A pandas-written ``TIMESTAMP(NANOS)`` column is read as bigint nanoseconds
   (``spark.sql.legacy.parquet.nanosAsLong``) and normalised to ``timestamp_ntz``.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from daybook import schemas as S
 from daybook.functions.dates import date_lit, parse_date, partition_date
-from daybook.sources.fs import list_subdirs
+from daybook.sources.fs import list_subdirs, path_exists
 
 
 def normalise_timestamp(df: DataFrame, column: str = S.ORDER_TS) -> DataFrame:
@@ -37,61 +37,71 @@ def normalise_timestamp(df: DataFrame, column: str = S.ORDER_TS) -> DataFrame:
     return df
 
 
-def prune_to_window(df: DataFrame, from_date, ts_column: str = S.ORDER_TS) -> DataFrame:
-    """Event-time lower bound (inclusive) plus the partition-directory bound when available."""
+def has_day_folders(df: DataFrame) -> bool:
+    return all(k in df.columns for k in S.PARTITION_KEYS)
+
+
+def window_rows(df: DataFrame, from_date, ts_column: str = S.ORDER_TS, day_aligned: bool = False) -> DataFrame:
+    """Event-time lower bound (inclusive); for a day-aligned source the partition bound as well."""
     if from_date is None:
         return df
-    out = df
-    if all(k in df.columns for k in S.PARTITION_KEYS):
-        out = out.filter(partition_date() >= date_lit(from_date))
-    return out.filter(F.to_date(F.col(ts_column)) >= date_lit(from_date))
+    if day_aligned and has_day_folders(df):
+        day = partition_date()
+        df = df.filter((day >= date_lit(from_date)) | day.isNull())
+    return df.filter(F.to_date(F.col(ts_column)) >= date_lit(from_date))
+
+
+def day_rows(df: DataFrame, days, ts_column: str = S.ORDER_TS, day_aligned: bool = False) -> DataFrame:
+    """Rows of the given event days; for a day-aligned source from their folders only."""
+    days = sorted(days)
+    if day_aligned and has_day_folders(df):
+        day = partition_date()
+        df = df.filter(day.isin(days) | day.isNull())
+    return df.filter(F.to_date(F.col(ts_column)).isin(days))
+
+
+def misplaced_rows(df: DataFrame) -> int:
+    """Rows outside the folder of their timestamp's day (NULL folders included)."""
+    wrong = ~F.coalesce(partition_date() == F.to_date(F.col(S.ORDER_TS)), F.lit(False))
+    return df.filter(F.col(S.ORDER_TS).isNotNull() & wrong).count()
 
 
 def window_month_paths(spark: SparkSession, root: str, from_date) -> list[str] | None:
     """``year=Y/month=M`` folders of months on or after ``from_date``'s month, found by listing only
-    the year and month levels; None when the layout is not year/month/day.  Handing these to the
-    file index keeps a 14-day run from listing every file of the table's history."""
+    the year and month levels, and every folder with a NULL year, month or day; None when the layout
+    is not year/month/day.  Handing these to the file index keeps a 14-day run from listing every
+    file of the table's history."""
     d = parse_date(from_date)
     years = list_subdirs(spark, root, "year=")
     if not years:
         return None
+    null = "__HIVE_DEFAULT_PARTITION__"
     out = []
     for y_name, y_path in years:
-        try:
-            y = int(y_name[len("year="):])
-        except ValueError:  # a NULL year cannot be dated: keep it, the row filters decide
+        y = y_name[len("year="):]
+        if y == null:
             out.append(y_path)
             continue
-        if y < d.year:
-            continue
         for m_name, m_path in list_subdirs(spark, y_path, "month="):
-            try:
-                m = int(m_name[len("month="):])
-            except ValueError:
-                out.append(m_path)
-                continue
-            if (y, m) >= (d.year, d.month):
+            m = m_name[len("month="):]
+            if m == null or (int(y), int(m)) >= (d.year, d.month):
                 out.append(m_path)
+            elif path_exists(spark, f"{m_path}/date={null}"):
+                out.append(f"{m_path}/date={null}")
     return out
 
 
 def read_transactions(spark: SparkSession, root: str, from_date=None, schema: T.StructType | None = None,
-                      prune: bool = True) -> DataFrame:
+                      day_aligned: bool = False) -> DataFrame:
     """Scan the partitioned source.  ``schema`` (including the partition columns) skips footer
     inference on very large layouts; without it, the schema is inferred as the reference does."""
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     reader = spark.read.option("basePath", root)
     if schema is not None:
         reader = reader.schema(schema)
     paths = [root]
-    if from_date is not None and prune:
-        months = window_month_paths(spark, root, from_date)
-        if months:
-            paths = months
-    df = normalise_timestamp(reader.parquet(*paths))
-    if from_date is not None and prune:
-        df = prune_to_window(df, from_date)
-    return df
+    if from_date is not None and day_aligned:
+        paths = window_month_paths(spark, root, from_date) or paths
+    return window_rows(normalise_timestamp(reader.parquet(*paths)), from_date, day_aligned=day_aligned)
 
 
 def partitioned_source_schema(key_type: T.DataType = T.StringType()) -> T.StructType:

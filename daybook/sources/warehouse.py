@@ -1,8 +1,12 @@
-"""Path-based Parquet tables: existence, reads, and the three write disciplines.
+"""Parquet tables in a folder: existence, reads, and the three write disciplines.
 
-* ``write_full`` (materialisation ``table``): the new table is built in a sibling folder and then
-  switched in by renames, so a rebuild may read the table it replaces, and a failed build leaves
-  the old table intact.  A static ``overwrite`` would delete the files before the job reads them.
+A table is a folder with one data folder per *version* and a small pointer file that names the
+current one.  A rebuild writes a new version beside the old and then replaces the pointer by one
+atomic rename, so readers and stopped runs see the old table or the new one, never none; what a
+stopped run left behind is removed by the next rebuild.
+
+* ``write_full`` (materialisation ``table``): a new version.  A rebuild may read the table it
+  replaces.
 * ``replace_days`` (``delete+insert`` on ``order_date``): only the days present in the frame are
   replaced.  The frame is checkpointed first (to the shared checkpoint folder) because it is
   usually derived from the same table (the seed row).  Metric tables hold one row per calendar day,
@@ -10,9 +14,14 @@
   a day-partitioned table gets a dynamic partition overwrite.
 * ``delete_insert`` (``delete+insert`` on a non-unique key such as ``order_id``): replaces all
   rows of every touched key, rewriting only the partitions involved: the batch's days plus the days
-  where target rows with those keys live (an order can move between days), found through a
-  bucketed key index when the history is long.  A partition emptied by the delete is removed
-  explicitly, since a dynamic overwrite only replaces partitions that receive rows.
+  where target rows with those keys live (an order can move between days).  A partition emptied by
+  the delete is removed explicitly, since a dynamic overwrite only replaces partitions that receive
+  rows.  Rows without a day are a partition like any other.
+
+The days that hold the batch's keys are found through the table's *key index* where it has one (a
+table property: once built it is maintained by every upsert, whatever the batch), else by joining
+the stored key column.  Either way the choice of join is left to adaptive execution, which
+broadcasts by measured size and splits hot keys.
 
 The order-line tables are partitioned by ``order_date``.  After a shuffle, ``rebalance`` on the
 partition column lets AQE split a hot day into several tasks and coalesce small days before the
@@ -24,10 +33,9 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +43,21 @@ from daybook import schemas as S
 from daybook.functions.dates import parse_date
 from daybook.operators.upsert import merged_columns, replace_days
 from daybook.session import checkpoint_root
-from daybook.sources.fs import delete_path, list_subdirs, path_exists, rename_path
+from daybook.sources.fs import (
+    delete_path,
+    list_subdirs,
+    path_exists,
+    read_small,
+    rename_path,
+    replace_small,
+)
+
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+POINTER = "_current"
+DATA = "data-"
+KEYS = "keys-"  # keys-<version>-b<buckets>: an index belongs to one version of its table
+INDEX_MONTH = "index_month"
+KEY_HASH = "key_hash"
 
 
 def count_partitions(spark: SparkSession, path: str, column: str) -> int:
@@ -44,14 +66,24 @@ def count_partitions(spark: SparkSession, path: str, column: str) -> int:
 
 
 def partition_dir(table_path: str, column: str, value) -> str:
-    v = value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else str(value)
+    v = NULL_DAY if value is None else value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else str(value)
     return f"{table_path.rstrip('/')}/{column}={v}"
 
 
-KEY_INDEX_TAG = "__keyindex_b"  # <table>__keyindex_b<buckets>: the bucket count is part of the name
-INDEX_MONTH = "index_month"
-INDEX_MIN_HISTORY = 4  # use the key index when stored days > 4 x the days of the months a run touches
-BROADCAST_KEY_LIMIT = 1_000_000  # distinct batch keys that may be broadcast (~50 MB of UUID strings)
+def folder_day(value: str) -> dt.date | None:
+    """Day of an ``order_date=`` folder name's value; None for rows without a day."""
+    return None if value == NULL_DAY else parse_date(value)
+
+
+def in_days(column: Column, days) -> Column:
+    """``column`` is one of ``days``; None among them stands for NULL.  Never NULL itself."""
+    known = sorted(d for d in days if d is not None)
+    hit = F.coalesce(column.isin(known), F.lit(False)) if known else F.lit(False)
+    return hit | column.isNull() if None in days else hit
+
+
+def month_of(day: dt.date | None) -> dt.date | None:
+    return None if day is None else day.replace(day=1)
 
 
 @dataclass
@@ -59,95 +91,94 @@ class WriteResult:
     table: str
     partitions_written: int
     partitions_dropped: int = 0
+    days: list = field(default_factory=list)  # days whose rows changed (upserts)
 
 
 class Warehouse:
     """A folder of tables, one sub-folder each."""
 
     def __init__(self, spark: SparkSession, root: str, partition_col: str = S.ORDER_DATE,
-                 key_index: bool | None = None, key_buckets: int | None = None,
-                 broadcast_keys: int = BROADCAST_KEY_LIMIT):
-        """``key_index``: True / False force the upsert's key lookup through the bucketed index or
-        straight against the stored keys; None (default) chooses per run (``use_key_index``).
-        ``broadcast_keys``: a batch with at most this many distinct keys (counted before the
-        joins) is broadcast to the joins with the stored rows; 0 disables it."""
+                 key_index: bool = False, key_buckets: int | None = None):
+        """``key_index``: give day-partitioned tables a key index at their first upsert.  A table
+        that has one keeps it, whatever this says."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_col = partition_col
         self.key_index = key_index
         self.key_buckets = key_buckets
-        self.broadcast_keys = broadcast_keys
 
-    def path(self, name: str) -> str:
+    # -- versions ---------------------------------------------------------------------------------
+
+    def folder(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    # -- reads ------------------------------------------------------------------------------------
+    def version(self, name: str) -> str | None:
+        """The current version, or None if the table does not exist."""
+        return read_small(self.spark, f"{self.folder(name)}/{POINTER}")
+
+    def path(self, name: str) -> str:
+        """Data folder of the current version."""
+        current = self.version(name)
+        if current is None:
+            raise FileNotFoundError(f"no table {name} in {self.root}")
+        return f"{self.folder(name)}/{DATA}{current}"
 
     def exists(self, name: str) -> bool:
-        """Table existence: its folder is present (``information_schema`` lookup in the reference)."""
-        return path_exists(self.spark, self.path(name))
+        """Table existence (``information_schema`` lookup in the reference)."""
+        return self.version(name) is not None
 
-    def day_paths(self, name: str, from_date) -> list[str] | None:
-        """Folders of the days on or after ``from_date`` (one listing of the table's top level), or
-        None when the table is not laid out by day."""
-        d = parse_date(from_date)
-        prefix = f"{self.partition_col}="
-        dirs = list_subdirs(self.spark, self.path(name), prefix)
-        if not dirs:
-            return None
-        keep = []
-        for dir_name, full in dirs:
-            value = dir_name[len(prefix):]
-            try:
-                if parse_date(value) >= d:
-                    keep.append(full)
-            except ValueError:  # NULL day (__HIVE_DEFAULT_PARTITION__): never in a window
-                continue
-        return keep
+    def _switch(self, name: str, version: str) -> None:
+        replace_small(self.spark, f"{self.folder(name)}/{POINTER}", version)
+        self._sweep(name, version)
+
+    def _sweep(self, name: str, current: str) -> None:
+        """Remove what belongs to other versions: the replaced one, and what stopped runs left."""
+        for entry, full in list_subdirs(self.spark, self.folder(name)):
+            if not entry.startswith((f"{DATA}{current}", f"{KEYS}{current}-b")):
+                if entry.startswith(KEYS):
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self._index_table(full)}")
+                delete_path(self.spark, full)
+
+    # -- reads ------------------------------------------------------------------------------------
 
     def day_folders(self, name: str, keep) -> list[str]:
-        """Existing ``order_date=`` folders of ``name`` whose day satisfies ``keep`` (one listing of
-        the table's top level)."""
+        """``order_date=`` folders of ``name`` whose day satisfies ``keep`` (one listing of the
+        table's top level); the day is None for rows without one."""
         prefix = f"{self.partition_col}="
-        out = []
-        for dir_name, full in list_subdirs(self.spark, self.path(name), prefix):
-            try:
-                day = parse_date(dir_name[len(prefix):])
-            except ValueError:
-                continue
-            if keep(day):
-                out.append(full)
-        return out
+        return [full for entry, full in list_subdirs(self.spark, self.path(name), prefix)
+                if keep(folder_day(entry[len(prefix):]))]
 
     def read_folders(self, name: str, folders: list[str], merge_schema: bool = False) -> DataFrame:
         """Read the given day folders of ``name`` only (the file index lists nothing else)."""
         df = (self.spark.read.option("mergeSchema", str(merge_schema).lower())
               .option("basePath", self.path(name)).parquet(*folders))
-        if not isinstance(df.schema[self.partition_col].dataType, T.DateType):
+        if self.partition_col in df.columns and not isinstance(df.schema[self.partition_col].dataType, T.DateType):
             df = df.withColumn(self.partition_col, F.col(self.partition_col).cast("date"))
         return df
 
-    def read(self, name: str, merge_schema: bool = False, from_date=None) -> DataFrame:
+    def read(self, name: str, merge_schema: bool = False, from_date=None, days=None) -> DataFrame:
         """Scan a stored table.  ``merge_schema`` reads all footers (a distributed job) to see
         columns added by later writes: needed for day-partitioned tables that received a batch with
         a new column by dynamic overwrite; tables rewritten whole have one schema.  With
-        ``from_date`` on a day-partitioned table, only the window's day folders are handed to the
-        file index, so files of older days are never listed (partition pruning alone would still
-        list the whole table when the DataFrame is created)."""
+        ``from_date`` or ``days`` on a day-partitioned table, only those day folders are handed to
+        the file index, so files of other days are never listed (partition pruning alone would
+        still list the whole table when the DataFrame is created)."""
         paths = [self.path(name)]
+        wanted = None
         if from_date is not None:
-            window = self.day_paths(name, from_date)
-            if window:
-                paths = window
-        df = (self.spark.read.option("mergeSchema", str(merge_schema).lower())
-              .option("basePath", self.path(name)).parquet(*paths))
-        if self.partition_col in df.columns and not isinstance(df.schema[self.partition_col].dataType, T.DateType):
-            df = df.withColumn(self.partition_col, F.col(self.partition_col).cast("date"))
+            first = parse_date(from_date)
+            wanted = lambda d: d is not None and d >= first
+        elif days is not None:
+            wanted = set(days).__contains__
+        if wanted is not None:
+            paths = self.day_folders(name, wanted) or paths
+        df = self.read_folders(name, paths, merge_schema)
         if from_date is not None:
-            df = df.filter(F.col(self.partition_col) >= F.lit(parse_date(from_date)))
+            df = df.filter(F.col(self.partition_col) >= F.lit(first))
+        elif days is not None:
+            df = df.filter(in_days(F.col(self.partition_col), set(days)))
         known = [c for c in S.STAGING_COLUMNS + S.RUNNING_COLUMNS if c in df.columns]
-        ordered = list(dict.fromkeys(known + df.columns))
-        return df.select(*ordered)
+        return df.select(*dict.fromkeys(known + df.columns))
 
     def register_views(self, names=None) -> list[str]:
         """Expose stored tables to Spark SQL as temporary views under their model names."""
@@ -159,7 +190,7 @@ class Warehouse:
         return done
 
     def table_names(self) -> list[str]:
-        return [name for name, _ in list_subdirs(self.spark, self.root) if "__" not in name]
+        return [name for name, _ in list_subdirs(self.spark, self.root) if "__" not in name and self.exists(name)]
 
     def read_or_empty(self, name: str, schema: T.StructType, merge_schema: bool = False) -> DataFrame:
         """The stored table, or a typed empty frame if it does not exist.  Other errors propagate."""
@@ -171,86 +202,77 @@ class Warehouse:
     #
     # The upsert must find the days holding rows of the batch's keys anywhere in the history.
     # Joining the whole history's key column against the batch would shuffle the history on every
-    # run.  The key index holds the distinct (key, day) pairs of the stored rows in a catalog table
-    # bucketed by the key, so that join reads each bucket in place and shuffles only the batch's
-    # keys.  It is partitioned by month: a few files per bucket over the whole history, and an
-    # upsert rewrites the index of one or two months.  A hot key is one pair per day, so the
-    # bucketed write has no skew.  The index only has to be a superset of the stored pairs: a
-    # stale pair causes one extra day to be rewritten unchanged, never a wrong result.
-
-    def _index_dir(self, name: str) -> tuple[str, int]:
-        prefix = f"{name}{KEY_INDEX_TAG}"
-        for dir_name, _ in list_subdirs(self.spark, self.root, prefix):
-            tail = dir_name[len(prefix):]
-            if tail.isdigit():
-                return f"{self.root}/{dir_name}", int(tail)
-        n = self.key_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return f"{self.root}/{prefix}{n}", n
+    # run.  The key index holds the distinct (key hash, day) pairs of the stored rows in a catalog
+    # table bucketed by the hash, so that join reads each bucket in place and shuffles only the
+    # batch's keys.  It is partitioned by month: a few files per bucket over the whole history, and
+    # an upsert rewrites the index of one or two months.  A hot key is one pair per day, so the
+    # bucketed write has no skew.  The index only has to be a superset of the stored pairs: a stale
+    # pair or a hash collision causes one extra day to be rewritten unchanged, never a wrong result.
+
+    def _index_dir(self, name: str) -> tuple[str, int] | None:
+        """(folder, buckets) of a finished index of the current version."""
+        prefix = f"{KEYS}{self.version(name)}-b"
+        for entry, full in list_subdirs(self.spark, self.folder(name), prefix):
+            if entry[len(prefix):].isdigit() and path_exists(self.spark, f"{full}/_SUCCESS"):
+                return full, int(entry[len(prefix):])
+        return None
+
+    def has_key_index(self, name: str) -> bool:
+        return self._index_dir(name) is not None
 
     @staticmethod
     def _index_table(path: str) -> str:
         return "daybook_keyindex_" + hashlib.sha1(path.encode()).hexdigest()[:16]
 
     def _index_pairs(self, rows: DataFrame, key: str, buckets: int) -> DataFrame:
-        """Distinct (key, day, month) pairs, shuffled so that each (month, bucket) is one task."""
+        """Distinct (key hash, day, month) pairs, shuffled so that each (month, bucket) is one task."""
         pc = self.partition_col
-        pairs = rows.select(key, pc).where(F.col(pc).isNotNull()).distinct()
+        pairs = rows.select(F.xxhash64(key).alias(KEY_HASH), pc).distinct()
         pairs = pairs.withColumn(INDEX_MONTH, F.trunc(F.col(pc), "month").cast("date"))
-        return (pairs.repartition(F.col(INDEX_MONTH), F.pmod(F.hash(F.col(key)), F.lit(buckets)))
-                .select(key, pc, INDEX_MONTH))
+        return (pairs.repartition(F.col(INDEX_MONTH), F.pmod(F.hash(F.col(KEY_HASH)), F.lit(buckets)))
+                .select(KEY_HASH, pc, INDEX_MONTH))
 
     def ensure_key_index(self, name: str, key: str) -> tuple[str, int]:
-        """Register (or build, once, from the stored rows) the key index of ``name``."""
-        path, n = self._index_dir(name)
+        """Register (or build, once, from the stored rows) the key index of ``name``.  It is built
+        in a folder of its own and renamed when complete, so a stopped build is never mistaken for
+        an index."""
+        found = self._index_dir(name)
+        if found is None:
+            n = self.key_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            final = f"{self.folder(name)}/{KEYS}{self.version(name)}-b{n}"
+            building = f"{final}__building__{uuid.uuid4().hex[:12]}"
+            tbl = self._index_table(building)
+            (self._index_pairs(self.read(name), key, n).write.partitionBy(INDEX_MONTH).bucketBy(n, KEY_HASH)
+             .mode("errorifexists").option("path", building).saveAsTable(tbl))
+            self.spark.sql(f"DROP TABLE {tbl}")  # external: the files stay
+            delete_path(self.spark, final)  # a half-built folder of this name
+            rename_path(self.spark, building, final)
+            found = final, n
+        path, n = found
         tbl = self._index_table(path)
-        on_disk = path_exists(self.spark, path)
-        if self.spark.catalog.tableExists(tbl):
-            if on_disk:
-                return tbl, n
-            self.spark.sql(f"DROP TABLE IF EXISTS {tbl}")
-        if on_disk:  # built by an earlier session: register it again
-            key_type = self.read(name).schema[key].dataType.simpleString()
+        if not self.spark.catalog.tableExists(tbl):
             self.spark.sql(
-                f"CREATE TABLE {tbl} (`{key}` {key_type}, `{self.partition_col}` DATE, `{INDEX_MONTH}` DATE) "
-                f"USING parquet PARTITIONED BY (`{INDEX_MONTH}`) CLUSTERED BY (`{key}`) INTO {n} BUCKETS "
+                f"CREATE TABLE {tbl} (`{KEY_HASH}` BIGINT, `{self.partition_col}` DATE, `{INDEX_MONTH}` DATE) "
+                f"USING parquet PARTITIONED BY (`{INDEX_MONTH}`) CLUSTERED BY (`{KEY_HASH}`) INTO {n} BUCKETS "
                 f"LOCATION '{path}'")
             self.spark.sql(f"ALTER TABLE {tbl} RECOVER PARTITIONS")
-        else:
-            (self._index_pairs(self.read(name), key, n).write.partitionBy(INDEX_MONTH).bucketBy(n, key)
-             .mode("errorifexists").option("path", path).saveAsTable(tbl))
         return tbl, n
 
-    def use_key_index(self, name: str, batch_days) -> bool:
-        """The index pays off once the stored history is long against the months a run touches:
-        its upkeep rewrites the pairs of those months, the direct lookup shuffles the keys of the
-        whole history.  Below ``INDEX_MIN_HISTORY`` times the touched months' days, go direct."""
-        if self.key_index is not None:
-            return self.key_index
-        stored_days = count_partitions(self.spark, self.path(name), self.partition_col)
-        months = {d.replace(day=1) for d in batch_days} or {None}
-        return stored_days > INDEX_MIN_HISTORY * 31 * len(months)
-
-    def drop_key_index(self, name: str) -> None:
-        for dir_name, _ in list_subdirs(self.spark, self.root, f"{name}{KEY_INDEX_TAG}"):
-            path = f"{self.root}/{dir_name}"
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._index_table(path)}")
-            delete_path(self.spark, path)
-
-    def _refresh_index_months(self, name: str, key: str, tbl: str, n: int, months: list) -> None:
-        """Rebuild the index of ``months`` exactly from the stored rows (reads the table, never the
-        index, which cannot be overwritten while read)."""
-        wanted = set(months)
-        folders = self.day_folders(name, lambda d: d.replace(day=1) in wanted)
+    def _refresh_index_months(self, name: str, key: str, tbl: str, n: int, days: list) -> None:
+        """Rebuild the index of the days' months exactly from the stored rows (reads the table,
+        never the index, which cannot be overwritten while read)."""
+        months = {month_of(d) for d in days}
+        folders = self.day_folders(name, lambda d: month_of(d) in months)
         if folders:
             stored = self.read_folders(name, folders)
             (self._index_pairs(stored, key, n).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").insertInto(tbl))
-        present = {parse_date(f.rstrip("/").rsplit("=", 1)[1]).replace(day=1) for f in folders}
+        present = {month_of(folder_day(f.rstrip("/").rsplit("=", 1)[1])) for f in folders}
         path, _ = self._index_dir(name)
-        for m in months:
-            if m not in present:  # no stored day left in that month: its index must go too
-                self.spark.sql(f"ALTER TABLE {tbl} DROP IF EXISTS PARTITION (`{INDEX_MONTH}` = DATE'{m.isoformat()}')")
-                delete_path(self.spark, f"{path}/{INDEX_MONTH}={m.isoformat()}")
+        for m in months - present:  # no stored day left in that month: its index must go too
+            value = "NULL" if m is None else f"DATE'{m.isoformat()}'"
+            self.spark.sql(f"ALTER TABLE {tbl} DROP IF EXISTS PARTITION (`{INDEX_MONTH}` = {value})")
+            delete_path(self.spark, partition_dir(path, INDEX_MONTH, m))
         self.spark.catalog.refreshTable(tbl)
 
     # -- writes -----------------------------------------------------------------------------------
@@ -265,22 +287,14 @@ class Warehouse:
 
     def write_full(self, name: str, df: DataFrame, partition_col: str | None = None,
                    rebalance: bool = True) -> WriteResult:
-        """Build the table in a sibling folder, then switch it in.  ``rebalance=False`` skips the
-        shuffle when the input is already laid out by day (a scan of a day-partitioned source):
-        each task then writes the few days it holds."""
-        final = self.path(name)
-        tag = uuid.uuid4().hex[:12]
-        building, retired = f"{final}.__building__{tag}", f"{final}.__retired__{tag}"
-        self._writer(df, partition_col, rebalance).mode("errorifexists").parquet(building)
-        had_old = path_exists(self.spark, final)
-        if had_old:
-            rename_path(self.spark, final, retired)
-        rename_path(self.spark, building, final)
-        if had_old:
-            delete_path(self.spark, retired)
-        self.drop_key_index(name)  # rebuilt lazily from the new rows by the next upsert
-        written = count_partitions(self.spark, final, partition_col) if partition_col else -1
-        return WriteResult(name, written)
+        """Write a new version, then switch to it.  ``rebalance=False`` skips the shuffle when the
+        input is already laid out by day (a scan of a day-partitioned source): each task then
+        writes the few days it holds."""
+        version = uuid.uuid4().hex[:12]
+        data = f"{self.folder(name)}/{DATA}{version}"
+        self._writer(df, partition_col, rebalance).mode("errorifexists").parquet(data)
+        self._switch(name, version)
+        return WriteResult(name, count_partitions(self.spark, data, partition_col) if partition_col else -1)
 
     def replace_days(self, name: str, days: DataFrame, partition_col: str | None = None) -> WriteResult:
         """delete+insert by ``order_date``: the days present in ``days`` are replaced, all others kept.
@@ -288,8 +302,8 @@ class Warehouse:
         ``days`` is checkpointed first: it is small (one row per day) and usually derived from this
         very table (the seed row), so the write then reads stable files and a lost executor
         recomputes from the checkpoint.  An unpartitioned table (the metric tables: one row per
-        calendar day) is rewritten whole, by build-then-switch; a day-partitioned table gets a
-        dynamic partition overwrite."""
+        calendar day) becomes a new version; a day-partitioned table gets a dynamic partition
+        overwrite."""
         checkpoint_root(self.spark)
         stable = days.checkpoint(eager=True)
         n_days = stable.count()  # one row per day
@@ -309,84 +323,65 @@ class Warehouse:
     def delete_insert(self, name: str, batch: DataFrame, key: str, partition_col: str = S.ORDER_DATE) -> WriteResult:
         """delete+insert by a non-unique key on a table partitioned by ``partition_col``.
 
-        1. The batch's days with their key-row counts (one row per day: a bounded collect).
-        2. Days *outside* those that hold rows of the batch's keys (orders that moved).  A batch
-           with a bounded key count is broadcast: nothing stored is shuffled.  Otherwise, on a
-           long history, the bucketed key index is joined and only the batch's keys are shuffled;
-           on a short one the stored key column of those days is joined on a 64-bit hash of the
-           key - a superset of the true days (a collision only rewrites a day unchanged) with a
-           narrow shuffle row.
+        1. The batch is written once to a folder of the warehouse and read from there.
+        2. Days *outside* the batch's that hold rows of its keys (orders that moved): through the
+           key index, shuffling only the batch's keys, or by a join on a 64-bit hash of the stored
+           keys.  Both give a superset of the true days; a collision rewrites a day unchanged.
         3. Rewrite the touched days: target rows whose (real) key is not in the batch, plus the
-           batch; days left empty by the delete are removed.
+           batch; days left empty by the delete are removed.  Rows without a key never match and
+           bypass the join.
         """
         if not self.exists(name):
             return self.write_full(name, batch, partition_col)
-        pc = partition_col
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        held = f"{self.root}/__batch__{uuid.uuid4().hex[:12]}"
         try:
-            # The batch's days and, per day, its non-NULL key rows: their sum bounds the batch's
-            # distinct keys (a plain count, combined map-side: no shuffle of the keys themselves),
-            # which decides whether the key set may be broadcast.
-            per_day = batch.groupBy(pc).agg(F.count(key).alias("_keys")).collect()
-            batch_days = {r[pc] for r in per_day} - {None}
-            small = 0 < self.broadcast_keys and sum(r["_keys"] for r in per_day) <= self.broadcast_keys
-            indexed = not small and self.use_key_index(name, batch_days)
-            if not indexed:
-                self.drop_key_index(name)  # never leave an index this run does not maintain
-            if small:
-                # A bounded key set: both joins with the stored rows become broadcast joins, so
-                # neither the history nor the touched days are shuffled.
-                keys = F.broadcast(batch.select(key).distinct())
-                stored = self.read(name)
-                history = stored.filter(~F.col(pc).isin(sorted(batch_days))) if batch_days else stored
-                hit_days = {r[0] for r in history.join(keys, key, "left_semi").select(pc).distinct().collect()}
-            elif indexed:
-                tbl, n = self.ensure_key_index(name, key)
-                keys = batch.select(key).repartition(n, key).distinct()  # the index's bucketing
-                index = self.spark.table(tbl)
-                history = index.filter(~F.col(pc).isin(sorted(batch_days))) if batch_days else index
-                hit_days = {r[0] for r in history.join(keys, key, "left_semi").select(pc).distinct().collect()}
-            else:
-                keys = batch.select(key).distinct()
-                stored = self.read(name)
-                history = stored.filter(~F.col(pc).isin(sorted(batch_days))) if batch_days else stored
-                key_hashes = keys.select(F.xxhash64(key).alias("_key_hash")).distinct()
-                hit_days = {r[0] for r in history.select(F.xxhash64(key).alias("_key_hash"), pc)
-                            .join(key_hashes, "_key_hash", "left_semi").select(pc).distinct().collect()}
-            hit_days -= {None}
-            touched = sorted(batch_days | hit_days)
-            if not touched:
-                return WriteResult(name, 0)
-            if indexed:
-                # Record the batch's pairs first: should the run stop after this, the index is a
-                # superset of the stored pairs, which is safe.
-                self._index_pairs(batch, key, n).write.mode("append").insertInto(tbl)
-            # Only the touched days' folders are listed and read.  Earlier batches may have added
-            # columns to some days only: merge their footers' schemas, or rewritten rows could
-            # lose an added column.
-            wanted = set(touched)
-            folders = self.day_folders(name, lambda d: d in wanted)
-            candidates = sorted(hit_days)  # days outside the batch that lose rows may be emptied
-            still_there = set()
-            if folders:
-                target = self.read_folders(name, folders, merge_schema=True)
-                kept = target.join(keys, key, "left_anti")
-                if candidates:
-                    still_there = {r[0] for r in kept.filter(F.col(pc).isin(candidates))
-                                   .select(pc).distinct().collect()}
-                cols = merged_columns(target, batch)
-                out = kept.unionByName(batch, allowMissingColumns=True).select(*cols)
-            else:  # only new days: nothing stored to keep
-                out = batch
-            # After a shuffled anti-join every task holds every day: rebalance by day before
-            # writing.  With broadcast keys the stored rows keep their day-aligned scan splits.
-            (self._writer(out, pc, not small).mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").parquet(self.path(name)))
-            emptied = [d for d in candidates if d not in still_there]
-            for d in emptied:
-                delete_path(self.spark, partition_dir(self.path(name), pc, d))
-            if indexed:
-                self._refresh_index_months(name, key, tbl, n, sorted({d.replace(day=1) for d in touched}))
-            return WriteResult(name, len(touched) - len(emptied), len(emptied))
+            batch.write.parquet(f"{held}/rows")
+            stable = self.spark.read.schema(batch.schema).parquet(f"{held}/rows")
+            # Distinct keys as a table of their own: below the rewrite's join then stand plain
+            # shuffles, which adaptive execution can split at a hot key.
+            stable.select(key).filter(F.col(key).isNotNull()).distinct().write.parquet(f"{held}/keys")
+            keys = self.spark.read.schema(stable.select(key).schema).parquet(f"{held}/keys")
+            return self._upsert(name, stable, keys, key, partition_col)
         finally:
-            batch.unpersist()
+            delete_path(self.spark, held)
+
+    def _upsert(self, name: str, batch: DataFrame, keys: DataFrame, key: str, pc: str) -> WriteResult:
+        batch_days = {r[0] for r in batch.select(pc).distinct().collect()}  # one row per day
+        indexed = self.key_index or self.has_key_index(name)
+        hashes = keys.select(F.xxhash64(key).alias(KEY_HASH))
+        if indexed:
+            tbl, n = self.ensure_key_index(name, key)
+            history = self.spark.table(tbl)
+            hashes = hashes.repartition(n, KEY_HASH).distinct()  # the index's bucketing
+        else:
+            history = self.read(name).select(F.xxhash64(key).alias(KEY_HASH), pc)
+        elsewhere = history.filter(~in_days(F.col(pc), batch_days))
+        hit_days = {r[0] for r in elsewhere.join(hashes, KEY_HASH, "left_semi").select(pc).distinct().collect()}
+        touched = sorted(batch_days | hit_days, key=lambda d: (d is None, d or dt.date.min))
+        if not touched:
+            return WriteResult(name, 0)
+        if indexed:
+            # Record the batch's pairs first: should the run stop after this, the index is a
+            # superset of the stored pairs, which is safe.
+            self._index_pairs(batch, key, n).write.mode("append").insertInto(tbl)
+        # Only the touched days' folders are listed and read.  Earlier batches may have added
+        # columns to some days only: merge their footers' schemas, or rewritten rows could lose an
+        # added column.
+        folders = self.day_folders(name, set(touched).__contains__)
+        still_there = set()
+        out = batch
+        if folders:
+            target = self.read_folders(name, folders, merge_schema=True)
+            kept = (target.filter(F.col(key).isNotNull()).join(keys, key, "left_anti")
+                    .unionByName(target.filter(F.col(key).isNull())))
+            if hit_days:  # days outside the batch that lose rows may be emptied
+                still_there = {r[0] for r in kept.filter(in_days(F.col(pc), hit_days)).select(pc).distinct().collect()}
+            out = kept.unionByName(batch, allowMissingColumns=True).select(*merged_columns(target, batch))
+        (self._writer(out, pc, True).mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").parquet(self.path(name)))
+        emptied = hit_days - still_there
+        for d in emptied:
+            delete_path(self.spark, partition_dir(self.path(name), pc, d))
+        if indexed:
+            self._refresh_index_months(name, key, tbl, n, touched)
+        return WriteResult(name, len(touched) - len(emptied), len(emptied), touched)

@@ -8,12 +8,14 @@ micro-batch, ``foreachBatch``:
 2. re-stages the **complete** source rows of those days (the micro-batch alone holds only the new
    files, and replacing an order's lines by a partial set would drop lines) and applies them to
    ``stg_orders_v2`` by delete+insert on ``order_id``;
-3. re-derives the metric model from the earliest touched day, continuing the running total from
-   the stored day before it.
+3. re-derives the metric model's rows of the days whose staging rows changed (those days, and days
+   that orders moved away from), and sums the running total up again over the stored day series.
 
 Every step is the batch operator of the same model, so a replayed micro-batch (after a failure
 between the write and the checkpoint commit) rewrites the same rows: the sink is idempotent.
-Late rows of any age are absorbed (the window follows the data instead of the clock).
+Late rows of any age are absorbed (the window follows the data instead of the clock), and an old
+row costs its own day, not everything since: for a source declared day-aligned the touched days
+become partition predicates, else a timestamp filter that the scan pushes down.
 """
 
 from __future__ import annotations
@@ -26,8 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from daybook import schemas as S
 from daybook.operators import staging
 from daybook.plans.runs import MODELS, Project
-from daybook.session import scratch_path
-from daybook.sources.transactions import normalise_timestamp
+from daybook.sources.transactions import day_rows, normalise_timestamp
 
 
 def touched_days(new_rows: DataFrame) -> list:
@@ -41,25 +42,27 @@ def process_new_rows(project: Project, new_rows: DataFrame, metric_model: str =
     days = touched_days(normalise_timestamp(new_rows))
     if not days:
         return []
-    earliest = days[0]
     wh = project.warehouse
-    stg_name = MODELS[metric_model].staging_model
-    complete = staging.stage_v2(project.source(earliest), from_date=earliest)
-    complete = complete.filter(F.col(S.ORDER_DATE).isin(days))
+    stg_name = MODELS[metric_model].staging
+    source = day_rows(project.source(days[0]), days, day_aligned=project.day_aligned)
+    complete = staging.stage_v2(source)
+    changed = days
     if wh.exists(stg_name):
-        wh.delete_insert(stg_name, complete, S.ORDER_ID, S.ORDER_DATE)
+        changed = wh.delete_insert(stg_name, complete, S.ORDER_ID, S.ORDER_DATE).days
     else:
-        wh.write_full(stg_name, complete, S.ORDER_DATE, rebalance=False)  # read from the day layout
-    project.run_model(metric_model, from_date=earliest, seed=seed)
+        wh.write_full(stg_name, complete, S.ORDER_DATE, rebalance=not project.day_aligned)
+    project.refresh_days(metric_model, changed, seed)
     return days
 
 
 def start_incremental_stream(project: Project, source_path: str, source_schema: T.StructType,
-                             metric_model: str = "agg_daily_revenue_v3", checkpoint_location: str | None = None,
+                             checkpoint_location: str, metric_model: str = "agg_daily_revenue_v3",
                              available_now: bool = True, processing_time: str | None = None,
                              seed: str = "latest") -> StreamingQuery:
     """Start the file-triggered incremental runs.  ``available_now`` processes what has arrived
-    and stops (a scheduled run); otherwise it polls every ``processing_time``."""
+    and stops (a scheduled run); otherwise it polls every ``processing_time``.
+    ``checkpoint_location`` holds the log of processed files: a restart with the same one goes on
+    where the last start stopped."""
     spark = project.spark
     stream = spark.readStream.schema(source_schema).parquet(source_path)
 
@@ -67,7 +70,7 @@ def start_incremental_stream(project: Project, source_path: str, source_schema:
         process_new_rows(project, batch_df, metric_model, seed)
 
     writer = (stream.writeStream.foreachBatch(on_batch)
-              .option("checkpointLocation", checkpoint_location or scratch_path(spark, "stream-ckpt")))
+              .option("checkpointLocation", checkpoint_location))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -45,19 +45,21 @@ def key_index_lookup(spark, sf_dir: str) -> str:
     """The upsert's moved-order lookup through the bucketed key index (broadcast off, as at scale)."""
     import tempfile
 
+    from pyspark.sql import functions as F
+
     from daybook import schemas as S
     from daybook.operators import staging
     from daybook.sources import adapters as A
-    from daybook.sources.warehouse import Warehouse
+    from daybook.sources.warehouse import KEY_HASH, Warehouse
 
     wh = Warehouse(spark, tempfile.mkdtemp(prefix="daybook-plans-"), key_index=True, key_buckets=16)
     staged = staging.stage_v2(A.events_source(spark, sf_dir))
     wh.write_full("stg_orders_v2", staged, S.ORDER_DATE)
     tbl, n = wh.ensure_key_index("stg_orders_v2", S.ORDER_ID)
     keys = staging.stage_v2(A.events_source(spark, sf_dir), A.EVENTS_FROM_DATE).select(S.ORDER_ID)
-    keys = keys.repartition(n, S.ORDER_ID).distinct()
+    keys = keys.select(F.xxhash64(S.ORDER_ID).alias(KEY_HASH)).repartition(n, KEY_HASH).distinct()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    q = spark.table(tbl).join(keys, S.ORDER_ID, "left_semi").select(S.ORDER_DATE).distinct()
+    q = spark.table(tbl).join(keys, KEY_HASH, "left_semi").select(S.ORDER_DATE).distinct()
     q.collect()
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     return shorten(q._jdf.queryExecution().executedPlan().toString())
