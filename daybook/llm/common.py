@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.session import scratch_path, ship_package
+from daybook.sources.fs import delete_path
 
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -25,21 +27,64 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of ``rows`` for the jobs run inside: many more for rows of a few numbers."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back: cuts the lineage, so a
-    lost executor costs the re-read of files, and values that depend on the task layout (running
-    ranks, partition numbers) are fixed by the files."""
+class Scratch:
+    """Written intermediates of one operator call, removed when it is done.
+
+    ``with Scratch(spark) as scratch:`` everything that :func:`written` writes inside is deleted at
+    the end, but for what ``scratch.keep`` wrote: the results, which read nothing else."""
+
+    _open: list[Scratch] = []
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        Scratch._open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        Scratch._open.remove(self)
+        for path in self.paths:
+            delete_path(self.spark, path)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        at = Scratch._open.index(self)
+        return _write(df, name, Scratch._open[at - 1] if at else None)
+
+
+def _write(df: DataFrame, name: str, scope: Scratch | None) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if scope is not None:
+        scope.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back: cuts the lineage, so a
+    lost executor costs the re-read of files, and values that depend on the task layout (running
+    ranks, partition numbers) are fixed by the files."""
+    return _write(df, name, Scratch._open[-1] if Scratch._open else None)
+
+
 def text_or_empty(c: str | Column = "text") -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.coalesce(c.cast("string"), F.lit(""))

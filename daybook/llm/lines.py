@@ -4,9 +4,9 @@ Lines that are equal are one class.  Every class gets ``BANDS`` keys of ``ROWS``
 its character shingles (runs of ``SHINGLE`` characters in UTF-8, the whole line if it is shorter);
 classes that share a key are compared on their full shingle sets, and links of Jaccard similarity
 0.8 or more are closed over by distributed union-find.  Of each component the line that comes first,
-by (doc_id, line number), is kept.  Twelve bands of four rows find a pair at 0.8 with a chance of
-0.998, at 0.85 of 0.9999; shingles of eight characters keep unrelated lines apart, so the buckets
-stay small as the corpus grows.
+by (doc_id, line number), is kept.  Ten bands of three rows find a pair at 0.8 with a chance of
+0.9992, at 0.85 of 0.99993.  Shingles of eight characters keep unrelated lines apart (mean similarity
+below 0.001), so buckets stay small; ``ROWS`` is to be raised with the logarithm of the corpus.
 
 Scale: a very common line is combined to its class before the shuffle; keys are linked by
 :mod:`linking` (rows of one key are dealt to several tasks; no all-pairs).  Texts of lines in
@@ -25,20 +25,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import linking, shingles
-from daybook.llm.common import Sieve, packed, split_by, text_or_empty, written
+from daybook.llm.common import Scratch, Sieve, packed, split_by, text_or_empty, written
 
 SHINGLE = 8
-BANDS = 12
-ROWS = 4
+BANDS = 10
+ROWS = 3
 SEED = 4
 SIMILARITY = 80
 #: Bytes of text worked through at a time, for the processor's caches.
 CHUNK = 1 << 18
 
+KEYS = [f"key{k}" for k in range(BANDS)]
+SIGNED = ["doc_id", "line", "h1", "h2", "sketch", *KEYS]
+#: ``doc_id * PLACES + line number`` is one number that sorts like the pair.
+PLACES = 1 << 40
+
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -57,12 +62,16 @@ class Lines:
         at = np.flatnonzero(first)
         number = np.arange(len(begins)) - np.repeat(at, np.diff(np.append(at, len(begins))))
         ends -= (raw[ends - 1] == 10) if len(raw) else 0
-        seen = np.append(0, np.cumsum(~_BLANK[raw]))
-        full = seen[ends] > seen[begins]
+        full = ends > begins
+        full[full] = ~_BLANK[raw[begins[full]]]
+        for i in np.flatnonzero((ends > begins) & ~full):  # lines that begin with a blank
+            full[i] = not _BLANK[raw[begins[i]:ends[i]]].all()
         self.begins, self.ends, self.number = begins[full], ends[full], number[full].astype(np.int64)
         ids = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
         self.doc = ids[text[full]].astype(np.int64)
         self.windows = shingles.byte_windows(raw)
+        # End of the positions at which a line's shingles start; a short line has one.
+        self.shingle_ends = np.maximum(self.ends - SHINGLE + 1, self.begins + 1)
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         """128 bits of every line: two sums over its eight-byte words, each scrambled with its place."""
@@ -83,51 +92,54 @@ class Lines:
             out[k] = shingles.mix(np.add.reduceat(mixed, starts[:-1]) + sizes.astype(np.uint64))
         return out[0], out[1]
 
-    def shingle_ends(self) -> np.ndarray:
-        """End of the positions at which a line's shingles start; a short line has one."""
-        return np.maximum(self.ends - SHINGLE + 1, self.begins + 1)
-
-    def codes(self) -> np.ndarray:
-        """32-bit hashes of the shingle that starts at each byte (short lines: their own bytes only)."""
-        x = self.windows
-        short = np.flatnonzero(self.ends - self.begins < 8)
+    def codes(self, at: int, to: int) -> np.ndarray:
+        """32-bit hashes of the shingles that start at each byte of the lines ``at`` to ``to``
+        (of short lines: their own bytes only)."""
+        base = self.begins[at]
+        x = np.array(self.windows[base: self.shingle_ends[to - 1] + 1])
+        short = at + np.flatnonzero(self.ends[at:to] - self.begins[at:to] < 8)
         if len(short):
-            x = x.copy()
-            spare = (8 - (self.ends - self.begins)[short]).astype(np.uint64)
-            x[self.begins[short]] &= ~np.uint64(0) >> (np.uint64(8) * spare)
-        return (((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)).astype(np.uint32)
-
-    def keys(self) -> np.ndarray:
-        """``lines x BANDS`` keys."""
-        code, begins, ends = self.codes(), self.begins, self.shingle_ends()
+            spare = (8 - (self.ends[short] - self.begins[short])).astype(np.uint64)
+            x[self.begins[short] - base] &= ~np.uint64(0) >> (np.uint64(8) * spare)
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x >>= np.uint64(32)
+        return x.astype(np.uint32)
+
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """``lines x BANDS`` keys, and sketches."""
+        begins, ends = self.begins, self.shingle_ends
         values = np.empty((len(begins), BANDS * ROWS), np.uint32)
         a, b = shingles.permutations(BANDS * ROWS, SEED)
         at = 0
         while at < len(begins):
             to = max(at + 1, int(np.searchsorted(begins, begins[at] + CHUNK)))
-            base = begins[at]
-            part = code[base: ends[to - 1] + 1]
+            part = self.codes(at, to)
+            held = np.empty_like(part)
             # Minima of [begin, end) and, unused, of the rest up to the next line.
             bounds = np.empty(2 * (to - at), np.int64)
-            bounds[0::2], bounds[1::2] = begins[at:to] - base, ends[at:to] - base
+            bounds[0::2], bounds[1::2] = begins[at:to] - begins[at], ends[at:to] - begins[at]
             cut = bounds[:-1] if bounds[-1] == len(part) else bounds
             for j in range(BANDS * ROWS):
-                values[at:to, j] = np.minimum.reduceat(part * a[j] + b[j], cut)[0::2]
+                np.multiply(part, a[j], out=held)
+                held += b[j]
+                values[at:to, j] = np.minimum.reduceat(held, cut)[0::2]
             at = to
         keys = np.zeros((len(begins), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
         for r in range(ROWS):
             keys = shingles.mix(keys + values[:, r::ROWS])
-        return keys
+        return keys, linking.sketches(values)
 
     def sets(self, some: np.ndarray) -> list[np.ndarray]:
         """Full shingle sets of some lines: the shingles' bytes themselves, as numbers."""
-        begins, ends, stops = self.begins[some], self.shingle_ends()[some], self.ends[some]
+        begins, ends, stops = self.begins[some], self.shingle_ends[some], self.ends[some]
         out = []
-        for b, e, stop in zip(begins, ends, stops):
+        for b, e, stop in zip(begins.tolist(), ends.tolist(), stops.tolist()):
+            x = np.array(self.windows[b:e])
             if stop - b < 8:
-                out.append(self.windows[b:b + 1] & (~np.uint64(0) >> np.uint64(8 * (8 - (stop - b)))))
-            else:
-                out.append(np.unique(self.windows[b:e]))
+                x &= ~np.uint64(0) >> np.uint64(8 * (8 - (stop - b)))
+            x.sort()
+            out.append(x[np.append(True, x[1:] != x[:-1])] if len(x) > 1 else x)
         return out
 
 
@@ -139,11 +151,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lines = Lines(batch)
         h1, h2 = lines.hashes()
-        keys = lines.keys()
-        flat = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), _i64(keys.ravel()))
-        size = lines.shingle_ends() - lines.begins
-        yield pa.RecordBatch.from_arrays([pa.array(lines.doc), pa.array(lines.number), _i64(h1), _i64(h2), pa.array(size), flat],
-                                         ["doc_id", "line", "h1", "h2", "size", "keys"])
+        keys, sketch = lines.keys()
+        yield pa.RecordBatch.from_arrays([pa.array(lines.doc), pa.array(lines.number), _i64(h1), _i64(h2), pa.array(sketch),
+                                          *[_i64(keys[:, k]) for k in range(BANDS)]], SIGNED)
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,31 +176,41 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
 
 
+def _place(column: str) -> list[Column]:
+    line = F.pmod(F.col(column), F.lit(PLACES).cast("decimal(38,0)"))
+    return [((F.col(column) - line) / PLACES).cast("long").alias("doc_id"), line.cast("long").alias("line")]
+
+
 def repeated(docs: DataFrame) -> DataFrame:
     """Classes of lines that occur more than once or are linked: ``h1, h2, keep`` with ``keep`` the
     (doc_id, line) of the component's kept line."""
+    with Scratch(docs.sparkSession) as scratch:
+        return scratch.keep(_repeated(docs), "repeated-lines")
+
+
+def _repeated(docs: DataFrame) -> DataFrame:
     texts = _texts(docs)
-    schema = "doc_id long, line long, h1 long, h2 long, size long, keys array<long>"
-    classes = (texts.mapInArrow(_signed, schema).groupBy("h1", "h2")
-               .agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"),
-                    F.max("size").alias("size"), F.any_value("keys").alias("keys")))
+    place = F.col("doc_id").cast("decimal(38,0)") * PLACES + F.col("line")
+    # Sketch and keys are the same in all rows of a class.
+    classes = (texts.mapInArrow(_signed, ", ".join(f"{c} long" for c in SIGNED)).groupBy("h1", "h2")
+               .agg(F.min(place.cast("decimal(38,0)")).alias("first"), F.count("*").alias("n"),
+                    *[F.min(c).alias(c) for c in ("sketch", *KEYS)]))
     classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
-    rows = classes.select("id", "size", F.explode("keys").alias("key"))
-    where = classes.select("id", "first.doc_id", "first.line")
+    rows = classes.select("id", "sketch", F.explode(F.array(*KEYS)).alias("key"))
+    where = classes.select("id", *_place("first"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    def sets_of(ids: DataFrame) -> DataFrame:
         wanted = written(where.join(ids, "id"), "wanted")
         sieve = Sieve.build(wanted.select("doc_id", "line"))
         sets = texts.mapInArrow(lambda it: _sets(it, sieve), "doc_id long, line long, items array<long>")
-        named = sets.join(wanted, ["doc_id", "line"]).select("id", "items")
-        return written(linking.confirmed(pairs, written(named, "sets"), SIMILARITY), "confirmed")
+        return sets.join(wanted, ["doc_id", "line"]).select("id", "items")
 
-    labels = linking.link(rows, verify, SIMILARITY)
+    labels = linking.link(rows, sets_of, SIMILARITY)
     linked = classes.select("id", "h1", "h2", "first").join(labels, "id")
     keep = linked.groupBy("label").agg(F.min("first").alias("keep"))
     several = classes.filter("n > 1").join(labels, "id", "left_anti").select("h1", "h2", F.col("first").alias("keep"))
-    return written(linked.join(keep, "label").select("h1", "h2", "keep").unionByName(several), "repeated-lines")
+    found = linked.join(keep, "label").select("h1", "h2", "keep").unionByName(several)
+    return found.select("h1", "h2", F.struct(*_place("keep")).alias("keep"))
 
 
 def classify(docs: DataFrame) -> DataFrame:

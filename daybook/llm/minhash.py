@@ -10,7 +10,7 @@ of 4e-5, at 0.85 3e-6.  Candidates are confirmed on the full sets of 64-bit shin
 
 Scale: documents with equal sets (exact copies, however many) are one class before any key is
 formed; keys are linked by :mod:`linking`, which deals the rows of one key to several tasks and
-never forms all pairs of a group.  Full sets are recomputed for documents in candidate pairs alone.
+never forms all pairs of a group.  Full sets are computed for documents that share a key with another alone.
 
 Defined cases: null, empty or word-less text: empty set, linked with nothing, a component of its
 own; a text of fewer words than a shingle is one shingle; rows that share a ``doc_id`` are looked up
@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import linking, shingles
-from daybook.llm.common import Sieve, packed, split_by, text_or_empty, written
+from daybook.llm.common import Scratch, Sieve, packed, split_by, text_or_empty, written
 
 COLLECTIONS = 13
 ROWS = 2
 SEED = 20
+PARTS = [f"part{c}" for c in range(COLLECTIONS)]
 
 
 def _hashed(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,11 +54,10 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Re
             n[i] = len(s)
             h1[i] = shingles.mix(s).sum(dtype=np.uint64)
             h2[i] = shingles.mix(s ^ np.uint64(0x5555555555555555)).sum(dtype=np.uint64)
-        flat = pa.ListArray.from_arrays(pa.array(np.arange(0, parts.size + 1, COLLECTIONS, dtype=np.int32)),
-                                        pa.array(parts.view(np.int64).ravel()))
+        collections = [pa.array(np.ascontiguousarray(parts[:, c]).view(np.int64)) for c in range(COLLECTIONS)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), flat],
-            ["doc_id", "n_shingles", "h1", "h2", "parts"])
+            [batch.column("doc_id"), pa.array(n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), *collections],
+            ["doc_id", "n_shingles", "h1", "h2", *PARTS])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int, sieve) -> Iterator[pa.RecordBatch]:
@@ -72,24 +72,26 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int, sieve) -> Iterator[pa.R
 
 def classify(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``."""
+    with Scratch(docs.sparkSession) as scratch:
+        return scratch.keep(_classified(docs, words, percent), "components")
+
+
+def _classified(docs: DataFrame, words: int, percent: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    schema = "doc_id long, n_shingles long, h1 long, h2 long, parts array<long>"
+    schema = ", ".join(f"{c} long" for c in ("doc_id", "n_shingles", "h1", "h2", *PARTS))
     signed = written(texts.mapInArrow(lambda it: _signatures(it, words), schema), "signatures")
     full = signed.filter("n_shingles > 0 and doc_id is not null")
-    classes = written(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("size"),
-                                                   F.any_value("parts").alias("parts")), "classes")
-    keys = F.array(*[F.xxhash64(F.lit(t), F.get("parts", F.lit(i)), F.get("parts", F.lit(j)))
-                     for t, (i, j) in enumerate(combinations(range(COLLECTIONS), 2))])
-    rows = classes.select("id", "size", F.explode(keys).alias("key"))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        ids = written(ids, "ids")
+    # The parts are the same in all rows of a class.
+    classes = written(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), *[F.min(p).alias(p) for p in PARTS]), "classes")
+    keys = F.array(*[F.xxhash64(F.lit(t), i, j) for t, (i, j) in enumerate(combinations(PARTS, 2))])
+    rows = classes.select("id", F.lit(0).cast("long").alias("sketch"), F.explode(keys).alias("key"))
+
+    def sets_of(ids: DataFrame) -> DataFrame:
         sieve = Sieve.build(ids)
         sets = texts.mapInArrow(lambda it: _sets(it, words, sieve), "id long, items array<long>")
-        return written(linking.confirmed(pairs, written(sets.join(ids, "id", "left_semi"), "sets"), percent), "confirmed")
+        return sets.join(ids, "id", "left_semi")
 
-    labels = linking.link(rows, verify, percent)
+    labels = linking.link(rows, sets_of, percent)
     named = classes.join(labels, "id", "left").select("h1", "h2", F.coalesce("label", "id").alias("component_id"))
     joined = full.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"])
     result = joined.select("doc_id", "n_shingles", "component_id")

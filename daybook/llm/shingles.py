@@ -78,13 +78,9 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.nd
 
 
 def byte_windows(raw: np.ndarray) -> np.ndarray:
-    """The eight bytes from each position on, as one number (zeros beyond the end)."""
-    padded = np.append(raw, np.zeros(16, np.uint8))
-    out = np.empty((len(raw) + 7) // 8 * 8, np.uint64)
-    for k in range(8):
-        part = out[k::8]
-        part[:] = np.frombuffer(padded.data, "<u8", len(part), k)
-    return out[: len(raw)]
+    """The eight bytes from each position on, as one number (zeros beyond the end): a view."""
+    padded = np.append(raw, np.zeros(8, np.uint8))
+    return np.ndarray((len(raw),), "<u8", padded.data, 0, (1,))
 
 
 def permutations(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.llm import linking
+from daybook.llm import components as components_module
+from daybook.llm import linking, shingles
 from daybook.llm.common import Sieve, packed, split_by
 from daybook.llm.components import components
 
@@ -28,48 +30,93 @@ def closure(nodes, edges):
     [(0, i) for i in range(1, 100)] + [(i, 1000 - i) for i in range(1, 100)],
     [(5, 5), (7, 5), (7, 5), (9, 8)],
 ])
-def test_components(spark, edges):
+@pytest.mark.parametrize("one_task", [0, 200_000])
+def test_components(spark, edges, one_task, monkeypatch):
+    monkeypatch.setattr(components_module, "ONE_TASK", one_task)
     random.Random(3).shuffle(edges)
     got = {r.id: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     nodes = {x for a, b in edges if a != b for x in (a, b)}
     assert got == closure(nodes, edges)
 
 
+def intervals(spark, ids, width=20):
+    """The set of i is the numbers i .. i + width - 1: at 80 per cent, ids up to two apart are linked."""
+    return lambda wanted: wanted.select("id", F.sequence("id", F.col("id") + width - 1).alias("items"))
+
+
+def linked(spark, rows, ids):
+    df = spark.createDataFrame(rows, "id long, key long").withColumn("sketch", F.lit(0).cast("long"))
+    labels = {r.id: r.label for r in linking.link(df, intervals(spark, ids), 80).collect()}
+    edges = [(a, b) for a in ids for b in (a + 1, a + 2) if b in set(ids)]
+    assert {i: labels.get(i, i) for i in ids} == closure(ids, edges)
+
+
 @pytest.mark.parametrize("shuffle", ["3", "40"])
-def test_link_finds_every_link_between_bucket_mates(spark, shuffle):
-    """Numbers are linked if they differ by at most 2; buckets hold whole decades and a hot key all."""
+@pytest.mark.parametrize("hot", [True, False])
+def test_link_finds_every_link_between_bucket_mates(spark, shuffle, hot):
+    """Buckets hold fifty neighbouring ids; a hot key holds all ids, most of them unlike."""
     spark.conf.set("spark.sql.shuffle.partitions", shuffle)
     ids = sorted(random.Random(5).sample(range(2000), 700))
-    rows = [(i, 10, i // 50) for i in ids] + [(i, 10, 999_999) for i in ids] + [(i, 10, -i) for i in ids]
-    seen = []
-
-    def verify(pairs):
-        seen.append(pairs.count())
-        return pairs.filter(F.abs(F.col("a") - F.col("b")) <= 2)
+    rows = [(i, k) for i in ids for k in ((999_999,) if hot else (i // 50, 1000 + (i + 25) // 50))] + [(i, -i) for i in ids]
     try:
-        labels = {r.id: r.label for r in linking.link(spark.createDataFrame(rows, "id long, size long, key long"), verify, 80).collect()}
+        linked(spark, rows, ids)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
-    edges = [(a, b) for a in ids for b in (a + 1, a + 2) if b in set(ids)]
-    want = closure(ids, edges)
-    assert {i: labels.get(i, i) for i in ids} == want
 
 
-def test_group_of_copies_forms_no_square_of_pairs(spark):
-    rows = [(i, 10, k) for i in range(3000) for k in range(4)]
-    formed = []
+def test_rounds_go_on_until_all_are_tried(spark, monkeypatch):
+    monkeypatch.setattr(linking, "PAIRS_PER_ROUND", 1)
+    ids = sorted(random.Random(6).sample(range(30), 16))
+    linked(spark, [(i, 1) for i in ids], ids)
 
-    def verify(pairs):
+
+def test_crowded_bucket_with_copies_outliers_and_a_shared_passage(spark, monkeypatch):
+    """All sets share a passage and one key; links exist within groups of edited copies only."""
+    monkeypatch.setattr(linking, "PAIRS_PER_ROUND", 2000)
+    rng = random.Random(7)
+    passage = list(range(1000, 1030))
+    sets = {}
+    for g in range(25):
+        base = passage + [rng.randrange(10 ** 6) for _ in range(rng.randint(5, 60))]
+        for _ in range(rng.choice([1, 2, 12])):
+            edits = rng.randint(0, len(base) // 6)
+            sets[len(sets)] = sorted({*base[edits:], *(rng.randrange(10 ** 4, 10 ** 4 + 300) for _ in range(edits))})
+    df = spark.createDataFrame([(i, s) for i, s in sets.items()], "id long, items array<long>")
+    rows = df.select("id", F.lit(1).cast("long").alias("key"), F.lit(0).cast("long").alias("sketch"))
+    labels = {r.id: r.label for r in linking.link(rows, lambda ids: df.join(ids, "id", "left_semi"), 80).collect()}
+    edges = [(i, j) for i in sets for j in range(i)
+             if 100 * len({*sets[i]} & {*sets[j]}) >= 80 * len({*sets[i]} | {*sets[j]})]
+    assert edges and {i: labels.get(i, i) for i in sets} == closure(sets, edges)
+
+
+def test_group_of_copies_forms_no_square_of_pairs(spark, monkeypatch):
+    formed, real = [], linking.confirmed
+
+    def counted(pairs, sets, percent):
         formed.append(pairs.count())
-        return pairs
-    labels = linking.link(spark.createDataFrame(rows, "id long, size long, key long"), verify, 80)
+        return real(pairs, sets, percent)
+    monkeypatch.setattr(linking, "confirmed", counted)
+    rows = [(i, k) for i in range(3000) for k in range(4)]
+    labels = linking.link(spark.createDataFrame(rows, "id long, key long").withColumn("sketch", F.lit(0).cast("long")),
+                          lambda ids: ids.select("id", F.sequence(F.lit(1), F.lit(10)).cast("array<long>").alias("items")), 80)
     assert {r.label for r in labels.collect()} == {0} and labels.count() == 3000
-    assert sum(formed) < 4 * 3000
+    assert sum(formed) < 2 * 3000
 
 
-def test_sizes_rule_pairs_out(spark):
-    rows = [(1, 10, 1), (2, 100, 1)]
-    assert linking.link(spark.createDataFrame(rows, "id long, size long, key long"), lambda p: p, 80).count() == 0
+def test_bounds_never_rule_a_link_out(spark):
+    rng = random.Random(8)
+    sets = []
+    for _ in range(150):
+        base = [rng.randrange(10 ** 12) for _ in range(rng.choice([1, 5, 40, 700, 4000]))]
+        sets += [sorted(base), sorted({*base[rng.randint(0, len(base) // 6):], *(rng.randrange(10 ** 12) for _ in range(len(base) // 15))})]
+    df = spark.createDataFrame(list(enumerate(sets)), "id long, items array<long>")
+    bounds = df.mapInArrow(linking._bounds, ", ".join(f"{c} long" for c in ("id", "size", *linking.PARITY)))
+    pairs = bounds.alias("x").join(bounds.alias("y"), F.expr("x.id < y.id"))
+    pairs = pairs.withColumn("may", linking._may_be_near(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), 80))
+    may = {(r[0], r[1]): r.may for r in pairs.select("x.id", "y.id", "may").collect()}
+    links = [(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]) if 100 * len({*a} & {*b}) >= 80 * len({*a} | {*b})]
+    assert len(links) > 50 and all(may[p] for p in links)
+    assert sum(may.values()) < 0.1 * len(may)
 
 
 def test_split_by_keeps_every_member(spark):
@@ -80,3 +127,19 @@ def test_split_by_keeps_every_member(spark):
     assert may.count() + stay.count() == 20_005 and stay.count() > 10_000
     assert split_by(df, keys.limit(0), "doc_id")[0].count() == 0
     assert Sieve.BITS // 8 <= 1 << 20
+
+
+def test_sketches_of_similar_sets_are_near(spark):
+    rng = np.random.default_rng(4)
+    pairs = []
+    for similar in (True, False):
+        for _ in range(1500):
+            n = 160 if similar else 10
+            common = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            pairs += [np.append(common, rng.integers(0, 1 << 63, 180 - n, dtype=np.uint64)) for _ in range(2)]
+    offsets = np.arange(0, 180 * len(pairs) + 1, 180)
+    values = shingles.min_hashes(shingles.mix(np.concatenate(pairs)), offsets, linking.SKETCH, 4)
+    x = linking.sketches(values)
+    df = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(x[0::2], x[1::2]))], "i int, a long, b long")
+    near = [r[0] for r in df.orderBy("i").select(linking._sketches_near(F.col("a"), F.col("b"))).collect()]
+    assert sum(near[:1500]) >= 1499 and sum(near[1500:]) < 30
