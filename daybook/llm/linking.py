@@ -166,7 +166,7 @@ def _may_be_near(a: Callable[[str], Column], b: Callable[[str], Column], percent
     apart = sum((F.bit_count(a(p).bitwiseXOR(b(p))) for p in PARITY), F.lit(0))
     may = (100 * F.least(a("size"), b("size")) >= percent * F.greatest(a("size"), b("size"))) & (
         100 * (both - apart) >= percent * (both + apart))
-    # Without the set of one side nothing is known; ``least`` and ``greatest`` skip nulls.
+    # Without the set of one side nothing is known.
     return may | both.isNull()
 
 
@@ -185,15 +185,15 @@ def _resolve(members: DataFrame, labels: DataFrame, sets: Sets, percent: int) ->
         seeds = written(seeds.withColumn("more", ~F.min("turn").over(by_key)).filter("turn").drop("turn"), "seeds")
         if seeds.isEmpty():
             return labels
-        mates = crowd.join(seeds.select("key").distinct(), "key", "left_semi").join(sets.bounds, "id", "left")
+        mates = crowd.join(seeds.select("key").distinct(), "key", "left_semi")
+        sets.fetch(mates.select("id").distinct())
+        mates = mates.join(sets.bounds, "id", "left")
         s, m = seeds.join(sets.bounds, "id", "left").alias("s"), mates.alias("m")
         pairs = (s.join(m, F.col("s.key") == F.col("m.key"))
                  .filter("s.label <> m.label and s.centre <> m.id and m.centre <> s.id")
                  .filter(_sketches_near(F.col("s.sketch"), F.col("m.sketch")))
                  .filter(_may_be_near(lambda c: F.col(f"s.{c}"), lambda c: F.col(f"m.{c}"), percent))
                  .select(*_pair("s.id", "m.id")).distinct())
-        pairs = written(pairs, "across")
-        sets.fetch(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         labels = _joined_up(labels, sets.confirm(pairs))
         undone = seeds.filter("more")
         if undone.isEmpty():
@@ -203,6 +203,10 @@ def _resolve(members: DataFrame, labels: DataFrame, sets: Sets, percent: int) ->
         tried = done if tried is None else tried.union(done)
 
 
+def _ids(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.select(F.col(a).alias("id")).distinct().union(pairs.select(F.col(b).alias("id")).distinct()).distinct()
+
+
 class Sets:
     """The full sets (id, items) fetched so far, and their bounds."""
 
@@ -224,7 +228,7 @@ class Sets:
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that have the similarity.  Only sets that the pairs name are shuffled."""
         pairs = written(pairs, "pairs")
-        named, _ = split_by(self.items, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id")
+        named, _ = split_by(self.items, _ids(pairs, "a", "b"), "id")
         return written(confirmed(pairs, named, self.percent), "confirmed")
 
 
@@ -234,7 +238,7 @@ def link(rows: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: in
         members = bucket_members(rows)
         near = written(members.filter("near and id <> centre").select("id", "centre").distinct(), "near")
         sets = Sets(sets_of, percent)
-        sets.fetch(near.select(F.explode(F.array("id", "centre")).alias("id")).distinct())
+        sets.fetch(_ids(near, "id", "centre"))
         labels = _star(near, sets, percent)
         return scratch.keep(_resolve(members.drop("near"), labels, sets, percent), "linked")
 
