@@ -1,12 +1,14 @@
 """Fuzzy removal of repeated lines.
 
 Lines that are equal are one class.  Every class gets ``BANDS`` keys of ``ROWS`` min-hash values over
-its character shingles (runs of ``SHINGLE`` characters in UTF-8, the whole line if it is shorter);
+its character shingles (runs of ``SHINGLE`` code points, hashed to 64 bits; the whole line if it is
+shorter);
 classes that share a key are compared on their full shingle sets, and links of Jaccard similarity
 0.8 or more are closed over by distributed union-find.  Of each component the line that comes first,
 by (doc_id, line number), is kept.  Ten bands of three rows find a pair at 0.8 with a chance of
-0.9992, at 0.85 of 0.99993.  Shingles of eight characters keep unrelated lines apart (mean similarity
-below 0.001), so buckets stay small; ``ROWS`` is to be raised with the logarithm of the corpus.
+0.9992, at 0.85 of 0.99993.  A changed character takes five shingles with it, so lines of 50 characters
+with one changed letter are still linked, in any script; ``ROWS`` is to be raised with the logarithm of
+the corpus.
 
 Scale: a very common line is combined to its class before the shuffle; keys are linked by
 :mod:`linking` (rows of one key are dealt to several tasks; no all-pairs).  Texts of lines in
@@ -31,12 +33,12 @@ from pyspark.sql import functions as F
 from daybook.llm import linking, shingles
 from daybook.llm.common import Scratch, Sieve, packed, split_by, text_or_empty, written
 
-SHINGLE = 8
+SHINGLE = 5
 BANDS = 10
 ROWS = 3
 SEED = 4
 SIMILARITY = 80
-#: Bytes of text worked through at a time, for the processor's caches.
+#: Characters of text worked through at a time, for the processor's caches.
 CHUNK = 1 << 18
 
 KEYS = [f"key{k}" for k in range(BANDS)]
@@ -56,6 +58,7 @@ class Lines:
         raw = self.raw
         begins = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(raw == 10) + 1]))
         begins = begins[begins < len(raw)]
+        lines = begins
         ends = np.append(begins[1:], len(raw)).astype(np.int64)
         text = np.searchsorted(offsets, begins, side="right") - 1
         first = np.append(True, text[1:] != text[:-1])[: len(text)]
@@ -70,8 +73,12 @@ class Lines:
         ids = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
         self.doc = ids[text[full]].astype(np.int64)
         self.windows = shingles.byte_windows(raw)
-        # End of the positions at which a line's shingles start; a short line has one.
-        self.shingle_ends = np.maximum(self.ends - SHINGLE + 1, self.begins + 1)
+        # The same in characters: values, begin and size of every line, and the end of the positions at
+        # which its shingles start; a short line has one.
+        self.chars, before = shingles.characters(raw, lines)
+        self.at = self.begins if before is None else before[self.begins]
+        self.sizes = (self.ends if before is None else before[self.ends]) - self.at
+        self.shingle_ends = self.at + np.maximum(self.sizes - SHINGLE + 1, 1)
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         """128 bits of every line: two sums over its eight-byte words, each scrambled with its place."""
@@ -92,15 +99,22 @@ class Lines:
             out[k] = shingles.mix(np.add.reduceat(mixed, starts[:-1]) + sizes.astype(np.uint64))
         return out[0], out[1]
 
+    def short(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``some`` lines are shorter than a shingle, and the hash of their own characters."""
+        places = np.flatnonzero(self.sizes[some] < SHINGLE)
+        out = np.zeros(len(places), np.uint64)
+        for n in range(1, SHINGLE):
+            fit = self.sizes[some[places]] == n
+            out[fit] = shingles.run_hashes(self.chars, self.at[some[places[fit]]], n)
+        return places, out
+
     def codes(self, at: int, to: int) -> np.ndarray:
-        """32-bit hashes of the shingles that start at each byte of the lines ``at`` to ``to``
-        (of short lines: their own bytes only)."""
-        base = self.begins[at]
-        x = np.array(self.windows[base: self.shingle_ends[to - 1] + 1])
-        short = at + np.flatnonzero(self.ends[at:to] - self.begins[at:to] < 8)
-        if len(short):
-            spare = (8 - (self.ends[short] - self.begins[short])).astype(np.uint64)
-            x[self.begins[short] - base] &= ~np.uint64(0) >> (np.uint64(8) * spare)
+        """32-bit hashes of the shingles that start at each character of the lines ``at`` to ``to``
+        (of short lines: their own characters only)."""
+        base = self.at[at]
+        x = shingles.run_hashes(self.chars, slice(base, min(self.shingle_ends[to - 1] + 1, len(self.chars))), SHINGLE)
+        places, own = self.short(np.arange(at, to))
+        x[self.at[at + places] - base] = own
         x ^= x >> np.uint64(29)
         x *= np.uint64(0xBF58476D1CE4E5B9)
         x >>= np.uint64(32)
@@ -108,7 +122,7 @@ class Lines:
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
         """``lines x BANDS`` keys, and sketches."""
-        begins, ends = self.begins, self.shingle_ends
+        begins, ends = self.at, self.shingle_ends
         values = np.empty((len(begins), BANDS * ROWS), np.uint32)
         a, b = shingles.permutations(BANDS * ROWS, SEED)
         at = 0
@@ -131,16 +145,15 @@ class Lines:
         return keys, linking.sketches(values)
 
     def sets(self, some: np.ndarray) -> list[np.ndarray]:
-        """Full shingle sets of some lines: the shingles' bytes themselves, as numbers."""
-        begins, ends, stops = self.begins[some], self.shingle_ends[some], self.ends[some]
-        out = []
-        for b, e, stop in zip(begins.tolist(), ends.tolist(), stops.tolist()):
-            x = np.array(self.windows[b:e])
-            if stop - b < 8:
-                x &= ~np.uint64(0) >> np.uint64(8 * (8 - (stop - b)))
-            x.sort()
-            out.append(x[np.append(True, x[1:] != x[:-1])] if len(x) > 1 else x)
-        return out
+        """Full sets of 64-bit shingle hashes of some lines."""
+        if not len(some):
+            return []
+        begins = self.at[some]
+        starts = np.append(0, np.cumsum(self.shingle_ends[some] - begins))
+        x = shingles.run_hashes(self.chars, np.arange(starts[-1]) + np.repeat(begins - starts[:-1], np.diff(starts)), SHINGLE)
+        places, own = self.short(some)
+        x[starts[places]] = own
+        return [np.unique(x[b:e]) for b, e in zip(starts[:-1].tolist(), starts[1:].tolist())]
 
 
 def _i64(x: np.ndarray) -> pa.Array:

@@ -83,6 +83,42 @@ def byte_windows(raw: np.ndarray) -> np.ndarray:
     return np.ndarray((len(raw),), "<u8", padded.data, 0, (1,))
 
 
+def characters(raw: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """(a number for every UTF-8 character, its bytes; how many characters begin before each byte and
+    the end, None if every byte is one).  ``lines`` always begin a character; in bytes that are not
+    UTF-8, so does a continuation byte after three others."""
+    follows = (raw & 0xC0) == 0x80
+    if not follows.any():
+        return raw, None
+    fourth = follows[3:] & follows[2:-1] & follows[1:-2] & follows[:-3]
+    begins = ~follows
+    begins[3:] |= fourth
+    begins[lines] = True
+    before = np.append(0, np.cumsum(begins))
+    at = np.flatnonzero(begins)
+    spare = (8 - np.diff(np.append(at, len(raw)))).astype(np.uint64)
+    return byte_windows(raw)[at] & (~np.uint64(0) >> (np.uint64(8) * spare)), before
+
+
+def run_hashes(chars: np.ndarray, at: slice | np.ndarray, n: int) -> np.ndarray:
+    """64-bit hashes of the runs of ``n`` characters from each place ``at`` on; beyond the last
+    character nothing is added."""
+    if isinstance(at, slice):
+        padded = np.zeros(at.stop - at.start + n - 1, np.uint64)
+        part = chars[at.start: at.stop + n - 1]
+        np.add(part, np.uint64(1), out=padded[:len(part)], dtype=np.uint64)
+        size = at.stop - at.start
+        taken = lambda k: padded[k: k + size]
+    else:
+        padded = np.append(chars, np.zeros(n - 1, chars.dtype))
+        taken = lambda k: padded[at + k].astype(np.uint64) + np.uint64(1)
+    out = taken(n - 1).copy()
+    for k in range(n - 2, -1, -1):
+        out *= _K[0]
+        out += taken(k)
+    return out
+
+
 def permutations(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
     a = rng.integers(0, 1 << 32, count, dtype=np.uint32) | np.uint32(1)
