@@ -9,6 +9,7 @@
 3. A bucket whose members are in several components may still hide a link between two members that
    are not its centre.  In such *open* buckets the members outside the largest component are compared
    with the members of other components, a number of them at a time where a bucket is very large.
+   Where a bucket has several centres, none was compared with all members, so they are among these.
 
 Before sets are fetched at all, pairs whose sketches differ too much are left out.  A sketch is a
 long with two bits of each of ``SKETCH`` min-hash values; at similarity 0.8 more than ``APART`` of
@@ -137,11 +138,11 @@ def _star(near: DataFrame, sets: Sets, percent: int) -> DataFrame:
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets of three or more that hold several components, with the bucket's number of
-    members and its largest component."""
+    members, its largest component, and whether it has several centres."""
     labelled = _labelled(members, labels, "id", "label")
-    share = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
+    share = labelled.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("centre").alias("low"), F.max("centre").alias("high"))
     several = (share.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("labels"),
-                                        F.max_by("label", "n").alias("main"))
+                                        F.max_by("label", "n").alias("main"), (F.min("low") != F.max("high")).alias("cut"))
                .filter("labels > 1 and n > 2").drop("labels"))
     return written(labelled.join(several, "key"), "open")
 
@@ -177,7 +178,7 @@ def _resolve(members: DataFrame, labels: DataFrame, sets: Sets, percent: int) ->
     tried = None
     while True:
         crowd = _open(members, labels)
-        seeds = crowd.filter("label <> main and id <> centre")
+        seeds = crowd.filter("label <> main and (id <> centre or cut)")
         if tried is not None:
             seeds = seeds.join(tried, ["key", "id"], "left_anti")
         by_key = Window.partitionBy("key")

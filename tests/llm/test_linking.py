@@ -143,3 +143,13 @@ def test_sketches_of_similar_sets_are_near(spark):
     df = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(x[0::2], x[1::2]))], "i int, a long, b long")
     near = [r[0] for r in df.orderBy("i").select(linking._sketches_near(F.col("a"), F.col("b"))).collect()]
     assert sum(near[:1500]) >= 1499 and sum(near[1500:]) < 30
+
+
+def test_first_id_of_a_key_that_goes_on_in_the_next_task(spark, monkeypatch):
+    """A key is dealt as {0} | {1, 2, 3}: 1, the centre there, is like 2 and 3, and 0 is like 2 alone."""
+    starts = {0: 0, 1: 4, 2: 2, 3: 5}
+    df = spark.createDataFrame([(i, list(range(s, s + 20))) for i, s in starts.items()], "id long, items array<long>")
+    rows = df.select("id", F.lit(1).cast("long").alias("key"), F.lit(0).cast("long").alias("sketch"))
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda self, *_: self.repartitionById(2, F.expr("int(id > 0)")))
+    labels = {r.id: r.label for r in linking.link(rows, lambda ids: df.join(ids, "id", "left_semi"), 80).collect()}
+    assert labels == dict.fromkeys(starts, 0)
