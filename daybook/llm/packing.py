@@ -46,7 +46,7 @@ PIECE_SCHEMA = T.StructType([
     T.StructField("local_rank", T.LongType()),
 ])
 
-_ENCODERS: dict[str, object] = {}
+_ENCODERS: dict[object, object] = {}
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -78,16 +78,27 @@ def byte_level_encoder(path: str):
     return _ENCODERS[path]
 
 
+def token_ids(text: str, path: str) -> np.ndarray:
+    """Ids of a text.  ``tiktoken`` gives up on runs of about a million blanks, for its regular
+    expression keeps a way back for every one of them; the tokenizers library encodes such texts."""
+    enc = byte_level_encoder(path)
+    try:
+        return enc.encode_to_numpy(text, allowed_special=enc.special_tokens_set)
+    except ValueError:
+        if ("library", path) not in _ENCODERS:
+            from tokenizers import Tokenizer
+            _ENCODERS["library", path] = Tokenizer.from_file(path)
+        return np.array(_ENCODERS["library", path].encode(text, add_special_tokens=False).ids, "<u4")
+
+
 def cut_pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, length: int, closing: int) -> Iterator[pa.RecordBatch]:
-    enc = byte_level_encoder(tokenizer)
-    special = enc.special_tokens_set
     part = TaskContext.get().partitionId()
     ranks = [0] * (length + 1)
     names = [f.name for f in PIECE_SCHEMA]
     for batch in batches:
         cols: list[list] = [[], [], [], [], [], []]
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids = np.append(enc.encode_to_numpy(text.as_py(), allowed_special=special), closing).astype("<u4")
+            ids = np.append(token_ids(text.as_py(), tokenizer), closing).astype("<u4")
             n = len(ids)
             raw = memoryview(ids.tobytes())
             for start in range(0, n, length):

@@ -58,6 +58,11 @@ def test_repeated_rows_and_special_strings(make_docs):
     gapless(rows)
 
 
+def test_runs_of_over_a_million_blanks(make_docs):
+    texts = {1: "a" + " " * 1_200_000 + "b", 2: "\n" * 1_200_000, 3: " \t" * 600_000 + "<|endoftext|> c", 4: "short"}
+    check(packing.pack(make_docs(list(texts.items())), PATH).collect(), texts)
+
+
 def test_empty_table(make_docs):
     out = packing.pack(make_docs([]), PATH)
     assert out.count() == 0 and "sequence_id" in out.columns
