@@ -31,12 +31,13 @@ from daybook.operators.metrics import in_window
 
 _UNITS = "units"
 _BUCKET = "bucket"
+_TOTAL = pa.decimal128(38, 0)
 
 
 def _units(arr: pa.ChunkedArray) -> pa.ChunkedArray:
     number = pc.if_else(pc.is_finite(arr), arr, pa.scalar(None, arr.type))
     rounded = pc.round(pc.multiply(number, float(MONEY_SCALE)), round_mode="half_to_even")
-    return pc.cast(rounded, pa.int64())
+    return pc.cast(pc.cast(rounded, pa.int64()), _TOTAL)
 
 
 def _partials_fn(with_buyers: bool):
@@ -60,7 +61,7 @@ def _partials_fn(with_buyers: bool):
             for day, units, oid, bid in pairs:
                 n = len(day)
                 cols = [day.combine_chunks(),
-                        units.combine_chunks() if units is not None else pa.nulls(n, pa.int64()),
+                        units.combine_chunks() if units is not None else pa.nulls(n, _TOTAL),
                         oid.combine_chunks() if oid is not None else pa.nulls(n, oid_type)]
                 names = [S.ORDER_DATE, _UNITS, S.ORDER_ID]
                 if with_buyers:
@@ -78,7 +79,7 @@ def daily_metrics_batches(staged: DataFrame, from_date=None, with_buyers: bool =
     """U1: per-batch Arrow partials, native final merge."""
     cols = [S.ORDER_DATE, S.ORDER_ID, S.REVENUE] + ([S.BUYER_ID] if with_buyers else [])
     src = in_window(staged, from_date).select(*cols)
-    out_fields = [T.StructField(S.ORDER_DATE, T.DateType()), T.StructField(_UNITS, T.LongType()),
+    out_fields = [T.StructField(S.ORDER_DATE, T.DateType()), T.StructField(_UNITS, T.DecimalType(38, 0)),
                   T.StructField(S.ORDER_ID, _field(src, S.ORDER_ID).dataType)]
     if with_buyers:
         out_fields.append(T.StructField(S.BUYER_ID, _field(src, S.BUYER_ID).dataType))
@@ -96,8 +97,9 @@ def _bucket_days(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, and a native sum merges the buckets' rows."""
     held = None
     for batch in batches:
-        t = pa.Table.from_batches([batch]).group_by([S.ORDER_DATE, "tag"], use_threads=False)
-        t = t.aggregate([(_UNITS, "sum"), ("k", "count")]).rename_columns([S.ORDER_DATE, "tag", _UNITS, "n"])
+        t = pa.Table.from_batches([batch])
+        t = t.set_column(t.schema.get_field_index(_UNITS), _UNITS, pc.cast(t[_UNITS], _TOTAL))
+        t = t.group_by([S.ORDER_DATE, "tag"], use_threads=False).aggregate([(_UNITS, "sum"), ("k", "count")]).rename_columns([S.ORDER_DATE, "tag", _UNITS, "n"])
         t = t.set_column(3, "n", pc.cast(t["n"], pa.int64())) if held is None else \
             pa.concat_tables([held, t.set_column(3, "n", pc.cast(t["n"], pa.int64()))])
         t = t.group_by([S.ORDER_DATE, "tag"], use_threads=False).aggregate([(_UNITS, "sum"), ("n", "sum")])
@@ -124,7 +126,7 @@ def daily_metrics_grouped(staged: DataFrame, from_date=None, with_buyers: bool =
     pairs = src.select(S.ORDER_DATE, F.inline(F.array(*entries)))
     once = (pairs.groupBy(S.ORDER_DATE, "tag", "k").agg(F.sum(_UNITS).alias(_UNITS))
             .withColumn(_BUCKET, F.pmod(F.xxhash64("k"), F.lit(nb))))
-    parts = once.groupBy(_BUCKET).applyInArrow(_bucket_days, f"{S.ORDER_DATE} date, tag int, {_UNITS} long, n long")
+    parts = once.groupBy(_BUCKET).applyInArrow(_bucket_days, f"{S.ORDER_DATE} date, tag int, {_UNITS} decimal(38,0), n long")
     counted = [from_units(F.sum(_UNITS)).alias(S.DAILY_REVENUE)]
     for tag, name in ((0, S.DAILY_ORDERS), (1, S.DAILY_BUYERS))[: 2 if with_buyers else 1]:
         counted.append(F.coalesce(F.sum(F.when(F.col("tag") == tag, F.col("n"))), F.lit(0)).cast("long").alias(name))

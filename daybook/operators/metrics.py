@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from daybook import schemas as S
 from daybook.functions.dates import date_lit
-from daybook.functions.money import from_units, to_units
+from daybook.functions.money import from_units, money_sum, wide_units
 
 SEED_RULES = ("latest", "exact")
 
@@ -36,7 +36,7 @@ def daily_revenue(staged: DataFrame, from_date=None) -> DataFrame:
         in_window(staged, from_date)
         .groupBy(S.ORDER_DATE)
         .agg(
-            from_units(F.sum(to_units(S.REVENUE))).alias(S.DAILY_REVENUE),
+            money_sum(S.REVENUE).alias(S.DAILY_REVENUE),
             F.count_distinct(S.ORDER_ID).alias(S.DAILY_ORDERS),
         )
     )
@@ -48,7 +48,7 @@ def daily_metrics(staged: DataFrame, from_date=None) -> DataFrame:
         in_window(staged, from_date)
         .groupBy(S.ORDER_DATE)
         .agg(
-            from_units(F.sum(to_units(S.REVENUE))).alias(S.DAILY_REVENUE),
+            money_sum(S.REVENUE).alias(S.DAILY_REVENUE),
             F.count_distinct(S.ORDER_ID).alias(S.DAILY_ORDERS),
             F.count_distinct(S.BUYER_ID).alias(S.DAILY_BUYERS),
         )
@@ -57,7 +57,7 @@ def daily_metrics(staged: DataFrame, from_date=None) -> DataFrame:
 
 def _cumulative(days: DataFrame, measure: str) -> Column:
     w = Window.orderBy(S.ORDER_DATE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return from_units(F.sum(to_units(measure)).over(w))
+    return from_units(F.sum(wide_units(measure)).over(w))
 
 
 def running_total(days: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import schemas as S
-from daybook.functions.money import from_units, money_sum, round_stat, to_units
+from daybook.functions.money import from_parts, from_units, money_sum, round_stat, unit_parts, wide_units
 
 MEASURES = (S.DAILY_REVENUE, S.DAILY_ORDERS, S.DAILY_BUYERS)
 
@@ -23,7 +23,7 @@ def metric_overview(metric: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("record_count"),
         F.min(S.ORDER_DATE).alias("first_date"),
         F.max(S.ORDER_DATE).alias("last_date"),
-        money_sum(S.DAILY_REVENUE).alias("total_revenue"),
+        from_units(F.sum(wide_units(S.DAILY_REVENUE))).alias("total_revenue"),
         F.sum(S.DAILY_ORDERS).cast("long").alias("total_orders"),
     )
 
@@ -72,10 +72,11 @@ def dataset_profile(staged: DataFrame) -> DataFrame:
 def avg_order_value(staged: DataFrame) -> DataFrame:
     """Mean over orders of the order's revenue: a two-level aggregate (per order, then global).
     The per-order step pre-aggregates map-side, so a very large order costs one row per task."""
-    per_order = staged.groupBy(S.ORDER_ID).agg(F.sum(to_units(S.REVENUE)).alias("units"))
+    high, low = unit_parts(S.REVENUE)
+    per_order = staged.groupBy(S.ORDER_ID).agg(F.sum(high).alias("high"), F.sum(low).alias("low"))
     return per_order.agg(
         F.count(F.lit(1)).alias("order_count"),
-        round_stat(from_units(F.sum("units")) / F.count("units")).alias("avg_order_value"),
+        round_stat(from_units(from_parts(F.sum("high"), F.sum("low"))) / F.count("high")).alias("avg_order_value"),
     )
 
 
