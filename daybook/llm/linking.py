@@ -19,8 +19,9 @@ Then an exact bound rules most unlike pairs out: their sizes, and parity bitmaps
 are no more than the items in which they differ.  Outliers of a group of copies, and unlike documents
 that share a passage, differ in too many.
 
-So every pair of bucket mates ends in one component, has been compared, or cannot have the
-similarity: no link between bucket mates is lost.
+So every pair of bucket mates ends in one component, has been compared, cannot have the similarity,
+or (lines only) was left out by its sketches: with constant sketches no link between bucket mates is
+lost, with others one at 0.8 is with a chance of about 1e-5.
 """
 
 from __future__ import annotations
