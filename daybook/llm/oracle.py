@@ -121,9 +121,55 @@ FROM (SELECT doc_id, CAST(concat('0x', substr(md5(coalesce(CAST(doc_id AS VARCHA
 """
 
 
+_INTERACTIONS = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+judged AS (
+  SELECT part,
+         list_filter(['A', 'B', 'C', 'D', 'E'], lambda f: CASE f
+             WHEN 'A' THEN len(w) < 200
+             WHEN 'B' THEN 2 * len(list_distinct(w)) < len(w)
+             WHEN 'C' THEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t)
+             WHEN 'D' THEN regexp_matches(t, '[#$%&*|]')
+             ELSE coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) END) AS failed,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND quality = 1) AS good,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND toxic = 1) AS toxic
+  FROM words d),
+kinds AS MATERIALIZED (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM judged GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS MATERIALIZED (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT filter_order, step::INTEGER AS step, filter_order[step] AS f, string_split(filter_order[1:step - 1], '') AS earlier
+          FROM orders, range(1, 6) r(step)),
+met AS (
+  SELECT part, filter_order, step, f, n, good, toxic, len(failed) AS fails, list_contains(failed, f) AS now,
+         len(list_intersect(failed, earlier)) > 0 AS gone
+  FROM kinds, steps),
+counted AS (
+  SELECT part, filter_order, step, f,
+         coalesce(sum(n) FILTER (NOT now AND NOT gone), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (now AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (now AND gone), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (now AND fails = 1), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (now AND NOT gone), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (now AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM met GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM counted
+"""
+
+
 SQL: dict[str, str] = {
     "op3_minhash": _NEAR_DUPLICATES,
     "op6_neighbours": _NEIGHBOURS,
     "op9_url_filter": _URLS,
     "op10_sharding": _placement(),
+    "op12_filter_interactions": _INTERACTIONS,
 }
