@@ -121,6 +121,44 @@ FROM (SELECT doc_id, CAST(concat('0x', substr(md5(coalesce(CAST(doc_id AS VARCHA
 """
 
 
+_DIVERGENCE = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+uses AS MATERIALIZED (SELECT i, lang, source, unnest(w) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term FROM uses GROUP BY lang, term HAVING count(DISTINCT i) >= 30),
+groups AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM uses GROUP BY ALL),
+dense AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n
+  FROM groups g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+shares AS MATERIALIZED (
+  SELECT lang, source, term, n,
+         1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * count(*) OVER (PARTITION BY lang, source)) AS p
+  FROM dense),
+whole AS (
+  SELECT lang, term, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM dense GROUP BY lang, term)),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value
+  FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
 _INTERACTIONS = r"""
 WITH words AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
@@ -171,5 +209,6 @@ SQL: dict[str, str] = {
     "op6_neighbours": _NEIGHBOURS,
     "op9_url_filter": _URLS,
     "op10_sharding": _placement(),
+    "op11_source_divergence": _DIVERGENCE,
     "op12_filter_interactions": _INTERACTIONS,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, fingerprint, interactions, language, lines, minhash, neighbours, packing, secret_scan, sharding, urlfilter
+from daybook.llm import bpe, divergence, fingerprint, interactions, language, lines, minhash, neighbours, packing, secret_scan, sharding, urlfilter
 from daybook.llm.common import table
 
 PACK_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,6 +66,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, "doc_id", sharding.shard_names(sharding.SHARDS)).select("doc_id", "slot", "shard")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -81,5 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,
+    "op11_source_divergence": op11_source_divergence,
     "op12_filter_interactions": op12_filter_interactions,
 }
