@@ -20,9 +20,9 @@ numbers (the shares in decimals; sums of a block in 64 bits).
 
 Scale: texts are scanned once, and tasks emit counts combined over many documents, at most
 ``HELD`` terms at a time.  What is shuffled is a row per (language, source, term) and task, then the
-kept ones.  A block holds about ``POSTINGS`` postings and at most one term more (a term has one per source), so a block
-is bounded whatever the corpus, and its result, half of the pairs of sources, is what the contract's
-result is anyway.  Languages, sources and words of any share of the rows are combined before each shuffle.
+kept ones.  A block holds about ``POSTINGS`` postings, or ``PER_SOURCE`` for each source where these
+are more (a term has at most one per source), so it does not grow with the corpus; a row of its result is one group's
+dense accumulator, as long as the contract's result for that group.  Languages, sources and words of any share of the rows are combined before each shuffle.
 The list of best terms is cut to its ranks in each task before it is shuffled.
 
 Defined cases: null text, lang and source are empty strings, and groups like others; a group whose
@@ -55,8 +55,9 @@ TERM_RANKS = 50
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Terms that a task holds before it emits their counts.
 HELD = 1 << 18
-#: Postings in a block, about.
-POSTINGS = 1 << 18
+#: Postings in a block, about; with very many sources so many a source.
+POSTINGS = 1 << 14
+PER_SOURCE = 64
 
 COUNT_SCHEMA = "lang string, source string, term string, n long, docs long"
 PAIR_SCHEMA = "lang string, g string, h string, value long"
@@ -168,11 +169,12 @@ class Shares:
         langs = terms.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"), F.sum("postings").alias("postings"))
         totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
         zero = F.lit(0).cast("long")
-        groups = (seen.join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
-                  .withColumns({c: F.coalesce(c, zero) for c in ("total", "terms", "lang_total", "postings")})
-                  .withColumn("blocks", F.floor(F.col("postings") / POSTINGS) + 1)
-                  .withColumn("base", share("0", "total", "terms")))
-        self.groups = written(groups.drop("postings"), "groups")
+        sources = seen.groupBy("lang").agg(F.count("*").alias("sources"))
+        langs = (sources.join(langs, "lang", "left").withColumns({c: F.coalesce(c, zero) for c in ("terms", "lang_total", "postings")})
+                 .withColumn("blocks", F.floor(F.col("postings") / F.greatest(F.lit(POSTINGS), PER_SOURCE * F.col("sources"))) + 1))
+        groups = (seen.join(totals, ["lang", "source"], "left").join(langs.drop("sources", "postings"), "lang")
+                  .withColumn("total", F.coalesce("total", zero)).withColumn("base", share("0", "total", "terms")))
+        self.groups = written(groups, "groups")
         shared = kept.join(self.groups, ["lang", "source"])
         self.postings = written(shared.select(
             "lang", "source", "term", share("n", "total", "terms").alias("p"), share("lang_n", "lang_total", "terms").alias("q"),

@@ -71,6 +71,7 @@ def test_against_brute_force(audited, least_docs):
 def test_several_blocks_and_flushes(audited, monkeypatch):
     # The settings reach the driver's plan; the workers count with their own HELD.
     monkeypatch.setattr(divergence, "POSTINGS", 16)
+    monkeypatch.setattr(divergence, "PER_SOURCE", 2)
     rows = random_rows(300, 9)
     assert audited(rows, 2, 3) == brute(rows, 2, 3)
 
