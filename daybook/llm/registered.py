@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, divergence, fingerprint, interactions, language, lines, minhash, neighbours, packing, secret_scan, sharding, urlfilter
+from daybook.llm import bpe, divergence, fingerprint, interactions, language, lines, minhash, neighbours, packing, quality_vote, secret_scan, sharding, urlfilter
 from daybook.llm.common import table
 
 PACK_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,6 +74,11 @@ def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_quality_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return quality_vote.classify(table(spark, sf_dir, "documents"), labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_fingerprints": op2_fingerprints,
@@ -87,4 +92,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
     "op11_source_divergence": op11_source_divergence,
     "op12_filter_interactions": op12_filter_interactions,
+    "op13_quality_vote": op13_quality_vote,
 }
