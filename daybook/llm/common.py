@@ -8,6 +8,7 @@ from contextlib import contextmanager
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,8 @@ def prepare(spark: SparkSession) -> None:
     """Session settings of the corpus operators; ships the package to the Python workers."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    # Every intermediate is a written table, so a finished job's shuffle files are never read again.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 @contextmanager
@@ -144,6 +147,28 @@ def packed(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *keys)
 
 
+def _is_file_scan(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` are rows of files, at most filtered and with fewer columns."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation" and "_metadata" not in df.columns
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``row`` (a struct of all columns of ``docs``), ``file``, ``place``: two numbers that tell any two
+    rows apart, equal ones too, and are the same in every scan.  They are a 64-bit hash of the row's file
+    and its place there; rows that do not come from Parquet files as they are get written first."""
+    if _is_file_scan(docs):
+        try:
+            return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                               F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+        except AnalysisException:  # files of another format have no row numbers
+            pass
+    rows = written(packed(docs), "rows")
+    return rows.select("row", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+
+
 def split_by(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(rows whose ``key`` may be in ``keys``, rows whose ``key`` is certainly not)."""
     sieve = Sieve.build(keys.select(F.col(key).cast("long")))

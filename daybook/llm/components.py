@@ -5,39 +5,31 @@ neighbours at the smallest of them; the links end as one star per component, cen
 component's smallest id.  The rounds needed grow with the logarithm of a component's extent, not
 with its size.  Each round is written to the shared checkpoint folder.  Minima are combined before
 the shuffle and the joins are plain equi-joins, so adaptive execution can split the rows of a hub.
-The number of tasks follows the number of links: a small table needs no shuffle at all.
+The number of tasks is left to adaptive execution.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import Scratch, written
 
-#: Tables of at most so many links (a few megabytes) are worked on by one task, without shuffles.
-ONE_TASK = 200_000
-
-
-Layout = Callable[[DataFrame], DataFrame]
-
 
-def _large_star(links: DataFrame, laid: Layout) -> DataFrame:
+def _large_star(links: DataFrame) -> DataFrame:
     """``links``: (u, v) with u > v."""
-    both = laid(links.union(links.select("v", "u")))
+    both = links.union(links.select("v", "u"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
     # For u: every neighbour above u points at u's least neighbour (or at u itself).
     return (links.select(F.col("v").alias("u"), F.col("u").alias("v")).join(least, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
 
 
-def _small_star(links: DataFrame, laid: Layout) -> DataFrame:
+def _small_star(links: DataFrame) -> DataFrame:
     least = links.groupBy("u").agg(F.min("v").alias("m"))
     joined = links.join(least, "u")
-    return laid(joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                .union(least.select("u", F.col("m").alias("v")))).distinct()
+    return (joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            .union(least.select("u", F.col("m").alias("v"))).distinct())
 
 
 def _mark(links: DataFrame) -> tuple:
@@ -55,8 +47,7 @@ def _contracted(links: DataFrame) -> DataFrame:
     now = written(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     mark = _mark(now)
     while mark[0]:
-        laid = (lambda df: df.coalesce(1)) if mark[0] <= ONE_TASK else (lambda df: df)
-        now = written(_small_star(_large_star(laid(now), laid), laid), "links")
+        now = written(_small_star(_large_star(now)), "links")
         before, mark = mark, _mark(now)
         if mark == before:
             break

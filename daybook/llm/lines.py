@@ -5,20 +5,25 @@ its character shingles (runs of ``SHINGLE`` code points, hashed to 64 bits; the
 shorter);
 classes that share a key are compared on their full shingle sets, and links of Jaccard similarity
 0.8 or more are closed over by distributed union-find.  Of each component the line that comes first,
-by (doc_id, line number), is kept.  Ten bands of three rows find a pair at 0.8 with a chance of
-0.9992, at 0.85 of 0.99993.  A changed character takes five shingles with it, so lines of 50 characters
-with one changed letter are still linked, in any script; ``ROWS`` is to be raised with the logarithm of
-the corpus.
+by (doc_id, place of the row, line number), is kept.  Ten bands of three rows find a pair at 0.8 with a
+chance of 0.9992, at 0.85 of 0.99993, if the values are independent; a changed character takes five
+shingles with it, so lines of 50 characters with one changed letter are still linked, in any script;
+``ROWS`` is to be raised with the logarithm of the corpus.
+
+The values come from one permutation: the scrambled shingle hashes fall into ``BANDS * ROWS`` bins, each
+bin's value is its least hash, and a bin that is empty takes the value of another bin, tried in an order that
+is the same for all lines.  One sorted pass over a line gives its set, its size, its parity bitmap and its
+values.  (Bins of one line are not quite independent; the recall is measured in ``tests/llm``.)
 
 Scale: a very common line is combined to its class before the shuffle; keys are linked by
-:mod:`linking` (rows of one key are dealt to several tasks; no all-pairs).  Texts of lines in
-candidate pairs are fetched by a second scan through a fixed-size sieve; only documents that lose a
-line go through the join that removes them.
+:mod:`linking` (rows of one key are dealt to several tasks; no all-pairs).  Texts, not sets, of the lines in
+candidate pairs are fetched by a second scan through a fixed-size sieve, and sets are made again where
+pairs are compared; only documents that lose a line go through the join that removes them.
 
 Defined cases: null or empty texts have no lines and are left as they are; blank lines are never
 removed; lines end at ``\\n`` (a ``\\r`` before it belongs to the line); a document that loses all its
-lines keeps an empty text; rows that share a ``doc_id`` lose the same line numbers, and rows without
-one count as ``doc_id`` -1 in comparisons; extra columns pass through.
+lines keeps an empty text; rows are told apart by their place in the table, so each row loses its own
+lines whether its ``doc_id`` is null, repeated, or its text repeated; null ids come first; extra columns pass through.
 """
 
 from __future__ import annotations
@@ -31,30 +36,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import linking, shingles
-from daybook.llm.common import Scratch, Sieve, packed, split_by, text_or_empty, written
+from daybook.llm.common import Scratch, Sieve, numbered, split_by, text_or_empty, written
 
 SHINGLE = 5
 BANDS = 10
 ROWS = 3
 SEED = 4
 SIMILARITY = 80
-#: Characters of text worked through at a time, for the processor's caches.
+#: Characters, and lines, worked through at a time, for the processor's caches.
 CHUNK = 1 << 18
+CHUNK_LINES = 2048
 
+BINS = BANDS * ROWS
 KEYS = [f"key{k}" for k in range(BANDS)]
-SIGNED = ["doc_id", "line", "h1", "h2", "sketch", *KEYS]
-#: ``doc_id * PLACES + line number`` is one number that sorts like the pair.
-PLACES = 1 << 40
+WHERE = ["doc_id", "file", "place", "line"]
+SIGNED = [*WHERE, "h1", "h2", *linking.FACTS, *KEYS]
 
+#: For every empty bin, the bins whose value it takes, in this order: some at random, then all others.
+_LENDERS = np.concatenate([np.random.default_rng(SEED).integers(0, BINS, (64, BINS)), (np.arange(BINS) + np.arange(1, BINS)[:, None]) % BINS])
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
 
 class Lines:
-    """The non-blank lines of a batch of texts: where they are, and what they hash to."""
+    """The non-blank lines of a column of texts: where they are, and what they hash to."""
 
-    def __init__(self, batch: pa.RecordBatch):
-        self.raw, offsets = shingles.text_bytes(batch.column("text"))
+    def __init__(self, column: pa.Array):
+        self.raw, offsets = shingles.text_bytes(column)
         raw = self.raw
         begins = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(raw == 10) + 1]))
         begins = begins[begins < len(raw)]
@@ -70,8 +78,7 @@ class Lines:
         for i in np.flatnonzero((ends > begins) & ~full):  # lines that begin with a blank
             full[i] = not _BLANK[raw[begins[i]:ends[i]]].all()
         self.begins, self.ends, self.number = begins[full], ends[full], number[full].astype(np.int64)
-        ids = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
-        self.doc = ids[text[full]].astype(np.int64)
+        self.text = text[full]
         self.windows = shingles.byte_windows(raw)
         # The same in characters: values, begin and size of every line, and the end of the positions at
         # which its shingles start; a short line has one.
@@ -108,52 +115,68 @@ class Lines:
             out[fit] = shingles.run_hashes(self.chars, self.at[some[places[fit]]], n)
         return places, out
 
-    def codes(self, at: int, to: int) -> np.ndarray:
-        """32-bit hashes of the shingles that start at each character of the lines ``at`` to ``to``
-        (of short lines: their own characters only)."""
-        base = self.at[at]
-        x = shingles.run_hashes(self.chars, slice(base, min(self.shingle_ends[to - 1] + 1, len(self.chars))), SHINGLE)
+    def sets(self, at: int, to: int) -> tuple[np.ndarray, np.ndarray]:
+        """Scrambled hashes of the distinct shingles of the lines ``at`` to ``to``, sorted in each, and
+        where each line's begin (one entry more than lines)."""
+        begins = self.at[at:to]
+        counts = self.shingle_ends[at:to] - begins
+        starts = np.append(0, np.cumsum(counts))
+        x = shingles.run_hashes(self.chars, slice(begins[0], self.shingle_ends[to - 1]), SHINGLE)
+        x = x[np.arange(starts[-1]) + np.repeat(begins - begins[0] - starts[:-1], counts)]
         places, own = self.short(np.arange(at, to))
-        x[self.at[at + places] - base] = own
-        x ^= x >> np.uint64(29)
-        x *= np.uint64(0xBF58476D1CE4E5B9)
-        x >>= np.uint64(32)
-        return x.astype(np.uint32)
-
-    def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """``lines x BANDS`` keys, and sketches."""
-        begins, ends = self.at, self.shingle_ends
-        values = np.empty((len(begins), BANDS * ROWS), np.uint32)
-        a, b = shingles.permutations(BANDS * ROWS, SEED)
+        x[starts[places]] = own
+        x = shingles.mix(x)
+        for b, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            x[b:e].sort()
+        new = np.append(True, x[1:] != x[:-1])
+        new[starts[:-1]] = True
+        return x[new], np.append(0, np.cumsum(np.add.reduceat(new, starts[:-1], dtype=np.int64)))
+
+    def chunks(self) -> Iterator[tuple[int, int]]:
         at = 0
-        while at < len(begins):
-            to = max(at + 1, int(np.searchsorted(begins, begins[at] + CHUNK)))
-            part = self.codes(at, to)
-            held = np.empty_like(part)
-            # Minima of [begin, end) and, unused, of the rest up to the next line.
-            bounds = np.empty(2 * (to - at), np.int64)
-            bounds[0::2], bounds[1::2] = begins[at:to] - begins[at], ends[at:to] - begins[at]
-            cut = bounds[:-1] if bounds[-1] == len(part) else bounds
-            for j in range(BANDS * ROWS):
-                np.multiply(part, a[j], out=held)
-                held += b[j]
-                values[at:to, j] = np.minimum.reduceat(held, cut)[0::2]
+        while at < len(self.at):
+            to = min(max(at + 1, int(np.searchsorted(self.at, self.at[at] + CHUNK))), at + CHUNK_LINES)
+            yield at, to
             at = to
-        keys = np.zeros((len(begins), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
+
+    def signatures(self) -> tuple[np.ndarray, np.ndarray]:
+        """``lines x FACTS`` and ``lines x BANDS`` keys."""
+        facts = np.empty((len(self.at), len(linking.FACTS)), np.int64)
+        values = np.empty((len(self.at), BINS), np.uint64)
+        for at, to in self.chunks():
+            x, starts = self.sets(at, to)
+            sizes = np.diff(starts)
+            line = np.repeat(np.arange(to - at), sizes)
+            facts[at:to, 0] = sizes
+            facts[at:to, 1:] = linking.parities(x, line, to - at)
+            values[at:to] = _binned(x, line, to - at)
+        keys = np.zeros((len(self.at), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
         for r in range(ROWS):
             keys = shingles.mix(keys + values[:, r::ROWS])
-        return keys, linking.sketches(values)
-
-    def sets(self, some: np.ndarray) -> list[np.ndarray]:
-        """Full sets of 64-bit shingle hashes of some lines."""
-        if not len(some):
-            return []
-        begins = self.at[some]
-        starts = np.append(0, np.cumsum(self.shingle_ends[some] - begins))
-        x = shingles.run_hashes(self.chars, np.arange(starts[-1]) + np.repeat(begins - starts[:-1], np.diff(starts)), SHINGLE)
-        places, own = self.short(some)
-        x[starts[places]] = own
-        return [np.unique(x[b:e]) for b, e in zip(starts[:-1].tolist(), starts[1:].tolist())]
+        return facts, keys
+
+
+def _binned(x: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
+    """``lines x BINS`` least hashes, from the sorted hashes ``x`` of every line."""
+    place = line * BINS + ((x >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
+    lead = np.append(True, place[1:] != place[:-1])
+    values = np.zeros(lines * BINS, np.uint64)
+    full = np.zeros(lines * BINS, bool)
+    values[place[lead]] = x[lead]
+    full[place[lead]] = True
+    values, full = values.reshape(lines, BINS), full.reshape(lines, BINS)
+    some = np.flatnonzero(~full.all(axis=1))
+    mine, own = values[some], full[some]
+    done = own.copy()
+    for lender in _LENDERS:
+        open_ = np.flatnonzero(~done.all(axis=1))
+        if not len(open_):
+            break
+        take = ~done[open_] & own[open_][:, lender]
+        mine[open_] = np.where(take, values[some[open_]][:, lender], mine[open_])
+        done[open_] |= take
+    values[some] = mine
+    return values
 
 
 def _i64(x: np.ndarray) -> pa.Array:
@@ -162,89 +185,111 @@ def _i64(x: np.ndarray) -> pa.Array:
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lines = Lines(batch)
-        h1, h2 = lines.hashes()
-        keys, sketch = lines.keys()
-        yield pa.RecordBatch.from_arrays([pa.array(lines.doc), pa.array(lines.number), _i64(h1), _i64(h2), pa.array(sketch),
-                                          *[_i64(keys[:, k]) for k in range(BANDS)]], SIGNED)
+        lines = Lines(batch.column("text"))
+        facts, keys = lines.signatures()
+        rows = pa.array(lines.text)
+        yield pa.RecordBatch.from_arrays(
+            [*[batch.column(c).take(rows) for c in WHERE[:3]], pa.array(lines.number), *map(_i64, lines.hashes()),
+             *[pa.array(np.ascontiguousarray(f)) for f in facts.T], *[_i64(k) for k in keys.T]], SIGNED)
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _line_texts(batches: Iterator[pa.RecordBatch], sieve) -> Iterator[pa.RecordBatch]:
+    """Hashes and text of the lines that may be wanted, each once a batch."""
     for batch in batches:
-        lines = Lines(batch)
-        yield pa.RecordBatch.from_arrays([pa.array(lines.doc), pa.array(lines.number), *map(_i64, lines.hashes())],
-                                         ["doc_id", "line", "h1", "h2"])
+        lines = Lines(batch.column("text"))
+        h1, h2 = lines.hashes()
+        some = np.flatnonzero(sieve.value(h1, h2))
+        _, once = np.unique(h1[some], return_index=True)
+        some = some[np.sort(once)] if len(once) else some
+        raw = lines.raw.tobytes() if len(some) else b""
+        texts = [raw[b:e] for b, e in zip(lines.begins[some].tolist(), lines.ends[some].tolist())]
+        yield pa.RecordBatch.from_arrays([_i64(h1[some]), _i64(h2[some]), pa.array(texts, pa.binary())], ["h1", "h2", "items"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch], sieve) -> Iterator[pa.RecordBatch]:
+def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) whose lines x and y have the similarity."""
     for batch in batches:
-        lines = Lines(batch)
-        some = np.flatnonzero(sieve.value(lines.doc, lines.number))
-        items = [s.view(np.int64) for s in lines.sets(some)]
-        yield pa.RecordBatch.from_arrays([pa.array(lines.doc[some]), pa.array(lines.number[some]),
-                                          pa.array(items, pa.list_(pa.int64()))], ["doc_id", "line", "items"])
+        if not len(batch):
+            continue
+        sides = []
+        for c in ("x", "y"):
+            lines = Lines(batch.column(c))
+            assert len(lines.at) == len(batch)
+            sides.append([s for at, to in lines.chunks() for s in _split(*lines.sets(at, to))])
+        near = np.zeros(len(batch), bool)
+        for i, (x, y) in enumerate(zip(*sides)):
+            both = np.concatenate((x, y))
+            both.sort()
+            common = int(np.count_nonzero(both[1:] == both[:-1]))
+            near[i] = 100 * common >= percent * (len(both) - common)
+        yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+def _split(x: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    return [x[b:e] for b, e in zip(starts[:-1].tolist(), starts[1:].tolist())]
 
 
-def _place(column: str) -> list[Column]:
-    line = F.pmod(F.col(column), F.lit(PLACES).cast("decimal(38,0)"))
-    return [((F.col(column) - line) / PLACES).cast("long").alias("doc_id"), line.cast("long").alias("line")]
+def _longs(names: list[str]) -> str:
+    return ", ".join(f"{c} long" for c in names)
 
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """Classes of lines that occur more than once or are linked: ``h1, h2, keep`` with ``keep`` the
-    (doc_id, line) of the component's kept line."""
-    with Scratch(docs.sparkSession) as scratch:
-        return scratch.keep(_repeated(docs), "repeated-lines")
+def _texts(rows: DataFrame) -> DataFrame:
+    """From numbered rows, what the scans read."""
+    return rows.select(F.col("row.doc_id").cast("long").alias("doc_id"), "file", "place", text_or_empty(F.col("row.text")).alias("text"))
 
 
-def _repeated(docs: DataFrame) -> DataFrame:
-    texts = _texts(docs)
-    place = F.col("doc_id").cast("decimal(38,0)") * PLACES + F.col("line")
-    # Sketch and keys are the same in all rows of a class.
-    classes = (texts.mapInArrow(_signed, ", ".join(f"{c} long" for c in SIGNED)).groupBy("h1", "h2")
-               .agg(F.min(place.cast("decimal(38,0)")).alias("first"), F.count("*").alias("n"),
-                    *[F.min(c).alias(c) for c in ("sketch", *KEYS)]))
+def _labels(signed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``h1, h2, label`` of the classes that occur more than once or are linked."""
+    # Facts and keys are the same in all rows of a class.
+    classes = signed.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in (*linking.FACTS, *KEYS)])
     classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
-    rows = classes.select("id", "sketch", F.explode(F.array(*KEYS)).alias("key"))
-    where = classes.select("id", *_place("first"))
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = written(where.join(ids, "id"), "wanted")
-        sieve = Sieve.build(wanted.select("doc_id", "line"))
-        sets = texts.mapInArrow(lambda it: _sets(it, sieve), "doc_id long, line long, items array<long>")
-        return sets.join(wanted, ["doc_id", "line"]).select("id", "items")
+    def confirm(pairs: DataFrame) -> DataFrame:
+        wanted = written(classes.select("id", "h1", "h2").join(linking.named(pairs), "id"), "wanted")
+        sieve = Sieve.build(wanted.select("h1", "h2"))
+        found = texts.select("text").mapInArrow(lambda it: _line_texts(it, sieve), "h1 long, h2 long, items binary")
+        found = found.join(wanted, ["h1", "h2"]).groupBy("id").agg(F.min("items").alias("items"))
+        both = linking.side_by_side(pairs, written(found, "line-texts")).withColumns({c: F.col(c).cast("string") for c in "xy"})
+        return both.mapInArrow(lambda it: _similar(it, percent), "a long, b long")
+
+    rows = classes.select("id", "size", F.explode(F.array(*KEYS)).alias("key"))
+    linked = linking.link(rows, classes.select("id", *linking.FACTS), confirm, percent)
+    return classes.join(linked, "id", "left").filter("n > 1 or label is not null").select("h1", "h2", F.coalesce("label", "id").alias("label"))
 
-    labels = linking.link(rows, sets_of, SIMILARITY)
-    linked = classes.select("id", "h1", "h2", "first").join(labels, "id")
-    keep = linked.groupBy("label").agg(F.min("first").alias("keep"))
-    several = classes.filter("n > 1").join(labels, "id", "left_anti").select("h1", "h2", F.col("first").alias("keep"))
-    found = linked.join(keep, "label").select("h1", "h2", "keep").unionByName(several)
-    return found.select("h1", "h2", F.struct(*_place("keep")).alias("keep"))
+
+def _placed(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Numbered ``docs``, and a row per non-blank line of each: ``WHERE`` and ``keep``, null or where the
+    kept line of its component is."""
+    rows = numbered(docs)
+    with Scratch(docs.sparkSession) as scratch:
+        texts = _texts(rows)
+        signed = written(texts.mapInArrow(_signed, _longs(SIGNED)), "signed-lines")
+        labels = written(_labels(signed, texts, percent), "line-labels")
+        inside = signed.select(*WHERE, "h1", "h2").join(labels, ["h1", "h2"])
+        keep = inside.groupBy("label").agg(F.min(F.struct(*WHERE)).alias("keep"))
+        found = labels.join(keep, "label").select("h1", "h2", "keep")
+        return rows, scratch.keep(signed.select(*WHERE, "h1", "h2").join(found, ["h1", "h2"], "left").select(*WHERE, "keep"), "placed-lines")
 
 
-def classify(docs: DataFrame) -> DataFrame:
+def classify(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """A row per non-blank line: ``doc_id, line, keep_doc_id, keep_line, kept`` (the component's kept
     line; for most lines themselves)."""
-    lines = _texts(docs).mapInArrow(_hashed, "doc_id long, line long, h1 long, h2 long")
-    own = F.struct("doc_id", "line")
-    joined = lines.join(repeated(docs), ["h1", "h2"], "left").withColumn("keep", F.coalesce("keep", own))
-    return joined.select("doc_id", "line", F.col("keep.doc_id").alias("keep_doc_id"),
-                         F.col("keep.line").alias("keep_line"), (F.col("keep") == own).alias("kept"))
+    _, lines = _placed(docs, percent)
+    own = F.struct(*WHERE)
+    lines = lines.withColumn("keep", F.coalesce("keep", own))
+    return lines.select("doc_id", "line", F.col("keep.doc_id").alias("keep_doc_id"),
+                        F.col("keep.line").alias("keep_line"), F.col("keep").eqNullSafe(own).alias("kept"))
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """``docs`` whose texts have lost every line that is not the kept one of its component."""
-    lines = _texts(docs).mapInArrow(_hashed, "doc_id long, line long, h1 long, h2 long")
-    gone = lines.join(repeated(docs), ["h1", "h2"]).filter(F.struct("doc_id", "line") != F.col("keep"))
-    # At most the lines of one document to a row.
-    gone = written(gone.groupBy("doc_id").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc_id", "_id"), "gone-lines")
-    keyed = packed(docs, "doc_id", "text").withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
-    may, stay = split_by(keyed, gone, "_id")
-    left = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("_gone", i.cast("long")))
-    new = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    cut = may.join(gone, "_id", "left").select(F.col("row").withField("text", new).alias("row"))
-    return stay.select("row").unionByName(cut).select("row.*")
+    rows, lines = _placed(docs, percent)
+    gone = lines.filter(F.col("keep").isNotNull() & ~F.col("keep").eqNullSafe(F.struct(*WHERE)))
+    # At most the lines of one row of the table.
+    gone = written(gone.groupBy("file", "place").agg(F.collect_set("line").alias("gone")).withColumn("at", F.xxhash64("file", "place")), "gone-lines")
+    may, stay = split_by(rows.withColumn("at", F.xxhash64("file", "place")), gone, "at")
+    text = F.col("row.text").cast("string")
+    left = F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("gone", i.cast("long")))
+    new = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(left, "\n"))
+    cut = may.join(gone.drop("at"), ["file", "place"], "left").select(F.col("row").withField("text", new).alias("row"))
+    return stay.select(F.col("row").withField("text", text).alias("row")).unionByName(cut).select("row.*")

@@ -1,27 +1,22 @@
-"""Linking by shared keys: from rows (id, sketch, key) to components of confirmed links.
+"""Linking by shared keys: from rows (id, key, size) to components of confirmed links.
 
 1. Rows are sorted by (key, id) over the cluster, so even the rows of one key are dealt to several
    tasks, and one pass over the sorted rows gives each its bucket's *centre*, the first id of the
    key in that task; where a key goes on in the next task, the centres are compared as well.
-2. Every id is compared with one centre, components are formed, and then ids are compared with the
-   other centres of their buckets unless they are in one component by now: a group of copies costs
-   about one comparison a member, not their square.
+2. Every id is compared with the centres of its buckets, at most one a key, and components are
+   formed: a group of copies costs a few comparisons a member, not their square.
 3. A bucket whose members are in several components may still hide a link between two members that
    are not its centre.  In such *open* buckets the members outside the largest component are compared
-   with the members of other components, a number of them at a time where a bucket is very large.
-   Where a bucket has several centres, none was compared with all members, so they are among these.
+   with the members of other components.  Where a bucket has several centres, none was compared with
+   all members, so they are among these.  Both sides of a large bucket are dealt to several tasks by a
+   salt, and pairs are looked at as they are formed: only those that may be near are ever kept.
 
-Before sets are fetched at all, pairs whose sketches differ too much are left out.  A sketch is a
-long with two bits of each of ``SKETCH`` min-hash values; at similarity 0.8 more than ``APART`` of
-them differ with a chance of 1e-5.  (A caller whose keys meet by chance rarely gives a constant.)
-Then an exact bound rules most unlike pairs out: their sizes, and parity bitmaps.  Of
+Before sets are fetched, two exact bounds rule most unlike pairs out: sizes, and parity bitmaps.  Of
 ``64 * LONGS`` hash slots each set keeps the parity of its items; the slots in which two sets differ
-are no more than the items in which they differ.  Outliers of a group of copies, and unlike documents
-that share a passage, differ in too many.
+are no more than the items in which they differ.
 
-So every pair of bucket mates ends in one component, has been compared, cannot have the similarity,
-or (lines only) was left out by its sketches: with constant sketches no link between bucket mates is
-lost, with others one at 0.8 is with a chance of about 1e-5.
+So every pair of bucket mates ends in one component, has been compared, or cannot have the similarity:
+no link between bucket mates is lost.
 """
 
 from __future__ import annotations
@@ -30,224 +25,147 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, batches_of, split_by, written
+from daybook.llm.common import Scratch, batches_of, written
 from daybook.llm.components import components
 
-#: Pairs that one round looks at in an open bucket, about.
-PAIRS_PER_ROUND = 1 << 26
-#: Parity bitmaps of 1,024 slots.
-LONGS = 16
-SLOT_BITS = 10
+#: Parity bitmaps of 512 slots.
+LONGS = 8
+SLOTS = 64 * LONGS
 PARITY = [f"parity{k}" for k in range(LONGS)]
-#: Two-bit values in a sketch, and how many of them may differ.
-SKETCH = 30
-APART = 14
-MEMBER_SCHEMA = "key long, id long, sketch long, centre long, near boolean, edge boolean"
+FACTS = ["size", *PARITY]
+#: Seeds of an open bucket that one task compares with the bucket's members, about.
+CROWD = 4096
+MEMBER_SCHEMA = "key long, id long, size long, centre long, centre_size long, edge boolean"
 
+Confirm = Callable[[DataFrame], DataFrame]
 
-def sketches(values: np.ndarray) -> np.ndarray:
-    """``rows x SKETCH`` min-hash values to one long a row."""
-    bits = (values[:, :SKETCH].astype(np.uint64) >> np.uint64(7)) & np.uint64(3)
-    return (bits << (np.uint64(2) * np.arange(SKETCH, dtype=np.uint64))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
-
-def _sketches_near(a: Column, b: Column) -> Column:
-    apart = a.bitwiseXOR(b)
-    return F.bit_count(apart.bitwiseOR(F.shiftrightunsigned(apart, 1)).bitwiseAND(F.lit(0x5555555555555555))) <= APART
+def parities(items: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+    """``owners x LONGS`` bitmaps of the scrambled items (each once per owner)."""
+    odd = np.bincount(owner * SLOTS + (items & np.uint64(SLOTS - 1)).astype(np.int64), minlength=owners * SLOTS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).reshape(owners, LONGS)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of every key that has two or more rows in this task, with the key's first id here, and
-    whether their sketches are near; and, marked as edge, the first ids of the task's first and last
-    key."""
-    held = None  # the run that reaches the end of the rows so far: key, centre, its sketch, rows
+    """Members of every key that has two or more rows in this task, with the key's first id here and
+    its size; and, marked as edge, the first ids of the task's first and last key."""
+    held = None  # the run that reaches the end of the rows so far: key, centre, its size, rows
     first = None
 
-    def out(key, id_, sketch, centre, near, edge):
-        longs = [pa.array(np.asarray(x, np.int64)) for x in (key, id_, sketch, centre)]
-        return pa.RecordBatch.from_arrays([*longs, pa.array(near, pa.bool_()), pa.array([edge] * len(key), pa.bool_())],
-                                          ["key", "id", "sketch", "centre", "near", "edge"])
+    def out(key, id_, size, centre, centre_size, edge):
+        longs = [pa.array(np.asarray(x, np.int64)) for x in (key, id_, size, centre, centre_size)]
+        return pa.RecordBatch.from_arrays([*longs, pa.array([edge] * len(key), pa.bool_())], ["key", "id", "size", "centre", "centre_size", "edge"])
 
     for batch in batches:
-        key, id_, sketch = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        key, id_, size = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         if not len(key):
             continue
         starts = np.append(0, np.flatnonzero(key[1:] != key[:-1]) + 1)
         lengths = np.diff(np.append(starts, len(key)))
-        centre, central, several = (np.repeat(x, lengths) for x in (id_[starts], sketch[starts], lengths > 1))
+        centre, central, several = (np.repeat(x, lengths) for x in (id_[starts], size[starts], lengths > 1))
         rows = lengths[-1]
         if held is not None and held[0] == key[0]:
             if held[3] == 1:
-                yield out([held[0]], [held[1]], [held[2]], [held[1]], [True], False)
+                yield out(*[[x] for x in (*held[:3], held[1], held[2])], False)
             n = lengths[0]
             centre[:n], central[:n], several[:n] = held[1], held[2], True
             if len(lengths) == 1:
                 rows += held[3]
         if first is None:
-            first = (key[0], id_[0], sketch[0])
+            first = (key[0], id_[0], size[0])
         held = (key[-1], centre[-1], central[-1], rows)
         if several.any():
-            apart = (sketch[several] ^ central[several]).view(np.uint64)
-            apart = np.bitwise_count((apart | apart >> np.uint64(1)) & np.uint64(0x5555555555555555))
-            yield out(key[several], id_[several], sketch[several], centre[several], apart <= APART, False)
+            yield out(key[several], id_[several], size[several], centre[several], central[several], False)
     if first is not None:
-        k, i, x = zip(*([first] if first[0] == held[0] else [first, held[:3]]))
-        yield out(k, i, x, i, [True] * len(k), True)
+        k, i, s = zip(*([first] if first[0] == held[0] else [first, held[:3]]))
+        yield out(k, i, s, i, s, True)
 
 
 def bucket_members(rows: DataFrame) -> DataFrame:
-    """``rows``: (id, sketch, key).  (key, id, sketch, centre, near) of all buckets of two or more."""
-    laid = rows.select("key", "id", "sketch").repartitionByRange("key", "id").sortWithinPartitions("key", "id")
+    """``rows``: (id, key, size).  (key, id, size, centre, centre_size) of all buckets of two or more."""
+    laid = rows.select("key", "id", "size").repartitionByRange("key", "id").sortWithinPartitions("key", "id")
     with batches_of(rows.sparkSession, 50_000):
         found = written(laid.mapInArrow(_runs, MEMBER_SCHEMA), "runs")
-    inner, edges = found.filter(~F.col("edge")).drop("edge"), found.filter("edge").select("key", "id", "sketch")
+    inner, edges = found.filter(~F.col("edge")).drop("edge"), found.filter("edge").select("key", "id", "size")
     # Two edge rows a task: keys that go on from one task to the next.
-    heads = edges.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("n")).filter("n > 1")
-    across = edges.join(heads, "key").select("key", "id", "sketch", "centre", F.lit(True).alias("near"))
-    return written(inner.unionByName(across), "members")
+    heads = edges.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("n")).filter("n > 1").select("key", "centre")
+    sizes = edges.select("key", F.col("id").alias("centre"), F.col("size").alias("centre_size"))
+    across = edges.join(heads, "key").join(sizes, ["key", "centre"])
+    return inner.unionByName(across.select(*inner.columns))
 
 
-def _pair(x: str, y: str) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def _sizes_near(a: Column, b: Column, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _joined_up(labels: DataFrame | None, links: DataFrame) -> DataFrame:
-    """Labels after more links."""
-    if labels is not None:
-        links = links.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
-    return components(links)
+def _may_be_near(a: Callable[[str], Column], b: Callable[[str], Column], percent: int) -> Column:
+    """False only if sizes or parities rule the similarity out: sets that differ in ``d`` items have
+    ``(|a| + |b| - d) / (|a| + |b| + d)``.  ``a`` and ``b`` give the columns of the two sides."""
+    both = a("size") + b("size")
+    apart = sum((F.bit_count(a(p).bitwiseXOR(b(p))) for p in PARITY), F.lit(0))
+    return _sizes_near(a("size"), b("size"), percent) & (100 * (both - apart) >= percent * (both + apart))
 
 
-def _labelled(df: DataFrame, labels: DataFrame, id_: str, label: str) -> DataFrame:
-    mine = labels.select(F.col("id").alias(id_), F.col("label").alias(label))
-    return df.join(mine, id_, "left").withColumn(label, F.coalesce(label, id_))
+def _labelled(df: DataFrame, labels: DataFrame) -> DataFrame:
+    return df.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
 
-def _star(near: DataFrame, sets: Sets, percent: int) -> DataFrame:
-    """Labels after comparing ids with the centres of their buckets; ``near``: (id, centre)."""
-    other = sets.bounds.select(F.col("id").alias("centre"), *[F.col(c).alias(f"centre_{c}") for c in ("size", *PARITY)])
-    near = (near.join(sets.bounds, "id").join(other, "centre")
-            .filter(_may_be_near(F.col, lambda c: F.col(f"centre_{c}"), percent)))
-    near = written(near.select("id", "centre"), "near")
-    labels = _joined_up(None, sets.confirm(near.groupBy("id").agg(F.min("centre").alias("centre")).select(*_pair("id", "centre"))))
-    apart = _labelled(_labelled(near, labels, "id", "label"), labels, "centre", "centre_label").filter("label <> centre_label")
-    return _joined_up(labels, sets.confirm(apart.select(*_pair("id", "centre")).distinct()))
+def _star_pairs(members: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of an id and a centre that may be near."""
+    near = (members.filter((F.col("id") != F.col("centre")) & _sizes_near(F.col("size"), F.col("centre_size"), percent))
+            .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
+    x, y = (facts.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in FACTS]) for side in "ab")
+    may = _may_be_near(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"), percent)
+    return near.join(x, "a").join(y, "b").filter(may).select("a", "b")
 
 
-def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets of three or more that hold several components, with the bucket's number of
-    members, its largest component, and whether it has several centres."""
-    labelled = _labelled(members, labels, "id", "label")
+def _open_pairs(members: DataFrame, labels: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in buckets of three or more that may be near and were not
+    compared as member and centre."""
+    labelled = _labelled(members.drop("size", "centre_size"), labels)
     share = labelled.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("centre").alias("low"), F.max("centre").alias("high"))
     several = (share.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("labels"),
                                         F.max_by("label", "n").alias("main"), (F.min("low") != F.max("high")).alias("cut"))
-               .filter("labels > 1 and n > 2").drop("labels"))
-    return written(labelled.join(several, "key"), "open")
+               .filter("labels > 1 and n > 2").withColumn("salts", F.floor(F.col("n") / CROWD) + 1).drop("labels", "n"))
+    crowd = written(labelled.join(several, "key").join(facts, "id"), "open")
+    seeds = crowd.filter("label <> main and (id <> centre or cut)").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
+    mates = crowd.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    s, m = seeds.alias("s"), mates.alias("m")
+    return (s.join(m, [F.col("s.key") == F.col("m.key"), F.col("s.salt") == F.col("m.salt")])
+            .filter("s.label <> m.label and (s.cut or s.centre <> m.id)")
+            .filter(_may_be_near(lambda c: F.col(f"s.{c}"), lambda c: F.col(f"m.{c}"), percent))
+            .select(F.least("s.id", "m.id").alias("a"), F.greatest("s.id", "m.id").alias("b")).distinct())
+
+
+def link(rows: DataFrame, facts: DataFrame, confirm: Confirm, percent: int) -> DataFrame:
+    """(id, label) of every linked id.  ``facts`` gives (id, size, parities) of every id; ``confirm`` the
+    pairs (a, b) that have the similarity, of those it gets."""
+    with Scratch(rows.sparkSession) as scratch:
+        members = written(bucket_members(rows), "members")
+        pairs = written(_star_pairs(members, facts, percent), "star-pairs")
+        links = written(confirm(pairs), "star-links")
+        labels = components(links)
+        pairs = written(_open_pairs(members, labels, facts, percent), "open-pairs")
+        more = written(confirm(pairs), "open-links")
+        own = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
+        return scratch.keep(components(own.unionByName(more)), "linked")
 
 
-def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        bits, sizes = np.zeros((len(batch), 8 * LONGS), np.uint8), np.zeros(len(batch), np.int64)
-        for i, items in enumerate(batch.column("items")):
-            items = items.values.to_numpy().view(np.uint64)
-            slots = (items * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
-            bits[i] = np.packbits(np.bincount(slots.astype(np.int64), minlength=64 * LONGS) & 1)
-            sizes[i] = len(items)
-        longs = bits.view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes), *[pa.array(longs[:, k]) for k in range(LONGS)]],
-                                         ["id", "size", *PARITY])
+def named(pairs: DataFrame) -> DataFrame:
+    """The ids in pairs (a, b)."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
 
-def _may_be_near(a: Callable[[str], Column], b: Callable[[str], Column], percent: int) -> Column:
-    """False only if sizes or parities rule the similarity out: sets that differ in ``d`` items have
-    ``(|a| + |b| - d) / (|a| + |b| + d)``.  ``a`` and ``b`` give the columns of the two sides."""
-    both = a("size") + b("size")
-    apart = sum((F.bit_count(a(p).bitwiseXOR(b(p))) for p in PARITY), F.lit(0))
-    may = (100 * F.least(a("size"), b("size")) >= percent * F.greatest(a("size"), b("size"))) & (
-        100 * (both - apart) >= percent * (both + apart))
-    # Without the set of one side nothing is known.
-    return may | both.isNull()
-
-
-def _resolve(members: DataFrame, labels: DataFrame, sets: Sets, percent: int) -> DataFrame:
-    """Labels after comparing all pairs of different components in open buckets that can have the
-    similarity.  A bucket is done once all its seeds are compared; only very large ones take more
-    than one round."""
-    tried = None
-    while True:
-        crowd = _open(members, labels)
-        seeds = crowd.filter("label <> main and (id <> centre or cut)")
-        if tried is not None:
-            seeds = seeds.join(tried, ["key", "id"], "left_anti")
-        by_key = Window.partitionBy("key")
-        seeds = seeds.withColumn("turn", F.row_number().over(by_key.orderBy("id")) * F.col("n") <= F.lit(PAIRS_PER_ROUND) + 3 * F.col("n"))
-        seeds = written(seeds.withColumn("more", ~F.min("turn").over(by_key)).filter("turn").drop("turn"), "seeds")
-        if seeds.isEmpty():
-            return labels
-        mates = crowd.join(seeds.select("key").distinct(), "key", "left_semi")
-        sets.fetch(mates.select("id").distinct())
-        mates = mates.join(sets.bounds, "id", "left")
-        s, m = seeds.join(sets.bounds, "id", "left").alias("s"), mates.alias("m")
-        pairs = (s.join(m, F.col("s.key") == F.col("m.key"))
-                 .filter("s.label <> m.label and s.centre <> m.id and m.centre <> s.id")
-                 .filter(_sketches_near(F.col("s.sketch"), F.col("m.sketch")))
-                 .filter(_may_be_near(lambda c: F.col(f"s.{c}"), lambda c: F.col(f"m.{c}"), percent))
-                 .select(*_pair("s.id", "m.id")).distinct())
-        labels = _joined_up(labels, sets.confirm(pairs))
-        undone = seeds.filter("more")
-        if undone.isEmpty():
-            return labels
-        members = crowd.join(undone.select("key").distinct(), "key", "left_semi").select("key", "id", "sketch", "centre")
-        done = undone.select("key", "id")
-        tried = done if tried is None else tried.union(done)
-
-
-def _ids(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    return pairs.select(F.col(a).alias("id")).distinct().union(pairs.select(F.col(b).alias("id")).distinct()).distinct()
-
-
-class Sets:
-    """The full sets (id, items) fetched so far, and their bounds."""
-
-    def __init__(self, of: Callable[[DataFrame], DataFrame], percent: int):
-        self.of, self.percent, self.items, self.bounds = of, percent, None, None
-
-    def fetch(self, ids: DataFrame) -> None:
-        """Have the sets of ``ids``."""
-        if self.items is not None:
-            ids = ids.join(self.bounds.select("id"), "id", "left_anti")
-        ids = written(ids, "ids")
-        if self.items is not None and ids.isEmpty():
-            return
-        items = written(self.of(ids), "sets")
-        bounds = written(items.mapInArrow(_bounds, ", ".join(f"{c} long" for c in ("id", "size", *PARITY))), "bounds")
-        self.items = items if self.items is None else self.items.unionByName(items)
-        self.bounds = bounds if self.bounds is None else self.bounds.unionByName(bounds)
-
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that have the similarity.  Only sets that the pairs name are shuffled."""
-        pairs = written(pairs, "pairs")
-        named, _ = split_by(self.items, _ids(pairs, "a", "b"), "id")
-        return written(confirmed(pairs, named, self.percent), "confirmed")
-
-
-def link(rows: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """(id, label) of every linked id.  ``sets_of`` gives the full sets (id, items) of a table of ids."""
-    with Scratch(rows.sparkSession) as scratch:
-        members = bucket_members(rows)
-        near = written(members.filter("near and id <> centre").select("id", "centre").distinct(), "near")
-        sets = Sets(sets_of, percent)
-        sets.fetch(_ids(near, "id", "centre"))
-        labels = _star(near, sets, percent)
-        return scratch.keep(_resolve(members.drop("near"), labels, sets, percent), "linked")
+def side_by_side(pairs: DataFrame, items: DataFrame) -> DataFrame:
+    """``a, b, x, y``: the pairs with what ``items`` (id, items) has of both."""
+    return (pairs.join(items.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
+            .join(items.select(F.col("id").alias("b"), F.col("items").alias("y")), "b"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets in ``sets`` (id, items) have the similarity."""
-    a = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
-    b = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
+    """The pairs (a, b) whose full sets in ``sets`` (id, items: array) have the similarity."""
+    both = side_by_side(pairs, sets).withColumn("common", F.size(F.array_intersect("x", "y")))
     return both.filter(100 * F.col("common") >= percent * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")

@@ -10,11 +10,14 @@ of 4e-5, at 0.85 3e-6.  Candidates are confirmed on the full sets of 64-bit shin
 
 Scale: documents with equal sets (exact copies, however many) are one class before any key is
 formed; keys are linked by :mod:`linking`, which deals the rows of one key to several tasks and
-never forms all pairs of a group.  Full sets are computed for documents that share a key with another alone.
+never forms all pairs of a group.  Full sets are computed only for documents of pairs that may be near.
 
 Defined cases: null, empty or word-less text: empty set, linked with nothing, a component of its
-own; a text of fewer words than a shingle is one shingle; rows that share a ``doc_id`` are looked up
-as one document; rows without ``doc_id`` have no component and are kept; extra columns are ignored.
+own; a text of fewer words than a shingle is one shingle; every row is a document, told apart by its
+place in the table, whether its ``doc_id`` is null or repeated; in :func:`classify` a component is named by its
+smallest ``doc_id``, rows of that id are kept, and rows without id take no part; :func:`drop_near_duplicates` keeps
+one row of each component, the first by (doc_id, place; rows without id last); extra columns are ignored
+or pass through.
 """
 
 from __future__ import annotations
@@ -28,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import linking, shingles
-from daybook.llm.common import Scratch, Sieve, packed, split_by, text_or_empty, written
+from daybook.llm.common import Scratch, Sieve, numbered, split_by, text_or_empty, written
 
 COLLECTIONS = 13
 ROWS = 2
 SEED = 20
 PARTS = [f"part{c}" for c in range(COLLECTIONS)]
+WHERE = ["doc_id", "file", "place"]
+SIGNED = [*WHERE, "h1", "h2", *linking.FACTS, *PARTS]
 
 
 def _hashed(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,59 +53,73 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Re
         parts = np.zeros((len(batch), COLLECTIONS), np.uint64)
         for r in range(ROWS):
             parts = shingles.mix(parts + values[:, r::ROWS] + np.uint64(r + 1))
-        n, h1, h2 = (np.zeros(len(batch), t) for t in (np.int64, np.uint64, np.uint64))
+        h1, h2 = (np.zeros(len(batch), np.uint64) for _ in range(2))
+        facts = np.zeros((len(batch), len(linking.FACTS)), np.int64)
         for i in range(len(batch)):
-            s = np.unique(hashes[offsets[i]:offsets[i + 1]])
-            n[i] = len(s)
-            h1[i] = shingles.mix(s).sum(dtype=np.uint64)
+            s = shingles.mix(np.unique(hashes[offsets[i]:offsets[i + 1]]))
+            h1[i] = s.sum(dtype=np.uint64)
             h2[i] = shingles.mix(s ^ np.uint64(0x5555555555555555)).sum(dtype=np.uint64)
-        collections = [pa.array(np.ascontiguousarray(parts[:, c]).view(np.int64)) for c in range(COLLECTIONS)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), *collections],
-            ["doc_id", "n_shingles", "h1", "h2", *PARTS])
+            facts[i, 0] = len(s)
+            facts[i, 1:] = linking.parities(s, np.zeros(len(s), np.int64), 1)[0]
+        longs = [h1.view(np.int64), h2.view(np.int64), *facts.T, *parts.view(np.int64).T]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in WHERE], *[pa.array(np.ascontiguousarray(x)) for x in longs]], SIGNED)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int, sieve) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        batch = batch.filter(pa.array(sieve.value(batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False))))
+        places = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("file", "place")]
+        batch = batch.filter(pa.array(sieve.value(*places)))
         if not len(batch):
             continue
         hashes, offsets = _hashed(batch.column("text"), words)
         items = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(offsets[:-1], offsets[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(items, pa.list_(pa.int64()))], ["id", "items"])
+        yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("place"), pa.array(items, pa.list_(pa.int64()))], ["file", "place", "items"])
 
 
-def classify(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``."""
+def _labelled(docs: DataFrame, words: int, percent: int, takes_part: str = "true") -> tuple[DataFrame, DataFrame]:
+    """Numbered ``docs``, and for each row ``WHERE``, ``size`` and ``label``, the number of its component
+    (null for empty sets and rows that take no part)."""
+    rows = numbered(docs)
     with Scratch(docs.sparkSession) as scratch:
-        return scratch.keep(_classified(docs, words, percent), "components")
-
+        texts = rows.select(F.col("row.doc_id").cast("long").alias("doc_id"), "file", "place", text_or_empty(F.col("row.text")).alias("text"))
+        signed = texts.mapInArrow(lambda it: _signatures(it, words), ", ".join(f"{c} long" for c in SIGNED))
+        signed = written(signed, "signatures")
+        # Facts and parts are the same in all rows of a class.
+        classes = signed.filter("size > 0").filter(takes_part).groupBy("h1", "h2").agg(
+            F.min(F.struct("file", "place")).alias("at"), *[F.min(c).alias(c) for c in (*linking.FACTS, *PARTS)])
+        classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+
+        def confirm(pairs: DataFrame) -> DataFrame:
+            wanted = classes.join(linking.named(pairs), "id").select("id", "at.file", "at.place")
+            wanted = written(wanted, "wanted")
+            sieve = Sieve.build(wanted.select("file", "place"))
+            sets = texts.select("file", "place", "text").mapInArrow(lambda it: _sets(it, words, sieve), "file long, place long, items array<long>")
+            return linking.confirmed(pairs, written(sets.join(wanted, ["file", "place"]).select("id", "items"), "sets"), percent)
+
+        keys = F.array(*[F.xxhash64(F.lit(t), i, j) for t, (i, j) in enumerate(combinations(PARTS, 2))])
+        linked = linking.link(classes.select("id", "size", F.explode(keys).alias("key")), classes.select("id", *linking.FACTS), confirm, percent)
+        named = classes.select("id", "h1", "h2").join(linked, "id", "left").select("h1", "h2", F.coalesce("label", "id").alias("label"))
+        keyed = signed.select(*WHERE, "size", F.when(F.expr(f"size > 0 and {takes_part}"), F.col("h1")).alias("h1"), "h2")
+        return rows, scratch.keep(keyed.join(named, ["h1", "h2"], "left").select(*WHERE, "size", "label"), "labelled")
 
-def _classified(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    schema = ", ".join(f"{c} long" for c in ("doc_id", "n_shingles", "h1", "h2", *PARTS))
-    signed = written(texts.mapInArrow(lambda it: _signatures(it, words), schema), "signatures")
-    full = signed.filter("n_shingles > 0 and doc_id is not null")
-    # The parts are the same in all rows of a class.
-    classes = written(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), *[F.min(p).alias(p) for p in PARTS]), "classes")
-    keys = F.array(*[F.xxhash64(F.lit(t), i, j) for t, (i, j) in enumerate(combinations(PARTS, 2))])
-    rows = classes.select("id", F.lit(0).cast("long").alias("sketch"), F.explode(keys).alias("key"))
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        sieve = Sieve.build(ids)
-        sets = texts.mapInArrow(lambda it: _sets(it, words, sieve), "id long, items array<long>")
-        return sets.join(ids, "id", "left_semi")
-
-    labels = linking.link(rows, sets_of, percent)
-    named = classes.join(labels, "id", "left").select("h1", "h2", F.coalesce("label", "id").alias("component_id"))
-    joined = full.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"])
-    result = joined.select("doc_id", "n_shingles", "component_id")
-    rest = signed.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return result.unionByName(rest).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+def classify(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept``."""
+    _, labelled = _labelled(docs, words, percent, "doc_id is not null")
+    least = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
+    named = labelled.join(least, "label", "left").withColumn(
+        "component_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")))
+    return named.select("doc_id", F.col("size").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that are not the first of their component."""
-    gone = written(classify(docs, words, percent).filter(~F.col("kept")).select("doc_id").distinct(), "near-duplicates")
-    may, stay = split_by(packed(docs, "doc_id"), gone, "doc_id")
-    return stay.unionByName(may.join(gone, "doc_id", "left_anti").select(*stay.columns)).select("row.*")
+    """``docs`` without the rows that are not the first of their component."""
+    rows, labelled = _labelled(docs, words, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), *WHERE)
+    several = labelled.filter("label is not null")
+    first = several.groupBy("label").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    gone = several.join(first, "label").filter(~order.eqNullSafe(F.col("first"))).select("file", "place", F.xxhash64("file", "place").alias("at"))
+    gone = written(gone, "near-duplicates")
+    may, stay = split_by(rows.withColumn("at", F.xxhash64("file", "place")), gone, "at")
+    left = may.join(gone.drop("at"), ["file", "place"], "left_anti")
+    return stay.select("row").unionByName(left.select("row")).select("row.*")

@@ -1,10 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.llm import components as components_module
 from daybook.llm import linking, shingles
 from daybook.llm.common import Sieve, packed, split_by
 from daybook.llm.components import components
@@ -30,23 +30,35 @@ def closure(nodes, edges):
     [(0, i) for i in range(1, 100)] + [(i, 1000 - i) for i in range(1, 100)],
     [(5, 5), (7, 5), (7, 5), (9, 8)],
 ])
-@pytest.mark.parametrize("one_task", [0, 200_000])
-def test_components(spark, edges, one_task, monkeypatch):
-    monkeypatch.setattr(components_module, "ONE_TASK", one_task)
+def test_components(spark, edges):
     random.Random(3).shuffle(edges)
     got = {r.id: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     nodes = {x for a, b in edges if a != b for x in (a, b)}
     assert got == closure(nodes, edges)
 
 
-def intervals(spark, ids, width=20):
-    """The set of i is the numbers i .. i + width - 1: at 80 per cent, ids up to two apart are linked."""
-    return lambda wanted: wanted.select("id", F.sequence("id", F.col("id") + width - 1).alias("items"))
+def _facts(batches):
+    for batch in batches:
+        rows = [np.unique(shingles.mix(np.array(x, np.int64).view(np.uint64))) for x in batch.column("items").to_pylist()]
+        facts = np.array([[len(x), *linking.parities(x, np.zeros(len(x), np.int64), 1)[0]] for x in rows], np.int64).reshape(-1, len(linking.FACTS))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array(np.ascontiguousarray(f)) for f in facts.T]], ["id", *linking.FACTS])
+
+
+def facts_of(sets):
+    return sets.mapInArrow(_facts, ", ".join(f"{c} long" for c in ("id", *linking.FACTS)))
+
 
+def labels_of(sets, keys, confirm=linking.confirmed):
+    """Labels from (id, items) and (id, key)."""
+    facts = facts_of(sets)
+    found = linking.link(keys.join(facts.select("id", "size"), "id"), facts, lambda pairs: confirm(pairs, sets, 80), 80)
+    return {r.id: r.label for r in found.collect()}
 
-def linked(spark, rows, ids):
-    df = spark.createDataFrame(rows, "id long, key long").withColumn("sketch", F.lit(0).cast("long"))
-    labels = {r.id: r.label for r in linking.link(df, intervals(spark, ids), 80).collect()}
+
+def linked(spark, rows, ids, width=20):
+    """The set of i is the numbers i .. i + width - 1: at 80 per cent, ids up to two apart are linked."""
+    sets = spark.createDataFrame([(i, list(range(i, i + width))) for i in ids], "id long, items array<long>")
+    labels = labels_of(sets, spark.createDataFrame(rows, "id long, key long"))
     edges = [(a, b) for a in ids for b in (a + 1, a + 2) if b in set(ids)]
     assert {i: labels.get(i, i) for i in ids} == closure(ids, edges)
 
@@ -64,15 +76,16 @@ def test_link_finds_every_link_between_bucket_mates(spark, shuffle, hot):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
-def test_rounds_go_on_until_all_are_tried(spark, monkeypatch):
-    monkeypatch.setattr(linking, "PAIRS_PER_ROUND", 1)
-    ids = sorted(random.Random(6).sample(range(30), 16))
+@pytest.mark.parametrize("crowd", [1, 3])
+def test_salted_buckets(spark, monkeypatch, crowd):
+    monkeypatch.setattr(linking, "CROWD", crowd)
+    ids = sorted(random.Random(6).sample(range(60), 32))
     linked(spark, [(i, 1) for i in ids], ids)
 
 
 def test_crowded_bucket_with_copies_outliers_and_a_shared_passage(spark, monkeypatch):
     """All sets share a passage and one key; links exist within groups of edited copies only."""
-    monkeypatch.setattr(linking, "PAIRS_PER_ROUND", 2000)
+    monkeypatch.setattr(linking, "CROWD", 20)
     rng = random.Random(7)
     passage = list(range(1000, 1030))
     sets = {}
@@ -82,24 +95,21 @@ def test_crowded_bucket_with_copies_outliers_and_a_shared_passage(spark, monkeyp
             edits = rng.randint(0, len(base) // 6)
             sets[len(sets)] = sorted({*base[edits:], *(rng.randrange(10 ** 4, 10 ** 4 + 300) for _ in range(edits))})
     df = spark.createDataFrame([(i, s) for i, s in sets.items()], "id long, items array<long>")
-    rows = df.select("id", F.lit(1).cast("long").alias("key"), F.lit(0).cast("long").alias("sketch"))
-    labels = {r.id: r.label for r in linking.link(rows, lambda ids: df.join(ids, "id", "left_semi"), 80).collect()}
+    labels = labels_of(df, df.select("id", F.lit(1).cast("long").alias("key")))
     edges = [(i, j) for i in sets for j in range(i)
              if 100 * len({*sets[i]} & {*sets[j]}) >= 80 * len({*sets[i]} | {*sets[j]})]
     assert edges and {i: labels.get(i, i) for i in sets} == closure(sets, edges)
 
 
 def test_group_of_copies_forms_no_square_of_pairs(spark, monkeypatch):
-    formed, real = [], linking.confirmed
+    formed = []
 
     def counted(pairs, sets, percent):
         formed.append(pairs.count())
-        return real(pairs, sets, percent)
-    monkeypatch.setattr(linking, "confirmed", counted)
-    rows = [(i, k) for i in range(3000) for k in range(4)]
-    labels = linking.link(spark.createDataFrame(rows, "id long, key long").withColumn("sketch", F.lit(0).cast("long")),
-                          lambda ids: ids.select("id", F.sequence(F.lit(1), F.lit(10)).cast("array<long>").alias("items")), 80)
-    assert {r.label for r in labels.collect()} == {0} and labels.count() == 3000
+        return linking.confirmed(pairs, sets, percent)
+    sets = spark.range(3000).select("id", F.sequence(F.lit(1), F.lit(10)).cast("array<long>").alias("items"))
+    labels = labels_of(sets, spark.createDataFrame([(i, k) for i in range(3000) for k in range(4)], "id long, key long"), counted)
+    assert labels == dict.fromkeys(range(3000), 0)
     assert sum(formed) < 2 * 3000
 
 
@@ -110,7 +120,7 @@ def test_bounds_never_rule_a_link_out(spark):
         base = [rng.randrange(10 ** 12) for _ in range(rng.choice([1, 5, 40, 700, 4000]))]
         sets += [sorted(base), sorted({*base[rng.randint(0, len(base) // 6):], *(rng.randrange(10 ** 12) for _ in range(len(base) // 15))})]
     df = spark.createDataFrame(list(enumerate(sets)), "id long, items array<long>")
-    bounds = df.mapInArrow(linking._bounds, ", ".join(f"{c} long" for c in ("id", "size", *linking.PARITY)))
+    bounds = facts_of(df)
     pairs = bounds.alias("x").join(bounds.alias("y"), F.expr("x.id < y.id"))
     pairs = pairs.withColumn("may", linking._may_be_near(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), 80))
     may = {(r[0], r[1]): r.may for r in pairs.select("x.id", "y.id", "may").collect()}
@@ -129,27 +139,11 @@ def test_split_by_keeps_every_member(spark):
     assert Sieve.BITS // 8 <= 1 << 20
 
 
-def test_sketches_of_similar_sets_are_near(spark):
-    rng = np.random.default_rng(4)
-    pairs = []
-    for similar in (True, False):
-        for _ in range(1500):
-            n = 160 if similar else 10
-            common = rng.integers(0, 1 << 63, n, dtype=np.uint64)
-            pairs += [np.append(common, rng.integers(0, 1 << 63, 180 - n, dtype=np.uint64)) for _ in range(2)]
-    offsets = np.arange(0, 180 * len(pairs) + 1, 180)
-    values = shingles.min_hashes(shingles.mix(np.concatenate(pairs)), offsets, linking.SKETCH, 4)
-    x = linking.sketches(values)
-    df = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(x[0::2], x[1::2]))], "i int, a long, b long")
-    near = [r[0] for r in df.orderBy("i").select(linking._sketches_near(F.col("a"), F.col("b"))).collect()]
-    assert sum(near[:1500]) >= 1499 and sum(near[1500:]) < 30
-
-
 def test_first_id_of_a_key_that_goes_on_in_the_next_task(spark, monkeypatch):
     """A key is dealt as {0} | {1, 2, 3}: 1, the centre there, is like 2 and 3, and 0 is like 2 alone."""
     starts = {0: 0, 1: 4, 2: 2, 3: 5}
     df = spark.createDataFrame([(i, list(range(s, s + 20))) for i, s in starts.items()], "id long, items array<long>")
-    rows = df.select("id", F.lit(1).cast("long").alias("key"), F.lit(0).cast("long").alias("sketch"))
+    rows = df.select("id", F.lit(1).cast("long").alias("key"))
     monkeypatch.setattr(type(df), "repartitionByRange", lambda self, *_: self.repartitionById(2, F.expr("int(id > 0)")))
-    labels = {r.id: r.label for r in linking.link(rows, lambda ids: df.join(ids, "id", "left_semi"), 80).collect()}
+    labels = labels_of(df, rows)
     assert labels == dict.fromkeys(starts, 0)

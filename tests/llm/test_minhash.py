@@ -115,3 +115,13 @@ def test_word_hashes_ignore_layout():
     assert per[0] == per[2] == per[3] and per[1] == () and len(per[4]) == 1 and per[5][1] == per[0][0]
     sliced = shingles.text_bytes(col.slice(2, 2))
     assert [*shingles.word_hashes(*sliced)[0]] == [*per[2], *per[3]]
+
+
+def test_drop_tells_rows_apart_by_place(make_docs):
+    """Unlike texts under one id, and rows without id, are documents of their own."""
+    words = [f"w{i}" for i in range(60)]
+    a, b, c = " ".join(words), " ".join(reversed(words)), " ".join(f"x{w}" for w in words)
+    rows = [(3, a), (9, a + " extra"), (9, b), (None, c), (None, c + " more"), (None, "alone without id"), (4, "same row"), (4, "same row")]
+    left = collections.Counter(r.text for r in minhash.drop_near_duplicates(make_docs(rows), 5, 80).collect())
+    assert left.pop(c, 0) + left.pop(c + " more", 0) == 1
+    assert left == collections.Counter([a, b, "alone without id", "same row"])
