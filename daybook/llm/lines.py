@@ -66,7 +66,6 @@ class Lines:
         raw = self.raw
         begins = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(raw == 10) + 1]))
         begins = begins[begins < len(raw)]
-        lines = begins
         ends = np.append(begins[1:], len(raw)).astype(np.int64)
         text = np.searchsorted(offsets, begins, side="right") - 1
         first = np.append(True, text[1:] != text[:-1])[: len(text)]
@@ -80,12 +79,18 @@ class Lines:
         self.begins, self.ends, self.number = begins[full], ends[full], number[full].astype(np.int64)
         self.text = text[full]
         self.windows = shingles.byte_windows(raw)
-        # The same in characters: values, begin and size of every line, and the end of the positions at
-        # which its shingles start; a short line has one.
-        self.chars, before = shingles.characters(raw, lines)
+        self.all_begins = begins
+
+    def __getattr__(self, name: str):
+        """The same in characters, made when asked for: values, begin and size of every line, and the end of
+        the positions at which its shingles start; a short line has one."""
+        if name not in ("chars", "at", "sizes", "shingle_ends"):
+            raise AttributeError(name)
+        self.chars, before = shingles.characters(self.raw, self.all_begins)
         self.at = self.begins if before is None else before[self.begins]
         self.sizes = (self.ends if before is None else before[self.ends]) - self.at
         self.shingle_ends = self.at + np.maximum(self.sizes - SHINGLE + 1, 1)
+        return self.__dict__[name]
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         """128 bits of every line: two sums over its eight-byte words, each scrambled with its place."""
@@ -238,11 +243,18 @@ def _texts(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("row.doc_id").cast("long").alias("doc_id"), "file", "place", text_or_empty(F.col("row.text")).alias("text"))
 
 
-def _labels(signed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _signed_lines(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The place of every line and its hashes; the classes of equal lines with their facts and keys."""
+    with Scratch(texts.sparkSession) as brief:
+        signed = written(texts.mapInArrow(_signed, _longs(SIGNED)), "signed-lines")
+        # Facts and keys are the same in all rows of a class.
+        classes = signed.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in (*linking.FACTS, *KEYS)])
+        classes = brief.keep(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
+        return brief.keep(signed.select(*WHERE, "h1", "h2"), "lines"), classes
+
+
+def _labels(classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``h1, h2, label`` of the classes that occur more than once or are linked."""
-    # Facts and keys are the same in all rows of a class.
-    classes = signed.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in (*linking.FACTS, *KEYS)])
-    classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         wanted = written(classes.select("id", "h1", "h2").join(linking.named(pairs), "id"), "wanted")
@@ -263,12 +275,12 @@ def _placed(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     rows = numbered(docs)
     with Scratch(docs.sparkSession) as scratch:
         texts = _texts(rows)
-        signed = written(texts.mapInArrow(_signed, _longs(SIGNED)), "signed-lines")
-        labels = written(_labels(signed, texts, percent), "line-labels")
-        inside = signed.select(*WHERE, "h1", "h2").join(labels, ["h1", "h2"])
+        lines, classes = _signed_lines(texts)
+        labels = written(_labels(classes, texts, percent), "line-labels")
+        inside = lines.join(labels, ["h1", "h2"])
         keep = inside.groupBy("label").agg(F.min(F.struct(*WHERE)).alias("keep"))
         found = labels.join(keep, "label").select("h1", "h2", "keep")
-        return rows, scratch.keep(signed.select(*WHERE, "h1", "h2").join(found, ["h1", "h2"], "left").select(*WHERE, "keep"), "placed-lines")
+        return rows, scratch.keep(lines.join(found, ["h1", "h2"], "left").select(*WHERE, "keep"), "placed-lines")
 
 
 def classify(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:

@@ -8,7 +8,8 @@
 3. A bucket whose members are in several components may still hide a link between two members that
    are not its centre.  In such *open* buckets the members outside the largest component are compared
    with the members of other components.  Where a bucket has several centres, none was compared with
-   all members, so they are among these.  Both sides of a large bucket are dealt to several tasks by a
+   all members, so they are among these.  (Members that no other member of the bucket comes near in
+   size have left it by then, and buckets of two have no such link.)  Both sides of a large bucket are dealt to several tasks by a
    salt, and pairs are looked at as they are formed: only those that may be near are ever kept.
 
 Before sets are fetched, two exact bounds rule most unlike pairs out: sizes, and parity bitmaps.  Of
@@ -38,7 +39,7 @@ PARITY = [f"parity{k}" for k in range(LONGS)]
 FACTS = ["size", *PARITY]
 #: Seeds of an open bucket that one task compares with the bucket's members, about.
 CROWD = 4096
-MEMBER_SCHEMA = "key long, id long, size long, centre long, centre_size long, edge boolean"
+MEMBER_SCHEMA = "key long, id long, size long, centre long, centre_size long, open boolean, edge boolean"
 
 Confirm = Callable[[DataFrame], DataFrame]
 
@@ -49,15 +50,27 @@ def parities(items: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view(np.int64).reshape(owners, LONGS)
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _with_partner(run: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows have another one near their size in their run: if any is, a neighbour by size is."""
+    order = np.lexsort((size, run))
+    run, size = run[order], size[order]
+    near = (run[1:] == run[:-1]) & (100 * size[:-1] >= percent * size[1:])
+    out = np.zeros(len(order), bool)
+    out[order] = np.append(near, False) | np.append(False, near)
+    return out
+
+
+def _runs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Members of every key that has two or more rows in this task, with the key's first id here and
-    its size; and, marked as edge, the first ids of the task's first and last key."""
+    its size, and whether there may be more than two; and, marked as edge, the first ids of the task's
+    first and last key.  Of runs that lie within a batch, rows without a partner in size are left out."""
     held = None  # the run that reaches the end of the rows so far: key, centre, its size, rows
     first = None
 
-    def out(key, id_, size, centre, centre_size, edge):
+    def out(key, id_, size, centre, centre_size, open_, edge):
         longs = [pa.array(np.asarray(x, np.int64)) for x in (key, id_, size, centre, centre_size)]
-        return pa.RecordBatch.from_arrays([*longs, pa.array([edge] * len(key), pa.bool_())], ["key", "id", "size", "centre", "centre_size", "edge"])
+        return pa.RecordBatch.from_arrays([*longs, pa.array(open_, pa.bool_()), pa.array([edge] * len(key), pa.bool_())],
+                                          ["key", "id", "size", "centre", "centre_size", "open", "edge"])
 
     for batch in batches:
         key, id_, size = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
@@ -65,35 +78,49 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         starts = np.append(0, np.flatnonzero(key[1:] != key[:-1]) + 1)
         lengths = np.diff(np.append(starts, len(key)))
-        centre, central, several = (np.repeat(x, lengths) for x in (id_[starts], size[starts], lengths > 1))
-        rows = lengths[-1]
-        if held is not None and held[0] == key[0]:
-            if held[3] == 1:
-                yield out(*[[x] for x in (*held[:3], held[1], held[2])], False)
-            n = lengths[0]
-            centre[:n], central[:n], several[:n] = held[1], held[2], True
-            if len(lengths) == 1:
-                rows += held[3]
+        goes_on = held is not None and held[0] == key[0]
+        rows = lengths[-1] + (held[3] if goes_on and len(lengths) == 1 else 0)
+        if goes_on and held[3] == 1:
+            yield out(*[[x] for x in (*held[:3], held[1], held[2])], [True], False)
         if first is None:
             first = (key[0], id_[0], size[0])
-        held = (key[-1], centre[-1], central[-1], rows)
-        if several.any():
-            yield out(key[several], id_[several], size[several], centre[several], central[several], False)
+        # Runs of several rows that neither come from the batch before nor may go on in the next.
+        inner = lengths > 1
+        inner[-1] = False
+        inner[0] &= not goes_on
+        run = np.repeat(np.arange(len(lengths)), lengths)
+        some = np.flatnonzero(inner[run])
+        some = some[_with_partner(run[some], size[some], percent)]
+        if len(some):
+            heads = np.append(0, np.flatnonzero(np.diff(run[some])) + 1)
+            number = np.diff(np.append(heads, len(some)))
+            central = np.repeat(some[heads], number)
+            yield out(key[some], id_[some], size[some], id_[central], size[central], np.repeat(number > 2, number), False)
+        # The others, whole.
+        ends = [(0, held[1], held[2])] if goes_on else []
+        if not (goes_on and len(lengths) == 1):
+            ends.append((len(lengths) - 1, id_[starts[-1]], size[starts[-1]]))
+        for r, centre, centre_size in ends:
+            n = lengths[r]
+            if n > 1 or (goes_on and r == 0):
+                at = slice(starts[r], starts[r] + n)
+                yield out(key[at], id_[at], size[at], [centre] * n, [centre_size] * n, [True] * n, False)
+        held = (key[-1], *ends[-1][1:], rows)
     if first is not None:
         k, i, s = zip(*([first] if first[0] == held[0] else [first, held[:3]]))
-        yield out(k, i, s, i, s, True)
+        yield out(k, i, s, i, s, [True] * len(k), True)
 
 
-def bucket_members(rows: DataFrame) -> DataFrame:
-    """``rows``: (id, key, size).  (key, id, size, centre, centre_size) of all buckets of two or more."""
+def bucket_members(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows``: (id, key, size).  (key, id, size, centre, centre_size, open) of all buckets of two or more."""
     laid = rows.select("key", "id", "size").repartitionByRange("key", "id").sortWithinPartitions("key", "id")
     with batches_of(rows.sparkSession, 50_000):
-        found = written(laid.mapInArrow(_runs, MEMBER_SCHEMA), "runs")
+        found = written(laid.mapInArrow(lambda it: _runs(it, percent), MEMBER_SCHEMA), "runs")
     inner, edges = found.filter(~F.col("edge")).drop("edge"), found.filter("edge").select("key", "id", "size")
     # Two edge rows a task: keys that go on from one task to the next.
     heads = edges.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("n")).filter("n > 1").select("key", "centre")
     sizes = edges.select("key", F.col("id").alias("centre"), F.col("size").alias("centre_size"))
-    across = edges.join(heads, "key").join(sizes, ["key", "centre"])
+    across = edges.join(heads, "key").join(sizes, ["key", "centre"]).withColumn("open", F.lit(True))
     return inner.unionByName(across.select(*inner.columns))
 
 
@@ -125,7 +152,7 @@ def _star_pairs(members: DataFrame, facts: DataFrame, percent: int) -> DataFrame
 def _open_pairs(members: DataFrame, labels: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components in buckets of three or more that may be near and were not
     compared as member and centre."""
-    labelled = _labelled(members.drop("size", "centre_size"), labels)
+    labelled = _labelled(members.filter("open").select("key", "id", "centre"), labels)
     share = labelled.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("centre").alias("low"), F.max("centre").alias("high"))
     several = (share.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("labels"),
                                         F.max_by("label", "n").alias("main"), (F.min("low") != F.max("high")).alias("cut"))
@@ -143,13 +170,16 @@ def _open_pairs(members: DataFrame, labels: DataFrame, facts: DataFrame, percent
 def link(rows: DataFrame, facts: DataFrame, confirm: Confirm, percent: int) -> DataFrame:
     """(id, label) of every linked id.  ``facts`` gives (id, size, parities) of every id; ``confirm`` the
     pairs (a, b) that have the similarity, of those it gets."""
-    with Scratch(rows.sparkSession) as scratch:
-        members = written(bucket_members(rows), "members")
-        pairs = written(_star_pairs(members, facts, percent), "star-pairs")
-        links = written(confirm(pairs), "star-links")
+    spark = rows.sparkSession
+    with Scratch(spark) as scratch:
+        members = bucket_members(rows, percent)
+        with Scratch(spark) as brief:
+            links = brief.keep(confirm(written(_star_pairs(members, facts, percent), "star-pairs")), "star-links")
         labels = components(links)
-        pairs = written(_open_pairs(members, labels, facts, percent), "open-pairs")
-        more = written(confirm(pairs), "open-links")
+        with Scratch(spark) as brief:
+            pairs = brief.keep(_open_pairs(members, labels, facts, percent), "open-pairs")
+        with Scratch(spark) as brief:
+            more = brief.keep(confirm(pairs), "open-links")
         own = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
         return scratch.keep(components(own.unionByName(more)), "linked")
 

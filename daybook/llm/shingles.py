@@ -110,7 +110,7 @@ def run_hashes(chars: np.ndarray, at: slice | np.ndarray, n: int) -> np.ndarray:
         size = at.stop - at.start
         taken = lambda k: padded[k: k + size]
     else:
-        padded = np.append(chars, np.zeros(n - 1, chars.dtype))
+        padded = chars if not len(at) or at.max() + n <= len(chars) else np.append(chars, np.zeros(n - 1, chars.dtype))
         taken = lambda k: padded[at + k].astype(np.uint64) + np.uint64(1)
     out = taken(n - 1).copy()
     for k in range(n - 2, -1, -1):

@@ -147,3 +147,24 @@ def test_first_id_of_a_key_that_goes_on_in_the_next_task(spark, monkeypatch):
     monkeypatch.setattr(type(df), "repartitionByRange", lambda self, *_: self.repartitionById(2, F.expr("int(id > 0)")))
     labels = labels_of(df, rows)
     assert labels == dict.fromkeys(starts, 0)
+
+
+@pytest.mark.parametrize("batch", [1, 3, 1000])
+def test_runs_leave_out_only_rows_that_no_mate_comes_near(batch):
+    """Every pair near in size shares a bucket afterwards, and what has more than two rows is open."""
+    rng = random.Random(batch)
+    rows = sorted({(rng.randrange(40), rng.randrange(1000)): rng.choice([1, 10, 11, 12, 100, 120, 5000]) for _ in range(150)}.items())
+    rows = [(k, i, s) for (k, i), s in rows]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[x:x + batch])], ["key", "id", "size"]) for x in range(0, len(rows), batch)]
+    got = [r for b in linking._runs(iter(batches), 80) for r in b.to_pylist() if not r["edge"]]
+    found = {}
+    for r in got:
+        found.setdefault(r["key"], {})[r["id"]] = r
+    assert len(got) == sum(map(len, found.values()))
+    for k in {k for k, _, _ in rows}:
+        mates = [(i, s) for key, i, s in rows if key == k]
+        near = {i for i, s in mates for j, t in mates if i != j and 5 * min(s, t) >= 4 * max(s, t)}
+        mine = found.get(k, {})
+        assert near <= set(mine)
+        assert all(r["centre"] == min(mine) and r["size"] == dict(mates)[i] and r["centre_size"] == dict(mates)[r["centre"]] for i, r in mine.items())
+        assert len(mine) < 3 or all(r["open"] for r in mine.values())
