@@ -9,7 +9,9 @@
    are not its centre.  In such *open* buckets the members outside the largest component are compared
    with the members of other components.  Where a bucket has several centres, none was compared with
    all members, so they are among these.  (Members that no other member of the bucket comes near in
-   size have left it by then, and buckets of two have no such link.)  Both sides of a large bucket are dealt to several tasks by a
+   size have left it by then, and buckets of two have no such link.)  In large buckets they are compared
+   with some ``FIRST`` members first, which brings most into the component they belong to, and with all
+   others after that only if they are in none.  Both sides of a large bucket are dealt to several tasks by a
    salt, and pairs are looked at as they are formed: only those that may be near are ever kept.
 
 Before sets are fetched, two exact bounds rule most unlike pairs out: sizes, and parity bitmaps.  Of
@@ -32,14 +34,16 @@ from pyspark.sql import functions as F
 from daybook.llm.common import Scratch, batches_of, written
 from daybook.llm.components import components
 
-#: Parity bitmaps of 512 slots.
-LONGS = 8
+#: Parity bitmaps of 1,024 slots: they tell unlike sets of up to some 2,000 items apart.
+LONGS = 16
 SLOTS = 64 * LONGS
 PARITY = [f"parity{k}" for k in range(LONGS)]
 FACTS = ["size", *PARITY]
 #: Seeds of an open bucket that one task compares with the bucket's members, about.
 CROWD = 4096
-MEMBER_SCHEMA = "key long, id long, size long, centre long, centre_size long, open boolean, edge boolean"
+#: Members of a large bucket that its seeds are compared with first.
+FIRST = 64
+MEMBER_SCHEMA = "key long, id long, size long, centre long, centre_size long, n long, edge boolean"
 
 Confirm = Callable[[DataFrame], DataFrame]
 
@@ -62,15 +66,15 @@ def _with_partner(run: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray
 
 def _runs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Members of every key that has two or more rows in this task, with the key's first id here and
-    its size, and whether there may be more than two; and, marked as edge, the first ids of the task's
+    its size, and the number of them (0: unknown); and, marked as edge, the first ids of the task's
     first and last key.  Of runs that lie within a batch, rows without a partner in size are left out."""
     held = None  # the run that reaches the end of the rows so far: key, centre, its size, rows
     first = None
 
-    def out(key, id_, size, centre, centre_size, open_, edge):
-        longs = [pa.array(np.asarray(x, np.int64)) for x in (key, id_, size, centre, centre_size)]
-        return pa.RecordBatch.from_arrays([*longs, pa.array(open_, pa.bool_()), pa.array([edge] * len(key), pa.bool_())],
-                                          ["key", "id", "size", "centre", "centre_size", "open", "edge"])
+    def out(key, id_, size, centre, centre_size, n, edge):
+        longs = [pa.array(np.asarray(x, np.int64)) for x in (key, id_, size, centre, centre_size, n)]
+        return pa.RecordBatch.from_arrays([*longs, pa.array([edge] * len(key), pa.bool_())],
+                                          ["key", "id", "size", "centre", "centre_size", "n", "edge"])
 
     for batch in batches:
         key, id_, size = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
@@ -81,7 +85,7 @@ def _runs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
         goes_on = held is not None and held[0] == key[0]
         rows = lengths[-1] + (held[3] if goes_on and len(lengths) == 1 else 0)
         if goes_on and held[3] == 1:
-            yield out(*[[x] for x in (*held[:3], held[1], held[2])], [True], False)
+            yield out(*[[x] for x in (*held[:3], held[1], held[2], 0)], False)
         if first is None:
             first = (key[0], id_[0], size[0])
         # Runs of several rows that neither come from the batch before nor may go on in the next.
@@ -95,7 +99,7 @@ def _runs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
             heads = np.append(0, np.flatnonzero(np.diff(run[some])) + 1)
             number = np.diff(np.append(heads, len(some)))
             central = np.repeat(some[heads], number)
-            yield out(key[some], id_[some], size[some], id_[central], size[central], np.repeat(number > 2, number), False)
+            yield out(key[some], id_[some], size[some], id_[central], size[central], np.repeat(number, number), False)
         # The others, whole.
         ends = [(0, held[1], held[2])] if goes_on else []
         if not (goes_on and len(lengths) == 1):
@@ -104,15 +108,15 @@ def _runs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
             n = lengths[r]
             if n > 1 or (goes_on and r == 0):
                 at = slice(starts[r], starts[r] + n)
-                yield out(key[at], id_[at], size[at], [centre] * n, [centre_size] * n, [True] * n, False)
+                yield out(key[at], id_[at], size[at], [centre] * n, [centre_size] * n, [0] * n, False)
         held = (key[-1], *ends[-1][1:], rows)
     if first is not None:
         k, i, s = zip(*([first] if first[0] == held[0] else [first, held[:3]]))
-        yield out(k, i, s, i, s, [True] * len(k), True)
+        yield out(k, i, s, i, s, [0] * len(k), True)
 
 
 def bucket_members(rows: DataFrame, percent: int) -> DataFrame:
-    """``rows``: (id, key, size).  (key, id, size, centre, centre_size, open) of all buckets of two or more."""
+    """``rows``: (id, key, size).  (key, id, size, centre, centre_size, n) of all buckets of two or more."""
     laid = rows.select("key", "id", "size").repartitionByRange("key", "id").sortWithinPartitions("key", "id")
     with batches_of(rows.sparkSession, 50_000):
         found = written(laid.mapInArrow(lambda it: _runs(it, percent), MEMBER_SCHEMA), "runs")
@@ -120,7 +124,7 @@ def bucket_members(rows: DataFrame, percent: int) -> DataFrame:
     # Two edge rows a task: keys that go on from one task to the next.
     heads = edges.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("n")).filter("n > 1").select("key", "centre")
     sizes = edges.select("key", F.col("id").alias("centre"), F.col("size").alias("centre_size"))
-    across = edges.join(heads, "key").join(sizes, ["key", "centre"]).withColumn("open", F.lit(True))
+    across = edges.join(heads, "key").join(sizes, ["key", "centre"]).withColumn("n", F.lit(0).cast("long"))
     return inner.unionByName(across.select(*inner.columns))
 
 
@@ -149,17 +153,19 @@ def _star_pairs(members: DataFrame, facts: DataFrame, percent: int) -> DataFrame
     return near.join(x, "a").join(y, "b").filter(may).select("a", "b")
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(members: DataFrame, labels: DataFrame, facts: DataFrame, percent: int, first: int | None = None) -> DataFrame:
     """Pairs (a, b) of different components in buckets of three or more that may be near and were not
-    compared as member and centre."""
-    labelled = _labelled(members.filter("open").select("key", "id", "centre"), labels)
+    compared as member and centre; with ``first``, pairs of about so many members in larger buckets only."""
+    least = 2 if first is None else first
+    labelled = _labelled(members.filter(f"n > {least} or n = 0").select("key", "id", "centre"), labels)
     share = labelled.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("centre").alias("low"), F.max("centre").alias("high"))
     several = (share.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("labels"),
                                         F.max_by("label", "n").alias("main"), (F.min("low") != F.max("high")).alias("cut"))
-               .filter("labels > 1 and n > 2").withColumn("salts", F.floor(F.col("n") / CROWD) + 1).drop("labels", "n"))
+               .filter(f"labels > 1 and n > {least}").withColumn("salts", F.floor(F.col("n") / CROWD) + 1).drop("labels"))
     crowd = written(labelled.join(several, "key").join(facts, "id"), "open")
     seeds = crowd.filter("label <> main and (id <> centre or cut)").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
-    mates = crowd.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    mates = crowd if first is None else crowd.filter(F.pmod(F.xxhash64("id", "key"), F.floor(F.col("n") / first)) == 0)
+    mates = mates.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
     s, m = seeds.alias("s"), mates.alias("m")
     return (s.join(m, [F.col("s.key") == F.col("m.key"), F.col("s.salt") == F.col("m.salt")])
             .filter("s.label <> m.label and (s.cut or s.centre <> m.id)")
@@ -176,12 +182,14 @@ def link(rows: DataFrame, facts: DataFrame, confirm: Confirm, percent: int) -> D
         with Scratch(spark) as brief:
             links = brief.keep(confirm(written(_star_pairs(members, facts, percent), "star-pairs")), "star-links")
         labels = components(links)
-        with Scratch(spark) as brief:
-            pairs = brief.keep(_open_pairs(members, labels, facts, percent), "open-pairs")
-        with Scratch(spark) as brief:
-            more = brief.keep(confirm(pairs), "open-links")
-        own = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
-        return scratch.keep(components(own.unionByName(more)), "linked")
+        for first in (FIRST, None):
+            with Scratch(spark) as brief:
+                pairs = brief.keep(_open_pairs(members, labels, facts, percent, first), "open-pairs")
+            with Scratch(spark) as brief:
+                more = brief.keep(confirm(pairs), "open-links")
+            own = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
+            labels = components(own.unionByName(more))
+        return scratch.keep(labels, "linked")
 
 
 def named(pairs: DataFrame) -> DataFrame:
