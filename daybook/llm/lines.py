@@ -5,8 +5,8 @@ its character shingles (runs of ``SHINGLE`` code points, hashed to 64 bits; the
 shorter);
 classes that share a key are compared on their full shingle sets, and links of Jaccard similarity
 0.8 or more are closed over by distributed union-find.  Of each component the line that comes first,
-by (doc_id, place of the row, line number), is kept.  Ten bands of three rows find a pair at 0.8 with a
-chance of 0.9992, at 0.85 of 0.99993, if the values are independent; a changed character takes five
+by (doc_id, place of the row, line number), is kept.  Fourteen bands of four rows find a pair at 0.8 with a
+chance of 0.9994, at 0.85 of 0.99998, if the values are independent; a changed character takes five
 shingles with it, so lines of 50 characters with one changed letter are still linked, in any script;
 ``ROWS`` is to be raised with the logarithm of the corpus.
 
@@ -39,8 +39,8 @@ from daybook.llm import linking, shingles
 from daybook.llm.common import Scratch, Sieve, numbered, split_by, text_or_empty, written
 
 SHINGLE = 5
-BANDS = 10
-ROWS = 3
+BANDS = 14
+ROWS = 4
 SEED = 4
 SIMILARITY = 80
 #: Characters, and lines, worked through at a time, for the processor's caches.
@@ -50,7 +50,7 @@ CHUNK_LINES = 2048
 BINS = BANDS * ROWS
 KEYS = [f"key{k}" for k in range(BANDS)]
 WHERE = ["doc_id", "file", "place", "line"]
-SIGNED = [*WHERE, "h1", "h2", *linking.FACTS, *KEYS]
+SIGNED = [*WHERE, "h1", "h2", "size", *KEYS]
 
 #: For every empty bin, the bins whose value it takes, in this order: some at random, then all others.
 _LENDERS = np.concatenate([np.random.default_rng(SEED).integers(0, BINS, (64, BINS)), (np.arange(BINS) + np.arange(1, BINS)[:, None]) % BINS])
@@ -145,20 +145,26 @@ class Lines:
             at = to
 
     def signatures(self) -> tuple[np.ndarray, np.ndarray]:
-        """``lines x FACTS`` and ``lines x BANDS`` keys."""
-        facts = np.empty((len(self.at), len(linking.FACTS)), np.int64)
+        """Sizes of the lines' sets, and ``lines x BANDS`` keys."""
+        sizes = np.empty(len(self.at), np.int64)
         values = np.empty((len(self.at), BINS), np.uint64)
         for at, to in self.chunks():
             x, starts = self.sets(at, to)
-            sizes = np.diff(starts)
-            line = np.repeat(np.arange(to - at), sizes)
-            facts[at:to, 0] = sizes
-            facts[at:to, 1:] = linking.parities(x, line, to - at)
-            values[at:to] = _binned(x, line, to - at)
+            sizes[at:to] = np.diff(starts)
+            values[at:to] = _binned(x, np.repeat(np.arange(to - at), sizes[at:to]), to - at)
         keys = np.zeros((len(self.at), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
         for r in range(ROWS):
             keys = shingles.mix(keys + values[:, r::ROWS])
-        return facts, keys
+        return sizes, keys
+
+    def facts(self) -> np.ndarray:
+        """``lines x FACTS``."""
+        out = np.empty((len(self.at), len(linking.FACTS)), np.int64)
+        for at, to in self.chunks():
+            x, starts = self.sets(at, to)
+            out[at:to, 0] = np.diff(starts)
+            out[at:to, 1:] = linking.parities(x, np.repeat(np.arange(to - at), out[at:to, 0]), to - at)
+        return out
 
 
 def _binned(x: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
@@ -191,15 +197,15 @@ def _i64(x: np.ndarray) -> pa.Array:
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lines = Lines(batch.column("text"))
-        facts, keys = lines.signatures()
+        sizes, keys = lines.signatures()
         rows = pa.array(lines.text)
         yield pa.RecordBatch.from_arrays(
             [*[batch.column(c).take(rows) for c in WHERE[:3]], pa.array(lines.number), *map(_i64, lines.hashes()),
-             *[pa.array(np.ascontiguousarray(f)) for f in facts.T], *[_i64(k) for k in keys.T]], SIGNED)
+             pa.array(sizes), *[_i64(k) for k in keys.T]], SIGNED)
 
 
 def _line_texts(batches: Iterator[pa.RecordBatch], sieve) -> Iterator[pa.RecordBatch]:
-    """Hashes and text of the lines that may be wanted, each once a batch."""
+    """Hashes, text and facts of the lines that may be wanted, each once a batch."""
     for batch in batches:
         lines = Lines(batch.column("text"))
         h1, h2 = lines.hashes()
@@ -207,8 +213,10 @@ def _line_texts(batches: Iterator[pa.RecordBatch], sieve) -> Iterator[pa.RecordB
         _, once = np.unique(h1[some], return_index=True)
         some = some[np.sort(once)] if len(once) else some
         raw = lines.raw.tobytes() if len(some) else b""
-        texts = [raw[b:e] for b, e in zip(lines.begins[some].tolist(), lines.ends[some].tolist())]
-        yield pa.RecordBatch.from_arrays([_i64(h1[some]), _i64(h2[some]), pa.array(texts, pa.binary())], ["h1", "h2", "items"])
+        texts = pa.array([raw[b:e] for b, e in zip(lines.begins[some].tolist(), lines.ends[some].tolist())], pa.binary())
+        facts = Lines(texts).facts()
+        yield pa.RecordBatch.from_arrays([_i64(h1[some]), _i64(h2[some]), texts, *[pa.array(np.ascontiguousarray(f)) for f in facts.T]],
+                                         ["h1", "h2", "items", *linking.FACTS])
 
 
 def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -218,7 +226,7 @@ def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             continue
         sides = []
         for c in ("x", "y"):
-            lines = Lines(batch.column(c))
+            lines = Lines(batch.column(c).cast(pa.binary()))
             assert len(lines.at) == len(batch)
             sides.append([s for at, to in lines.chunks() for s in _split(*lines.sets(at, to))])
         near = np.zeros(len(batch), bool)
@@ -248,7 +256,7 @@ def _signed_lines(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     with Scratch(texts.sparkSession) as brief:
         signed = written(texts.mapInArrow(_signed, _longs(SIGNED)), "signed-lines")
         # Facts and keys are the same in all rows of a class.
-        classes = signed.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in (*linking.FACTS, *KEYS)])
+        classes = signed.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in ("size", *KEYS)])
         classes = brief.keep(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
         return brief.keep(signed.select(*WHERE, "h1", "h2"), "lines"), classes
 
@@ -256,16 +264,18 @@ def _signed_lines(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _labels(classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``h1, h2, label`` of the classes that occur more than once or are linked."""
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        wanted = written(classes.select("id", "h1", "h2").join(linking.named(pairs), "id"), "wanted")
+    def sets_of(ids: DataFrame) -> DataFrame:
+        wanted = written(classes.select("id", "h1", "h2").join(ids, "id"), "wanted")
         sieve = Sieve.build(wanted.select("h1", "h2"))
-        found = texts.select("text").mapInArrow(lambda it: _line_texts(it, sieve), "h1 long, h2 long, items binary")
-        found = found.join(wanted, ["h1", "h2"]).groupBy("id").agg(F.min("items").alias("items"))
-        both = linking.side_by_side(pairs, written(found, "line-texts")).withColumns({c: F.col(c).cast("string") for c in "xy"})
+        found = texts.select("text").mapInArrow(lambda it: _line_texts(it, sieve), f"h1 long, h2 long, items binary, {_longs(linking.FACTS)}")
+        once = found.join(wanted, ["h1", "h2"]).groupBy("id")
+        return once.agg(*[F.min(c).alias(c) for c in (*linking.FACTS, "items")])
+
+    def similar(both: DataFrame) -> DataFrame:
         return both.mapInArrow(lambda it: _similar(it, percent), "a long, b long")
 
     rows = classes.select("id", "size", F.explode(F.array(*KEYS)).alias("key"))
-    linked = linking.link(rows, classes.select("id", *linking.FACTS), confirm, percent)
+    linked = linking.link(rows, sets_of, similar, percent)
     return classes.join(linked, "id", "left").filter("n > 1 or label is not null").select("h1", "h2", F.coalesce("label", "id").alias("label"))
 
 

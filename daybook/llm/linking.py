@@ -14,7 +14,8 @@
    others after that only if they are in none.  Both sides of a large bucket are dealt to several tasks by a
    salt, and pairs are looked at as they are formed: only those that may be near are ever kept.
 
-Before sets are fetched, two exact bounds rule most unlike pairs out: sizes, and parity bitmaps.  Of
+Sets are fetched once, for members of buckets.  Before two are compared, two exact bounds rule most
+unlike pairs out: sizes, and parity bitmaps.  Of
 ``64 * LONGS`` hash slots each set keeps the parity of its items; the slots in which two sets differ
 are no more than the items in which they differ.
 
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, batches_of, written
+from daybook.llm.common import Scratch, batches_of, split_by, written
 from daybook.llm.components import components
 
 #: Parity bitmaps of 1,024 slots: they tell unlike sets of up to some 2,000 items apart.
@@ -45,7 +46,7 @@ CROWD = 4096
 FIRST = 64
 MEMBER_SCHEMA = "key long, id long, size long, centre long, centre_size long, n long, edge boolean"
 
-Confirm = Callable[[DataFrame], DataFrame]
+Step = Callable[[DataFrame], DataFrame]
 
 
 def parities(items: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
@@ -173,22 +174,32 @@ def _open_pairs(members: DataFrame, labels: DataFrame, facts: DataFrame, percent
             .select(F.least("s.id", "m.id").alias("a"), F.greatest("s.id", "m.id").alias("b")).distinct())
 
 
-def link(rows: DataFrame, facts: DataFrame, confirm: Confirm, percent: int) -> DataFrame:
-    """(id, label) of every linked id.  ``facts`` gives (id, size, parities) of every id; ``confirm`` the
-    pairs (a, b) that have the similarity, of those it gets."""
+def link(rows: DataFrame, sets_of: Step, similar: Step, percent: int) -> DataFrame:
+    """(id, label) of every linked id.  ``sets_of`` gives for a table of ids (id, ``FACTS``, items), items
+    being the set or what it is made from; ``similar`` the pairs (a, b) that have the similarity, of those
+    (a, b, x, y) that it gets with the items of both."""
     spark = rows.sparkSession
     with Scratch(spark) as scratch:
         members = bucket_members(rows, percent)
         with Scratch(spark) as brief:
-            links = brief.keep(confirm(written(_star_pairs(members, facts, percent), "star-pairs")), "star-links")
-        labels = components(links)
+            sets = brief.keep(sets_of(written(members.select("id").distinct(), "members")), "sets")
+        facts, items = sets.select("id", *FACTS), sets.select("id", "items")
+
+        def confirm(pairs: DataFrame) -> DataFrame:
+            with Scratch(spark) as brief:
+                some = written(split_by(items, written(named(pairs), "named"), "id")[0], "named-items")
+                return brief.keep(similar(side_by_side(pairs, some)), "links")
+
+        with Scratch(spark) as brief:
+            pairs = brief.keep(_star_pairs(members, facts, percent), "star-pairs")
+        labels = components(confirm(pairs))
         for first in (FIRST, None):
             with Scratch(spark) as brief:
                 pairs = brief.keep(_open_pairs(members, labels, facts, percent, first), "open-pairs")
-            with Scratch(spark) as brief:
-                more = brief.keep(confirm(pairs), "open-links")
+            if pairs.isEmpty():
+                continue
             own = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
-            labels = components(own.unionByName(more))
+            labels = components(own.unionByName(confirm(pairs)))
         return scratch.keep(labels, "linked")
 
 
@@ -203,7 +214,7 @@ def side_by_side(pairs: DataFrame, items: DataFrame) -> DataFrame:
             .join(items.select(F.col("id").alias("b"), F.col("items").alias("y")), "b"))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets in ``sets`` (id, items: array) have the similarity."""
-    both = side_by_side(pairs, sets).withColumn("common", F.size(F.array_intersect("x", "y")))
+def similar_sets(both: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets x and y (arrays) have the similarity."""
+    both = both.withColumn("common", F.size(F.array_intersect("x", "y")))
     return both.filter(100 * F.col("common") >= percent * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")

@@ -38,7 +38,7 @@ ROWS = 2
 SEED = 20
 PARTS = [f"part{c}" for c in range(COLLECTIONS)]
 WHERE = ["doc_id", "file", "place"]
-SIGNED = [*WHERE, "h1", "h2", *linking.FACTS, *PARTS]
+SIGNED = [*WHERE, "h1", "h2", "size", *PARTS]
 
 
 def _hashed(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,14 +54,13 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Re
         for r in range(ROWS):
             parts = shingles.mix(parts + values[:, r::ROWS] + np.uint64(r + 1))
         h1, h2 = (np.zeros(len(batch), np.uint64) for _ in range(2))
-        facts = np.zeros((len(batch), len(linking.FACTS)), np.int64)
+        sizes = np.zeros(len(batch), np.int64)
         for i in range(len(batch)):
             s = shingles.mix(np.unique(hashes[offsets[i]:offsets[i + 1]]))
             h1[i] = s.sum(dtype=np.uint64)
             h2[i] = shingles.mix(s ^ np.uint64(0x5555555555555555)).sum(dtype=np.uint64)
-            facts[i, 0] = len(s)
-            facts[i, 1:] = linking.parities(s, np.zeros(len(s), np.int64), 1)[0]
-        longs = [h1.view(np.int64), h2.view(np.int64), *facts.T, *parts.view(np.int64).T]
+            sizes[i] = len(s)
+        longs = [h1.view(np.int64), h2.view(np.int64), sizes, *parts.view(np.int64).T]
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in WHERE], *[pa.array(np.ascontiguousarray(x)) for x in longs]], SIGNED)
 
 
@@ -72,8 +71,11 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int, sieve) -> Iterator[pa.R
         if not len(batch):
             continue
         hashes, offsets = _hashed(batch.column("text"), words)
-        items = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(offsets[:-1], offsets[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("place"), pa.array(items, pa.list_(pa.int64()))], ["file", "place", "items"])
+        items = [np.unique(hashes[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+        facts = np.array([[len(s), *linking.parities(shingles.mix(s), np.zeros(len(s), np.int64), 1)[0]] for s in items], np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("file"), batch.column("place"), pa.array([s.view(np.int64) for s in items], pa.list_(pa.int64())),
+             *[pa.array(np.ascontiguousarray(f)) for f in facts.T]], ["file", "place", "items", *linking.FACTS])
 
 
 def _labelled(docs: DataFrame, words: int, percent: int, takes_part: str = "true") -> tuple[DataFrame, DataFrame]:
@@ -86,18 +88,19 @@ def _labelled(docs: DataFrame, words: int, percent: int, takes_part: str = "true
         signed = written(signed, "signatures")
         # Facts and parts are the same in all rows of a class.
         classes = signed.filter("size > 0").filter(takes_part).groupBy("h1", "h2").agg(
-            F.min(F.struct("file", "place")).alias("at"), *[F.min(c).alias(c) for c in (*linking.FACTS, *PARTS)])
+            F.min(F.struct("file", "place")).alias("at"), *[F.min(c).alias(c) for c in ("size", *PARTS)])
         classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
-        def confirm(pairs: DataFrame) -> DataFrame:
-            wanted = classes.join(linking.named(pairs), "id").select("id", "at.file", "at.place")
-            wanted = written(wanted, "wanted")
+        def sets_of(ids: DataFrame) -> DataFrame:
+            wanted = written(classes.join(ids, "id").select("id", "at.file", "at.place"), "wanted")
             sieve = Sieve.build(wanted.select("file", "place"))
-            sets = texts.select("file", "place", "text").mapInArrow(lambda it: _sets(it, words, sieve), "file long, place long, items array<long>")
-            return linking.confirmed(pairs, written(sets.join(wanted, ["file", "place"]).select("id", "items"), "sets"), percent)
+            schema = ", ".join(["file long, place long, items array<long>", *[f"{c} long" for c in linking.FACTS]])
+            sets = texts.select("file", "place", "text").mapInArrow(lambda it: _sets(it, words, sieve), schema)
+            return sets.join(wanted, ["file", "place"]).select("id", *linking.FACTS, "items")
 
         keys = F.array(*[F.xxhash64(F.lit(t), i, j) for t, (i, j) in enumerate(combinations(PARTS, 2))])
-        linked = linking.link(classes.select("id", "size", F.explode(keys).alias("key")), classes.select("id", *linking.FACTS), confirm, percent)
+        keyed = classes.select("id", "size", F.explode(keys).alias("key"))
+        linked = linking.link(keyed, sets_of, lambda both: linking.similar_sets(both, percent), percent)
         named = classes.select("id", "h1", "h2").join(linked, "id", "left").select("h1", "h2", F.coalesce("label", "id").alias("label"))
         keyed = signed.select(*WHERE, "size", F.when(F.expr(f"size > 0 and {takes_part}"), F.col("h1")).alias("h1"), "h2")
         return rows, scratch.keep(keyed.join(named, ["h1", "h2"], "left").select(*WHERE, "size", "label"), "labelled")

@@ -103,7 +103,7 @@ def test_one_changed_letter_in_short_lines_of_any_script(make_docs):
             texts[a], texts[b] = line, line[:at] + "x" + line[at + 1:]
             want[a] = want[b] = a
     got = {r.doc_id: r.keep_doc_id for r in lines.classify(make_docs(list(texts.items()))).collect()}
-    # The keys of a pair at 51/61 meet with a chance of 0.9998.
+    # The keys of a pair at 51/61 meet with a chance of 0.9999.
     assert sum(got[i] == want[i] for i in texts) >= len(texts) - 1
 
 

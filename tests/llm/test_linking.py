@@ -48,10 +48,11 @@ def facts_of(sets):
     return sets.mapInArrow(_facts, ", ".join(f"{c} long" for c in ("id", *linking.FACTS)))
 
 
-def labels_of(sets, keys, confirm=linking.confirmed):
+def labels_of(sets, keys, similar=linking.similar_sets):
     """Labels from (id, items) and (id, key)."""
     facts = facts_of(sets)
-    found = linking.link(keys.join(facts.select("id", "size"), "id"), facts, lambda pairs: confirm(pairs, sets, 80), 80)
+    found = linking.link(keys.join(facts.select("id", "size"), "id"), lambda ids: sets.join(facts, "id").join(ids, "id"),
+                         lambda both: similar(both, 80), 80)
     return {r.id: r.label for r in found.collect()}
 
 
@@ -106,9 +107,9 @@ def test_crowded_bucket_with_copies_outliers_and_a_shared_passage(spark, monkeyp
 def test_group_of_copies_forms_no_square_of_pairs(spark, monkeypatch):
     formed = []
 
-    def counted(pairs, sets, percent):
-        formed.append(pairs.count())
-        return linking.confirmed(pairs, sets, percent)
+    def counted(both, percent):
+        formed.append(both.count())
+        return linking.similar_sets(both, percent)
     sets = spark.range(3000).select("id", F.sequence(F.lit(1), F.lit(10)).cast("array<long>").alias("items"))
     labels = labels_of(sets, spark.createDataFrame([(i, k) for i in range(3000) for k in range(4)], "id long, key long"), counted)
     assert labels == dict.fromkeys(range(3000), 0)
