@@ -204,8 +204,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(sizes), *[_i64(k) for k in keys.T]], SIGNED)
 
 
-def _line_texts(batches: Iterator[pa.RecordBatch], sieve) -> Iterator[pa.RecordBatch]:
-    """Hashes, text and facts of the lines that may be wanted, each once a batch."""
+def _wanted_lines(batches: Iterator[pa.RecordBatch], sieve, facts: bool) -> Iterator[pa.RecordBatch]:
+    """Hashes and facts, or text, of the lines that may be wanted, each once a batch."""
     for batch in batches:
         lines = Lines(batch.column("text"))
         h1, h2 = lines.hashes()
@@ -214,9 +214,8 @@ def _line_texts(batches: Iterator[pa.RecordBatch], sieve) -> Iterator[pa.RecordB
         some = some[np.sort(once)] if len(once) else some
         raw = lines.raw.tobytes() if len(some) else b""
         texts = pa.array([raw[b:e] for b, e in zip(lines.begins[some].tolist(), lines.ends[some].tolist())], pa.binary())
-        facts = Lines(texts).facts()
-        yield pa.RecordBatch.from_arrays([_i64(h1[some]), _i64(h2[some]), texts, *[pa.array(np.ascontiguousarray(f)) for f in facts.T]],
-                                         ["h1", "h2", "items", *linking.FACTS])
+        found = [pa.array(np.ascontiguousarray(f)) for f in Lines(texts).facts().T] if facts else [texts]
+        yield pa.RecordBatch.from_arrays([_i64(h1[some]), _i64(h2[some]), *found], ["h1", "h2", *(linking.FACTS if facts else ["items"])])
 
 
 def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -264,18 +263,19 @@ def _signed_lines(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _labels(classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``h1, h2, label`` of the classes that occur more than once or are linked."""
 
-    def sets_of(ids: DataFrame) -> DataFrame:
+    def found(ids: DataFrame, facts: bool) -> DataFrame:
         wanted = written(classes.select("id", "h1", "h2").join(ids, "id"), "wanted")
         sieve = Sieve.build(wanted.select("h1", "h2"))
-        found = texts.select("text").mapInArrow(lambda it: _line_texts(it, sieve), f"h1 long, h2 long, items binary, {_longs(linking.FACTS)}")
-        once = found.join(wanted, ["h1", "h2"]).groupBy("id")
-        return once.agg(*[F.min(c).alias(c) for c in (*linking.FACTS, "items")])
+        names = linking.FACTS if facts else ["items"]
+        schema = f"h1 long, h2 long, {_longs(names) if facts else 'items binary'}"
+        some = texts.select("text").mapInArrow(lambda it: _wanted_lines(it, sieve, facts), schema)
+        return some.join(wanted, ["h1", "h2"]).groupBy("id").agg(*[F.min(c).alias(c) for c in names])
 
     def similar(both: DataFrame) -> DataFrame:
         return both.mapInArrow(lambda it: _similar(it, percent), "a long, b long")
 
     rows = classes.select("id", "size", F.explode(F.array(*KEYS)).alias("key"))
-    linked = linking.link(rows, sets_of, similar, percent)
+    linked = linking.link(rows, lambda ids: found(ids, True), lambda ids: found(ids, False), similar, percent)
     return classes.join(linked, "id", "left").filter("n > 1 or label is not null").select("h1", "h2", F.coalesce("label", "id").alias("label"))
 
 

@@ -14,8 +14,8 @@
    others after that only if they are in none.  Both sides of a large bucket are dealt to several tasks by a
    salt, and pairs are looked at as they are formed: only those that may be near are ever kept.
 
-Sets are fetched once, for members of buckets.  Before two are compared, two exact bounds rule most
-unlike pairs out: sizes, and parity bitmaps.  Of
+Before sets are fetched, two exact bounds rule most unlike pairs out: sizes, and parity bitmaps, which
+are made for members of buckets.  Of
 ``64 * LONGS`` hash slots each set keeps the parity of its items; the slots in which two sets differ
 are no more than the items in which they differ.
 
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, batches_of, split_by, written
+from daybook.llm.common import Scratch, batches_of, written
 from daybook.llm.components import components
 
 #: Parity bitmaps of 1,024 slots: they tell unlike sets of up to some 2,000 items apart.
@@ -174,22 +174,21 @@ def _open_pairs(members: DataFrame, labels: DataFrame, facts: DataFrame, percent
             .select(F.least("s.id", "m.id").alias("a"), F.greatest("s.id", "m.id").alias("b")).distinct())
 
 
-def link(rows: DataFrame, sets_of: Step, similar: Step, percent: int) -> DataFrame:
-    """(id, label) of every linked id.  ``sets_of`` gives for a table of ids (id, ``FACTS``, items), items
-    being the set or what it is made from; ``similar`` the pairs (a, b) that have the similarity, of those
-    (a, b, x, y) that it gets with the items of both."""
+def link(rows: DataFrame, facts_of: Step, items_of: Step, similar: Step, percent: int) -> DataFrame:
+    """(id, label) of every linked id.  Of a table of ids ``facts_of`` gives (id, ``FACTS``) and ``items_of``
+    (id, items), the set or what it is made from; ``similar`` gives the pairs (a, b) that have the
+    similarity, of those (a, b, x, y) that it gets with the items of both."""
     spark = rows.sparkSession
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        with Scratch(spark) as brief:
+            items = written(items_of(written(named(pairs), "named")), "items")
+            return brief.keep(similar(side_by_side(pairs, items)), "links")
+
     with Scratch(spark) as scratch:
         members = bucket_members(rows, percent)
         with Scratch(spark) as brief:
-            sets = brief.keep(sets_of(written(members.select("id").distinct(), "members")), "sets")
-        facts, items = sets.select("id", *FACTS), sets.select("id", "items")
-
-        def confirm(pairs: DataFrame) -> DataFrame:
-            with Scratch(spark) as brief:
-                some = written(split_by(items, written(named(pairs), "named"), "id")[0], "named-items")
-                return brief.keep(similar(side_by_side(pairs, some)), "links")
-
+            facts = brief.keep(facts_of(written(members.select("id").distinct(), "members")), "facts")
         with Scratch(spark) as brief:
             pairs = brief.keep(_star_pairs(members, facts, percent), "star-pairs")
         labels = components(confirm(pairs))

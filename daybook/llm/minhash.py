@@ -64,7 +64,8 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in WHERE], *[pa.array(np.ascontiguousarray(x)) for x in longs]], SIGNED)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], words: int, sieve) -> Iterator[pa.RecordBatch]:
+def _wanted(batches: Iterator[pa.RecordBatch], words: int, sieve, facts: bool) -> Iterator[pa.RecordBatch]:
+    """Place and facts, or full set, of the rows that may be wanted."""
     for batch in batches:
         places = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("file", "place")]
         batch = batch.filter(pa.array(sieve.value(*places)))
@@ -72,10 +73,12 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int, sieve) -> Iterator[pa.R
             continue
         hashes, offsets = _hashed(batch.column("text"), words)
         items = [np.unique(hashes[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-        facts = np.array([[len(s), *linking.parities(shingles.mix(s), np.zeros(len(s), np.int64), 1)[0]] for s in items], np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("file"), batch.column("place"), pa.array([s.view(np.int64) for s in items], pa.list_(pa.int64())),
-             *[pa.array(np.ascontiguousarray(f)) for f in facts.T]], ["file", "place", "items", *linking.FACTS])
+        if facts:
+            bits = [linking.parities(shingles.mix(s), np.zeros(len(s), np.int64), 1)[0] for s in items]
+            found = [pa.array([len(s) for s in items], pa.int64()), *[pa.array(np.ascontiguousarray(x)) for x in np.array(bits).T]]
+        else:
+            found = [pa.array([s.view(np.int64) for s in items], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("place"), *found], ["file", "place", *(linking.FACTS if facts else ["items"])])
 
 
 def _labelled(docs: DataFrame, words: int, percent: int, takes_part: str = "true") -> tuple[DataFrame, DataFrame]:
@@ -91,16 +94,18 @@ def _labelled(docs: DataFrame, words: int, percent: int, takes_part: str = "true
             F.min(F.struct("file", "place")).alias("at"), *[F.min(c).alias(c) for c in ("size", *PARTS)])
         classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
-        def sets_of(ids: DataFrame) -> DataFrame:
+        def found(ids: DataFrame, facts: bool) -> DataFrame:
             wanted = written(classes.join(ids, "id").select("id", "at.file", "at.place"), "wanted")
             sieve = Sieve.build(wanted.select("file", "place"))
-            schema = ", ".join(["file long, place long, items array<long>", *[f"{c} long" for c in linking.FACTS]])
-            sets = texts.select("file", "place", "text").mapInArrow(lambda it: _sets(it, words, sieve), schema)
-            return sets.join(wanted, ["file", "place"]).select("id", *linking.FACTS, "items")
+            names = [f"{c} long" for c in linking.FACTS] if facts else ["items array<long>"]
+            some = texts.select("file", "place", "text").mapInArrow(
+                lambda it: _wanted(it, words, sieve, facts), ", ".join(["file long, place long", *names]))
+            return some.join(wanted, ["file", "place"]).drop("file", "place")
 
         keys = F.array(*[F.xxhash64(F.lit(t), i, j) for t, (i, j) in enumerate(combinations(PARTS, 2))])
         keyed = classes.select("id", "size", F.explode(keys).alias("key"))
-        linked = linking.link(keyed, sets_of, lambda both: linking.similar_sets(both, percent), percent)
+        linked = linking.link(keyed, lambda ids: found(ids, True), lambda ids: found(ids, False),
+                              lambda both: linking.similar_sets(both, percent), percent)
         named = classes.select("id", "h1", "h2").join(linked, "id", "left").select("h1", "h2", F.coalesce("label", "id").alias("label"))
         keyed = signed.select(*WHERE, "size", F.when(F.expr(f"size > 0 and {takes_part}"), F.col("h1")).alias("h1"), "h2")
         return rows, scratch.keep(keyed.join(named, ["h1", "h2"], "left").select(*WHERE, "size", "label"), "labelled")

@@ -51,8 +51,8 @@ def facts_of(sets):
 def labels_of(sets, keys, similar=linking.similar_sets):
     """Labels from (id, items) and (id, key)."""
     facts = facts_of(sets)
-    found = linking.link(keys.join(facts.select("id", "size"), "id"), lambda ids: sets.join(facts, "id").join(ids, "id"),
-                         lambda both: similar(both, 80), 80)
+    found = linking.link(keys.join(facts.select("id", "size"), "id"), lambda ids: facts.join(ids, "id"),
+                         lambda ids: sets.join(ids, "id"), lambda both: similar(both, 80), 80)
     return {r.id: r.label for r in found.collect()}
 
 
