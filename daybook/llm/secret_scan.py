@@ -21,8 +21,10 @@ keeping intermediate rows.
 
 Only DataFrame functions.  Positions come without a position-aware matcher: splitting by a pattern
 gives the gaps between its matches, and running sums of gap and match lengths give code-point
-offsets.  The sums are kept per block of 256 matches, so a very long text with many matches stays
-far from quadratic work.
+offsets.  The sums are kept per block of 256 matches.  What overlaps what is told by ranks: a span
+overlaps none of a list if as many of the list begin before its end as end by its beginning, and both
+numbers are places in one sorted array.  Texts are cut in pieces of ``CUT`` code points before parts are
+taken out of them.  So work grows with the length of a text, however many tokens it has, but for the sorting.
 
 Defined cases: null text is empty; an empty text has no spans; repeated rows are scanned each; the
 tables may be empty; extra columns pass through :func:`redact` and are ignored by :func:`scan`.
@@ -51,6 +53,7 @@ BINS = 300
 #: Upper ends of the length classes.
 LENGTH_CLASSES = (24, 32, 48, 1 << 30)
 BLOCK = 256
+CUT = 4096
 SPAN = "array<struct<s:int,k:int,e:int>>"
 
 
@@ -160,24 +163,47 @@ def _bin(p: Column) -> Column:
 TESTED = "array<struct<s:int,e:int,cls:int,bin:int>>"
 
 
-def _tested(text: Column) -> Column:
-    """Tokens of ``text`` that pass as random codes, with their length class and p_text bin; others
-    have bin -1 and count as tests only."""
+def _ranks(values: Column, among: Column, ties: bool) -> Column:
+    """For each of the sorted ``values``, how many of ``among`` are smaller (with ``ties``: not larger)."""
+    own, other = (1, 0) if ties else (0, 1)
+    both = F.array_sort(F.concat(F.transform(values, lambda v: 2 * v.cast("long") + own), F.transform(among, lambda v: 2 * v.cast("long") + other)))
+    placed = F.filter(F.transform(both, lambda v, i: F.struct(v.alias("v"), i.alias("i"))), lambda x: x["v"] % 2 == own)
+    return F.transform(placed, lambda x, j: x["i"] - j)
+
+
+def _ends(spans: Column, field: str) -> Column:
+    return F.transform(spans, lambda x: x[field])
+
+
+def _free(tokens: Column, base: Column) -> Column:
+    """Those of ``tokens`` (in order, apart from each other) that overlap no span of ``base``."""
+    begun = _ranks(_ends(tokens, "e"), _ends(base, "s"), ties=False)
+    ended = _ranks(_ends(tokens, "s"), _ends(base, "e"), ties=True)
+    marked = F.arrays_zip(tokens.alias("x"), begun.alias("begun"), ended.alias("ended"))
+    return F.transform(F.filter(marked, lambda m: m["begun"] == m["ended"]), lambda m: m["x"])
+
+
+def _tested(text: Column, base: Column) -> Column:
+    """Tokens of ``text`` outside ``base`` that pass as random codes, with their length class and p_text
+    bin; others have bin -1 and count as tests only."""
     def grade(x: Column) -> Column:
-        return let(_battery(F.substring(text, x["s"] + 1, x["e"] - x["s"])), lambda b: F.struct(
+        return let(_battery(x["token"]), lambda b: F.struct(
             x["s"].alias("s"), x["e"].alias("e"), _class(b["n"]).alias("cls"),
             F.when(b["p_random"] >= RANDOM_LEVEL, F.coalesce(_bin(b["p_text"]), F.lit(-1)))
             .otherwise(F.lit(-1)).alias("bin")))
-    return F.transform(_spans(text, TOKEN, 3), grade).cast(TESTED)
+    tokens = F.zip_with(_spans(text, TOKEN, 3), F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda x, m: F.struct(
+        x["s"].alias("s"), x["e"].alias("e"), m.alias("token")))
+    # Bound by let: what a function's body names is computed again for each element.
+    graded = let(tokens, lambda t: let(base, lambda b: F.transform(_free(t, b), grade))).cast(TESTED)
+    return F.when(F.rlike(text, F.lit(TOKEN)), graded).otherwise(F.array().cast(TESTED))
 
 
 def _with_base(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_t`` (text), ``_base`` (sorted base spans) and ``_tested`` (other tokens)."""
     t = F.col("_t")
     base = F.concat(_spans(t, ASSIGN, 0, group=2, least=8), _spans(t, ACCESS, 1), _spans(t, HEX, 2))
-    free = F.filter("_tokens", lambda x: ~F.exists("_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
     return (docs.withColumn("_t", text_or_empty()).withColumn("_base", F.array_sort(base))
-            .withColumn("_tokens", _tested(t)).withColumn("_tested", free).drop("_tokens"))
+            .withColumn("_tested", _tested(t, F.col("_base"))))
 
 
 def bars(tested: DataFrame, q: float = FALSE_DISCOVERY) -> dict[int, int]:
@@ -217,18 +243,35 @@ def scan(docs: DataFrame, q: float = FALSE_DISCOVERY) -> DataFrame:
         _joined("_all").alias("spans"))
 
 
+def _part(pieces: Column, at: Column, to: Column) -> Column:
+    """The code points ``at`` to ``to`` of a text cut in pieces of ``CUT``."""
+    first, last = F.floor(at / CUT).cast("int"), F.floor(to / CUT).cast("int")
+    inside = F.substring(F.get(pieces, first), at - first * CUT + 1, to - at)
+    whole = F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    across = F.concat(F.substring(F.get(pieces, first), at - first * CUT + 1, F.lit(CUT)), whole,
+                      F.coalesce(F.substring(F.get(pieces, last), F.lit(1), to - last * CUT), F.lit("")))
+    return F.when(to <= at, F.lit("")).when(first == last, inside).otherwise(across)
+
+
+def _marked(pieces: Column, length: Column, spans: Column, mark: str) -> Column:
+    """The text with the sorted ``spans`` (overlapping ones joined) replaced."""
+    def built(ends: Column) -> Column:
+        # A span begins a new mark if all spans before it have ended by then; the last of these ends is
+        # the end of the mark before.
+        ended = F.arrays_zip(spans.alias("x"), _ranks(_ends(spans, "s"), ends, ties=True).alias("n"))
+        heads = F.filter(F.transform(ended, lambda m, i: F.struct(m["x"]["s"].alias("s"), m["n"].alias("n"), i.alias("i"))),
+                         lambda m: m["n"] == m["i"])
+        before = F.transform(heads, lambda m: F.concat(
+            _part(pieces, F.coalesce(F.get(ends, m["i"] - 1), F.lit(0)), m["s"]), F.lit(mark)))
+        return F.concat(F.array_join(before, ""), _part(pieces, F.get(ends, F.size(ends) - 1), length))
+    return let(F.array_sort(_ends(spans, "e")), built)
+
+
 def redact(docs: DataFrame, mark: str = "[SECRET]", q: float = FALSE_DISCOVERY) -> DataFrame:
     """``docs`` with every span (overlapping ones joined) replaced by ``mark`` in ``text``; texts
     without spans, null ones too, are left as they are."""
-    t = F.col("_t")
-    state = "struct<at:int,out:array<string>>"
-    joined = F.aggregate(
-        "_all", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")).cast(state),
-        lambda a, x: F.struct(
-            F.greatest(a["at"], x["e"]).alias("at"),
-            F.when(x["s"] >= a["at"], F.concat(a["out"], F.array(F.substring(t, a["at"] + 1, x["s"] - a["at"]), F.lit(mark))))
-            .otherwise(a["out"]).alias("out")).cast(state))
-    clean = let(joined, lambda x: F.concat(F.array_join(x["out"], ""), F.substring(t, x["at"] + 1, F.length(t))))
+    clean = let(F.regexp_extract_all(F.col("_t"), F.lit("(?s).{1,%d}" % CUT), F.lit(0)),
+                lambda pieces: let(F.col("_all"), lambda spans: _marked(pieces, F.length("_t"), spans, mark)))
     done = scanned(packed(docs, "text"), q)
     new = F.when(F.size("_all") > 0, clean).otherwise(F.col("text"))
     return done.select(F.col("row").withField("text", new).alias("row")).select("row.*")

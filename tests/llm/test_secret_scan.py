@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 import re
+import string
 
 import pytest
 
@@ -119,3 +120,48 @@ def test_no_python_in_the_plan(spark):
     for name in ("op2_fingerprints", "op7_secrets", "op9_url_filter"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def _crowded(n, seed=1):
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        out.append(rng.choice(["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(24)),
+                               f"token = é{i}", f'secret="{i:012d}"', "AKIA" + "Q" * 16, "%040x" % rng.getrandbits(160)]))
+    return " ".join(out)
+
+
+def test_time_grows_with_the_length_of_a_text(make_docs):
+    """A text of 50,000 and one of 100,000 tokens, scanned and redacted."""
+    import time
+
+    texts = [_crowded(50_000), _crowded(100_000)]
+    ss.redact(make_docs([(0, _crowded(500))])).collect()
+    took = []
+    for text in texts:
+        start = time.time()
+        found = ss.scan(make_docs([(1, text)])).collect()[0]
+        left = ss.redact(make_docs([(1, text)])).collect()[0].text
+        took.append(time.time() - start)
+        spans = [(int(s), int(e)) for _, s, e in (x.split(":") for x in found.spans.split(","))]
+        want, at = [], 0
+        for s, e in spans:
+            if s >= at:
+                want += [text[at:s], "[SECRET]"]
+            at = max(at, e)
+        assert left == "".join(want) + text[at:]
+        assert found.n_hex == sum(len(m) >= 32 for m in re.findall("[0-9a-f]+", text))
+    assert took[1] < 60 and took[1] < 4 * took[0] + 2, took
+
+
+@pytest.mark.parametrize("cut", [1, 3, 7, 4096])
+def test_parts_of_a_text(spark, monkeypatch, cut):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(ss, "CUT", cut)
+    text = "aé😀b\ncdefghß"
+    ranges = [(a, b) for a in range(len(text) + 1) for b in range(a, len(text) + 1)]
+    df = spark.createDataFrame([(text, a, b) for a, b in ranges], "t string, a int, b int")
+    pieces = F.regexp_extract_all("t", F.lit("(?s).{1,%d}" % cut), F.lit(0))
+    got = {(r.a, r.b): r.x for r in df.select("a", "b", ss._part(pieces, F.col("a"), F.col("b")).alias("x")).collect()}
+    assert got == {(a, b): text[a:b] for a, b in ranges}
