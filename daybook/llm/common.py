@@ -18,14 +18,16 @@ from daybook.sources.fs import delete_path
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-#: Rows in an Arrow batch: whole texts travel, so far fewer than for plain numbers.
-BATCH_ROWS = 2000
+#: Rows, and bytes, in an Arrow batch: whole texts travel, so far fewer than for plain numbers.
+BATCH_ROWS = 500
+BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Session settings of the corpus operators; ships the package to the Python workers."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     # Every intermediate is a written table, so a finished job's shuffle files are never read again.
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
