@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, batches_of, written
+from daybook.llm.common import Scratch, batches_of, split_by, written
 from daybook.llm.components import components
 
 #: Parity bitmaps of 1,024 slots: they tell unlike sets of up to some 2,000 items apart.
@@ -163,7 +163,11 @@ def _open_pairs(members: DataFrame, labels: DataFrame, facts: DataFrame, percent
     several = (share.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("labels"),
                                         F.max_by("label", "n").alias("main"), (F.min("low") != F.max("high")).alias("cut"))
                .filter(f"labels > 1 and n > {least}").withColumn("salts", F.floor(F.col("n") / CROWD) + 1).drop("labels"))
-    crowd = written(labelled.join(several, "key").join(facts, "id"), "open")
+    crowd = labelled.join(several, "key")
+    if first is not None:  # few are in large buckets
+        crowd = written(crowd, "crowd")
+        facts, _ = split_by(facts, crowd.select("id").distinct(), "id")
+    crowd = written(crowd.join(facts, "id"), "open")
     seeds = crowd.filter("label <> main and (id <> centre or cut)").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
     mates = crowd if first is None else crowd.filter(F.pmod(F.xxhash64("id", "key"), F.floor(F.col("n") / first)) == 0)
     mates = mates.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
