@@ -278,6 +278,11 @@ FROM txn WHERE {_EXPORTED} GROUP BY 1, 2, 3"""
 SQL["partition_pruned_scan"] = with_(E_TXN, f"valid AS (SELECT * FROM txn WHERE {_EXPORTED})",
                                      stg2("stg", "valid", EF)) + "SELECT * FROM stg"
 SQL["unaligned_partition_scan"] = SQL["partition_pruned_scan"]
+SQL["zone_mapped_scan"] = with_(E_TXN, stg2("stg", "txn", EF)) + "SELECT * FROM stg"
+SQL["late_row_ledger"] = with_(E_TXN) + f"""SELECT CAST(order_timestamp AS DATE) AS day,
+    COUNT(*) FILTER (WHERE order_id % 10 <> 0) AS stored_rows, COUNT(*) AS source_rows,
+    COUNT(*) FILTER (WHERE order_id % 10 = 0) AS dropped_rows
+FROM txn WHERE CAST(order_timestamp AS DATE) < DATE '{EF}' GROUP BY 1 HAVING COUNT(*) FILTER (WHERE order_id % 10 = 0) > 0"""
 
 SQL["trend_series"] = _L_METRIC + f"SELECT {V3_COLS} FROM m ORDER BY order_date"
 SQL["stored_run_incremental_v3"] = SQL["daily_running_full_events"]

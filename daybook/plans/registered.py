@@ -21,6 +21,7 @@ from daybook.operators import arrow, export, metrics, quality, reports, staging,
 from daybook.plans.runs import MODELS, Project, not_null_checks
 from daybook.session import scratch_path
 from daybook.sources import adapters as A
+from daybook.sources.ledger import SourceLedger
 from daybook.sources.transactions import read_transactions
 
 EF = A.EVENTS_FROM_DATE  # window start for E
@@ -349,6 +350,34 @@ def unaligned_partition_scan(spark, d):
     return staging.stage_v2(read_transactions(spark, path, from_date=EF), from_date=EF)
 
 
+def _arrival_files(df: DataFrame, path: str) -> None:
+    """Files as they arrive: folders tell the load, not the day; a file holds a range of time."""
+    (df.repartitionByRange(12, S.ORDER_TS).sortWithinPartitions(S.ORDER_TS).write.mode("append").parquet(path))
+
+
+def zone_mapped_scan(spark, d):
+    """The window read of a source whose folders say nothing of the day: the ledger's zone map picks the
+    files of three loads that hold rows of the window."""
+    rows, path = A.events_source(spark, d), scratch_path(spark, "loads")
+    for load in range(3):
+        _arrival_files(rows.filter(F.col(S.ORDER_ID) % 3 == load), f"{path}/load={load}")
+    ledger = SourceLedger(spark, path, scratch_path(spark, "zones"))
+    ledger.refresh()
+    return staging.stage_v2(ledger.read_window(EF), from_date=EF)
+
+
+def late_row_ledger(spark, d):
+    """The late rows arrive as a load of their own; a window run takes those of its window and the ledger
+    names the days before it that lack rows since."""
+    src, early = _events_first_run_without_late(spark, d)
+    path, root = scratch_path(spark, "loads"), scratch_path(spark, "ledger-wh")
+    project = Project(spark, None, root, ledger=SourceLedger(spark, path, root))
+    _arrival_files(early, f"{path}/load=1")
+    project.run_model("stg_orders_v2")
+    _arrival_files(src.filter(late_rows()), f"{path}/load=2")
+    return project.run_model("stg_orders_v2", from_date=EF).late_days
+
+
 def exported_footprint(spark, d):
     """Per partition of the written export: its rows, and that it has files and bytes."""
     path = _exported_events(spark, d)
@@ -554,6 +583,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_read_back": export_read_back,
     "export_rerun": export_rerun,
     "unaligned_partition_scan": unaligned_partition_scan,
+    "zone_mapped_scan": zone_mapped_scan,
+    "late_row_ledger": late_row_ledger,
     "stored_full_refresh_v3": stored_full_refresh_v3,
     "stored_run_v1": stored_run_v1,
     "stored_upsert_lines_direct": stored_upsert_lines_direct,

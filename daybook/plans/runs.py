@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from daybook import schemas as S
 from daybook.functions.dates import parse_date
 from daybook.operators import arrow, metrics, quality, staging
+from daybook.sources.ledger import SourceLedger
 from daybook.sources.transactions import has_day_folders, misplaced_rows
 from daybook.sources.warehouse import Warehouse, WriteResult
 
@@ -70,16 +71,25 @@ class RunReport:
     seconds: float
     preview: DataFrame | None = field(default=None, repr=False)
     misplaced_rows: int | None = None  # day-aligned source: window rows outside their day's folder
+    files_read: int | None = None  # source with a ledger: files of the window
+    late_rows: int | None = None  # source with a ledger: rows of older days that the table lacks by now
+    late_days: DataFrame | None = field(default=None, repr=False)  # ... day by day
 
 
 class Project:
     """A source of transactions and a warehouse folder.  ``day_aligned`` declares that every source
-    row lies in the folder of its day; ``key_index`` gives the staging table a key index."""
-
-    def __init__(self, spark: SparkSession, source: SourceFn, warehouse_root: str,
-                 key_index: bool = False, key_buckets: int | None = None, day_aligned: bool = False):
+    row lies in the folder of its day; ``key_index`` gives the staging table a key index.  With a
+    ``ledger`` the source may be None: a staging run brings the ledger up to date, reads the files that
+    its window needs, and reports the older days that have changed since the table took them."""
+
+    def __init__(self, spark: SparkSession, source: SourceFn | None, warehouse_root: str,
+                 key_index: bool = False, key_buckets: int | None = None, day_aligned: bool = False,
+                 ledger: SourceLedger | None = None):
+        if source is None and ledger is None:
+            raise ValueError("a source or a ledger is needed")
         self.spark = spark
-        self.source = source
+        self.ledger = ledger
+        self.source = source or ledger.read_window
         self.day_aligned = day_aligned
         self.warehouse = Warehouse(spark, warehouse_root, key_index=key_index, key_buckets=key_buckets)
 
@@ -127,6 +137,10 @@ class Project:
         mode = self.mode(model, full_refresh)
         if mode == "incremental" and from_date is None:
             raise ValueError(f"{name}: an incremental run needs from_date")
+        ledger = self.ledger if model.staging is None else None
+        window = from_date if mode == "incremental" else None
+        if ledger is not None:
+            ledger.refresh()
         prev = None
         if preview:
             prev = self.preview(model, mode, from_date)
@@ -147,8 +161,16 @@ class Project:
             else:
                 wh.write_full(name, frame)
                 res = WriteResult(name, wh.read(name).count())
-        return RunReport(name, mode, parse_date(from_date) if from_date else None,
-                         res.partitions_written, res.partitions_dropped, round(time.time() - t0, 3), prev, misplaced)
+        report = RunReport(name, mode, parse_date(from_date) if from_date else None,
+                           res.partitions_written, res.partitions_dropped, 0.0, prev, misplaced)
+        if ledger is not None:
+            ledger.record(name, window)
+            report.files_read = len(ledger.window_files(window))
+            report.late_days = ledger.changed_days(name)
+            late = report.late_days.filter("dropped_rows > 0").agg(F.coalesce(F.sum("dropped_rows"), F.lit(0)).alias("n"))
+            report.late_rows = late.first().n
+        report.seconds = round(time.time() - t0, 3)
+        return report
 
     def preview(self, model: Model, mode: str, from_date) -> DataFrame:
         window = from_date if mode == "incremental" else None
