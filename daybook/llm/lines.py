@@ -264,7 +264,7 @@ def _labels(classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``h1, h2, label`` of the classes that occur more than once or are linked."""
 
     def found(ids: DataFrame, facts: bool) -> DataFrame:
-        wanted = written(classes.select("id", "h1", "h2").join(ids, "id"), "wanted")
+        wanted = written(split_by(classes.select("id", "h1", "h2"), ids, "id")[0].join(ids, "id"), "wanted")
         sieve = Sieve.build(wanted.select("h1", "h2"))
         names = linking.FACTS if facts else ["items"]
         schema = f"h1 long, h2 long, {_longs(names) if facts else 'items binary'}"

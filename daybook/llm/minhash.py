@@ -95,7 +95,8 @@ def _labelled(docs: DataFrame, words: int, percent: int, takes_part: str = "true
         classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
         def found(ids: DataFrame, facts: bool) -> DataFrame:
-            wanted = written(classes.join(ids, "id").select("id", "at.file", "at.place"), "wanted")
+            wanted = split_by(classes.select("id", "at"), ids, "id")[0].join(ids, "id")
+            wanted = written(wanted.select("id", "at.file", "at.place"), "wanted")
             sieve = Sieve.build(wanted.select("file", "place"))
             names = [f"{c} long" for c in linking.FACTS] if facts else ["items array<long>"]
             some = texts.select("file", "place", "text").mapInArrow(
