@@ -17,7 +17,7 @@ at most ``SLICE`` components that are multiplied at a time.
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite component take no
 part on either side; only vectors of equal dimension are compared; fewer than ``k`` candidates: all
 of them; ties go to the smaller ``vec_id``; rows without an id are left out; rows that repeat an id
-are candidates each, but never of their own id, and as a query the smallest vector stands for them; extra columns are ignored.
+are candidates each, but never of their own id, and as a query the smallest vector that takes part stands for them; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -153,7 +153,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"),
                           is_query.alias("q")).filter("id is not null")
-    asked = rows.filter("q")
+    # What takes no part goes before one vector an id is chosen.
+    asked = rows.filter(F.col("q") & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+                        & F.exists("v", lambda x: x != 0))
     blocks = -(-asked.count() // QUERY_BLOCK)
     # A block is a hash class; one more halving than needed keeps classes below the block size.
     classes = 1 if blocks <= 1 else 2 * blocks

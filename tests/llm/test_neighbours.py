@@ -82,3 +82,14 @@ def test_registered_query(spark):
     for r in sorted(QUERIES["op6_neighbours"](spark, sf).collect(), key=lambda r: (r.query_id, r.rank)):
         got.setdefault(r.query_id, []).append((r.score, r.vec_id))
     same(got, brute(rows, lambda i: i % 100 == 0, 10))
+
+
+def test_query_id_with_usable_and_unusable_rows(spark):
+    from pyspark.sql import functions as F
+
+    from daybook.llm import neighbours
+
+    rows = [(100, [0.0, 0.0]), (100, [1.0, 2.0]), (100, [None, -5.0]), (100, [float("nan"), 1.0]), (100, None), (100, [])]
+    rows += [(i, [float(i), 2.0]) for i in range(1, 20)]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0, k=20).collect()
+    assert sorted((r.rank, r.vec_id, r.score) for r in got) == [(i, i, float(i - 1)) for i in range(1, 20)]
