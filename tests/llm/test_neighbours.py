@@ -65,15 +65,51 @@ def test_many_query_blocks(spark, monkeypatch):
     same(run(spark, rows, every=2), brute(rows, lambda i: i % 2 == 0, 4))
 
 
-def test_bounds_hold():
+@pytest.mark.parametrize("scale", [1.0, 1e160, 1e-160])
+def test_bounds_hold(scale):
     rng = np.random.default_rng(3)
-    q, x = (neighbours.Codes(rng.normal(size=(50, 70)) * 10.0 ** rng.integers(-5, 5, (50, 1))) for _ in range(2))
-    low, high = neighbours.tile_bounds(q, x)
-    exact = ((q.exact[:, None, :] - x.exact[None, :, :]) ** 2).sum(axis=2)
+    q, x = (neighbours.Codes(rng.normal(size=(50, 70)) * scale * 10.0 ** rng.integers(-5, 5, (50, 1))) for _ in range(2))
+    low, high = neighbours.distance_bounds(q, x)
+    exact = np.sqrt((((q.exact[:, None, :] - x.exact[None, :, :]) / scale) ** 2).sum(axis=2)) * scale
     assert (low <= exact).all() and (exact <= high).all()
     assert q.code.dtype == np.int8
 
 
+@pytest.mark.parametrize("scale", [2.0 ** 520, 2.0 ** -520])
+def test_vectors_whose_squares_no_double_holds(spark, scale):
+    """A power of two moves every distance by itself, bit for bit, and no neighbour."""
+    rng = np.random.default_rng(5)
+    plain = [(i, rng.normal(size=6).tolist()) for i in range(62)]
+    want = brute(plain, lambda i: i % 3 == 0, 4)
+    got = run(spark, [(i, [c * scale for c in v]) for i, v in plain])
+    same({q: [(d / scale, i) for d, i in near] for q, near in got.items()}, want)
+
+
+def test_lengths_far_apart_in_one_tile(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.normal(size=5) * 10.0 ** (-140 if i % 2 else 140)).tolist()) for i in range(60)]
+    same(run(spark, rows), brute(rows, lambda i: i % 3 == 0, 4))
+
+
+def test_many_widths_blocks_and_groups(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(neighbours, "ROW_GROUP", 40)
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=2 + i % 5).tolist()) for i in range(300)]
+    same(run(spark, rows, every=4), brute(rows, lambda i: i % 4 == 0, 4))
+
+
+def test_single_precision_column(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=12).astype(np.float32).tolist()) for i in range(90)] + [(90, [1e30] * 12), (91, None)]
+    prepare(spark)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in sorted(neighbours.search(df, F.col("vec_id") % 3 == 0, 4).collect(), key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    same(got, brute([(i, None if v is None else [float(np.float32(c)) for c in v]) for i, v in rows], lambda i: i % 3 == 0, 4))
+
+
 def test_registered_query(spark):
     from daybook.llm.registered import QUERIES
     sf = "/root/testdata/sf0.01"
