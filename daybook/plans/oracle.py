@@ -165,6 +165,7 @@ SQL["schema_append"] = with_(
 WHERE order_date NOT IN (SELECT order_date FROM batch)
 UNION ALL BY NAME
 SELECT * FROM batch"""
+SQL["stored_schema_append"] = SQL["schema_append"]
 
 _L_METRIC = with_(L_TXN, stg2(), series("s", "stg"), f"m AS ({days('s')})")
 SQL["latest_30_days"] = _L_METRIC + f"SELECT {V3_COLS} FROM m ORDER BY order_date DESC LIMIT 30"

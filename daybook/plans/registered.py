@@ -23,6 +23,7 @@ from daybook.session import scratch_path
 from daybook.sources import adapters as A
 from daybook.sources.ledger import SourceLedger
 from daybook.sources.transactions import read_transactions
+from daybook.sources.warehouse import Warehouse
 
 EF = A.EVENTS_FROM_DATE  # window start for E
 LF = A.LINES_FROM_DATE   # window start for L
@@ -199,6 +200,15 @@ def schema_append(spark, d):
     return upsert.replace_days(target, batch)
 
 
+def stored_schema_append(spark, d):
+    """The same on a stored day-partitioned table, whose day list keeps the schema."""
+    staged = staging.stage_v2(A.events_source(spark, d))
+    wh = Warehouse(spark, scratch_path(spark, "schema-wh"))
+    wh.write_full("agg", metrics.daily_revenue(staged), S.ORDER_DATE)
+    wh.replace_days("agg", metrics.daily_metrics(staged, EF), S.ORDER_DATE)
+    return wh.read("agg")
+
+
 # --- reports -------------------------------------------------------------------------------------
 
 def _lines_metric(spark, d):
@@ -556,6 +566,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_arrow_incremental": daily_arrow_incremental,
     "union_by_name": union_by_name,
     "schema_append": schema_append,
+    "stored_schema_append": stored_schema_append,
     "latest_30_days": latest_30_days,
     "head_10": head_10,
     "limit_100": limit_100,

@@ -10,13 +10,21 @@ stopped run left behind is removed by the next rebuild.
 * ``replace_days`` (``delete+insert`` on ``order_date``): only the days present in the frame are
   replaced.  The frame is checkpointed first (to the shared checkpoint folder) because it is
   usually derived from the same table (the seed row).  Metric tables hold one row per calendar day,
-  so they are kept unpartitioned (one small file instead of a folder per day) and rewritten whole;
-  a day-partitioned table gets a dynamic partition overwrite.
+  so they are kept unpartitioned (one small file instead of a folder per day) and rewritten whole.
 * ``delete_insert`` (``delete+insert`` on a non-unique key such as ``order_id``): replaces all
   rows of every touched key, rewriting only the partitions involved: the batch's days plus the days
-  where target rows with those keys live (an order can move between days).  A partition emptied by
-  the delete is removed explicitly, since a dynamic overwrite only replaces partitions that receive
-  rows.  Rows without a day are a partition like any other.
+  where target rows with those keys live (an order can move between days).  Rows without a day are a
+  partition like any other.
+
+A day-partitioned table has a *day list* as well: the folder that holds each day, and the table's
+schema.  Rows of a day lie in ``order_date=<day>/day_revision=<revision>``; a write appends folders of a
+revision of its own, which no reader looks at, then writes a new list and names it in the pointer by the
+same atomic rename.  So the days of one write change together, emptied days among them: a reader sees
+all of them as they were or as they are, also one that began before.  Replaced folders stay until the
+write after the next begins; what a stopped write left is removed by the next one (a table has one
+writer at a time).  The list's schema is that of every column any batch brought: a read takes it from
+there and opens no file footers, and a batch whose column has another type is refused before anything is
+written.  The list has a line a day, whatever the number of rows.
 
 The days that hold the batch's keys are found through the table's *key index* where it has one (a
 table property: once built it is maintained by every upsert, whatever the batch), else by joining
@@ -32,6 +40,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 import uuid
 from dataclasses import dataclass, field
 
@@ -53,21 +62,22 @@ from daybook.sources.fs import (
 )
 
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
-POINTER = "_current"
+POINTER = "_current"  # "<version>", of a day-partitioned table "<version> <revision>"
 DATA = "data-"
+DAYS = "_days-"  # _days-<revision> in the data folder: a day list
+WRITING = "_writing"  # _writing/<revision> in the data folder: the days that a write is about to replace
+REVISION = "day_revision"
 KEYS = "keys-"  # keys-<version>-b<buckets>: an index belongs to one version of its table
 INDEX_MONTH = "index_month"
 KEY_HASH = "key_hash"
 
 
-def count_partitions(spark: SparkSession, path: str, column: str) -> int:
-    """Number of ``column=value`` folders directly under ``path`` (one listing call)."""
-    return len(list_subdirs(spark, path, f"{column}="))
+def folder_value(value) -> str:
+    return NULL_DAY if value is None else value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else str(value)
 
 
 def partition_dir(table_path: str, column: str, value) -> str:
-    v = NULL_DAY if value is None else value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else str(value)
-    return f"{table_path.rstrip('/')}/{column}={v}"
+    return f"{table_path.rstrip('/')}/{column}={folder_value(value)}"
 
 
 def folder_day(value: str) -> dt.date | None:
@@ -94,6 +104,40 @@ class WriteResult:
     days: list = field(default_factory=list)  # days whose rows changed (upserts)
 
 
+@dataclass(frozen=True)
+class DayList:
+    """What a day-partitioned table consists of."""
+
+    schema: T.StructType  # every column that a batch brought
+    revisions: dict  # day, as a folder name has it -> the revision that holds its rows
+    replaced: list  # (day, revision) of the list before that this one has no more
+
+    def text(self) -> str:
+        return json.dumps({"schema": self.schema.jsonValue(), "revisions": self.revisions, "replaced": self.replaced})
+
+    @classmethod
+    def parse(cls, text: str) -> DayList:
+        d = json.loads(text)
+        return cls(T.StructType.fromJson(d["schema"]), d["revisions"], d["replaced"])
+
+    def with_columns_of(self, name: str, batch: T.StructType) -> T.StructType:
+        """The schema with the batch's new columns after it; a column of another type is refused."""
+        for f in batch:
+            if f.name in self.schema.names and f.dataType.simpleString() != (old := self.schema[f.name].dataType.simpleString()):
+                raise TypeError(f"{name}: column {f.name} is {old} in the table, {f.dataType.simpleString()} in the batch")
+        return T.StructType(self.schema.fields + [f for f in batch if f.name not in self.schema.names])
+
+
+@dataclass(frozen=True)
+class Stored:
+    """One state of a table, from one look at its pointer."""
+
+    version: str
+    root: str  # data folder
+    revision: str | None  # None: not partitioned
+    days: DayList | None
+
+
 class Warehouse:
     """A folder of tables, one sub-folder each."""
 
@@ -114,23 +158,38 @@ class Warehouse:
 
     def version(self, name: str) -> str | None:
         """The current version, or None if the table does not exist."""
-        return read_small(self.spark, f"{self.folder(name)}/{POINTER}")
+        pointer = read_small(self.spark, f"{self.folder(name)}/{POINTER}")
+        return None if pointer is None else pointer.split()[0]
+
+    def stored(self, name: str) -> Stored:
+        pointer = read_small(self.spark, f"{self.folder(name)}/{POINTER}")
+        if pointer is None:
+            raise FileNotFoundError(f"no table {name} in {self.root}")
+        version, _, revision = pointer.partition(" ")
+        root = f"{self.folder(name)}/{DATA}{version}"
+        if not revision:
+            return Stored(version, root, None, None)
+        return Stored(version, root, revision, DayList.parse(read_small(self.spark, f"{root}/{DAYS}{revision}")))
 
     def path(self, name: str) -> str:
         """Data folder of the current version."""
-        current = self.version(name)
-        if current is None:
-            raise FileNotFoundError(f"no table {name} in {self.root}")
-        return f"{self.folder(name)}/{DATA}{current}"
+        return self.stored(name).root
+
+    def days(self, name: str) -> list:
+        """The days of a day-partitioned table; None for rows without one."""
+        return [folder_day(v) for v in sorted(self.stored(name).days.revisions)]
 
     def exists(self, name: str) -> bool:
         """Table existence (``information_schema`` lookup in the reference)."""
         return self.version(name) is not None
 
-    def _switch(self, name: str, version: str) -> None:
-        replace_small(self.spark, f"{self.folder(name)}/{POINTER}", version)
+    def _switch(self, name: str, version: str, revision: str | None = None) -> None:
+        self._point(name, version, revision)
         self._sweep(name, version)
 
+    def _point(self, name: str, version: str, revision: str | None) -> None:
+        replace_small(self.spark, f"{self.folder(name)}/{POINTER}", version if revision is None else f"{version} {revision}")
+
     def _sweep(self, name: str, current: str) -> None:
         """Remove what belongs to other versions: the replaced one, and what stopped runs left."""
         for entry, full in list_subdirs(self.spark, self.folder(name)):
@@ -141,38 +200,37 @@ class Warehouse:
 
     # -- reads ------------------------------------------------------------------------------------
 
-    def day_folders(self, name: str, keep) -> list[str]:
-        """``order_date=`` folders of ``name`` whose day satisfies ``keep`` (one listing of the
-        table's top level); the day is None for rows without one."""
-        prefix = f"{self.partition_col}="
-        return [full for entry, full in list_subdirs(self.spark, self.path(name), prefix)
-                if keep(folder_day(entry[len(prefix):]))]
-
-    def read_folders(self, name: str, folders: list[str], merge_schema: bool = False) -> DataFrame:
-        """Read the given day folders of ``name`` only (the file index lists nothing else)."""
-        df = (self.spark.read.option("mergeSchema", str(merge_schema).lower())
-              .option("basePath", self.path(name)).parquet(*folders))
-        if self.partition_col in df.columns and not isinstance(df.schema[self.partition_col].dataType, T.DateType):
-            df = df.withColumn(self.partition_col, F.col(self.partition_col).cast("date"))
-        return df
+    def day_folders(self, stored: Stored, keep) -> list[tuple]:
+        """(day, folder) of the days that satisfy ``keep``, from the day list; the day is None for rows
+        without one."""
+        found = ((folder_day(v), f"{stored.root}/{self.partition_col}={v}/{REVISION}={r}")
+                 for v, r in sorted(stored.days.revisions.items()))
+        return [(d, f) for d, f in found if keep(d)]
+
+    def read_folders(self, stored: Stored, folders: list[tuple]) -> DataFrame:
+        """Read the given day folders only (the file index lists nothing else), with the table's schema;
+        without any, a typed empty frame."""
+        if not folders:
+            return self.spark.createDataFrame([], stored.days.schema)
+        return (self.spark.read.schema(stored.days.schema).option("basePath", stored.root)
+                .parquet(*[f for _, f in folders]).select(*[F.col(f"`{c}`") for c in stored.days.schema.names]))
 
     def read(self, name: str, merge_schema: bool = False, from_date=None, days=None) -> DataFrame:
-        """Scan a stored table.  ``merge_schema`` reads all footers (a distributed job) to see
-        columns added by later writes: needed for day-partitioned tables that received a batch with
-        a new column by dynamic overwrite; tables rewritten whole have one schema.  With
-        ``from_date`` or ``days`` on a day-partitioned table, only those day folders are handed to
-        the file index, so files of other days are never listed (partition pruning alone would
-        still list the whole table when the DataFrame is created)."""
-        paths = [self.path(name)]
-        wanted = None
+        """Scan a stored table.  A day-partitioned one has its folders and its schema from the day list;
+        with ``from_date`` or ``days`` only those day folders are handed to the file index, so files of
+        other days are never listed.  ``merge_schema`` reads all footers of a table without a day list
+        (a distributed job); tables written by this class have one schema and don't need it."""
+        stored = self.stored(name)
+        keep = lambda d: True
         if from_date is not None:
             first = parse_date(from_date)
-            wanted = lambda d: d is not None and d >= first
+            keep = lambda d: d is not None and d >= first
         elif days is not None:
-            wanted = set(days).__contains__
-        if wanted is not None:
-            paths = self.day_folders(name, wanted) or paths
-        df = self.read_folders(name, paths, merge_schema)
+            keep = set(days).__contains__
+        if stored.days is not None:
+            df = self.read_folders(stored, self.day_folders(stored, keep))
+        else:
+            df = self.spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(stored.root)
         if from_date is not None:
             df = df.filter(F.col(self.partition_col) >= F.lit(first))
         elif days is not None:
@@ -262,12 +320,12 @@ class Warehouse:
         """Rebuild the index of the days' months exactly from the stored rows (reads the table,
         never the index, which cannot be overwritten while read)."""
         months = {month_of(d) for d in days}
-        folders = self.day_folders(name, lambda d: month_of(d) in months)
+        stored = self.stored(name)
+        folders = self.day_folders(stored, lambda d: month_of(d) in months)
         if folders:
-            stored = self.read_folders(name, folders)
-            (self._index_pairs(stored, key, n).write.mode("overwrite")
+            (self._index_pairs(self.read_folders(stored, folders), key, n).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").insertInto(tbl))
-        present = {month_of(folder_day(f.rstrip("/").rsplit("=", 1)[1])) for f in folders}
+        present = {month_of(d) for d, _ in folders}
         path, _ = self._index_dir(name)
         for m in months - present:  # no stored day left in that month: its index must go too
             value = "NULL" if m is None else f"DATE'{m.isoformat()}'"
@@ -277,24 +335,73 @@ class Warehouse:
 
     # -- writes -----------------------------------------------------------------------------------
 
-    @staticmethod
-    def _writer(df: DataFrame, partition_col: str | None, rebalance: bool):
-        if partition_col is None:
-            return df.hint("rebalance").write  # AQE sizes the output files
-        if rebalance:
-            df = df.hint("rebalance", partition_col)
-        return df.write.partitionBy(partition_col)
+    def _write_days(self, root: str, rows: DataFrame, revision: str, rebalance: bool) -> None:
+        """Append the rows as day folders of a revision of their own."""
+        if rebalance:  # AQE sizes the output files
+            rows = rows.hint("rebalance", self.partition_col)
+        (rows.withColumn(REVISION, F.lit(revision)).write.partitionBy(self.partition_col, REVISION)
+         .mode("append").parquet(root))
 
     def write_full(self, name: str, df: DataFrame, partition_col: str | None = None,
                    rebalance: bool = True) -> WriteResult:
         """Write a new version, then switch to it.  ``rebalance=False`` skips the shuffle when the
         input is already laid out by day (a scan of a day-partitioned source): each task then
         writes the few days it holds."""
+        self._known_column(partition_col)
         version = uuid.uuid4().hex[:12]
         data = f"{self.folder(name)}/{DATA}{version}"
-        self._writer(df, partition_col, rebalance).mode("errorifexists").parquet(data)
-        self._switch(name, version)
-        return WriteResult(name, count_partitions(self.spark, data, partition_col) if partition_col else -1)
+        if partition_col is None:
+            df.hint("rebalance").write.mode("errorifexists").parquet(data)
+            self._switch(name, version)
+            return WriteResult(name, -1)
+        revision = self._new_revision()
+        self._write_days(data, df, revision, rebalance)
+        prefix = f"{partition_col}="
+        held = {entry[len(prefix):]: revision for entry, _ in list_subdirs(self.spark, data, prefix)}
+        replace_small(self.spark, f"{data}/{DAYS}{revision}", DayList(df.schema, held, []).text())
+        self._switch(name, version, revision)
+        return WriteResult(name, len(held))
+
+    def _known_column(self, partition_col: str | None) -> None:
+        if partition_col not in (None, self.partition_col):
+            raise ValueError(f"tables of this warehouse are partitioned by {self.partition_col}, not {partition_col}")
+
+    @staticmethod
+    def _new_revision() -> str:
+        return f"r{uuid.uuid4().hex[:12]}"
+
+    def _clear(self, stored: Stored) -> None:
+        """Remove what the current day list doesn't name: what the last write replaced, and what stopped
+        writes left.  Harmless if repeated."""
+        def day_folder(value: str, revision: str) -> str:
+            day = f"{stored.root}/{self.partition_col}={value}"
+            return f"{day}/{REVISION}={revision}" if value in stored.days.revisions else day
+        for value, revision in stored.days.replaced:
+            delete_path(self.spark, day_folder(value, revision))
+        current = {stored.revision, *stored.days.revisions.values()}
+        for revision, mark in list_subdirs(self.spark, f"{stored.root}/{WRITING}"):
+            if revision not in current:
+                for value in json.loads(read_small(self.spark, mark)):
+                    delete_path(self.spark, day_folder(value, revision))
+                delete_path(self.spark, f"{stored.root}/{DAYS}{revision}")
+            delete_path(self.spark, mark)
+
+    def _replace(self, name: str, stored: Stored, rows: DataFrame, touched: list, schema: T.StructType) -> tuple[int, int]:
+        """The touched days become ``rows``, all at once; (days written, days emptied)."""
+        self._clear(stored)
+        revision, before = self._new_revision(), stored.days.revisions
+        values = [folder_value(d) for d in touched]
+        mark = f"{stored.root}/{WRITING}/{revision}"
+        replace_small(self.spark, mark, json.dumps(values))
+        self._write_days(stored.root, rows, revision, rebalance=True)
+        written = {v: revision for v in values
+                   if path_exists(self.spark, f"{stored.root}/{self.partition_col}={v}/{REVISION}={revision}")}
+        replaced = {v: before[v] for v in values if v in before}
+        after = DayList(schema, {**{v: r for v, r in before.items() if v not in replaced}, **written}, list(replaced.items()))
+        replace_small(self.spark, f"{stored.root}/{DAYS}{revision}", after.text())
+        self._point(name, stored.version, revision)
+        delete_path(self.spark, mark)
+        return len(written), len(replaced.keys() - written.keys())
 
     def replace_days(self, name: str, days: DataFrame, partition_col: str | None = None) -> WriteResult:
         """delete+insert by ``order_date``: the days present in ``days`` are replaced, all others kept.
@@ -302,8 +409,8 @@ class Warehouse:
         ``days`` is checkpointed first: it is small (one row per day) and usually derived from this
         very table (the seed row), so the write then reads stable files and a lost executor
         recomputes from the checkpoint.  An unpartitioned table (the metric tables: one row per
-        calendar day) becomes a new version; a day-partitioned table gets a dynamic partition
-        overwrite."""
+        calendar day) becomes a new version; a day-partitioned table gets a new day list."""
+        self._known_column(partition_col)
         checkpoint_root(self.spark)
         stable = days.checkpoint(eager=True)
         n_days = stable.count()  # one row per day
@@ -316,8 +423,10 @@ class Warehouse:
             merged = replace_days(self.read(name), stable)  # rewritten whole: one schema
             self.write_full(name, merged)
             return WriteResult(name, n_days)
-        (self._writer(stable, partition_col, True).mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").parquet(self.path(name)))
+        stored = self.stored(name)
+        schema = stored.days.with_columns_of(name, stable.schema)
+        days = [r[0] for r in stable.select(partition_col).distinct().collect()]  # one row per day
+        self._replace(name, stored, stable, days, schema)
         return WriteResult(name, n_days)
 
     def delete_insert(self, name: str, batch: DataFrame, key: str, partition_col: str = S.ORDER_DATE) -> WriteResult:
@@ -328,11 +437,13 @@ class Warehouse:
            key index, shuffling only the batch's keys, or by a join on a 64-bit hash of the stored
            keys.  Both give a superset of the true days; a collision rewrites a day unchanged.
         3. Rewrite the touched days: target rows whose (real) key is not in the batch, plus the
-           batch; days left empty by the delete are removed.  Rows without a key never match and
-           bypass the join.
+           batch; days left empty by the delete leave the day list.  Rows without a key never match
+           and bypass the join.
         """
+        self._known_column(partition_col)
         if not self.exists(name):
             return self.write_full(name, batch, partition_col)
+        self.stored(name).days.with_columns_of(name, batch.schema)
         held = f"{self.root}/__batch__{uuid.uuid4().hex[:12]}"
         try:
             batch.write.parquet(f"{held}/rows")
@@ -364,24 +475,14 @@ class Warehouse:
             # Record the batch's pairs first: should the run stop after this, the index is a
             # superset of the stored pairs, which is safe.
             self._index_pairs(batch, key, n).write.mode("append").insertInto(tbl)
-        # Only the touched days' folders are listed and read.  Earlier batches may have added
-        # columns to some days only: merge their footers' schemas, or rewritten rows could lose an
-        # added column.
-        folders = self.day_folders(name, set(touched).__contains__)
-        still_there = set()
-        out = batch
-        if folders:
-            target = self.read_folders(name, folders, merge_schema=True)
-            kept = (target.filter(F.col(key).isNotNull()).join(keys, key, "left_anti")
-                    .unionByName(target.filter(F.col(key).isNull())))
-            if hit_days:  # days outside the batch that lose rows may be emptied
-                still_there = {r[0] for r in kept.filter(in_days(F.col(pc), hit_days)).select(pc).distinct().collect()}
-            out = kept.unionByName(batch, allowMissingColumns=True).select(*merged_columns(target, batch))
-        (self._writer(out, pc, True).mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").parquet(self.path(name)))
-        emptied = hit_days - still_there
-        for d in emptied:
-            delete_path(self.spark, partition_dir(self.path(name), pc, d))
+        # Only the touched days' folders are listed and read.
+        stored = self.stored(name)
+        schema = stored.days.with_columns_of(name, batch.schema)
+        target = self.read_folders(stored, self.day_folders(stored, set(touched).__contains__))
+        kept = (target.filter(F.col(key).isNotNull()).join(keys, key, "left_anti")
+                .unionByName(target.filter(F.col(key).isNull())))
+        out = kept.unionByName(batch, allowMissingColumns=True).select(*merged_columns(target, batch))
+        written, emptied = self._replace(name, stored, out, touched, schema)
         if indexed:
             self._refresh_index_months(name, key, tbl, n, touched)
-        return WriteResult(name, len(touched) - len(emptied), len(emptied), touched)
+        return WriteResult(name, written, emptied, touched)

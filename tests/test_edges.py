@@ -54,6 +54,9 @@ def test_moved_order_empties_old_partition(spark, tmp_path, key_index):
     wh.write_full("stg", frame(spark, [line("o1", 1, D1), line("o1", 2, D1), line("o2", 1, D2)]), S.ORDER_DATE)
     res = wh.delete_insert("stg", frame(spark, [line("o1", 1, D3), line("o1", 2, D3)]), S.ORDER_ID)
     assert res.partitions_dropped == 1
+    assert wh.days("stg") == [D2, D3]
+    assert keyset(wh.read("stg")) == [("o1", 1, 10.0, D3), ("o1", 2, 10.0, D3), ("o2", 1, 10.0, D2)]
+    wh.delete_insert("stg", frame(spark, [line("o2", 1, D2)]), S.ORDER_ID)  # its folder goes with the next write
     assert not os.path.exists(os.path.join(wh.path("stg"), f"order_date={D1.isoformat()}"))
     assert keyset(wh.read("stg")) == [("o1", 1, 10.0, D3), ("o1", 2, 10.0, D3), ("o2", 1, 10.0, D2)]
 
