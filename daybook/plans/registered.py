@@ -21,6 +21,7 @@ from daybook.operators import arrow, export, metrics, quality, reports, staging,
 from daybook.plans.runs import MODELS, Project, not_null_checks
 from daybook.session import scratch_path
 from daybook.sources import adapters as A
+from daybook.sources.distinct_state import DistinctState
 from daybook.sources.ledger import SourceLedger
 from daybook.sources.transactions import read_transactions
 from daybook.sources.warehouse import Warehouse
@@ -388,6 +389,16 @@ def late_row_ledger(spark, d):
     return project.run_model("stg_orders_v2", from_date=EF).late_days
 
 
+def daily_distinct_state(spark, d):
+    """L in three batches by product, so that an order's lines and a buyer's orders are spread over all of
+    them: the metric from the merged state, order lines read once."""
+    staged = staging.stage_v2(A.lines_source(spark, d))
+    state = DistinctState(spark, scratch_path(spark, "state-wh"))
+    for batch in range(3):
+        state.update(f"load-{batch}", staged.filter(F.col(S.PRODUCT_ID) % 3 == batch))
+    return metrics.running_total(state.daily_metrics())
+
+
 def exported_footprint(spark, d):
     """Per partition of the written export: its rows, and that it has files and bytes."""
     path = _exported_events(spark, d)
@@ -596,6 +607,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unaligned_partition_scan": unaligned_partition_scan,
     "zone_mapped_scan": zone_mapped_scan,
     "late_row_ledger": late_row_ledger,
+    "daily_distinct_state": daily_distinct_state,
     "stored_full_refresh_v3": stored_full_refresh_v3,
     "stored_run_v1": stored_run_v1,
     "stored_upsert_lines_direct": stored_upsert_lines_direct,

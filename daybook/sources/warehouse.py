@@ -17,8 +17,8 @@ stopped run left behind is removed by the next rebuild.
   partition like any other.
 
 A day-partitioned table has a *day list* as well: the folder that holds each day, and the table's
-schema.  Rows of a day lie in ``order_date=<day>/day_revision=<revision>``; a write appends folders of a
-revision of its own, which no reader looks at, then writes a new list and names it in the pointer by the
+schema.  Rows of a day lie in ``order_date=<day>/day_revision=<revision>``, one revision or, where rows were
+only added (``append_days``), several; a write appends folders of a revision of its own, which no reader looks at, then writes a new list and names it in the pointer by the
 same atomic rename.  So the days of one write change together, emptied days among them: a reader sees
 all of them as they were or as they are, also one that began before.  Replaced folders stay until the
 write after the next begins; what a stopped write left is removed by the next one (a table has one
@@ -109,7 +109,7 @@ class DayList:
     """What a day-partitioned table consists of."""
 
     schema: T.StructType  # every column that a batch brought
-    revisions: dict  # day, as a folder name has it -> the revision that holds its rows
+    revisions: dict  # day, as a folder name has it -> the revisions that hold its rows
     replaced: list  # (day, revision) of the list before that this one has no more
 
     def text(self) -> str:
@@ -204,7 +204,7 @@ class Warehouse:
         """(day, folder) of the days that satisfy ``keep``, from the day list; the day is None for rows
         without one."""
         found = ((folder_day(v), f"{stored.root}/{self.partition_col}={v}/{REVISION}={r}")
-                 for v, r in sorted(stored.days.revisions.items()))
+                 for v, held in sorted(stored.days.revisions.items()) for r in held)
         return [(d, f) for d, f in found if keep(d)]
 
     def read_folders(self, stored: Stored, folders: list[tuple]) -> DataFrame:
@@ -335,15 +335,18 @@ class Warehouse:
 
     # -- writes -----------------------------------------------------------------------------------
 
-    def _write_days(self, root: str, rows: DataFrame, revision: str, rebalance: bool) -> None:
+    def _write_days(self, root: str, rows: DataFrame, revision: str, rebalance: bool, sort_by: tuple = ()) -> None:
         """Append the rows as day folders of a revision of their own."""
         if rebalance:  # AQE sizes the output files
             rows = rows.hint("rebalance", self.partition_col)
-        (rows.withColumn(REVISION, F.lit(revision)).write.partitionBy(self.partition_col, REVISION)
+        rows = rows.withColumn(REVISION, F.lit(revision))
+        if sort_by:
+            rows = rows.sortWithinPartitions(self.partition_col, REVISION, *sort_by)
+        (rows.write.partitionBy(self.partition_col, REVISION)
          .mode("append").parquet(root))
 
     def write_full(self, name: str, df: DataFrame, partition_col: str | None = None,
-                   rebalance: bool = True) -> WriteResult:
+                   rebalance: bool = True, sort_by: tuple = ()) -> WriteResult:
         """Write a new version, then switch to it.  ``rebalance=False`` skips the shuffle when the
         input is already laid out by day (a scan of a day-partitioned source): each task then
         writes the few days it holds."""
@@ -355,9 +358,9 @@ class Warehouse:
             self._switch(name, version)
             return WriteResult(name, -1)
         revision = self._new_revision()
-        self._write_days(data, df, revision, rebalance)
+        self._write_days(data, df, revision, rebalance, sort_by)
         prefix = f"{partition_col}="
-        held = {entry[len(prefix):]: revision for entry, _ in list_subdirs(self.spark, data, prefix)}
+        held = {entry[len(prefix):]: [revision] for entry, _ in list_subdirs(self.spark, data, prefix)}
         replace_small(self.spark, f"{data}/{DAYS}{revision}", DayList(df.schema, held, []).text())
         self._switch(name, version, revision)
         return WriteResult(name, len(held))
@@ -378,7 +381,7 @@ class Warehouse:
             return f"{day}/{REVISION}={revision}" if value in stored.days.revisions else day
         for value, revision in stored.days.replaced:
             delete_path(self.spark, day_folder(value, revision))
-        current = {stored.revision, *stored.days.revisions.values()}
+        current = {stored.revision}.union(*stored.days.revisions.values())
         for revision, mark in list_subdirs(self.spark, f"{stored.root}/{WRITING}"):
             if revision not in current:
                 for value in json.loads(read_small(self.spark, mark)):
@@ -386,23 +389,40 @@ class Warehouse:
                 delete_path(self.spark, f"{stored.root}/{DAYS}{revision}")
             delete_path(self.spark, mark)
 
-    def _replace(self, name: str, stored: Stored, rows: DataFrame, touched: list, schema: T.StructType) -> tuple[int, int]:
-        """The touched days become ``rows``, all at once; (days written, days emptied)."""
+    def _replace(self, name: str, stored: Stored, rows: DataFrame, touched: list, schema: T.StructType,
+                 added: frozenset = frozenset(), sort_by: tuple = ()) -> tuple[int, int]:
+        """The touched days become ``rows``, all at once; those ``added`` to keep what they hold.  (days
+        written, days emptied)"""
         self._clear(stored)
         revision, before = self._new_revision(), stored.days.revisions
         values = [folder_value(d) for d in touched]
+        kept = {folder_value(d) for d in added}
         mark = f"{stored.root}/{WRITING}/{revision}"
         replace_small(self.spark, mark, json.dumps(values))
-        self._write_days(stored.root, rows, revision, rebalance=True)
-        written = {v: revision for v in values
+        self._write_days(stored.root, rows, revision, rebalance=True, sort_by=sort_by)
+        written = {v: (before.get(v, []) if v in kept else []) + [revision] for v in values
                    if path_exists(self.spark, f"{stored.root}/{self.partition_col}={v}/{REVISION}={revision}")}
-        replaced = {v: before[v] for v in values if v in before}
-        after = DayList(schema, {**{v: r for v, r in before.items() if v not in replaced}, **written}, list(replaced.items()))
+        replaced = {v: before[v] for v in values if v in before and v not in kept}
+        after = DayList(schema, {**{v: r for v, r in before.items() if v not in replaced}, **written},
+                        [(v, r) for v, held in replaced.items() for r in held])
         replace_small(self.spark, f"{stored.root}/{DAYS}{revision}", after.text())
         self._point(name, stored.version, revision)
         delete_path(self.spark, mark)
         return len(written), len(replaced.keys() - written.keys())
 
+    def append_days(self, name: str, rows: DataFrame, days: list, sort_by: tuple = (), most: int = 16) -> WriteResult:
+        """Add rows to ``days`` (every day of ``rows``) without rewriting what they hold; a day that has
+        ``most`` revisions is made one again.  Files are sorted by ``sort_by`` within a day."""
+        if not self.exists(name):
+            return self.write_full(name, rows, self.partition_col, sort_by=sort_by)
+        stored = self.stored(name)
+        schema = stored.days.with_columns_of(name, rows.schema)
+        full = {d for d in days if len(stored.days.revisions.get(folder_value(d), ())) >= most}
+        if full:
+            rows = self.read_folders(stored, self.day_folders(stored, full.__contains__)).unionByName(rows, allowMissingColumns=True)
+        written, _ = self._replace(name, stored, rows, days, schema, frozenset(days) - full, sort_by)
+        return WriteResult(name, written, 0, days)
+
     def replace_days(self, name: str, days: DataFrame, partition_col: str | None = None) -> WriteResult:
         """delete+insert by ``order_date``: the days present in ``days`` are replaced, all others kept.
 
