@@ -320,4 +320,4 @@ SELECT b.* FROM before b LEFT JOIN orders_in o USING (order_id) WHERE o.order_id
 SQL["stored_upsert_lines_index"] = SQL["stored_upsert_lines_direct"]
 
 # However the rows were batched, the metric is that of all of them.
-SQL["daily_distinct_state"] = SQL["daily_running_full"]
+SQL["daily_distinct_state"] = SQL["daily_running_full_events"]
