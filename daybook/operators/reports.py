@@ -3,7 +3,8 @@
 Statistics that are not exact in floating point (means, medians, percentiles, deviations) are
 rounded to 6 decimals so that results compare across engines.  Percentiles are the exact,
 interpolated ``percentile`` (not ``approx_percentile`` and not ``DataFrame.summary()``, whose
-percentiles are approximate); they run over the metric table, one row per day.
+percentiles are approximate); they run over the metric table, one row per day.  ``line_statistics``
+describes order lines, whose percentiles are found by counting (``operators.selection``).
 """
 
 from __future__ import annotations
@@ -13,8 +14,10 @@ from pyspark.sql import functions as F
 
 from daybook import schemas as S
 from daybook.functions.money import from_parts, from_units, money_sum, round_stat, unit_parts, wide_units
+from daybook.operators.selection import QUARTILES, exact_percentiles, measure_values
 
 MEASURES = (S.DAILY_REVENUE, S.DAILY_ORDERS, S.DAILY_BUYERS)
+LINE_MEASURES = (S.QUANTITY, S.UNIT_PRICE, S.REVENUE)
 
 
 def metric_overview(metric: DataFrame) -> DataFrame:
@@ -58,6 +61,24 @@ def metric_describe(metric: DataFrame, measures=MEASURES) -> DataFrame:
     )
 
 
+def line_statistics(staged: DataFrame, measures=LINE_MEASURES) -> DataFrame:
+    """``metric_describe`` for order lines, of any number: one row per measure, as many scans as the
+    slowest percentile takes rounds (seven at most), no task with more than counts."""
+    values = staged.select(*measure_values(measures))
+    aggs = []
+    for i, m in enumerate(measures):
+        aggs += [F.count(m).alias(f"n_{i}"), F.min(m).alias(f"low_{i}"), F.max(m).alias(f"high_{i}"),
+                 round_stat(money_sum(m) / F.count(m)).alias(f"mean_{i}"), round_stat(F.stddev_samp(m)).alias(f"std_{i}")]
+    row = values.agg(*aggs).first()
+    extents = {m: (row[f"n_{i}"], row[f"low_{i}"], row[f"high_{i}"]) for i, m in enumerate(measures)}
+    percentiles = exact_percentiles(staged, measures, QUARTILES, extents)
+    described = [(m, row[f"n_{i}"], row[f"mean_{i}"], row[f"std_{i}"], row[f"low_{i}"], *percentiles[m], row[f"high_{i}"])
+                 for i, m in enumerate(measures)]
+    shape = "measure string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
+    return staged.sparkSession.createDataFrame(described, shape).withColumns(
+        {p: round_stat(p) for p in ("p25", "p50", "p75")})
+
+
 def dataset_profile(staged: DataFrame) -> DataFrame:
     """Row count, distinct orders / buyers / products and total revenue of the line items."""
     return staged.agg(

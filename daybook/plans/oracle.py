@@ -190,6 +190,16 @@ SELECT measure, COUNT(value) AS count, ROUND(AVG(value), 6) AS mean, ROUND(STDDE
        ROUND(QUANTILE_CONT(value, 0.75), 6) AS p75, MAX(value) AS max
 FROM longf GROUP BY measure"""
 
+SQL["line_statistics"] = with_(L_TXN, """longf AS (
+    SELECT 'quantity' AS measure, CAST(quantity AS DOUBLE) AS value FROM txn
+    UNION ALL SELECT 'unit_price', unit_price FROM txn
+    UNION ALL SELECT 'revenue', revenue FROM txn)""") + """
+SELECT measure, COUNT(value) AS count, ROUND(CAST(SUM(CAST(value AS DECIMAL(38,10))) AS DOUBLE) / COUNT(value), 6) AS mean,
+       ROUND(STDDEV_SAMP(value), 6) AS std,
+       MIN(value) AS min, ROUND(QUANTILE_CONT(value, 0.25), 6) AS p25, ROUND(QUANTILE_CONT(value, 0.5), 6) AS p50,
+       ROUND(QUANTILE_CONT(value, 0.75), 6) AS p75, MAX(value) AS max
+FROM longf GROUP BY measure"""
+
 SQL["dataset_profile"] = with_(L_TXN, stg1()) + f"""SELECT COUNT(*) AS total_rows,
     COUNT(DISTINCT order_id) AS total_orders, COUNT(DISTINCT buyer_id) AS total_buyers,
     COUNT(DISTINCT product_id) AS total_products, {MONEY.format(c='revenue')} AS total_revenue FROM stg"""

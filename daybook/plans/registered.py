@@ -248,6 +248,11 @@ def metric_describe(spark, d):
     return reports.metric_describe(_lines_metric(spark, d))
 
 
+def line_statistics(spark, d):
+    """Count, mean, deviation, extremes and exact quartiles of every line of L."""
+    return reports.line_statistics(staging.stage_v1(A.lines_source(spark, d)))
+
+
 def dataset_profile(spark, d):
     return reports.dataset_profile(staging.stage_v1(A.lines_source(spark, d)))
 
@@ -585,6 +590,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_overview": metric_overview,
     "metric_statistics": metric_statistics,
     "metric_describe": metric_describe,
+    "line_statistics": line_statistics,
     "dataset_profile": dataset_profile,
     "avg_order_value": avg_order_value,
     "rows_per_day": rows_per_day,
