@@ -65,7 +65,7 @@ def _prior(parent: str) -> str:
 
 _URLS = rf"""
 WITH parts AS (
-  SELECT page_id,
+  SELECT page_id, regexp_replace(html, '(?is)<script.*?(</script>|\z)|<style.*?(</style>|\z)|<!--.*?(-->|\z)|<[^<>]*>', ' ', 'g') AS body,
          translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
@@ -78,22 +78,29 @@ ruled AS (
       WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/fr/') THEN 'net/fr/'
       WHEN (host = 'com' OR suffix(host, '.com')) AND prefix(path, '/') THEN 'com/' END AS rule
   FROM parts),
-marked AS (SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 0 WHEN rule IS NOT NULL THEN 1 END AS bad FROM ruled),
+counts AS (
+  SELECT *, len(regexp_extract_all(body, '[^ \t-\r]+')) AS words, len(regexp_extract_all(body, '[#$%*|]+')) AS symbols FROM ruled),
+marked AS (SELECT *, CASE WHEN words > 0 THEN CAST(symbols / words > 0.1 AS INTEGER) END AS bad FROM counts),
 hosts AS (
   SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS k,
-         regexp_extract(host, '([^.]*[.])?[^.]*$', 0) AS domain, regexp_extract(host, '[^.]*$', 0) AS suffix
-  FROM marked GROUP BY host),
+         regexp_extract(host, '([^.]*[.])?' || suffix || '$', 0) AS domain, suffix
+  FROM (SELECT *, regexp_extract(host, '((co|org|ac|gov)[.]uk|com[.](au|br)|co[.](jp|nz|in)|[^.]*)$', 0) AS suffix FROM
+        (SELECT host, bad FROM marked)) GROUP BY host, suffix),
 corpus AS (SELECT sum(n) AS n, sum(k) AS k, 0.5 AS prior, 2.0 AS strength FROM hosts),
 s0 AS (SELECT c.*, {_prior('p')} FROM (SELECT suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY suffix) c, corpus p),
-{_level('s0', 's1')},
+{_level('s0', 's1_seen')},
+s1 AS (SELECT * REPLACE (CASE WHEN n > 0 THEN strength ELSE least(strength, 2.0) END AS strength) FROM s1_seen),
 d0 AS (SELECT c.*, {_prior('p')} FROM (SELECT suffix, domain, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL) c JOIN s1 p USING (suffix)),
 {_level('d0', 'd1')},
 h0 AS (SELECT c.*, {_prior('p')} FROM hosts c JOIN d1 p USING (suffix, domain)),
 {_level('h0', 'h1')},
 post AS (SELECT host, (k + prior * strength) / (n + strength) AS m, n + strength AS w FROM h1),
-bound AS (SELECT host, round(m, 9) AS bad_rate, round(m - 2.326 * sqrt(m * (1 - m) / (w + 1)), 9) AS bad_lower FROM post)
+bound AS (SELECT host, round(m, 9) AS bad_rate,
+                 round((2 * w * m + z2 - sqrt(z2) * sqrt(z2 + 4 * w * m * (1 - m))) / (2 * (w + z2)), 9) AS bad_lower
+          FROM post, (SELECT 2.326::DOUBLE ** 2 AS z2))
 SELECT page_id, host, path, rule,
-       CASE WHEN bad = 0 THEN 'allow' WHEN bad = 1 THEN 'block' WHEN bad_lower > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN bad_lower > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
        bad_rate, bad_lower
 FROM marked JOIN bound USING (host)
 """

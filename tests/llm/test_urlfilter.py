@@ -20,8 +20,9 @@ def brute(url):
     return host, path, best
 
 
-def judged(spark, urls, **kw):
-    df = spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)], "page_id long, url string, host int")
+def judged(spark, urls, html=None, **kw):
+    df = spark.createDataFrame([(i, u, 1, html and html[i]) for i, u in enumerate(urls)],
+                               "page_id long, url string, host int, html string")
     return sorted(urlfilter.judge(df, URL_RULES, **kw).collect(), key=lambda r: r.page_id)
 
 
@@ -59,6 +60,57 @@ def test_little_evidence_does_not_block(spark):
     assert [r.verdict for r in judged(spark, ["http://one.org/a", "http://one.org/b"], labels=labels)] == ["allow", "allow"]
 
 
+JUNK = "<html><script>var a = '###';</script><body>De%%% xu*** ouier### de la $$$ maison</body></html>"
+FINE = "<html><body><p>One of the 50% words of a plain and quite ordinary page that goes on a while</p></body></html>"
+
+
+@pytest.mark.parametrize("html,bad", [
+    (JUNK, 1), (FINE, 0), (None, None), ("", None), ("<p></p>", None), ("word", 0), ("#", 1),
+    ("<script>### ### ###</script>a", 0), ("<script>### never closed", None), ("<style>*{}</style><!-- | | | -->b", 0),
+    ("<!-- ### never closed", None), ("a < b and <<p>c", 0), ("a " * 9 + "%", 0), ("a " * 8 + "%", 1)])
+def test_outcome_of_a_page(spark, html, bad):
+    from pyspark.sql import functions as F
+    assert spark.createDataFrame([(html,)], "html string").select(urlfilter.outcome_of(F.col("html"))).first()[0] == bad
+
+
+def test_outcomes_come_from_pages_with_and_without_rules(spark):
+    """Ruled pages count by their own text, not by their rule; so may a page under a blocked path be good."""
+    hosts = ["good.net"] * 40 + ["junk.net"] * 40 + ["junk.org"] * 40
+    html = [FINE] * 40 + [JUNK] * 80
+    paths = ["es", "fr"] * 20 + ["de"] * 40 + ["en"] * 40
+    urls = [f"http://{h}/{p}/{i}" for i, (h, p) in enumerate(zip(hosts, paths))]
+    rows = judged(spark, urls + ["http://good.net/de/", "http://junk.net/de/"], html + [None, None])
+    assert {r.verdict for r in rows[:40]} == {"block"} and {r.rule for r in rows[:40]} == {"net/es/", "net/fr/"}
+    assert {r.verdict for r in rows[40:120]} == {"block"} and {r.rule for r in rows[40:120]} == {None}
+    assert [r.verdict for r in rows[120:]] == ["allow", "block"]
+
+
+def test_a_suffix_without_labels_is_not_blocked(spark):
+    """However bad the other suffixes are."""
+    urls = [f"http://h{i % 30}.{t}/{i}" for i in range(600) for t in ("net", "org", "info")]
+    rows = judged(spark, urls + ["http://a.co.uk/", "http://a.museum/", None], [JUNK] * len(urls) + [None] * 3)
+    assert {r.verdict for r in rows[:-3]} == {"block"}
+    assert [r.verdict for r in rows[-3:]] == ["allow", "allow", "allow"]
+
+
+def test_suffixes_are_a_parameter(spark):
+    from pyspark.sql import functions as F
+    h = F.col("h")
+    r = spark.createDataFrame([("a.b.city.kobe.jp",)], "h string").select(
+        urlfilter.suffix_of(h, ["city.kobe.jp", "kobe.jp"]), urlfilter.domain_of(h, ["city.kobe.jp", "kobe.jp"]),
+        urlfilter.suffix_of(h, ["kobe.jp"]), urlfilter.domain_of(h, []), urlfilter.suffix_of(h, [])).first()
+    assert tuple(r) == ("city.kobe.jp", "b.city.kobe.jp", "kobe.jp", "kobe.jp", "jp")
+
+
+def test_long_pages(spark):
+    from pyspark.sql import functions as F
+    import time
+    texts = ["<" * 500_000, "<script>" * 60_000, "x" * 1_000_000, "### " * 250_000, "<!--" * 100_000]
+    t0 = time.time()
+    got = spark.createDataFrame([(t,) for t in texts], "html string").select(urlfilter.outcome_of(F.col("html"))).collect()
+    assert [r[0] for r in got] == [0, None, 0, 1, None] and time.time() - t0 < 30
+
+
 def test_no_labels_and_empty_table(spark):
     assert [r.verdict for r in judged(spark, ["http://q.org/", None])] == ["allow", "allow"]
     assert judged(spark, []) == []
