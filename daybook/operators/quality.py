@@ -1,14 +1,15 @@
 """Data quality and audit: not-null column tests, run previews, rejected-row report.
 
 Every report is one aggregation pass per table (conditional counts), then an ``unpivot`` into
-rows: no per-column jobs, nothing collected.
+rows: no per-column jobs, nothing collected.  ``BatchWatch`` needs no pass: it takes the same figures
+of an incremental batch from the job that writes it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daybook import schemas as S
@@ -58,8 +59,12 @@ def not_null_report(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequen
     return out
 
 
+def _valid() -> Column:
+    return F.col(S.ORDER_TS).isNotNull() & F.col(S.REVENUE).isNotNull() & (F.col(S.REVENUE) > 0)
+
+
 def _valid_source_rows(source: DataFrame) -> DataFrame:
-    return source.filter(F.col(S.ORDER_TS).isNotNull() & F.col(S.REVENUE).isNotNull() & (F.col(S.REVENUE) > 0))
+    return source.filter(_valid())
 
 
 def run_previews(rows: DataFrame, day: Column, requests: Sequence[tuple[str, str, object]]) -> DataFrame:
@@ -100,27 +105,97 @@ def run_mode(incremental_model: bool, target_exists: bool, full_refresh: bool) -
 REJECT_REASONS = ("null_order_date", "null_revenue", "non_positive_revenue")
 
 
-def rejected_rows(transactions: DataFrame) -> DataFrame:
-    """(reason, row_count, rejected_by_export) in one pass.  Beyond the export filter it reports
-    rows whose revenue differs from round(quantity * unit_price, 2), is no number (NaN, infinite:
-    left out of sums) or has parts of a cent and, for a Hive-partitioned source, rows stored under a
-    partition other than their timestamp's day (which a day-aligned window read would miss)."""
+def reject_conditions(columns: Sequence[str]) -> dict[str, Column]:
+    """Reason -> condition, for a source with these columns (see ``rejected_rows``)."""
     rev = F.col(S.REVENUE)
+    day = F.col(S.ORDER_DATE) if S.ORDER_DATE in columns else F.to_date(F.col(S.ORDER_TS))
     conds = {
-        "null_order_date": F.col(S.ORDER_DATE).isNull(),
+        "null_order_date": day.isNull(),
         "null_revenue": rev.isNull(),
         "non_positive_revenue": rev <= 0,
         "nan_revenue": rev.isNotNull() & finite(rev).isNull(),
         "sub_cent_revenue": to_units(S.REVENUE) != F.rint(finite(rev) * 100).cast("long") * (MONEY_SCALE // 100),
         "revenue_mismatch": to_units(S.UNIT_PRICE) * F.col(S.QUANTITY) != to_units(S.REVENUE),
     }
-    if all(k in transactions.columns for k in S.PARTITION_KEYS):
+    if all(k in columns for k in S.PARTITION_KEYS):
         conds["partition_mismatch"] = F.col(S.ORDER_TS).isNotNull() & ~F.coalesce(
             partition_date() == F.to_date(F.col(S.ORDER_TS)), F.lit(False))
-    rejected = F.col(S.ORDER_DATE).isNull() | rev.isNull() | (rev <= 0)
-    conds["export_rejected_total"] = rejected
-    wide = transactions.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in conds.items()])
+    conds["export_rejected_total"] = day.isNull() | rev.isNull() | (rev <= 0)
+    return {reason: F.coalesce(c, F.lit(False)) for reason, c in conds.items()}
+
+
+_BY_EXPORT = [*REJECT_REASONS, "export_rejected_total"]
+
+
+def rejected_rows(transactions: DataFrame) -> DataFrame:
+    """(reason, row_count, rejected_by_export) in one pass.  Beyond the export filter it reports
+    rows whose revenue differs from round(quantity * unit_price, 2), is no number (NaN, infinite:
+    left out of sums) or has parts of a cent and, for a Hive-partitioned source, rows stored under a
+    partition other than their timestamp's day (which a day-aligned window read would miss)."""
+    conds = reject_conditions(transactions.columns)
+    wide = transactions.agg(*[F.count_if(c).alias(k) for k, c in conds.items()])
     long = wide.unpivot([], list(conds), "reason", "row_count")
-    by_export = list(REJECT_REASONS) + ["export_rejected_total"]
     return long.select("reason", F.col("row_count").cast("long").alias("row_count"),
-                       F.col("reason").isin(by_export).alias("rejected_by_export"))
+                       F.col("reason").isin(_BY_EXPORT).alias("rejected_by_export"))
+
+
+class BatchWatch:
+    """Figures of the source rows of an incremental staging batch, observed while the batch is written:
+    the preview, the declared not-null tests and the rejected rows, without a scan of their own.
+
+    ``rows`` takes the place of the source rows below the staging projection; the figures are there once a
+    job over it is done.  They are exact if the rows are written by the stage that observes them, as a batch
+    is (no shuffle follows the projection): a task that is run again then counts once.  Days are counted
+    with a bitmap of days since the window's start, 4 KB a task; should rows be dated beyond its span,
+    ``preview`` counts the days in a pass of its own."""
+
+    SPAN = 32_767  # days of the bitmap
+
+    def __init__(self, window_rows: DataFrame, model: str, from_date):
+        self.window, self.model, self.from_date = window_rows, model, parse_date(from_date)
+        self.observation = Observation()
+        self.reasons = reject_conditions(window_rows.columns)
+        self.columns = NOT_NULL_CHECKS[model]
+        day = F.to_date(F.col(S.ORDER_TS))
+        staged = {S.ORDER_DATE: day}
+        since = F.datediff(day, date_lit(self.from_date))
+        # A null position sets no bit.
+        days = F.bitmap_construct_agg(F.when(_valid() & since.between(0, self.SPAN), since.cast("long")))
+        self.rows = window_rows.observe(
+            self.observation,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(_valid()).alias("valid"),
+            days.alias("days"),
+            F.count_if(_valid() & (since > self.SPAN)).alias("far"),
+            *[F.count_if(staged.get(c, F.col(c)).isNull()).alias(f"null {c}") for c in self.columns],
+            *[F.count_if(c).alias(f"rejected {r}") for r, c in self.reasons.items()])
+
+    @property
+    def figures(self) -> dict:
+        return self.observation.get
+
+    def _count(self, name: str) -> int:
+        return int(self.figures.get(name) or 0)
+
+    @property
+    def misplaced(self) -> int | None:
+        """Rows outside the folder of their day; None for a source without day folders."""
+        return self._count("rejected partition_mismatch") if "partition_mismatch" in self.reasons else None
+
+    def preview(self) -> DataFrame:
+        """What ``preview_source`` gives for the run."""
+        if self._count("far"):
+            return preview_source(self.window, [(self.model, "incremental", self.from_date)])
+        days = sum(byte.bit_count() for byte in self.figures.get("days") or b"")
+        return self.window.sparkSession.createDataFrame([(self.model, "incremental", self.from_date, self._count("valid"), days)],
+                                          "model string, mode string, from_date date, row_count long, day_count long")
+
+    def not_null(self) -> DataFrame:
+        """What ``null_counts`` gives for the batch."""
+        rows = [(self.model, c, self._count(f"null {c}"), self._count(f"null {c}") == 0) for c in self.columns]
+        return self.window.sparkSession.createDataFrame(rows, "model string, column_name string, null_count long, passed boolean")
+
+    def rejected(self) -> DataFrame:
+        """What ``rejected_rows`` gives for the window's source rows."""
+        rows = [(r, self._count(f"rejected {r}"), r in _BY_EXPORT) for r in self.reasons]
+        return self.window.sparkSession.createDataFrame(rows, "reason string, row_count long, rejected_by_export boolean")

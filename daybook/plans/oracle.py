@@ -295,6 +295,33 @@ SQL["late_row_ledger"] = with_(E_TXN) + f"""SELECT CAST(order_timestamp AS DATE)
     COUNT(*) FILTER (WHERE order_id % 10 = 0) AS dropped_rows
 FROM txn WHERE CAST(order_timestamp AS DATE) < DATE '{EF}' GROUP BY 1 HAVING COUNT(*) FILTER (WHERE order_id % 10 = 0) > 0"""
 
+SQL["misplaced_row_ledger"] = with_(E_TXN, f"""placed AS (
+    SELECT order_date AS day, CASE WHEN order_id % 5 <> 0 THEN
+        CASE WHEN order_id % 3 = 0 THEN CAST(order_date - INTERVAL 1 MONTH AS DATE) ELSE order_date END END AS folder
+    FROM txn WHERE {_EXPORTED})""") + f"""SELECT day, COUNT(*) AS misplaced_rows,
+    COUNT(*) FILTER (WHERE day >= DATE '{EF}' AND folder < DATE '{EF}') AS hidden_rows
+FROM placed WHERE folder IS DISTINCT FROM day GROUP BY day"""
+
+_FLAWED = f"""flawed AS (
+    SELECT * REPLACE (CASE WHEN order_id % 7 <> 0 THEN CASE WHEN order_id % 11 = 0 THEN -revenue ELSE revenue END END AS revenue,
+                      CASE WHEN order_id % 13 <> 0 THEN payment_method END AS payment_method)
+    FROM txn WHERE order_date >= DATE '{EF}')"""
+_REPORTED = {
+    ("preview", "row_count"): "COUNT(*) FILTER (WHERE revenue > 0)",
+    ("preview", "day_count"): "COUNT(DISTINCT order_date) FILTER (WHERE revenue > 0)",
+    **{("not_null", c): f"COUNT(*) - COUNT({c})" for c in (
+        "order_id", "buyer_id", "order_date", "order_timestamp", "product_id", "quantity", "unit_price", "revenue", "payment_method")},
+    ("rejected", "null_order_date"): "COUNT(*) - COUNT(order_date)",
+    ("rejected", "null_revenue"): "COUNT(*) - COUNT(revenue)",
+    ("rejected", "non_positive_revenue"): "COUNT(*) FILTER (WHERE revenue <= 0)",
+    ("rejected", "nan_revenue"): "COUNT(*) FILTER (WHERE NOT isfinite(revenue))",
+    ("rejected", "sub_cent_revenue"): "COUNT(*) FILTER (WHERE CAST(revenue AS DECIMAL(38,10)) % 0.01 <> 0)",
+    ("rejected", "revenue_mismatch"): "COUNT(*) FILTER (WHERE unit_price * quantity <> revenue)",
+    ("rejected", "export_rejected_total"): "COUNT(*) - COUNT(*) FILTER (WHERE revenue > 0)",
+}
+SQL["stored_run_report"] = with_(E_TXN, _FLAWED) + "\nUNION ALL\n".join(
+    f"SELECT '{report}' AS report, '{item}' AS item, {count} AS row_count FROM flawed" for (report, item), count in _REPORTED.items())
+
 SQL["trend_series"] = _L_METRIC + f"SELECT {V3_COLS} FROM m ORDER BY order_date"
 SQL["stored_run_incremental_v3"] = SQL["daily_running_full_events"]
 SQL["stored_run_incremental_py_v3"] = SQL["daily_running_full_events"]

@@ -353,9 +353,9 @@ def partition_pruned_scan(spark, d):
     return staging.stage_v2(read_transactions(spark, path, from_date=EF, day_aligned=True), from_date=EF)
 
 
-def unaligned_partition_scan(spark, d):
-    """The window read of a source whose rows lie in other days' folders (every third order a month
-    early) or in NULL folders (every fifth): none may be missed."""
+def _unaligned_events(spark, d) -> str:
+    """A source whose rows lie in other days' folders (every third order a month early) or in NULL
+    folders (every fifth)."""
     frame = export.export_frame(A.events_source(spark, d))
     early = F.add_months(S.ORDER_DATE, -1)
     folder = F.when(F.col(S.ORDER_ID) % 5 == 0, F.lit(None).cast("date")).when(F.col(S.ORDER_ID) % 3 == 0, early).otherwise(
@@ -363,7 +363,20 @@ def unaligned_partition_scan(spark, d):
     placed = frame.withColumns({"year": F.year(folder), "month": F.month(folder), "date": F.dayofmonth(folder)})
     path = scratch_path(spark, "unaligned")
     placed.write.partitionBy(*S.PARTITION_KEYS).parquet(path)
-    return staging.stage_v2(read_transactions(spark, path, from_date=EF), from_date=EF)
+    return path
+
+
+def unaligned_partition_scan(spark, d):
+    """The window read of a source whose rows lie in other folders: none may be missed."""
+    return staging.stage_v2(read_transactions(spark, _unaligned_events(spark, d), from_date=EF), from_date=EF)
+
+
+def misplaced_row_ledger(spark, d):
+    """Per day, the rows of that source outside their day's folder, and those that a window read pruned by
+    folder would lose: from the ledger, so also in files that such a read never opens."""
+    ledger = SourceLedger(spark, _unaligned_events(spark, d), scratch_path(spark, "placed"))
+    ledger.refresh()
+    return ledger.misplaced(EF)
 
 
 def _arrival_files(df: DataFrame, path: str) -> None:
@@ -511,6 +524,30 @@ def stored_upsert_lines_index(spark, d):
     return _upserted_lines(spark, d, key_index=True)
 
 
+def _flawed_events(spark, d) -> DataFrame:
+    """E with amounts missing (every seventh order), negative (every eleventh) or not those of the unit
+    price, and payment methods missing (every thirteenth)."""
+    i, src = F.col(S.ORDER_ID), A.events_source(spark, d)
+    revenue = F.when(i % 7 == 0, F.lit(None).cast("double")).when(i % 11 == 0, -F.col(S.REVENUE)).otherwise(F.col(S.REVENUE))
+    return src.withColumns({S.REVENUE: revenue, S.PAYMENT_METHOD: F.when(i % 13 != 0, F.col(S.PAYMENT_METHOD))})
+
+
+def stored_run_report(spark, d):
+    """What an incremental staging run reports of its window, observed by the job that writes the batch:
+    preview, declared tests and rejected rows as (report, item, row_count)."""
+    src = _flawed_events(spark, d)
+    feed = _Arrivals(_before(src, "2024-01-24"))
+    project = Project(spark, feed, scratch_path(spark, "report-wh"))
+    project.run_model("stg_orders_v2")
+    feed.df = src
+    report = project.run_model("stg_orders_v2", from_date=EF, preview=True)
+    preview = report.preview.unpivot([], ["row_count", "day_count"], "item", "n")
+    return (preview.select(F.lit("preview").alias("report"), "item", F.col("n").alias("row_count"))
+            .unionByName(report.not_null.select(F.lit("not_null").alias("report"), F.col("column_name").alias("item"),
+                                                F.col("null_count").alias("row_count")))
+            .unionByName(report.rejected.select(F.lit("rejected").alias("report"), F.col("reason").alias("item"), "row_count")))
+
+
 def _all_models(spark, d) -> Project:
     project = Project(spark, _Arrivals(A.events_source(spark, d)), scratch_path(spark, "all-wh"))
     for name in MODELS:
@@ -613,6 +650,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unaligned_partition_scan": unaligned_partition_scan,
     "zone_mapped_scan": zone_mapped_scan,
     "late_row_ledger": late_row_ledger,
+    "misplaced_row_ledger": misplaced_row_ledger,
+    "stored_run_report": stored_run_report,
     "daily_distinct_state": daily_distinct_state,
     "stored_full_refresh_v3": stored_full_refresh_v3,
     "stored_run_v1": stored_run_v1,

@@ -32,7 +32,7 @@ from daybook import schemas as S
 from daybook.functions.dates import parse_date
 from daybook.operators import arrow, metrics, quality, staging
 from daybook.sources.ledger import SourceLedger
-from daybook.sources.transactions import has_day_folders, misplaced_rows
+from daybook.sources.transactions import has_day_folders, window_rows
 from daybook.sources.warehouse import Warehouse, WriteResult
 
 SourceFn = Callable[[object], DataFrame]  # from_date or None -> transactions frame
@@ -74,6 +74,8 @@ class RunReport:
     files_read: int | None = None  # source with a ledger: files of the window
     late_rows: int | None = None  # source with a ledger: rows of older days that the table lacks by now
     late_days: DataFrame | None = field(default=None, repr=False)  # ... day by day
+    not_null: DataFrame | None = field(default=None, repr=False)  # incremental staging: tests of the batch
+    rejected: DataFrame | None = field(default=None, repr=False)  # incremental staging: rejected source rows
 
 
 class Project:
@@ -141,19 +143,19 @@ class Project:
         window = from_date if mode == "incremental" else None
         if ledger is not None:
             ledger.refresh()
-        prev = None
-        if preview:
-            prev = self.preview(model, mode, from_date)
+        prev = watch = None
         wh = self.warehouse
-        misplaced = None
-        if model.staging is None:
-            if self.day_aligned and mode == "incremental" and has_day_folders(src := self.source(from_date)):
-                misplaced = misplaced_rows(src)
+        if model.staging is None and mode == "incremental":
+            # The window's source rows are read once: the job that writes the batch observes them.
+            watch = quality.BatchWatch(window_rows(self.source(window), window), name, window)
+        elif preview:
+            prev = self.preview(model, mode, from_date)
+        if watch is not None:
+            res = wh.delete_insert(name, staging.stage_v2(watch.rows, from_date=window), model.key, S.ORDER_DATE)
+            prev = watch.preview() if preview else None
+        elif model.staging is None:
             frame, day_aligned = self.staging_frame(model, mode, from_date)
-            if mode == "incremental":
-                res = wh.delete_insert(name, frame, model.key, S.ORDER_DATE)
-            else:
-                res = wh.write_full(name, frame, S.ORDER_DATE, rebalance=not day_aligned)
+            res = wh.write_full(name, frame, S.ORDER_DATE, rebalance=not day_aligned)
         else:
             frame = self.metric_frame(model, mode, from_date, seed)
             if mode == "incremental":
@@ -162,7 +164,10 @@ class Project:
                 wh.write_full(name, frame)
                 res = WriteResult(name, wh.read(name).count())
         report = RunReport(name, mode, parse_date(from_date) if from_date else None,
-                           res.partitions_written, res.partitions_dropped, 0.0, prev, misplaced)
+                           res.partitions_written, res.partitions_dropped, 0.0, prev)
+        if watch is not None:
+            report.misplaced_rows = watch.misplaced if self.day_aligned else None
+            report.not_null, report.rejected = watch.not_null(), watch.rejected()
         if ledger is not None:
             ledger.record(name, window)
             report.files_read = len(ledger.window_files(window))

@@ -2,14 +2,16 @@
 
 A row per (file, day) with the number of rows, an order-independent digest of them, and the first and
 last timestamp.  A refresh lists the files and reads only those that are new or changed; what files that
-are gone held goes with them.  The ledger then answers two questions without reading a source row:
+are gone held goes with them.  The ledger then answers three questions without reading a source row:
 
 * **zone map**: which files a window needs, whether or not their folders tell the day
   (:meth:`SourceLedger.read_window`);
 * **late rows**: which days have changed since a table took them.  A staging run records the days it
   took from the source (:meth:`SourceLedger.record`); a later comparison names the days whose count or
   digest is another one by now (:meth:`SourceLedger.changed_days`), such as rows that arrived for a
-  day before the window and that a window run leaves out.
+  day before the window and that a window run leaves out;
+* **misplaced rows**: which rows lie in another day's folder (:meth:`SourceLedger.misplaced`), those too
+  that a read pruned by folder never opens.
 
 Scale: a file is read once in its life.  The ledger has a row per file and day, so it grows with the
 number of files (a file of an unordered source holds all days, and no window can skip it); it is joined
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook import schemas as S
-from daybook.functions.dates import date_lit
+from daybook.functions.dates import date_lit, partition_date
 from daybook.sources.transactions import normalise_timestamp, window_rows
 from daybook.sources.warehouse import Warehouse
 
@@ -103,6 +105,19 @@ class SourceLedger:
         rows = self._read(paths) if paths else self._read([self.root]).limit(0)
         return window_rows(normalise_timestamp(rows), from_date)
 
+    # -- misplaced rows ---------------------------------------------------------------------------
+
+    def misplaced(self, from_date) -> DataFrame:
+        """``day, misplaced_rows, hidden_rows`` of the days with rows outside their own
+        ``year=/month=/date=`` folder (rows of a folder without a date among them).  ``hidden_rows`` are in
+        the window from ``from_date`` on, but in a dated folder before it: a read of a source declared
+        day-aligned would lose them."""
+        parts = {k: F.try_element_at(F.regexp_extract_all("file", F.lit(f"/{k}=([0-9]+)/")), F.lit(-1)).cast("int") for k in S.PARTITION_KEYS}
+        placed = self.entries().filter("rows > 0 AND day IS NOT NULL").withColumns(parts).withColumn("folder", partition_date())
+        hidden = (F.col("day") >= date_lit(from_date)) & (F.col("folder") < date_lit(from_date))
+        return placed.filter(~F.col("day").eqNullSafe(F.col("folder"))).groupBy("day").agg(
+            F.sum("rows").alias("misplaced_rows"), F.sum(F.when(hidden, F.col("rows")).otherwise(0)).alias("hidden_rows"))
+
     # -- late rows --------------------------------------------------------------------------------
 
     def days(self) -> DataFrame:
