@@ -5,16 +5,24 @@ neighbours at the smallest of them; the links end as one star per component, cen
 component's smallest id.  The rounds needed grow with the logarithm of a component's extent, not
 with its size.  Each round is written to the shared checkpoint folder.  Minima are combined before
 the shuffle and the joins are plain equi-joins, so adaptive execution can split the rows of a hub.
-The number of tasks is left to adaptive execution.
+The number of tasks is left to adaptive execution.  Before the first round every task contracts its own
+links, a bounded number at a time, to stars: components whose links lie in one task are finished by that.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import Scratch, written
 
+#: Links that a task contracts at a time.
+BLOCK = 1 << 20
+
 
 def _large_star(links: DataFrame) -> DataFrame:
     """``links``: (u, v) with u > v."""
@@ -32,6 +40,38 @@ def _small_star(links: DataFrame) -> DataFrame:
             .union(least.select("u", F.col("m").alias("v"))).distinct())
 
 
+def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stars of the components of some links: every node but the smallest, and the smallest."""
+    nodes, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+    a, b = at[:len(u)], at[len(u):]
+    label = np.arange(len(nodes))
+    while True:
+        x, y = label[a], label[b]
+        if (x == y).all():
+            break
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not (label == (least := label[label])).all():
+            label = least
+    rest = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[rest], nodes[label[rest]]
+
+
+def _own_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def out() -> pa.RecordBatch:
+        stars = _stars(*map(np.concatenate, zip(*held)))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in stars], ["u", "v"])
+
+    for batch in batches:
+        held.append(tuple(c.to_numpy() for c in batch.columns))
+        if sum(len(u) for u, _ in held) >= BLOCK:
+            yield out()
+            held = []
+    if held:
+        yield out()
+
+
 def _mark(links: DataFrame) -> tuple:
     r = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()[0]
     return r[0], r[1]
@@ -44,7 +84,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _contracted(links: DataFrame) -> DataFrame:
-    now = written(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    now = written(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+                  .mapInArrow(_own_stars, "u long, v long").distinct(), "links")
     mark = _mark(now)
     while mark[0]:
         now = written(_small_star(_large_star(now)), "links")

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import linking, shingles
-from daybook.llm.common import Scratch, Sieve, numbered, split_by, text_or_empty, written
+from daybook.llm.common import Scratch, Sieve, batches_of, numbered, split_by, text_or_empty, written
 
 SHINGLE = 5
 BANDS = 20
@@ -48,9 +48,9 @@ CHUNK = 1 << 18
 CHUNK_LINES = 2048
 
 BINS = BANDS * ROWS
-KEYS = [f"key{k}" for k in range(BANDS)]
 WHERE = ["doc_id", "file", "place", "line"]
-SIGNED = [*WHERE, "h1", "h2", "size", *KEYS]
+SIGNED = [*WHERE, "h1", "h2", "n", "size"]
+SIGNED_SCHEMA = ", ".join(f"{c} long" for c in SIGNED) + ", keys binary"
 
 #: For every empty bin, the bins whose value it takes, in this order: some at random, then all others.
 _LENDERS = np.concatenate([np.random.default_rng(SEED).integers(0, BINS, (64, BINS)), (np.arange(BINS) + np.arange(1, BINS)[:, None]) % BINS])
@@ -127,7 +127,10 @@ class Lines:
         counts = self.shingle_ends[at:to] - begins
         starts = np.append(0, np.cumsum(counts))
         x = shingles.run_hashes(self.chars, slice(begins[0], self.shingle_ends[to - 1]), SHINGLE)
-        x = x[np.arange(starts[-1]) + np.repeat(begins - begins[0] - starts[:-1], counts)]
+        spans = np.zeros(2 * (to - at), np.int64)
+        spans[::2] = counts
+        spans[1:-1:2] = begins[1:] - self.shingle_ends[at:to - 1]
+        x = x[np.repeat(np.arange(2 * (to - at)) % 2 == 0, spans)]
         places, own = self.short(np.arange(at, to))
         x[starts[places]] = own
         x = shingles.mix(x)
@@ -151,7 +154,7 @@ class Lines:
         for at, to in self.chunks():
             x, starts = self.sets(at, to)
             sizes[at:to] = np.diff(starts)
-            values[at:to] = _binned(x, np.repeat(np.arange(to - at), sizes[at:to]), to - at)
+            values[at:to] = _binned(x, starts)
         keys = np.zeros((len(self.at), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
         for r in range(ROWS):
             keys = shingles.mix(keys + values[:, r::ROWS])
@@ -167,55 +170,110 @@ class Lines:
         return out
 
 
-def _binned(x: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
-    """``lines x BINS`` least hashes, from the sorted hashes ``x`` of every line."""
-    place = line * BINS + ((x >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
-    lead = np.append(True, place[1:] != place[:-1])
+def _binned(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``lines x BINS`` least hashes, from the sorted hashes ``x`` of every line, which begin at ``starts``."""
+    lines = len(starts) - 1
+    bins = x >> np.uint64(32)
+    bins *= np.uint64(BINS)
+    bins >>= np.uint64(32)
+    bins = bins.astype(np.uint8 if BINS <= 256 else np.int64)
+    lead = np.empty(len(x), bool)
+    np.not_equal(bins[1:], bins[:-1], out=lead[1:])
+    lead[starts[:-1]] = True
+    leads = np.flatnonzero(lead)
+    place = bins[leads] + np.repeat(np.arange(lines) * BINS, np.diff(np.searchsorted(leads, starts)))
     values = np.zeros(lines * BINS, np.uint64)
     full = np.zeros(lines * BINS, bool)
-    values[place[lead]] = x[lead]
-    full[place[lead]] = True
-    values, full = values.reshape(lines, BINS), full.reshape(lines, BINS)
-    some = np.flatnonzero(~full.all(axis=1))
-    mine, own = values[some], full[some]
-    done = own.copy()
+    values[place] = x[leads]
+    full[place] = True
+    empty = np.flatnonzero(~full)
+    bin_ = empty % BINS
     for lender in _LENDERS:
-        open_ = np.flatnonzero(~done.all(axis=1))
-        if not len(open_):
+        if not len(empty):
             break
-        take = ~done[open_] & own[open_][:, lender]
-        mine[open_] = np.where(take, values[some[open_]][:, lender], mine[open_])
-        done[open_] |= take
-    values[some] = mine
-    return values
+        from_ = empty - bin_ + lender[bin_]
+        lends = full[from_]
+        values[empty[lends]] = values[from_[lends]]
+        empty, bin_ = empty[~lends], bin_[~lends]
+    return values.reshape(lines, BINS)
 
 
 def _i64(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+def _firsts(batch: pa.RecordBatch, lines: Lines, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """How often each line occurs in the batch, at the first (by ``WHERE``) of equal ones; 0 at the others."""
+    rank = np.empty(len(batch), np.int64)
+    rank[_by_place(batch, WHERE[:3])] = np.arange(len(batch))
+    order = np.lexsort((lines.number, rank[lines.text], h2, h1))
+    out = np.zeros(len(order), np.int64)
+    if len(order):
+        starts = np.flatnonzero(_changes(h1[order], h2[order]))
+        out[order[starts]] = np.diff(np.append(starts, len(order)))
+    return out
+
+
+def _by_place(batch: pa.RecordBatch, columns: list[str], *over: np.ndarray) -> np.ndarray:
+    """The order of rows by ``over`` and then ``columns``, ids that are null first."""
+    ids = batch.column(columns[0])
+    return np.lexsort((*[batch.column(c) for c in columns[:0:-1]], ids.fill_null(0), ids.is_valid(), *over[::-1]))
+
+
+def _changes(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """Where a run of equal hashes begins."""
+    return np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))[: len(h1)]
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lines = Lines(batch.column("text"))
         sizes, keys = lines.signatures()
         rows = pa.array(lines.text)
+        h1, h2 = lines.hashes()
+        n = _firsts(batch, lines, h1, h2)
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c).take(rows) for c in WHERE[:3]], pa.array(lines.number), *map(_i64, lines.hashes()),
-             pa.array(sizes), *[_i64(k) for k in keys.T]], SIGNED)
+            [*[batch.column(c).take(rows) for c in WHERE[:3]], pa.array(lines.number), _i64(h1), _i64(h2), pa.array(n),
+             pa.array(sizes), linking.packed_keys(keys, n > 0)], [*SIGNED, "keys"])
 
 
-def _wanted_lines(batches: Iterator[pa.RecordBatch], sieve, facts: bool) -> Iterator[pa.RecordBatch]:
-    """Hashes and facts, or text, of the lines that may be wanted, each once a batch."""
+def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by ``h1``, the first (by ``WHERE``) of every class with the sum of ``n``."""
+    held = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        batch = pa.RecordBatch.from_arrays(batch.columns, batch.schema.names)  # without marks of columns that hold no null
+        if held is not None:
+            batch = pa.concat_batches([held, batch])
+        h1, h2, n = (batch.column(c).to_numpy() for c in ("h1", "h2", "n"))
+        order = _by_place(batch, WHERE, h1, h2)
+        starts = np.flatnonzero(_changes(h1[order], h2[order]))
+        found = batch.take(pa.array(order[starts])).set_column(SIGNED.index("n"), "n", pa.array(np.add.reduceat(n[order], starts)))
+        # Classes of the last h1 may go on in the next batch.
+        done = int(np.searchsorted(h1[order[starts]], h1[order[-1]]))
+        yield found.slice(0, done)
+        held = found.slice(done)
+    if held is not None:
+        yield held
+
+
+def _wanted_lines(batches: Iterator[pa.RecordBatch], sieve) -> Iterator[pa.RecordBatch]:
+    """Place and text of the lines that may be wanted."""
     for batch in batches:
         lines = Lines(batch.column("text"))
-        h1, h2 = lines.hashes()
-        some = np.flatnonzero(sieve.value(h1, h2))
-        _, once = np.unique(h1[some], return_index=True)
-        some = some[np.sort(once)] if len(once) else some
+        places = [batch.column(c).to_numpy()[lines.text] for c in ("file", "place")] + [lines.number]
+        some = np.flatnonzero(sieve.value(*places))
         raw = lines.raw.tobytes() if len(some) else b""
         texts = pa.array([raw[b:e] for b, e in zip(lines.begins[some].tolist(), lines.ends[some].tolist())], pa.binary())
-        found = [pa.array(np.ascontiguousarray(f)) for f in Lines(texts).facts().T] if facts else [texts]
-        yield pa.RecordBatch.from_arrays([_i64(h1[some]), _i64(h2[some]), *found], ["h1", "h2", *(linking.FACTS if facts else ["items"])])
+        yield pa.RecordBatch.from_arrays([*[pa.array(x[some]) for x in places], texts], [*WHERE[1:], "items"])
+
+
+def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lines = Lines(batch.column("items"))
+        assert len(lines.begins) == len(batch)
+        yield pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array(np.ascontiguousarray(f)) for f in lines.facts().T]], ["id", *linking.FACTS])
 
 
 def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -251,33 +309,36 @@ def _texts(rows: DataFrame) -> DataFrame:
 
 
 def _signed_lines(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The place of every line and its hashes; the classes of equal lines with their facts and keys."""
-    with Scratch(texts.sparkSession) as brief:
-        signed = written(texts.mapInArrow(_signed, _longs(SIGNED)), "signed-lines")
-        # Facts and keys are the same in all rows of a class.
-        classes = signed.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in ("size", *KEYS)])
-        classes = brief.keep(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
-        return brief.keep(signed.select(*WHERE, "h1", "h2"), "lines"), classes
+    """The place of every line and its hashes; the classes of equal lines with the place of the first, the
+    number of lines, size and keys.  Equal lines of a batch are combined before the shuffle."""
+    signed = written(texts.mapInArrow(_signed, SIGNED_SCHEMA), "signed-lines")
+    some = signed.filter("n > 0").repartition("h1").sortWithinPartitions("h1")
+    with batches_of(texts.sparkSession, 20_000):
+        classes = some.mapInArrow(_classes, SIGNED_SCHEMA).withColumn("id", F.monotonically_increasing_id())
+        return signed.select(*WHERE, "h1", "h2"), written(classes, "line-classes")
 
 
 def _labels(classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """``h1, h2, label`` of the classes that occur more than once or are linked."""
+    """``h1, h2, first, label`` of the classes that occur more than once or are linked."""
+    with Scratch(texts.sparkSession) as scratch:
+        members: list[DataFrame] = []
 
-    def found(ids: DataFrame, facts: bool) -> DataFrame:
-        wanted = written(split_by(classes.select("id", "h1", "h2"), ids, "id")[0].join(ids, "id"), "wanted")
-        sieve = Sieve.build(wanted.select("h1", "h2"))
-        names = linking.FACTS if facts else ["items"]
-        schema = f"h1 long, h2 long, {_longs(names) if facts else 'items binary'}"
-        some = texts.select("text").mapInArrow(lambda it: _wanted_lines(it, sieve, facts), schema)
-        once = some.groupBy("h1", "h2").agg(*[F.min(c).alias(c) for c in names])
-        return once.join(wanted, ["h1", "h2"]).select("id", *names)
+        def facts_of(ids: DataFrame) -> DataFrame:
+            wanted = written(classes.select("id", *WHERE[1:]).join(ids, "id"), "wanted")
+            sieve = Sieve.build(wanted.drop("id"))
+            some = texts.select("file", "place", "text").mapInArrow(
+                lambda it: _wanted_lines(it, sieve), f"{_longs(WHERE[1:])}, items binary")
+            members.append(scratch.keep(some.join(wanted, WHERE[1:]).select("id", "items"), "member-lines"))
+            return members[0].mapInArrow(_facts, _longs(["id", *linking.FACTS]))
 
-    def similar(both: DataFrame) -> DataFrame:
-        return both.mapInArrow(lambda it: _similar(it, percent), "a long, b long")
+        def similar(both: DataFrame) -> DataFrame:
+            return both.mapInArrow(lambda it: _similar(it, percent), "a long, b long")
 
-    rows = classes.select("id", "size", F.explode(F.array(*KEYS)).alias("key"))
-    linked = linking.link(rows, lambda ids: found(ids, True), lambda ids: found(ids, False), similar, percent)
-    return classes.join(linked, "id", "left").filter("n > 1 or label is not null").select("h1", "h2", F.coalesce("label", "id").alias("label"))
+        rows = linking.shared_keys(classes, BANDS)
+        linked = linking.link(rows, facts_of, lambda ids: split_by(members[0], ids, "id")[0].join(ids, "id", "left_semi"), similar, percent)
+        found = classes.select("id", *WHERE, "h1", "h2", "n").join(linked, "id", "left").filter("n > 1 or label is not null")
+        found = found.select("h1", "h2", F.struct(*WHERE).alias("first"), F.coalesce("label", "id").alias("label"))
+        return scratch.keep(found, "line-labels")
 
 
 def _placed(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -287,9 +348,8 @@ def _placed(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     with Scratch(docs.sparkSession) as scratch:
         texts = _texts(rows)
         lines, classes = _signed_lines(texts)
-        labels = written(_labels(classes, texts, percent), "line-labels")
-        inside = lines.join(labels, ["h1", "h2"])
-        keep = inside.groupBy("label").agg(F.min(F.struct(*WHERE)).alias("keep"))
+        labels = _labels(classes, texts, percent)
+        keep = labels.groupBy("label").agg(F.min("first").alias("keep"))
         found = labels.join(keep, "label").select("h1", "h2", "keep")
         return rows, scratch.keep(lines.join(found, ["h1", "h2"], "left").select(*WHERE, "keep"), "placed-lines")
 

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm import shingles
 from daybook.llm.common import Scratch, batches_of, split_by, written
 from daybook.llm.components import components
 
@@ -40,6 +41,12 @@ LONGS = 16
 SLOTS = 64 * LONGS
 PARITY = [f"parity{k}" for k in range(LONGS)]
 FACTS = ["size", *PARITY]
+#: Slots that keys are dealt to (their first bits), and bits of the rest that are compared.
+SLOT_BITS = 10
+REST_BITS = 32
+KEY_BYTES = 6
+#: Ids and sizes of packed entries are 16 bits; a larger size counts as the largest.
+PACK = 1 << 16
 #: Seeds of an open bucket that one task compares with the bucket's members, about.
 CROWD = 4096
 #: Members of a large bucket that its seeds are compared with first.
@@ -50,9 +57,100 @@ Step = Callable[[DataFrame], DataFrame]
 
 
 def parities(items: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
-    """``owners x LONGS`` bitmaps of the scrambled items (each once per owner)."""
-    odd = np.bincount(owner * SLOTS + (items & np.uint64(SLOTS - 1)).astype(np.int64), minlength=owners * SLOTS) & 1
-    return np.packbits(odd.astype(bool)).view(np.int64).reshape(owners, LONGS)
+    """``owners x LONGS`` bitmaps of the scrambled items (each once per owner, owners ascending)."""
+    out = np.empty((owners, LONGS), np.int64)
+    slot = (items & np.uint64(SLOTS - 1)).astype(np.int64) + owner * SLOTS
+    ends = np.searchsorted(owner, np.append(np.arange(0, owners, 64), owners))  # 64 owners fit the caches
+    for k, (at, to) in enumerate(zip(ends, ends[1:])):
+        n = min(64, owners - 64 * k)
+        odd = np.bincount(slot[at:to] - 64 * k * SLOTS, minlength=n * SLOTS).astype(np.uint8) & 1
+        out[64 * k:64 * k + n] = np.packbits(odd).view(np.int64).reshape(n, LONGS)
+    return out
+
+
+def packed_keys(keys: np.ndarray, some: np.ndarray) -> pa.Array:
+    """The first ``KEY_BYTES`` bytes of all keys of a row, one after another; nothing for rows not in ``some``."""
+    data = np.ascontiguousarray(keys[some]).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+    offsets = np.append(0, np.cumsum(np.where(some, keys.shape[1] * KEY_BYTES, 0))).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _packed_entries(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Entries of eight bytes (rest of the key, id less ``base``, size), a row for each ``slot`` that the
+    keys of a run of ids have.  Of keys that several of these ids have, all entries go to rows that are
+    ``sure``, dealt anywhere, and one of size 0 stands for them at the slot."""
+    spread = 0
+    for batch in batches:
+        ids = batch.column("id").to_numpy()
+        ends = [0, *(np.flatnonzero(np.diff(ids) != 1) + 1).tolist(), len(ids)]
+        for at, to in ((x, min(x + PACK, e)) for b, e in zip(ends, ends[1:]) for x in range(b, e, PACK)):
+            part = batch.slice(at, to - at)
+            raw = np.zeros((len(part) * keys, 8), np.uint8)
+            raw[:, :KEY_BYTES] = shingles.text_bytes(part.column("keys"))[0].reshape(-1, KEY_BYTES)
+            key = raw.view(np.uint64).ravel()
+            key &= np.uint64((1 << (SLOT_BITS + REST_BITS)) - 1)
+            owner = np.repeat(np.arange(len(part), dtype=np.uint64), keys)
+            size = np.repeat(np.minimum(part.column("size").to_numpy(), PACK - 1).astype(np.uint64), keys)
+            order = np.argsort(key)
+            key = key[order]
+            low = (owner << np.uint64(16) | size)[order]
+            lead = np.append(True, key[1:] != key[:-1])
+            alone = lead & np.append(lead[1:], True)
+            entry = (key << np.uint64(32)) | low
+            stands = lead & ~alone
+            entry_of = np.where(stands, key << np.uint64(32), entry)
+            spread += 1
+            for chosen, entries, sure in ((lead, entry_of, False), (~alone, entry, True)):
+                slot = (key[chosen] >> np.uint64(REST_BITS)).astype(np.int64)
+                if not len(slot):
+                    continue
+                starts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
+                offsets = (8 * np.append(starts, len(slot))).astype(np.int32)
+                blob = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(entries[chosen])])
+                slot = slot[starts]
+                dealt = (slot + spread * 31 + int(ids[at] % 1021)) % (1 << SLOT_BITS) + (1 << SLOT_BITS) if sure else slot
+                yield pa.RecordBatch.from_arrays([pa.array(dealt), pa.array(slot), pa.array(np.full(len(slot), ids[at], np.int64)), blob],
+                                                 ["dealt", "slot", "base", "entries"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows of entries sorted by ``dealt``, (key, id, size) of those whose key others have as well."""
+    rest = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
+
+    def chosen(dealt, slot, base, entry):
+        key = (slot << REST_BITS) | (entry >> np.uint64(32)).astype(np.int64)
+        sure = dealt >= 1 << SLOT_BITS
+        order = np.flatnonzero(~sure)
+        order = order[np.argsort(key[order])]
+        same = key[order[1:]] == key[order[:-1]]
+        some = order[np.append(False, same)[: len(order)] | np.append(same, False)[: len(order)]]
+        some = np.append(some, np.flatnonzero(sure))
+        size = (entry[some] & np.uint64(PACK - 1)).astype(np.int64)
+        some, size = some[size > 0], size[size > 0]
+        id_ = base[some] + (entry[some] >> np.uint64(16) & np.uint64(PACK - 1)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array(id_), pa.array(size)], ["key", "id", "size"])
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        raw, offsets = shingles.text_bytes(batch.column("entries"))
+        counts = np.diff(offsets) // 8
+        longs = [np.repeat(batch.column(c).to_numpy(), counts) for c in ("dealt", "slot", "base")]
+        now = [np.append(r, x) for r, x in zip(rest, [*longs, np.frombuffer(raw.tobytes(), np.uint64)])]
+        done = int(np.searchsorted(now[0], now[0][-1]))  # the last slot may go on
+        yield chosen(*[x[:done] for x in now])
+        rest = tuple(x[done:] for x in now)
+    yield chosen(*rest)
+
+
+def shared_keys(rows: DataFrame, keys: int) -> DataFrame:
+    """(key, id, size) of the keys that several rows (id, size, ``packed_keys``) have, and of few others.  Most
+    keys are had once: they are shuffled as packed arrays, eight bytes each, and sorted by no row."""
+    rows = rows.select("id", "size", "keys")
+    with batches_of(rows.sparkSession, 50_000):
+        entries = rows.mapInArrow(lambda it: _packed_entries(it, keys), "dealt long, slot long, base long, entries binary")
+        entries = entries.repartition("dealt").sortWithinPartitions("dealt")
+        return written(entries.mapInArrow(_shared, "key long, id long, size long"), "shared-keys")
 
 
 def _with_partner(run: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
@@ -178,6 +276,17 @@ def _open_pairs(members: DataFrame, labels: DataFrame, facts: DataFrame, percent
             .select(F.least("s.id", "m.id").alias("a"), F.greatest("s.id", "m.id").alias("b")).distinct())
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after ``links`` (a, b) have been added: only the components that they join are looked at."""
+    for side in "ab":
+        own = labels.select(F.col("id").alias(side), "label")
+        links = links.join(own, side, "left").withColumn(side, F.coalesce("label", side)).drop("label")
+    joined = components(links).select(F.col("id").alias("label"), F.col("label").alias("least"))
+    old = labels.join(joined, "label", "left").select("id", F.coalesce("least", "label").alias("label"))
+    new = joined.select(F.col("label").alias("id"), F.col("least").alias("label")).join(labels, "id", "left_anti")
+    return written(old.unionByName(new), "labels")
+
+
 def link(rows: DataFrame, facts_of: Step, items_of: Step, similar: Step, percent: int) -> DataFrame:
     """(id, label) of every linked id.  Of a table of ids ``facts_of`` gives (id, ``FACTS``) and ``items_of``
     (id, items), the set or what it is made from; ``similar`` gives the pairs (a, b) that have the
@@ -186,8 +295,7 @@ def link(rows: DataFrame, facts_of: Step, items_of: Step, similar: Step, percent
 
     def confirm(pairs: DataFrame) -> DataFrame:
         with Scratch(spark) as brief:
-            items = written(items_of(written(named(pairs), "named")), "items")
-            return brief.keep(similar(side_by_side(pairs, items)), "links")
+            return brief.keep(similar(side_by_side(pairs, items_of(written(named(pairs), "named")))), "links")
 
     with Scratch(spark) as scratch:
         members = bucket_members(rows, percent)
@@ -201,8 +309,7 @@ def link(rows: DataFrame, facts_of: Step, items_of: Step, similar: Step, percent
                 pairs = brief.keep(_open_pairs(members, labels, facts, percent, first), "open-pairs")
             if pairs.isEmpty():
                 continue
-            own = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
-            labels = components(own.unionByName(confirm(pairs)))
+            labels = _merged(labels, confirm(pairs))
         return scratch.keep(labels, "linked")
 
 

@@ -105,7 +105,8 @@ def _labelled(docs: DataFrame, words: int, percent: int, takes_part: str = "true
 
         keys = F.array(*[F.xxhash64(F.lit(t), i, j) for t, (i, j) in enumerate(combinations(PARTS, 2))])
         keyed = classes.select("id", "size", F.explode(keys).alias("key"))
-        linked = linking.link(keyed, lambda ids: found(ids, True), lambda ids: found(ids, False),
+        linked = linking.link(keyed, lambda ids: found(ids, True),
+                              lambda ids: written(found(ids, False), "items"),
                               lambda both: linking.similar_sets(both, percent), percent)
         named = classes.select("id", "h1", "h2").join(linked, "id", "left").select("h1", "h2", F.coalesce("label", "id").alias("label"))
         keyed = signed.select(*WHERE, "size", F.when(F.expr(f"size > 0 and {takes_part}"), F.col("h1")).alias("h1"), "h2")

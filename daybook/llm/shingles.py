@@ -14,9 +14,14 @@ _LOWER[65:91] += 32
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(30))) * _K[1]
-    x = (x ^ (x >> np.uint64(27))) * _K[2]
-    return x ^ (x >> np.uint64(31))
+    y = x >> np.uint64(30)
+    y ^= x
+    y *= _K[1]
+    part = y >> np.uint64(27)
+    y ^= part
+    y *= _K[2]
+    y ^= np.right_shift(y, np.uint64(31), out=part) if isinstance(part, np.ndarray) else y >> np.uint64(31)
+    return y
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -94,10 +99,18 @@ def characters(raw: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarr
     begins = ~follows
     begins[3:] |= fourth
     begins[lines] = True
-    before = np.append(0, np.cumsum(begins))
+    before = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum(begins, out=before[1:])
     at = np.flatnonzero(begins)
-    spare = (8 - np.diff(np.append(at, len(raw)))).astype(np.uint64)
-    return byte_windows(raw)[at] & (~np.uint64(0) >> (np.uint64(8) * spare)), before
+    out = raw[at].astype(np.uint32)
+    more = np.flatnonzero(~begins)  # few characters have several bytes
+    more = more[begins[more - 1]]
+    for k in range(1, 4):
+        place = before[more + 1] - 1
+        out[place] |= raw[more].astype(np.uint32) << np.uint32(8 * k)
+        more = more[more + 1 < len(raw)] + 1
+        more = more[~begins[more]]
+    return out, before
 
 
 def run_hashes(chars: np.ndarray, at: slice | np.ndarray, n: int) -> np.ndarray:
