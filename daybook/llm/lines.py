@@ -16,9 +16,9 @@ is the same for all lines.  One sorted pass over a line gives its set, its size,
 values.  (Bins of one line are not quite independent; the recall is measured in ``tests/llm``.)
 
 Scale: a very common line is combined to its class before the shuffle; keys are linked by
-:mod:`linking` (rows of one key are dealt to several tasks; no all-pairs).  Texts, not sets, of the lines in
-candidate pairs are fetched by a second scan through a fixed-size sieve, and sets are made again where
-pairs are compared; only documents that lose a line go through the join that removes them.
+:mod:`linking` (keys of one line alone never become rows; rows of one key are dealt to several tasks; no
+all-pairs).  Texts, not sets, of the lines that share a key are fetched by a second scan through a fixed-size
+sieve, and sets are made again where pairs are compared; only documents that lose a line go through the join that removes them.
 
 Defined cases: null or empty texts have no lines and are left as they are; blank lines are never
 removed; lines end at ``\\n`` (a ``\\r`` before it belongs to the line); a document that loses all its

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.llm import components as components_
 from daybook.llm import linking, shingles
 from daybook.llm.common import Sieve, packed, split_by
 from daybook.llm.components import components
@@ -171,3 +172,42 @@ def test_runs_leave_out_only_rows_that_no_mate_comes_near(batch):
         assert near <= set(mine)
         assert all(r["centre"] == min(mine) and r["size"] == dict(mates)[i] and r["centre_size"] == dict(mates)[r["centre"]] for i, r in mine.items())
         assert len(mine) < 3 or all(r["n"] in (0, len(mine)) for r in mine.values())
+
+
+@pytest.mark.parametrize("rows", [1, 7, 1000])
+def test_shared_keys_are_found_in_packed_entries(rows):
+    """Keys that several ids have, in one batch or in several, come with all their ids; others don't come."""
+    rng = random.Random(rows)
+    ids = [*range(40), *range(1 << 33, (1 << 33) + 30), 1 << 40]
+    size = {i: rng.choice([1, 300, 65_535, 70_000]) for i in ids}
+    few = [rng.getrandbits(64) for _ in range(12)]
+    keys = {i: [5, rng.choice(few), rng.getrandbits(64)] for i in ids}
+    table = np.array([keys[i] for i in ids], np.uint64)
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array([size[i] for i in ids]), linking.packed_keys(table, np.ones(len(ids), bool))], ["id", "size", "keys"])
+    batches = [batch.slice(x, rows) for x in range(0, len(batch), rows)]
+    packed_ = pa.Table.from_batches(linking._packed_entries(iter(batches), 3)).sort_by("dealt").combine_chunks()
+    got = [tuple(r.values()) for b in linking._shared(iter(packed_.to_batches(max_chunksize=3))) for r in b.to_pylist()]
+    held = {}
+    for i in ids:
+        for k in keys[i]:
+            held.setdefault(k & ((1 << (linking.SLOT_BITS + linking.REST_BITS)) - 1), []).append(i)
+    assert sorted(got) == sorted((k, i, min(size[i], linking.PACK - 1)) for k, mine in held.items() if len(mine) > 1 for i in mine)
+
+
+def test_packed_keys_leave_out_other_rows():
+    some = np.array([True, False, True])
+    got = linking.packed_keys(np.arange(6, dtype=np.uint64).reshape(3, 2), some).to_pylist()
+    assert [len(x) for x in got] == [2 * linking.KEY_BYTES, 0, 2 * linking.KEY_BYTES] and got[2][0] == 4
+
+
+@pytest.mark.parametrize("block", [1, 50, 10_000])
+def test_links_of_a_task_become_stars(monkeypatch, block):
+    monkeypatch.setattr(components_, "BLOCK", block)
+    rng = random.Random(block)
+    links = [(rng.randrange(1, 400), 0) for _ in range(5)] + [(i, i - 1) for i in range(500, 700)] + [(b, a) for a, b in ((rng.randrange(300), rng.randrange(300, 500)) for _ in range(150))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links[x:x + 40])], ["u", "v"]) for x in range(0, len(links), 40)]
+    stars = [(r["u"], r["v"]) for b in components_._own_stars(iter(batches)) for r in b.to_pylist()]
+    nodes = {x for link in links for x in link}
+    want = closure(nodes, links)
+    assert closure(nodes, stars) == want and len(stars) <= len(links) and all(u > v for u, v in stars)
+    assert block < 10_000 or dict(stars) == {u: v for u, v in want.items() if u != v}
